@@ -1,0 +1,21 @@
+"""Join helpers that keep broadcasts behind an explicit size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def join_small(left: DataFrame, right: DataFrame, on: Column | str | list,
+               how: str = "left", max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Join ``right`` to ``left``, broadcasting ``right`` only if it has at
+    most ``max_broadcast_rows`` rows.
+
+    The count is one cheap action on a dimension-sized input; above the bound
+    the join falls back to a shuffle join chosen by Catalyst/AQE, so the
+    broadcast never grows with the data.
+    """
+    n = right.limit(max_broadcast_rows + 1).count()
+    if n <= max_broadcast_rows:
+        right = F.broadcast(right)
+    return left.join(right, on, how)
