@@ -17,64 +17,75 @@ from ledgerline.operators import metrics, periods, staging
 
 
 class BillingModels:
-    def __init__(self, raw: dict[str, DataFrame], as_of, rates=FIXED_EUR_RATES):
+    def __init__(self, raw: dict[str, DataFrame], as_of, rates=FIXED_EUR_RATES,
+                 materialize: bool = False):
+        """``materialize=True`` checkpoints every model as it is first built
+        (reliable checkpoint into ``spark.checkpoint.dir``), so a job with many
+        consumers per model — the check suite, a full run — computes each
+        model once and reads it back with its lineage cut."""
         self.raw = raw
         self.as_of = as_of
         self.rates = rates
+        self.materialize = materialize
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.materialize else df
 
     # staging ---------------------------------------------------------------
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.clean_customers(self.raw["customers"])
+        return self._m(staging.clean_customers(self.raw["customers"]))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"])
+        return self._m(staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"]))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates)
+        return self._m(staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
 
     # intermediate ----------------------------------------------------------
     @cached_property
     def effective_dates(self) -> DataFrame:
-        return periods.effective_dates(self.stg_subscriptions, self.stg_invoices)
+        return self._m(periods.effective_dates(self.stg_subscriptions, self.stg_invoices))
 
     @cached_property
     def subscription_months(self) -> DataFrame:
-        return periods.subscription_months(self.effective_dates, self.as_of)
+        return self._m(periods.subscription_months(self.effective_dates, self.as_of))
 
     @cached_property
     def churn_base(self) -> DataFrame:
-        return metrics.churn_base(self.mrr_running_sum, self.effective_dates)
+        return self._m(metrics.churn_base(self.mrr_running_sum, self.effective_dates))
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
-        return metrics.customer_revenue(self.stg_invoices, self.stg_subscriptions)
+        return self._m(metrics.customer_revenue(self.stg_invoices, self.stg_subscriptions))
 
     @cached_property
     def subscription_summary(self) -> DataFrame:
         # Same rows as filtering effective_dates (a 1:1 left join), but reading
         # staging directly skips the invoice join the summary does not need.
-        return metrics.subscription_summary(self.stg_subscriptions)
+        return self._m(metrics.subscription_summary(self.stg_subscriptions))
 
     # marts -----------------------------------------------------------------
     @cached_property
     def mrr_by_month_plan(self) -> DataFrame:
-        return metrics.mrr_by_month_plan(self.subscription_months)
+        return self._m(metrics.mrr_by_month_plan(self.subscription_months))
 
     @cached_property
     def mrr_running_sum(self) -> DataFrame:
-        return metrics.mrr_running_sum(self.effective_dates, self.as_of)
+        return self._m(metrics.mrr_running_sum(self.effective_dates, self.as_of))
 
     @cached_property
     def churn_rates(self) -> DataFrame:
-        return metrics.churn_rates(self.churn_base)
+        return self._m(metrics.churn_rates(self.churn_base))
 
     @cached_property
     def customer_ltv(self) -> DataFrame:
-        return metrics.customer_ltv(self.stg_customers, self.customer_revenue,
-                                    self.subscription_summary)
+        return self._m(metrics.customer_ltv(self.stg_customers, self.customer_revenue,
+                                    self.subscription_summary))
 
     def model(self, name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return self.raw[name[len("raw_"):]]
         return getattr(self, name)

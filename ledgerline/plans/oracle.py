@@ -238,3 +238,115 @@ for _m in ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_date
            "customer_revenue", "subscription_summary", "customer_ltv"]:
     register(_m, select_all(_m))
 register("mrr_running_sum", select_all("mrr_by_month_plan"))
+
+
+# ------------------------------------------------------- data-quality checks
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+_DQ_ROWS_SQL = {
+    "no_invoices_after_subscription_end": """
+      SELECT COUNT(*) FROM stg_invoices i JOIN stg_subscriptions s ON i.subscription_id = s.subscription_id
+      WHERE s.end_date IS NOT NULL AND i.invoice_date > s.end_date""",
+}
+
+
+def _dq_failures_sql(ch) -> tuple[str, list[str]]:
+    m, c = ch.model, ch.column
+    if ch.kind == "unique":
+        return (f"SELECT COUNT(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} "
+                f"HAVING COUNT(*) > 1)"), [m]
+    if ch.kind == "unique_combination":
+        cols = ", ".join(ch.columns)
+        return f"SELECT COUNT(*) FROM (SELECT {cols} FROM {m} GROUP BY {cols} HAVING COUNT(*) > 1)", [m]
+    if ch.kind == "not_null":
+        return f"SELECT COUNT(*) FROM {m} WHERE {c} IS NULL", [m]
+    if ch.kind == "accepted_values":
+        vals = ", ".join(_sql_lit(v) for v in ch.values)
+        return f"SELECT COUNT(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) WHERE {c} NOT IN ({vals})", [m]
+    if ch.kind == "relationships":
+        return (f"SELECT COUNT(*) FROM {m} ch LEFT JOIN {ch.to_model} pa ON ch.{c} = pa.{ch.to_field} "
+                f"WHERE ch.{c} IS NOT NULL AND pa.{ch.to_field} IS NULL"), [m, ch.to_model]
+    if ch.kind == "not_future_date":
+        return f"SELECT COUNT(*) FROM {m} WHERE {c} > {AS_OF}", [m]
+    if ch.kind == "flag_equals":
+        return f"SELECT COUNT(*) FROM {m} WHERE {c} != {_sql_lit(ch.values[0])} OR {c} IS NULL", [m]
+    if ch.kind == "expression":
+        return f"SELECT COUNT(*) FROM {m} WHERE {ch.predicate}", [m]
+    if ch.kind == "row_count_matches":
+        return (f"SELECT CASE WHEN (SELECT COUNT(DISTINCT {ch.to_field}) FROM {ch.to_model}) != "
+                f"(SELECT COUNT(*) FROM {m}) THEN 1 ELSE 0 END"), [m, ch.to_model]
+    if ch.kind == "rows":
+        return _DQ_ROWS_SQL[ch.check_name], [m, "stg_subscriptions"]
+    raise ValueError(ch.kind)
+
+
+def dq_sql(checks) -> str:
+    selects, needed = [], []
+    for ch in checks:
+        body, deps = _dq_failures_sql(ch)
+        needed += [d for d in deps if d not in needed]
+        col = ch.column or ",".join(ch.columns) or None
+        selects.append(
+            f"SELECT {_sql_lit(ch.check_name)} AS check_name, {_sql_lit(ch.model)} AS model, "
+            f"{_sql_lit(ch.kind)} AS kind, {('NULL' if col is None else _sql_lit(col))} AS column_name, "
+            f"{_sql_lit(ch.severity)} AS severity, CAST(({body}) AS BIGINT) AS failures")
+    final = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+             "ELSE 'error' END AS status FROM (\n" + "\nUNION ALL\n".join(selects) + ")")
+    return with_ctes(needed, final)
+
+
+def _register_dq() -> None:
+    from ledgerline.plans.checks import column_checks, singular_checks
+    register("dq_column_checks", dq_sql(column_checks()))
+    register("dq_singular_checks", dq_sql(singular_checks()))
+
+
+_register_dq()
+
+
+# ---------------------------------------------------- incremental + history
+cte("latest_event_per_user", [], """
+  SELECT user_id, event_id, ts, event_type, value FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+  WHERE rn = 1""")
+register("upsert_two_batches", select_all("latest_event_per_user"))
+register("incremental_filter", with_ctes(["raw_invoices"], """
+  SELECT * FROM raw_invoices
+  WHERE updated_at >= (SELECT MAX(updated_at) FROM raw_invoices
+                       WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00')"""))
+register("incremental_invoices", select_all("stg_invoices"))
+register("cursor_guard", with_ctes(["raw_customers", "raw_subscriptions", "raw_invoices"], "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS resource, COUNT(*) AS rows_seen,
+           COUNT(*) FILTER (WHERE updated_at <= TIMESTAMP '2001-09-01 00:00:00') AS rows_accepted,
+           COUNT(*) FILTER (WHERE updated_at > TIMESTAMP '2001-09-01 00:00:00') AS rows_quarantined,
+           MAX(updated_at) FILTER (WHERE updated_at <= TIMESTAMP '2001-09-01 00:00:00') AS watermark,
+           MAX(updated_at) AS unguarded_watermark FROM raw_{t}"""
+    for t in ("customers", "subscriptions", "invoices"))))
+cte("event_history", [], """
+  WITH runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '2024-01-11'), (2, TIMESTAMP '2024-01-21'),
+                                      (3, TIMESTAMP '2024-02-01')) r(j, run_ts)),
+  snaps AS (
+    SELECT j, user_id, event_id, event_type, value, ts AS updated_at FROM (
+      SELECT r.j, e.*, ROW_NUMBER() OVER (PARTITION BY r.j, e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rn
+      FROM events e JOIN runs r ON e.ts < r.run_ts)
+    WHERE rn = 1),
+  versions AS (SELECT DISTINCT user_id, event_id, event_type, value, updated_at FROM snaps)
+  SELECT *, updated_at AS valid_from,
+         LEAD(updated_at) OVER (PARTITION BY user_id ORDER BY updated_at) AS valid_to
+  FROM versions""")
+register("scd2_history", select_all("event_history"))
+register("point_in_time_state", with_ctes(["event_history"], """
+  SELECT d.period_start, h.event_type, COUNT(*) AS users,
+         CAST(SUM(CAST(h.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total
+  FROM (SELECT CAST(UNNEST(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY))
+                    AS DATE) AS period_start) d
+  JOIN event_history h
+    ON h.valid_from <= CAST(d.period_start AS TIMESTAMP)
+   AND (h.valid_to IS NULL OR h.valid_to > CAST(d.period_start AS TIMESTAMP))
+  GROUP BY d.period_start, h.event_type"""))

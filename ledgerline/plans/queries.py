@@ -24,8 +24,8 @@ def query(name: str):
     return deco
 
 
-def models(spark: SparkSession, sf_dir: str) -> BillingModels:
-    return BillingModels(raw_tables(spark, sf_dir), TEST_AS_OF)
+def models(spark: SparkSession, sf_dir: str, materialize: bool = False) -> BillingModels:
+    return BillingModels(raw_tables(spark, sf_dir), TEST_AS_OF, materialize=materialize)
 
 
 def _model_query(name: str) -> None:
@@ -36,3 +36,127 @@ for _name in ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_d
               "subscription_months", "mrr_by_month_plan", "mrr_running_sum", "churn_base",
               "churn_rates", "customer_revenue", "subscription_summary", "customer_ltv"]:
     _model_query(_name)
+
+
+@query("dq_column_checks")
+def dq_column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.operators.quality import run_checks
+    from ledgerline.plans.checks import column_checks
+    m = models(spark, sf_dir, materialize=True)
+    return run_checks(spark, column_checks(), m.model, m.as_of)
+
+
+@query("dq_singular_checks")
+def dq_singular_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.operators.quality import run_checks
+    from ledgerline.plans.checks import singular_checks
+    m = models(spark, sf_dir, materialize=True)
+    return run_checks(spark, singular_checks(), m.model, m.as_of)
+
+
+# ------------------------------------------------------------ incremental
+# Fixed parameters of the two-run scenarios over the test data.
+EVENTS_SPLIT = "2024-01-16 00:00:00"
+INVOICE_FIRST_RUN_BEFORE = "1998-01-01 00:00:00"
+SYNC_TIME = "2001-09-01 00:00:00"
+SNAPSHOT_RUNS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-02-01 00:00:00")
+STATE_DAYS = ("2024-01-01", "2024-01-31")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    return (spark.read.parquet(f"{sf_dir}/events.parquet")
+            .select("user_id", "event_id", "ts", "event_type", "value")
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
+@query("upsert_two_batches")
+def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest state per user after two delete+insert loads of the event feed."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.incremental import upsert
+    ev = _events(spark, sf_dir)
+    split = F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    t1 = upsert(None, ev.where(F.col("ts") < split), "user_id", "ts", ["event_id"])
+    return upsert(t1, ev.where(F.col("ts") >= split), "user_id", "ts", ["event_id"])
+
+
+@query("incremental_filter")
+def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second-run extract: raw invoices at or after the first run's watermark."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.incremental import incremental_extract, next_watermark
+    from ledgerline.sources.testdata import raw_invoices
+    raw = raw_invoices(spark, sf_dir)
+    first = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
+    wm = next_watermark(first, "updated_at")
+    return incremental_extract(raw, "updated_at", wm)
+
+
+@query("incremental_invoices")
+def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stg_invoices built by two incremental runs (must equal a full refresh).
+    The existence flag is computed at read time, so a subscription that
+    arrives after its invoices still validates them."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.existence import existence_flag
+    from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
+    from ledgerline.operators.staging import INVOICE_COLUMNS, type_invoices
+    from ledgerline.sources.testdata import raw_invoices, raw_subscriptions
+    raw = raw_invoices(spark, sf_dir)
+    tie = ["amount", "currency", "status", "invoice_date", "subscription_id"]
+    run1 = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
+    t1 = upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie)
+    wm = next_watermark(t1, "updated_at")
+    run2 = type_invoices(incremental_extract(raw, "updated_at", wm))
+    t2 = upsert(t1, run2, "invoice_id", "updated_at", tie)
+    return existence_flag(t2, "subscription_id", raw_subscriptions(spark, sf_dir), "subscription_id",
+                          "has_valid_subscription").select(*INVOICE_COLUMNS)
+
+
+@query("cursor_guard")
+def cursor_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per raw table: rows a sync at SYNC_TIME accepts vs quarantines, and the
+    watermark with and without the guard."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.incremental import guard_summary
+    from ledgerline.sources.testdata import raw_tables
+    parts = [guard_summary(df, "updated_at", SYNC_TIME).select(F.lit(name).alias("resource"), "*")
+             for name, df in raw_tables(spark, sf_dir).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ledgerline.operators.dedup import keep_latest
+    from ledgerline.operators.history import VERSION_ID, scd2_apply
+    ev = _events(spark, sf_dir)
+    hist = None
+    for run_ts in SNAPSHOT_RUNS:
+        state = keep_latest(ev.where(F.col("ts") < F.lit(run_ts).cast("timestamp_ntz")),
+                            "user_id", "ts", ["event_id"])
+        snap = state.select("user_id", "event_id", "event_type", "value",
+                            F.col("ts").alias("updated_at"))
+        hist = scd2_apply(hist, snap, "user_id", "updated_at")
+    return hist.drop(VERSION_ID)
+
+
+@query("scd2_history")
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 history of each user's state after three snapshot runs."""
+    return _event_history(spark, sf_dir)
+
+
+@query("point_in_time_state")
+def point_in_time_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and value per state at each day start, read from the history."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.history import valid_periods
+    hist = _event_history(spark, sf_dir)
+    return (valid_periods(hist, *STATE_DAYS, unit="day")
+            .groupBy("period_start", "event_type")
+            .agg(F.count(F.lit(1)).alias("users"),
+                 F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_total")))
