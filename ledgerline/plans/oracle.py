@@ -218,7 +218,8 @@ def _order(names: list[str]) -> list[str]:
 
 def with_ctes(needed: list[str], final: str) -> str:
     """``WITH <needed CTEs in dependency order> <final>``."""
-    parts = [f"{n} AS ({CTES[n][1]}\n)" for n in _order(needed)]
+    # Names that are not CTEs are the pre-registered base views.
+    parts = [f"{n} AS ({CTES[n][1]}\n)" for n in _order([x for x in needed if x in CTES])]
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
@@ -350,3 +351,87 @@ register("point_in_time_state", with_ctes(["event_history"], """
     ON h.valid_from <= CAST(d.period_start AS TIMESTAMP)
    AND (h.valid_to IS NULL OR h.valid_to > CAST(d.period_start AS TIMESTAMP))
   GROUP BY d.period_start, h.event_type"""))
+
+
+# ------------------------------------------------------------ fx + helpers
+register("fx_convert", with_ctes(["stg_invoices"], """
+  SELECT invoice_id, currency, amount,
+         CAST(CASE WHEN currency = 'EUR' THEN amount WHEN currency = 'SEK' THEN ROUND(amount * 0.088, 2) END
+              AS DECIMAL(18,2)) AS amount_eur
+  FROM stg_invoices"""))
+cte("fx_rates", ["stg_invoices"], """
+  SELECT 'SEK' AS currency, m AS valid_from,
+         CAST(0.085 + 0.001 * (month(m) - 1) AS DECIMAL(18,6)) AS rate
+  FROM (SELECT DISTINCT CAST(date_trunc('month', invoice_date) AS DATE) AS m FROM stg_invoices
+        WHERE invoice_date IS NOT NULL)
+  UNION ALL SELECT 'EUR', DATE '1990-01-01', CAST(1 AS DECIMAL(18,6))""")
+register("fx_asof", with_ctes(["stg_invoices", "fx_rates"], """
+  SELECT i.invoice_id, i.currency, i.invoice_date, i.amount,
+         CASE WHEN i.invoice_date > DATE '2002-12-31' THEN NULL
+              ELSE CAST(ROUND(i.amount * r.rate, 2) AS DECIMAL(18,2)) END AS amount_eur
+  FROM stg_invoices i ASOF LEFT JOIN fx_rates r
+    ON i.currency = r.currency AND i.invoice_date >= r.valid_from"""))
+
+_LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+register("dedup_latest", """
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY """
+         + ", ".join(f"{c} DESC NULLS LAST" for c in _LI_ORDER) + """) AS rn
+    FROM lineitem) WHERE rn = 1""")
+register("orphan_keys", with_ctes(["stg_subscriptions", "stg_customers"], """
+  SELECT s.subscription_id, s.customer_id FROM stg_subscriptions s
+  WHERE s.customer_id IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM stg_customers c WHERE c.customer_id = s.customer_id)"""))
+register("existence_flag", """
+  SELECT o_orderkey, o_orderstatus,
+         EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS has_lineitems
+  FROM orders o""")
+
+
+def _register_unique_combination() -> None:
+    from ledgerline.operators.quality import Check
+    checks = [Check("unique_combination", "lineitem", columns=("l_orderkey", "l_linenumber")),
+              Check("unique_combination", "orders", columns=("o_custkey", "o_orderdate"), severity="warn"),
+              Check("unique", "documents", "text", severity="warn"),
+              Check("unique", "events", "event_id")]
+    # These models are the pre-registered views themselves.
+    register("dq_unique_combination", dq_sql(checks))
+
+
+_register_unique_combination()
+
+_PROFILE_METRICS = {
+    "null": "{c} IS NULL",
+    "blank": "{c} = ''",
+    "untrimmed": "{c} <> TRIM({c})",
+    "not_lower": "{c} <> LOWER({c})",
+    "numeric": "TRY_CAST({c} AS DECIMAL(38,6)) IS NOT NULL",
+    "negative": "TRY_CAST({c} AS DECIMAL(38,6)) < 0",
+    "date": "TRY_CAST({c} AS DATE) IS NOT NULL",
+}
+
+
+def _profile_sql() -> str:
+    from ledgerline.sources.raw import RAW_COLUMNS
+    parts = []
+    for t, cols in RAW_COLUMNS.items():
+        parts.append(f"SELECT '{t}' AS table_name, CAST(NULL AS VARCHAR) AS column_name, 'rows' AS metric, "
+                     f"COUNT(*) AS value FROM raw_{t}")
+        for c in cols:
+            for m, pred in _PROFILE_METRICS.items():
+                parts.append(f"SELECT '{t}', '{c}', '{m}', COUNT(*) FILTER (WHERE COALESCE({pred.format(c=c)}, FALSE)) "
+                             f"FROM raw_{t}")
+    return with_ctes(["raw_customers", "raw_subscriptions", "raw_invoices"], "\nUNION ALL\n".join(parts))
+
+
+register("profile_table", _profile_sql())
+register("source_freshness", with_ctes(["raw_customers", "raw_subscriptions", "raw_invoices"], "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS resource, max_loaded_at, age_hours,
+           CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours < 0 THEN 'future'
+                WHEN age_hours >= 48 THEN 'error' WHEN age_hours >= 24 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max_loaded_at,
+                 CAST(FLOOR((epoch(TIMESTAMP '2001-09-01 00:00:00') - epoch(max_loaded_at)) / 3600) AS BIGINT)
+                   AS age_hours
+          FROM (SELECT MAX(updated_at) AS max_loaded_at FROM raw_{t}))"""
+    for t in ("customers", "subscriptions", "invoices"))))

@@ -160,3 +160,115 @@ def point_in_time_state(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("period_start", "event_type")
             .agg(F.count(F.lit(1)).alias("users"),
                  F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_total")))
+
+
+# --------------------------------------------------------- fx and helpers
+FX_HORIZON = "2002-12-31"
+
+
+def monthly_sek_rates(invoices: DataFrame) -> DataFrame:
+    """A dated rate table derived from the data: one SEK rate per invoice
+    month (a fixed rule of the month number) and EUR at 1 since 1990."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+    from ledgerline.functions.columns import month_start
+    months = invoices.select(month_start("invoice_date").alias("valid_from")).where(
+        F.col("valid_from").isNotNull()).distinct()
+    sek = months.select(F.lit("SEK").alias("currency"), "valid_from",
+                        (F.lit(Decimal("0.085")) + F.lit(Decimal("0.001")) * (F.month("valid_from") - 1))
+                        .cast("decimal(18,6)").alias("rate_to_eur"))
+    eur = invoices.sparkSession.createDataFrame(
+        [("EUR", __import__("datetime").date(1990, 1, 1), Decimal(1))],
+        "currency string, valid_from date, rate_to_eur decimal(18,6)")
+    return sek.unionByName(eur)
+
+
+@query("fx_convert")
+def fx_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EUR amounts through a join to the (currency, rate) table — must equal
+    the fixed CASE conversion in staging."""
+    from ledgerline.functions.fx import convert_with_rates, rates_frame
+    inv = models(spark, sf_dir).stg_invoices.select("invoice_id", "currency", "amount")
+    return convert_with_rates(inv, "amount", "currency", rates_frame(spark))
+
+
+@query("fx_asof")
+def fx_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EUR amounts at the rate in force on each invoice date."""
+    from ledgerline.functions.fx import convert_with_dated_rates
+    inv = models(spark, sf_dir).stg_invoices.select("invoice_id", "currency", "invoice_date", "amount")
+    return convert_with_dated_rates(inv, "amount", "currency", "invoice_date",
+                                    monthly_sek_rates(inv), FX_HORIZON)
+
+
+LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                  "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@query("dedup_latest")
+def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest line item per (order, line number) by ship date."""
+    from ledgerline.operators.dedup import keep_latest
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return keep_latest(li, ["l_orderkey", "l_linenumber"], LINEITEM_ORDER[0], LINEITEM_ORDER[1:])
+
+
+@query("orphan_keys")
+def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriptions whose customer does not exist among clean customers."""
+    from ledgerline.operators.existence import orphans
+    m = models(spark, sf_dir)
+    return orphans(m.stg_subscriptions.select("subscription_id", "customer_id"), "customer_id",
+                   m.stg_customers, "customer_id")
+
+
+@query("existence_flag")
+def existence_flag_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with a flag: does it have at least one line item?"""
+    from ledgerline.operators.existence import existence_flag
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return existence_flag(o, "o_orderkey", li, "l_orderkey", "has_lineitems")
+
+
+def _table_resolver(spark: SparkSession, sf_dir: str):
+    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("dq_unique_combination")
+def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of column combinations on the source tables."""
+    from ledgerline.operators.quality import Check, run_checks
+    checks = [Check("unique_combination", "lineitem", columns=("l_orderkey", "l_linenumber")),
+              Check("unique_combination", "orders", columns=("o_custkey", "o_orderdate"), severity="warn"),
+              Check("unique", "documents", "text", severity="warn"),
+              Check("unique", "events", "event_id")]
+    from ledgerline.sources.testdata import TEST_AS_OF
+    return run_checks(spark, checks, _table_resolver(spark, sf_dir), TEST_AS_OF)
+
+
+@query("profile_table")
+def profile_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defect profile of the three raw billing tables."""
+    from ledgerline.operators.profiling import profile_table
+    from ledgerline.sources.raw import RAW_COLUMNS
+    from ledgerline.sources.testdata import raw_tables
+    parts = [profile_table(df, name, RAW_COLUMNS[name]) for name, df in raw_tables(spark, sf_dir).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("source_freshness")
+def source_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest cursor per raw table against the sync time."""
+    from ledgerline.operators.profiling import source_freshness
+    from ledgerline.sources.testdata import raw_tables
+    parts = [source_freshness(df, name, "updated_at", SYNC_TIME)
+             for name, df in raw_tables(spark, sf_dir).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
