@@ -143,6 +143,29 @@ class VersionedTable:
         p = self._pointer()
         return p["watermark"] if p else None
 
+    def committed_epochs(self) -> set[int]:
+        t = self.state._table()
+        if t is None:
+            return set()
+        return {int(eval(r["info"]).get("epoch", -1)) for r in t.select("info").collect()}  # noqa: S307
+
+    def apply(self, batch: DataFrame, epoch: int | None = None,
+              tiebreak: list[str] | None = None) -> dict | None:
+        """Upsert one already-extracted batch (a streaming micro-batch) as a
+        new version.  Re-delivering a committed ``epoch`` is a no-op, which
+        makes a ``foreachBatch`` sink exactly-once."""
+        if epoch is not None and epoch in self.committed_epochs():
+            return None
+        merged = upsert(self.read(), batch, self.keys, self.cursor, tiebreak)
+        version = (self.current_version() or 0) + 1
+        merged.write.mode("overwrite").parquet(os.path.join(self.root, f"v={version}"))
+        new_wm = next_watermark(batch, self.cursor, self.watermark())
+        info = {"version": version}
+        if epoch is not None:
+            info["epoch"] = epoch
+        self.state.commit("table", new_wm, info)
+        return {"version": version, "watermark": new_wm}
+
     def load(self, source: DataFrame, full_refresh: bool = False, strict: bool = False,
              run_ts=None, tiebreak: list[str] | None = None) -> dict:
         """One incremental (or full-refresh) run; returns a small report."""

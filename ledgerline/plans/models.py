@@ -28,61 +28,61 @@ class BillingModels:
         self.rates = rates
         self.materialize = materialize
 
-    def _m(self, df: DataFrame) -> DataFrame:
+    def _m(self, name: str, df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True) if self.materialize else df
 
     # staging ---------------------------------------------------------------
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return self._m(staging.clean_customers(self.raw["customers"]))
+        return self._m("stg_customers", staging.clean_customers(self.raw["customers"]))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return self._m(staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"]))
+        return self._m("stg_subscriptions", staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"]))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return self._m(staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
+        return self._m("stg_invoices", staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
 
     # intermediate ----------------------------------------------------------
     @cached_property
     def effective_dates(self) -> DataFrame:
-        return self._m(periods.effective_dates(self.stg_subscriptions, self.stg_invoices))
+        return self._m("effective_dates", periods.effective_dates(self.stg_subscriptions, self.stg_invoices))
 
     @cached_property
     def subscription_months(self) -> DataFrame:
-        return self._m(periods.subscription_months(self.effective_dates, self.as_of))
+        return self._m("subscription_months", periods.subscription_months(self.effective_dates, self.as_of))
 
     @cached_property
     def churn_base(self) -> DataFrame:
-        return self._m(metrics.churn_base(self.mrr_running_sum, self.effective_dates))
+        return self._m("churn_base", metrics.churn_base(self.mrr_running_sum, self.effective_dates))
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
-        return self._m(metrics.customer_revenue(self.stg_invoices, self.stg_subscriptions))
+        return self._m("customer_revenue", metrics.customer_revenue(self.stg_invoices, self.stg_subscriptions))
 
     @cached_property
     def subscription_summary(self) -> DataFrame:
         # Same rows as filtering effective_dates (a 1:1 left join), but reading
         # staging directly skips the invoice join the summary does not need.
-        return self._m(metrics.subscription_summary(self.stg_subscriptions))
+        return self._m("subscription_summary", metrics.subscription_summary(self.stg_subscriptions))
 
     # marts -----------------------------------------------------------------
     @cached_property
     def mrr_by_month_plan(self) -> DataFrame:
-        return self._m(metrics.mrr_by_month_plan(self.subscription_months))
+        return self._m("mrr_by_month_plan", metrics.mrr_by_month_plan(self.subscription_months))
 
     @cached_property
     def mrr_running_sum(self) -> DataFrame:
-        return self._m(metrics.mrr_running_sum(self.effective_dates, self.as_of))
+        return self._m("mrr_running_sum", metrics.mrr_running_sum(self.effective_dates, self.as_of))
 
     @cached_property
     def churn_rates(self) -> DataFrame:
-        return self._m(metrics.churn_rates(self.churn_base))
+        return self._m("churn_rates", metrics.churn_rates(self.churn_base))
 
     @cached_property
     def customer_ltv(self) -> DataFrame:
-        return self._m(metrics.customer_ltv(self.stg_customers, self.customer_revenue,
+        return self._m("customer_ltv", metrics.customer_ltv(self.stg_customers, self.customer_revenue,
                                     self.subscription_summary))
 
     def model(self, name: str) -> DataFrame:

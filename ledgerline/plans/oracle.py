@@ -435,3 +435,4 @@ register("source_freshness", with_ctes(["raw_customers", "raw_subscriptions", "r
                    AS age_hours
           FROM (SELECT MAX(updated_at) AS max_loaded_at FROM raw_{t}))"""
     for t in ("customers", "subscriptions", "invoices"))))
+register("stream_sync_events", select_all("latest_event_per_user"))

@@ -272,3 +272,24 @@ def source_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("stream_sync_events")
+def stream_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed synced through a Structured Streaming availableNow run
+    into a versioned table (in the shared checkpoint folder); the result is
+    the table's committed state: latest event per user."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.session import scratch_dir
+    from ledgerline.streaming.sync import file_stream, sync_available
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = (file_stream(spark, sf_dir, schema, glob="events.parquet")
+              .select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                      "event_type", "value"))
+    root = scratch_dir(spark, "stream-sync-events")
+    table = VersionedTable(spark, os.path.join(root, "table"), "user_id", "ts")
+    return sync_available(stream, table, os.path.join(root, "checkpoint"), ["event_id"])
