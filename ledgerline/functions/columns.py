@@ -14,11 +14,9 @@ MONEY_SUM = "decimal(38,2)"
 # or unparseable at landing time.
 CURSOR_FALLBACK = "2024-01-01 00:00:00"
 
-# Timestamp layouts accepted when deriving a cursor from free text (tried in order).
+# Non-ISO timestamp layouts accepted when deriving a cursor from free text,
+# tried in order after the ISO forms (which a plain cast already parses).
 CURSOR_PATTERNS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
     "yyyy/MM/dd",
     "dd.MM.yyyy",
     "MM/dd/yyyy",
@@ -57,9 +55,13 @@ def to_date_or_null(c: Column | str) -> Column:
 def parse_cursor(c: Column | str, patterns=CURSOR_PATTERNS,
                  fallback: str = CURSOR_FALLBACK) -> Column:
     """Derive a load cursor from a business timestamp in one of several
-    layouts; anything unparseable gets the fixed fallback."""
+    layouts; anything unparseable gets the fixed fallback.
+
+    ISO dates and timestamps go through ``try_cast`` (a direct parser, no
+    exceptions); only values it rejects reach the pattern-based parsers,
+    whose failures are costly, so the common case stays cheap."""
     c = blank_to_null(c)
-    tries = [F.try_to_timestamp(c, F.lit(p)) for p in patterns]
+    tries = [c.try_cast("timestamp")] + [F.try_to_timestamp(c, F.lit(p)) for p in patterns]
     return F.coalesce(*tries, F.lit(fallback).cast("timestamp"))
 
 

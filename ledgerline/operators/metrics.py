@@ -63,26 +63,54 @@ def mrr_running_sum(eff: DataFrame, as_of) -> DataFrame:
                     F.col("n").cast("long").alias("active_subscriptions")))
 
 
-def churn_base(mrr: DataFrame, eff: DataFrame) -> DataFrame:
+def churn_base(eff: DataFrame, as_of) -> DataFrame:
     """Per activity month M: subscriptions/MRR active in M−1 (the base) and
     cancelled subscriptions whose effective end falls in M (churned).
 
     Only months with any activity appear (a gap month vanishes); missing
-    values are 0.  Built from the MRR mart (plans × months rows) and one
-    partial aggregate over the effective dates: every join here is between
-    month-sized tables, never over the monthly grain.
+    values are 0.  One pass over the effective dates: every subscription
+    emits tagged events — +1/+price when it becomes active, −1/−price the
+    month after it stops, and a churn event in its end month — which one
+    partial aggregate reduces to months × kinds rows.  A running sum over
+    that month-sized table gives the activity level per month; everything
+    after the aggregate is month-sized, so no join or window ever sees the
+    subscription rows.
     """
-    totals = mrr.groupBy("month_start").agg(
-        F.sum("active_subscriptions").alias("_n"), F.sum("mrr").alias("_m"))
+    b = active_month_bounds(eff, as_of)
+    as_of_month = month_start(as_of_literal(as_of))
+    price = F.col("monthly_price")
+    has_price = F.when(price.isNotNull(), 1).otherwise(0)
+    active = F.col("_lo").isNotNull() & (F.col("_lo") <= F.col("_hi"))
+    churned = (F.col("status") == "cancelled") & F.col("effective_end_date").isNotNull()
+
+    def ev(kind, cond, m, sign):
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), m.alias("m"), F.lit(sign).alias("dn"),
+                                     (price * sign).alias("dp"), (has_price * sign).alias("dv")))
+
+    events = b.select(F.explode(F.array(
+        ev(0, active, F.col("_lo"), 1),
+        ev(0, active & (F.col("_hi") < as_of_month), F.add_months("_hi", 1), -1),
+        ev(1, churned, month_start("effective_end_date"), 1),
+    )).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    agg = events.groupBy("kind", "m").agg(F.sum("dn").alias("dn"), F.sum("dp").alias("dp"),
+                                          F.sum("dv").alias("dv"))
+    # Month-sized from here on (bounded by the calendar, not by the data).
+    w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    levels = agg.where(F.col("kind") == 0).select(
+        "m", F.sum("dn").over(w).alias("n"), F.sum("dp").over(w).alias("p"),
+        F.sum("dv").over(w).alias("v"), F.lead("m").over(Window.orderBy("m")).alias("next_m"))
+    last = F.coalesce(F.add_months("next_m", -1), as_of_month)
+    totals = (levels.where(F.col("n") > 0)
+              .select(F.explode(F.sequence("m", last, F.expr("INTERVAL 1 MONTH"))).alias("month_start"),
+                      F.col("n").alias("_n"), F.when(F.col("v") > 0, F.col("p")).alias("_m")))
     months = totals.select("month_start")
     base = totals.select(F.add_months("month_start", 1).alias("month_start"),
                          F.col("_n").alias("active_subscriptions_start"),
                          F.col("_m").alias("mrr_start"))
-    churned = (eff.where((F.col("status") == "cancelled") & F.col("effective_end_date").isNotNull())
-               .groupBy(month_start("effective_end_date").alias("month_start"))
-               .agg(F.count("subscription_id").alias("churned_subscriptions"),
-                    F.sum("monthly_price").alias("churned_mrr")))
-    return (months.join(base, "month_start", "left").join(churned, "month_start", "left")
+    churn = agg.where(F.col("kind") == 1).select(
+        F.col("m").alias("month_start"), F.col("dn").alias("churned_subscriptions"),
+        F.when(F.col("dv") > 0, F.col("dp")).alias("churned_mrr"))
+    return (months.join(base, "month_start", "left").join(churn, "month_start", "left")
             .select("month_start",
                     F.coalesce("active_subscriptions_start", F.lit(0)).cast("long")
                      .alias("active_subscriptions_start"),
@@ -136,14 +164,40 @@ def subscription_summary(subscriptions: DataFrame) -> DataFrame:
                  F.max_by("status", recency).alias("current_subscription_status")))
 
 
-def customer_ltv(customers: DataFrame, revenue: DataFrame, summary: DataFrame) -> DataFrame:
+def customer_rollup(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Revenue and plan summary per customer in one aggregate: subscriptions
+    left-joined to their invoice rollup, grouped once by customer_id.
+
+    Equals ``customer_revenue`` ⟗ ``subscription_summary`` on the columns
+    the LTV mart reads (for customers that exist): the revenue columns use
+    only subscriptions that have invoices, the summary only valid-customer
+    subscriptions.  Reading subscriptions once instead of twice removes a
+    full subscription pipeline from the LTV plan.
+    """
+    roll = invoice_rollup(invoices).drop("last_invoice_date").withColumn("_has_inv", F.lit(True))
+    valid = F.col("has_valid_customer")
+    recency = F.struct(F.col("start_date").isNull(), F.col("start_date"),
+                       F.col("subscription_id").isNull(), F.col("subscription_id"))
+    plans = F.array_sort(F.collect_set(F.when(valid, F.col("plan_name"))))
+    return (subscriptions.join(roll, "subscription_id", "left")
+            .groupBy("customer_id")
+            .agg(F.count_if(F.col("_has_inv").isNotNull() & F.col("subscription_id").isNotNull())
+                  .alias("subscription_count"),
+                 F.sum("total_paid_eur").cast(MONEY_SUM).alias("total_paid_eur"),
+                 F.sum("total_open_eur").cast(MONEY_SUM).alias("total_open_eur"),
+                 F.sum("total_failed_eur").cast(MONEY_SUM).alias("total_failed_eur"),
+                 F.when(F.size(plans) > 0, F.array_join(plans, ", ")).alias("plan_mix"),
+                 F.max_by(F.when(valid, F.col("status")), F.when(valid, recency))
+                  .alias("current_subscription_status")))
+
+
+def customer_ltv(customers: DataFrame, rollup: DataFrame) -> DataFrame:
     """Every clean customer with realised revenue (paid), pending (open) and
     failed EUR, subscription count, plan mix and current status.  Money and
     counts default to 0; plan mix and status stay NULL without subscriptions."""
     zero = F.lit(0).cast(MONEY_SUM)
     return (customers.select("customer_id", "customer_name", "country")
-            .join(revenue, "customer_id", "left")
-            .join(summary, "customer_id", "left")
+            .join(rollup, "customer_id", "left")
             .select("customer_id", "customer_name", "country", "plan_mix",
                     "current_subscription_status",
                     F.coalesce("subscription_count", F.lit(0)).cast("long").alias("subscription_count"),

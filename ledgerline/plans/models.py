@@ -40,14 +40,25 @@ class BillingModels:
     def stg_subscriptions(self) -> DataFrame:
         return self._m("stg_subscriptions", staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"]))
 
+    @cached_property
+    def typed_invoices(self) -> DataFrame:
+        # Row-wise part of stg_invoices (no existence flag): what the revenue
+        # and effective-date models read, so they skip a join they never use.
+        return staging.type_invoices(self.raw["invoices"], self.rates)
+
     @cached_property
     def stg_invoices(self) -> DataFrame:
         return self._m("stg_invoices", staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
 
+    def _invoices_for_metrics(self) -> DataFrame:
+        # With materialisation on, the written stg_invoices is cheaper to read
+        # than re-typing raw; otherwise use the flag-free typed form.
+        return self.stg_invoices if self.materialize else self.typed_invoices
+
     # intermediate ----------------------------------------------------------
     @cached_property
     def effective_dates(self) -> DataFrame:
-        return self._m("effective_dates", periods.effective_dates(self.stg_subscriptions, self.stg_invoices))
+        return self._m("effective_dates", periods.effective_dates(self.stg_subscriptions, self._invoices_for_metrics()))
 
     @cached_property
     def subscription_months(self) -> DataFrame:
@@ -55,11 +66,11 @@ class BillingModels:
 
     @cached_property
     def churn_base(self) -> DataFrame:
-        return self._m("churn_base", metrics.churn_base(self.mrr_running_sum, self.effective_dates))
+        return self._m("churn_base", metrics.churn_base(self.effective_dates, self.as_of))
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
-        return self._m("customer_revenue", metrics.customer_revenue(self.stg_invoices, self.stg_subscriptions))
+        return self._m("customer_revenue", metrics.customer_revenue(self._invoices_for_metrics(), self.stg_subscriptions))
 
     @cached_property
     def subscription_summary(self) -> DataFrame:
@@ -82,8 +93,8 @@ class BillingModels:
 
     @cached_property
     def customer_ltv(self) -> DataFrame:
-        return self._m("customer_ltv", metrics.customer_ltv(self.stg_customers, self.customer_revenue,
-                                    self.subscription_summary))
+        return self._m("customer_ltv", metrics.customer_ltv(
+            self.stg_customers, metrics.customer_rollup(self._invoices_for_metrics(), self.stg_subscriptions)))
 
     def model(self, name: str) -> DataFrame:
         if name.startswith("raw_"):

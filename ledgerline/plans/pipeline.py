@@ -29,7 +29,7 @@ class _WrittenModels(BillingModels):
     """Models whose every build is written to Parquet and read back."""
 
     def __init__(self, spark: SparkSession, raw, as_of, out_dir: str, **kw):
-        super().__init__(raw, as_of, **kw)
+        super().__init__(raw, as_of, materialize=True, **kw)
         self.spark = spark
         self.out_dir = out_dir
 

@@ -82,10 +82,13 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    # The flags are single characters, so max() over their code points equals
+    # max() over the strings and keeps the aggregate hash-based (a string
+    # max would force a sort-based aggregate).
     lines = (li.groupBy("l_orderkey", "l_linenumber")
              .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amt"),
-                  F.max("l_returnflag").alias("rf"),
-                  F.max("l_linestatus").alias("ls")))
+                  F.max(F.ascii("l_returnflag")).alias("rf"),
+                  F.max(F.ascii("l_linestatus")).alias("ls")))
     k = F.col("l_orderkey")
     ln = F.col("l_linenumber")
     amt = F.col("amt")
@@ -99,10 +102,10 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((k * 7 + ln) % 503 == 0, F.lit(""))
          .otherwise(F.when(k % 97 == 0, -amt).otherwise(amt).cast("string")).alias("amount"),
         F.when(k % 613 == 0, F.lit("USD"))
-         .when((F.col("rf") == "R") & (k % 5 == 0), F.lit("SEK"))
+         .when((F.col("rf") == ord("R")) & (k % 5 == 0), F.lit("SEK"))
          .otherwise(F.lit("EUR")).alias("currency"),
-        F.when(F.col("ls") == "F", F.when(k % 67 == 0, F.lit("PAID ")).otherwise(F.lit("paid")))
-         .when(F.col("rf") == "A", F.lit("failed"))
+        F.when(F.col("ls") == ord("F"), F.when(k % 67 == 0, F.lit("PAID ")).otherwise(F.lit("paid")))
+         .when(F.col("rf") == ord("A"), F.lit("failed"))
          .otherwise(F.lit("open")).alias("status"),
     ), "invoice_date")
 
