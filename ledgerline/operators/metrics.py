@@ -92,32 +92,40 @@ def churn_base(eff: DataFrame, as_of) -> DataFrame:
         ev(0, active & (F.col("_hi") < as_of_month), F.add_months("_hi", 1), -1),
         ev(1, churned, month_start("effective_end_date"), 1),
     )).alias("e")).where(F.col("e").isNotNull()).select("e.*")
-    agg = events.groupBy("kind", "m").agg(F.sum("dn").alias("dn"), F.sum("dp").alias("dp"),
-                                          F.sum("dv").alias("dv"))
-    # Month-sized from here on (bounded by the calendar, not by the data).
+    # One row per event month.  Everything below is a single linear chain on
+    # month-sized data: branching here would let column pruning give each
+    # branch a different aggregate and re-run the whole upstream per branch.
+    def part(kind, col):
+        return F.sum(F.when(F.col("kind") == kind, F.col(col)))
+
+    monthly = events.groupBy("m").agg(
+        part(0, "dn").alias("a_n"), part(0, "dp").alias("a_p"), part(0, "dv").alias("a_v"),
+        part(1, "dn").alias("c_n"), part(1, "dp").alias("c_p"), part(1, "dv").alias("c_v"))
+    # Windows without a partition key: the input is bounded by the calendar
+    # (months between the first start and as_of), not by the data.
     w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
-    levels = agg.where(F.col("kind") == 0).select(
-        "m", F.sum("dn").over(w).alias("n"), F.sum("dp").over(w).alias("p"),
-        F.sum("dv").over(w).alias("v"), F.lead("m").over(Window.orderBy("m")).alias("next_m"))
-    last = F.coalesce(F.add_months("next_m", -1), as_of_month)
-    totals = (levels.where(F.col("n") > 0)
-              .select(F.explode(F.sequence("m", last, F.expr("INTERVAL 1 MONTH"))).alias("month_start"),
-                      F.col("n").alias("_n"), F.when(F.col("v") > 0, F.col("p")).alias("_m")))
-    months = totals.select("month_start")
-    base = totals.select(F.add_months("month_start", 1).alias("month_start"),
-                         F.col("_n").alias("active_subscriptions_start"),
-                         F.col("_m").alias("mrr_start"))
-    churn = agg.where(F.col("kind") == 1).select(
-        F.col("m").alias("month_start"), F.col("dn").alias("churned_subscriptions"),
-        F.when(F.col("dv") > 0, F.col("dp")).alias("churned_mrr"))
-    return (months.join(base, "month_start", "left").join(churn, "month_start", "left")
-            .select("month_start",
-                    F.coalesce("active_subscriptions_start", F.lit(0)).cast("long")
-                     .alias("active_subscriptions_start"),
-                    F.coalesce("mrr_start", F.lit(0)).cast(MONEY_SUM).alias("mrr_start"),
-                    F.coalesce("churned_subscriptions", F.lit(0)).cast("long")
-                     .alias("churned_subscriptions"),
-                    F.coalesce("churned_mrr", F.lit(0)).cast(MONEY_SUM).alias("churned_mrr")))
+    levels = monthly.select(
+        "m", "c_n", "c_p", "c_v",
+        F.sum(F.coalesce("a_n", F.lit(0))).over(w).alias("n"),
+        F.sum(F.coalesce("a_p", F.lit(0))).over(w).alias("p"),
+        F.sum(F.coalesce("a_v", F.lit(0))).over(w).alias("v"),
+        F.lead("m").over(Window.orderBy("m")).alias("next_m"))
+    last = F.least(F.coalesce(F.add_months("next_m", -1), as_of_month), as_of_month)
+    spread = (levels.where(F.col("m") <= as_of_month)
+              .select(F.explode(F.sequence("m", F.greatest("m", last), F.expr("INTERVAL 1 MONTH")))
+                      .alias("month_start"), "*")
+              .where(F.col("n") > 0))
+    first = F.col("month_start") == F.col("m")
+    prev = Window.orderBy("month_start")
+    prev_is_adjacent = F.lag("month_start").over(prev) == F.add_months("month_start", -1)
+    return spread.select(
+        "month_start",
+        F.when(prev_is_adjacent, F.lag("n").over(prev)).otherwise(0).cast("long")
+         .alias("active_subscriptions_start"),
+        F.coalesce(F.when(prev_is_adjacent, F.lag(F.when(F.col("v") > 0, F.col("p"))).over(prev)),
+                   F.lit(0)).cast(MONEY_SUM).alias("mrr_start"),
+        F.when(first, F.coalesce("c_n", F.lit(0))).otherwise(0).cast("long").alias("churned_subscriptions"),
+        F.when(first & (F.col("c_v") > 0), F.col("c_p")).otherwise(0).cast(MONEY_SUM).alias("churned_mrr"))
 
 
 def churn_rates(base: DataFrame) -> DataFrame:

@@ -30,6 +30,13 @@ def invoice_rollup(invoices: DataFrame, statuses=("paid", "open", "failed")) ->
 
 
 def effective_dates(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame:
+    """See ``effective_window``; keeps every EFFECTIVE_COLUMNS column the
+    input has (``has_valid_customer`` is optional)."""
+    out = effective_window(subscriptions, invoices)
+    return out.select(*[c for c in EFFECTIVE_COLUMNS if c in out.columns])
+
+
+def effective_window(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame:
     """``effective_end_date = coalesce(end_date, last invoice date if cancelled)``.
 
     ``effective_end_date_is_inferred`` is true for every cancelled
@@ -43,7 +50,7 @@ def effective_dates(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame:
                         F.coalesce(F.col("end_date"),
                                    F.when(cancelled, F.col("last_invoice_date"))))
             .withColumn("effective_end_date_is_inferred", flag(F.col("end_date").isNull() & cancelled))
-            .select(*EFFECTIVE_COLUMNS))
+            .drop("last_invoice_date"))
 
 
 def active_month_bounds(eff: DataFrame, as_of) -> DataFrame:

@@ -48,22 +48,11 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return keep_first(typed, "customer_id", _dedup_order(typed)).select(*CUSTOMER_COLUMNS)
 
 
-def clean_subscriptions(raw: DataFrame, raw_customers: DataFrame) -> DataFrame:
-    """One row per subscription_id (lowest row id).
-
-    * price: typed, ``abs()``-corrected, ``had_negative_price_defect`` set;
-    * an end date before the start date is set to NULL (start untouched);
-    * status lower-cased and trimmed;
-    * ``has_valid_customer`` = the customer id exists in the *raw* customers.
-
-    The existence join (keyed on customer_id) runs before the dedup (keyed on
-    subscription_id), so the output stays hash-partitioned on subscription_id
-    for the effective-dates join downstream.
-    """
+def _typed_subscriptions(raw: DataFrame) -> DataFrame:
     price = to_decimal_or_null("monthly_price", MONEY)
     start = to_date_or_null("start_date")
     end_raw = to_date_or_null("end_date")
-    typed = raw.select(
+    return raw.select(
         "_row_id", "subscription_id", "customer_id", "plan_name",
         F.abs(price).alias("monthly_price"),
         flag(price < 0).alias("had_negative_price_defect"),
@@ -71,8 +60,29 @@ def clean_subscriptions(raw: DataFrame, raw_customers: DataFrame) -> DataFrame:
         F.when(end_raw < start, F.lit(None).cast("date")).otherwise(end_raw).alias("end_date"),
         normalise_code("status").alias("status"),
         F.col("updated_at").cast("timestamp").alias("updated_at"))
-    flagged = existence_flag(typed, "customer_id", raw_customers, "customer_id", "has_valid_customer")
-    return keep_first(flagged, "subscription_id", _dedup_order(flagged)).select(*SUBSCRIPTION_COLUMNS)
+
+
+def dedup_subscriptions(raw: DataFrame) -> DataFrame:
+    """Typed, corrected and de-duplicated subscriptions *without* the
+    customer existence flag — what the activity, MRR and churn models read.
+    Output is hash-partitioned on subscription_id (the dedup shuffle), which
+    the effective-dates join reuses."""
+    typed = _typed_subscriptions(raw)
+    cols = [c for c in SUBSCRIPTION_COLUMNS if c != "has_valid_customer"]
+    return keep_first(typed, "subscription_id", _dedup_order(typed)).select(*cols)
+
+
+def clean_subscriptions(raw: DataFrame, raw_customers: DataFrame) -> DataFrame:
+    """One row per subscription_id (lowest row id).
+
+    * price: typed, ``abs()``-corrected, ``had_negative_price_defect`` set;
+    * an end date before the start date is set to NULL (start untouched);
+    * status lower-cased and trimmed;
+    * ``has_valid_customer`` = the customer id exists in the *raw* customers.
+    """
+    flagged = existence_flag(dedup_subscriptions(raw), "customer_id", raw_customers, "customer_id",
+                             "has_valid_customer")
+    return flagged.select(*SUBSCRIPTION_COLUMNS)
 
 
 def type_invoices(raw: DataFrame, rates=FIXED_EUR_RATES) -> DataFrame:

@@ -40,6 +40,20 @@ class BillingModels:
     def stg_subscriptions(self) -> DataFrame:
         return self._m("stg_subscriptions", staging.clean_subscriptions(self.raw["subscriptions"], self.raw["customers"]))
 
+    @cached_property
+    def subscriptions_core(self) -> DataFrame:
+        # stg_subscriptions without the customer existence flag (and its
+        # shuffle on customer_id): the activity / MRR / churn path never reads it.
+        if self.materialize:
+            return self.stg_subscriptions
+        return staging.dedup_subscriptions(self.raw["subscriptions"])
+
+    @cached_property
+    def effective_core(self) -> DataFrame:
+        if self.materialize:
+            return self.effective_dates
+        return periods.effective_dates(self.subscriptions_core, self._invoices_for_metrics())
+
     @cached_property
     def typed_invoices(self) -> DataFrame:
         # Row-wise part of stg_invoices (no existence flag): what the revenue
@@ -62,11 +76,11 @@ class BillingModels:
 
     @cached_property
     def subscription_months(self) -> DataFrame:
-        return self._m("subscription_months", periods.subscription_months(self.effective_dates, self.as_of))
+        return self._m("subscription_months", periods.subscription_months(self.effective_core, self.as_of))
 
     @cached_property
     def churn_base(self) -> DataFrame:
-        return self._m("churn_base", metrics.churn_base(self.effective_dates, self.as_of))
+        return self._m("churn_base", metrics.churn_base(self.effective_core, self.as_of))
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
@@ -85,7 +99,7 @@ class BillingModels:
 
     @cached_property
     def mrr_running_sum(self) -> DataFrame:
-        return self._m("mrr_running_sum", metrics.mrr_running_sum(self.effective_dates, self.as_of))
+        return self._m("mrr_running_sum", metrics.mrr_running_sum(self.effective_core, self.as_of))
 
     @cached_property
     def churn_rates(self) -> DataFrame:

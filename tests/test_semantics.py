@@ -186,3 +186,15 @@ def test_ltv_parts_sum_to_total(spark):
     for r in m.customer_ltv.collect():
         if r.customer_id in tot:
             assert r.ltv + r.pending_revenue_eur + r.failed_revenue_eur == (tot[r.customer_id] or 0)
+
+
+def test_churn_ignores_events_after_as_of(spark):
+    subs = [("S1", "C1", "starter", "10.00", "2024-01-05", "", "active"),
+            ("S2", "C1", "starter", "", "2024-02-05", "2024-03-10", "cancelled"),
+            ("S3", "C1", "growth", "20.00", "2024-01-05", "2024-09-10", "cancelled")]
+    m = models(spark, CUSTOMERS, subs, [], as_of=dt.date(2024, 5, 20))
+    c = {r.month_start: r for r in m.churn_base.collect()}
+    assert max(c) == D(2024, 5, 1) and min(c) == D(2024, 1, 1)
+    assert c[D(2024, 3, 1)].churned_subscriptions == 1 and c[D(2024, 3, 1)].churned_mrr == 0
+    assert c[D(2024, 4, 1)].active_subscriptions_start == 3
+    assert c[D(2024, 4, 1)].mrr_start == Decimal("30.00")
