@@ -11,9 +11,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline.functions.fx import FIXED_EUR_RATES
 from ledgerline.operators import metrics, periods, staging
+from ledgerline.operators.existence import existence_flag
 
 
 class BillingModels:
@@ -72,7 +74,13 @@ class BillingModels:
     # intermediate ----------------------------------------------------------
     @cached_property
     def effective_dates(self) -> DataFrame:
-        return self._m("effective_dates", periods.effective_dates(self.stg_subscriptions, self._invoices_for_metrics()))
+        # Join the invoice rollup while subscriptions are still hash-partitioned on
+        # subscription_id (the dedup shuffle), then add the customer flag.
+        eff = periods.effective_dates(staging.dedup_subscriptions(self.raw["subscriptions"]),
+                                      self._invoices_for_metrics())
+        flagged = existence_flag(eff, "customer_id", self.raw["customers"], "customer_id",
+                                 "has_valid_customer")
+        return self._m("effective_dates", flagged.select(*periods.EFFECTIVE_COLUMNS))
 
     @cached_property
     def subscription_months(self) -> DataFrame:
@@ -84,7 +92,7 @@ class BillingModels:
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
-        return self._m("customer_revenue", metrics.customer_revenue(self._invoices_for_metrics(), self.stg_subscriptions))
+        return self._m("customer_revenue", metrics.customer_revenue(self._invoices_for_metrics(), self.subscriptions_core))
 
     @cached_property
     def subscription_summary(self) -> DataFrame:
@@ -108,7 +116,15 @@ class BillingModels:
     @cached_property
     def customer_ltv(self) -> DataFrame:
         return self._m("customer_ltv", metrics.customer_ltv(
-            self.stg_customers, metrics.customer_rollup(self._invoices_for_metrics(), self.stg_subscriptions)))
+            self.stg_customers, metrics.customer_rollup(self._invoices_for_metrics(), self._ltv_subscriptions())))
+
+    def _ltv_subscriptions(self) -> DataFrame:
+        # Every customer the LTV mart keeps is a raw customer id, so all of its
+        # subscriptions have has_valid_customer = true: the flag (and the
+        # shuffle on customer_id that computes it) can be skipped here.
+        if self.materialize:
+            return self.stg_subscriptions
+        return self.subscriptions_core.withColumn("has_valid_customer", F.lit(True))
 
     def model(self, name: str) -> DataFrame:
         if name.startswith("raw_"):

@@ -244,3 +244,20 @@ def test_load_report_counts_rows(spark, tmp_dir):
     rep = t.load(_ev(spark, [("a", "1", TS(2024, 1, 1)), ("b", "1", TS(2024, 1, 2)),
                              ("poison", "1", TS(2031, 1, 1))]), run_ts=TS(2024, 6, 1))
     assert rep["rows"] == 2 and rep["quarantined"] == 1 and rep["watermark"] == TS(2024, 1, 2)
+
+
+def test_partitioned_upsert_moves_rows(spark, tmp_dir):
+    from ledgerline.operators.incremental import PartitionedTable
+    d = dt.date
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "k string, v string, ts timestamp, month date")
+
+    t = PartitionedTable(spark, os.path.join(tmp_dir, "t"), "k", "ts", "month", os.path.join(tmp_dir, "stage"))
+    t.upsert(batch([("a", "1", TS(2024, 1, 1), d(2024, 1, 1)), ("b", "1", TS(2024, 1, 2), d(2024, 1, 1)),
+                    ("c", "1", TS(2024, 2, 2), d(2024, 2, 1))]))
+    # c moves from February to March; February becomes empty and must vanish
+    rep = t.upsert(batch([("c", "2", TS(2024, 3, 3), d(2024, 3, 1)), ("a", "2", TS(2024, 3, 3), d(2024, 1, 1))]))
+    assert rep["emptied"] == ["2024-02-01"]
+    got = sorted((r.k, r.v, r.month) for r in t.read().collect())
+    assert got == [("a", "2", d(2024, 1, 1)), ("b", "1", d(2024, 1, 1)), ("c", "2", d(2024, 3, 1))]
