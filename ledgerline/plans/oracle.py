@@ -436,3 +436,23 @@ register("source_freshness", with_ctes(["raw_customers", "raw_subscriptions", "r
           FROM (SELECT MAX(updated_at) AS max_loaded_at FROM raw_{t}))"""
     for t in ("customers", "subscriptions", "invoices"))))
 register("stream_sync_events", select_all("latest_event_per_user"))
+
+cte("subscription_history", ["stg_subscriptions"], """
+  WITH runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '1997-01-01'), (2, TIMESTAMP '1999-01-01'),
+                                      (3, TIMESTAMP '2001-09-01')) r(j, run_ts)),
+  versions AS (
+    SELECT DISTINCT s.subscription_id, s.plan_name, s.monthly_price, s.end_date, s.updated_at
+    FROM stg_subscriptions s JOIN runs r ON s.updated_at < r.run_ts)
+  SELECT *, updated_at AS valid_from,
+         LEAD(updated_at) OVER (PARTITION BY subscription_id ORDER BY updated_at) AS valid_to
+  FROM versions""")
+register("point_in_time_mrr", with_ctes(["subscription_history"], """
+  SELECT m.month_start, h.plan_name, CAST(SUM(h.monthly_price) AS DECIMAL(38,2)) AS mrr,
+         COUNT(h.subscription_id) AS active_subscriptions
+  FROM (SELECT CAST(UNNEST(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH))
+                    AS DATE) AS month_start) m
+  JOIN subscription_history h
+    ON h.valid_from <= CAST(m.month_start AS TIMESTAMP)
+   AND (h.valid_to IS NULL OR h.valid_to > CAST(m.month_start AS TIMESTAMP))
+   AND (h.end_date IS NULL OR h.end_date >= m.month_start)
+  GROUP BY m.month_start, h.plan_name"""))

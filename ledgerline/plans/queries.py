@@ -295,3 +295,32 @@ def stream_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream-sync-events")
     table = VersionedTable(spark, os.path.join(root, "table"), "user_id", "ts")
     return sync_available(stream, table, os.path.join(root, "checkpoint"), ["event_id"])
+
+
+SUBSCRIPTION_SNAPSHOT_RUNS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-09-01 00:00:00")
+PIT_MONTHS = ("1995-01-01", "2001-08-01")
+
+
+@query("point_in_time_mrr")
+def point_in_time_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRR as known at each month start, read from the subscription history.
+
+    The history is built by three snapshot runs over the cleaned
+    subscriptions (each run sees the source rows loaded by then); at month
+    start M a subscription counts with the version valid at M if that
+    version has no end date or ends on/after M.
+    """
+    from pyspark.sql import functions as F
+    from ledgerline.operators.history import VERSION_ID, scd2_apply, valid_periods
+    m = models(spark, sf_dir)
+    subs = m.subscriptions_core.select("subscription_id", "plan_name", "monthly_price", "end_date",
+                                       "updated_at")
+    hist = None
+    for run_ts in SUBSCRIPTION_SNAPSHOT_RUNS:
+        snap = subs.where(F.col("updated_at") < F.lit(run_ts).cast("timestamp"))
+        hist = scd2_apply(hist, snap, "subscription_id", "updated_at")
+    at = valid_periods(hist.drop(VERSION_ID), *PIT_MONTHS, unit="month")
+    return (at.where(F.col("end_date").isNull() | (F.col("end_date") >= F.col("period_start")))
+            .groupBy(F.col("period_start").alias("month_start"), "plan_name")
+            .agg(F.sum("monthly_price").cast("decimal(38,2)").alias("mrr"),
+                 F.count("subscription_id").alias("active_subscriptions")))
