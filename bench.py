@@ -16,8 +16,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "mrr_by_month_plan",      # flagship: explode grain + aggregate
-    "mrr_running_sum",        # same result, delta + running sum
+    "mrr_by_month_plan",      # flagship mart (running-sum form)
+    "mrr_from_grain",         # same result by aggregating the exploded monthly grain
+    "mrr_running_sum",        # the running-sum operator on its own
     "subscription_months",    # the monthly grain itself
     "churn_rates",
     "customer_ltv",

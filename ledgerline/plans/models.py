@@ -2,7 +2,7 @@
 
 raw → staging → effective dates → monthly grain → marts.  Each model is
 built once per ``BillingModels`` instance; nothing executes until an action.
-``persist_shared()`` (or ``plans.pipeline.run``) materialises the models that
+``materialize=...`` (or ``plans.pipeline.run``) materialises the models that
 feed several consumers so a full run computes them once.
 """
 
@@ -20,18 +20,21 @@ from ledgerline.operators.existence import existence_flag
 
 class BillingModels:
     def __init__(self, raw: dict[str, DataFrame], as_of, rates=FIXED_EUR_RATES,
-                 materialize: bool = False):
+                 materialize: bool | set[str] = False):
         """``materialize=True`` checkpoints every model as it is first built
         (reliable checkpoint into ``spark.checkpoint.dir``), so a job with many
         consumers per model — the check suite, a full run — computes each
-        model once and reads it back with its lineage cut."""
+        model once and reads it back with its lineage cut.  A set of names
+        materialises only those (the widely shared ones)."""
         self.raw = raw
         self.as_of = as_of
         self.rates = rates
         self.materialize = materialize
 
     def _m(self, name: str, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialize else df
+        if self.materialize is True or (self.materialize and name in self.materialize):
+            return df.checkpoint(eager=True)
+        return df
 
     # staging ---------------------------------------------------------------
     @cached_property
@@ -46,13 +49,13 @@ class BillingModels:
     def subscriptions_core(self) -> DataFrame:
         # stg_subscriptions without the customer existence flag (and its
         # shuffle on customer_id): the activity / MRR / churn path never reads it.
-        if self.materialize:
+        if self._shared("stg_subscriptions"):
             return self.stg_subscriptions
         return staging.dedup_subscriptions(self.raw["subscriptions"])
 
     @cached_property
     def effective_core(self) -> DataFrame:
-        if self.materialize:
+        if self._shared("effective_dates"):
             return self.effective_dates
         return periods.effective_dates(self.subscriptions_core, self._invoices_for_metrics())
 
@@ -66,10 +69,13 @@ class BillingModels:
     def stg_invoices(self) -> DataFrame:
         return self._m("stg_invoices", staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
 
+    def _shared(self, name: str) -> bool:
+        return self.materialize is True or bool(self.materialize and name in self.materialize)
+
     def _invoices_for_metrics(self) -> DataFrame:
         # With materialisation on, the written stg_invoices is cheaper to read
         # than re-typing raw; otherwise use the flag-free typed form.
-        return self.stg_invoices if self.materialize else self.typed_invoices
+        return self.stg_invoices if self._shared("stg_invoices") else self.typed_invoices
 
     # intermediate ----------------------------------------------------------
     @cached_property
@@ -103,7 +109,14 @@ class BillingModels:
     # marts -----------------------------------------------------------------
     @cached_property
     def mrr_by_month_plan(self) -> DataFrame:
-        return self._m("mrr_by_month_plan", metrics.mrr_by_month_plan(self.subscription_months))
+        # The mart uses the running-sum form (same rows as aggregating the
+        # monthly grain, at a cost that does not grow with lifetimes);
+        # ``mrr_from_grain`` keeps the grain-based formulation.
+        return self._m("mrr_by_month_plan", metrics.mrr_running_sum(self.effective_core, self.as_of))
+
+    @cached_property
+    def mrr_from_grain(self) -> DataFrame:
+        return self._m("mrr_from_grain", metrics.mrr_by_month_plan(self.subscription_months))
 
     @cached_property
     def mrr_running_sum(self) -> DataFrame:
@@ -122,7 +135,7 @@ class BillingModels:
         # Every customer the LTV mart keeps is a raw customer id, so all of its
         # subscriptions have has_valid_customer = true: the flag (and the
         # shuffle on customer_id that computes it) can be skipped here.
-        if self.materialize:
+        if self._shared("stg_subscriptions"):
             return self.stg_subscriptions
         return self.subscriptions_core.withColumn("has_valid_customer", F.lit(True))
 

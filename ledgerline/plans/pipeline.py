@@ -21,7 +21,7 @@ from ledgerline.plans.models import BillingModels
 
 # Build order: every model after the models it reads.
 MODEL_ORDER = ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_dates",
-               "subscription_months", "mrr_running_sum", "mrr_by_month_plan", "churn_base",
+               "subscription_months", "mrr_running_sum", "mrr_by_month_plan", "mrr_from_grain", "churn_base",
                "churn_rates", "customer_revenue", "subscription_summary", "customer_ltv"]
 
 

@@ -33,16 +33,21 @@ def _model_query(name: str) -> None:
 
 
 for _name in ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_dates",
-              "subscription_months", "mrr_by_month_plan", "mrr_running_sum", "churn_base",
+              "subscription_months", "mrr_by_month_plan", "mrr_running_sum", "mrr_from_grain",
+              "churn_base",
               "churn_rates", "customer_revenue", "subscription_summary", "customer_ltv"]:
     _model_query(_name)
 
 
+# Models read by many checks and by other models: checkpointed once per run.
+SHARED_MODELS = {"stg_customers", "stg_subscriptions", "stg_invoices", "effective_dates"}
+
+
 @query("dq_column_checks")
 def dq_column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.quality import run_checks
     from ledgerline.plans.checks import column_checks
-    m = models(spark, sf_dir, materialize=True)
+    m = models(spark, sf_dir, materialize=SHARED_MODELS)
     return run_checks(spark, column_checks(), m.model, m.as_of)
 
 
@@ -50,7 +55,7 @@ def dq_column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_singular_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.quality import run_checks
     from ledgerline.plans.checks import singular_checks
-    m = models(spark, sf_dir, materialize=True)
+    m = models(spark, sf_dir, materialize=SHARED_MODELS)
     return run_checks(spark, singular_checks(), m.model, m.as_of)
 
 

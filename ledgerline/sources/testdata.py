@@ -23,8 +23,16 @@ TEST_AS_OF = _dt.date(2001, 8, 31)
 COPY_OFFSET = 10_000_000
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one test table.  The schema is inferred once per path and then
+    passed explicitly (inference launches a footer-reading job per read)."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _day_text(base: F.Column, days: F.Column) -> F.Column:
