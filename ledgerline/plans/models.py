@@ -143,3 +143,20 @@ class BillingModels:
         if name.startswith("raw_"):
             return self.raw[name[len("raw_"):]]
         return getattr(self, name)
+
+
+# Presentation order of the marts (total orders: ties broken by the key).
+PRESENTATION_ORDER = {
+    "mrr_by_month_plan": [F.col("month_start"), F.col("plan_name")],
+    "churn_rates": [F.col("month_start")],
+    "churn_base": [F.col("month_start")],
+    "customer_ltv": [F.col("ltv").desc(), F.col("customer_id")],
+}
+
+
+def present(df: DataFrame, model: str) -> DataFrame:
+    """Sort a mart for display.  Stored models carry no order (a sort is a
+    range shuffle of the whole table), so ordering is applied only when a
+    result is read for presentation."""
+    order = PRESENTATION_ORDER.get(model)
+    return df.orderBy(*order) if order else df

@@ -261,3 +261,10 @@ def test_partitioned_upsert_moves_rows(spark, tmp_dir):
     assert rep["emptied"] == ["2024-02-01"]
     got = sorted((r.k, r.v, r.month) for r in t.read().collect())
     assert got == [("a", "2", d(2024, 1, 1)), ("b", "1", d(2024, 1, 1)), ("c", "2", d(2024, 3, 1))]
+
+
+def test_present_orders_ltv(spark):
+    from ledgerline.plans.models import present
+    df = spark.createDataFrame([("C2", Decimal("5.00")), ("C1", Decimal("5.00")), ("C3", Decimal("9.00"))],
+                               "customer_id string, ltv decimal(38,2)")
+    assert [r.customer_id for r in present(df, "customer_ltv").collect()] == ["C3", "C1", "C2"]
