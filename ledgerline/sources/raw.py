@@ -7,7 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,19 +56,34 @@ def add_updated_at(df: DataFrame, source_col: str) -> DataFrame:
     return df.withColumn("updated_at", parse_cursor(F.col(source_col)))
 
 
-def add_row_id(df: DataFrame, columns: list[str]) -> DataFrame:
+def add_row_id(df: DataFrame, columns: list[str], chunk: int = 1_000_000) -> DataFrame:
     """Stable surrogate id for a source that has none.
 
-    id = 32-bit content hash in the high bits + the occurrence number of that
-    exact row among its identical copies in the low bits, so exact repeats
-    stay distinct and re-landing the same input yields the same ids.  The
-    occurrence number is a window over *all* columns: identical rows are the
-    only rows that share a partition, and they are interchangeable.
+    Identical rows are interchangeable, so each distinct row with ``n``
+    copies gets the ids ``xxhash64(row, 0 .. n-1)``: exact repeats stay
+    distinct, and re-landing the same input yields the same id set.
+
+    Skew-safe: copies are first counted with a partial aggregate (a group of
+    copies holding a third of the table collapses map-side to one row per
+    task).  Groups of up to ``chunk`` copies are regenerated in place; larger
+    groups are cut into chunks that are spread over tasks before their rows
+    are regenerated, so no single task produces a hot group.  Ids are 64-bit
+    hashes: collision-free in practice below ~10^8 distinct rows; sources at
+    larger scale should carry their own surrogate (as database sources do).
     """
-    h = F.xxhash64(*[F.col(c) for c in columns])
-    w = Window.partitionBy(*columns).orderBy(F.lit(1))
-    occ = F.row_number().over(w) - 1
-    return df.withColumn(RAW_KEY, (F.shiftleft(h, 16)).bitwiseXOR(occ.cast("long")))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    small = counted.where(F.col("_n") <= chunk).withColumn(
+        "_occ", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    big = (counted.where(F.col("_n") > chunk)
+           .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                  ((F.col("_n") - 1) / chunk).cast("long"))))
+           .repartition(F.xxhash64(*[F.col(c) for c in columns], F.col("_c")))
+           .withColumn("_occ", F.explode(F.sequence(F.col("_c") * chunk,
+                                                    F.least(F.col("_n"), (F.col("_c") + 1) * chunk) - 1)))
+           .drop("_c"))
+    rows = small.unionByName(big)
+    return rows.withColumn(RAW_KEY, F.xxhash64(*[F.col(c) for c in columns], F.col("_occ"))) \
+               .drop("_n", "_occ")
 
 
 def land(df: DataFrame, table: str) -> DataFrame:

@@ -268,3 +268,15 @@ def test_present_orders_ltv(spark):
     df = spark.createDataFrame([("C2", Decimal("5.00")), ("C1", Decimal("5.00")), ("C3", Decimal("9.00"))],
                                "customer_id string, ltv decimal(38,2)")
     assert [r.customer_id for r in present(df, "customer_ltv").collect()] == ["C3", "C1", "C2"]
+
+
+def test_row_ids_for_hot_copy_groups(spark):
+    from ledgerline.sources.raw import add_row_id
+    rows = [("x", "1")] * 25 + [("y", "2")] * 3 + [("z", "3")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    ids = add_row_id(df, ["a", "b"], chunk=4)                    # the 25-copy group is chunked
+    got = ids.collect()
+    assert len(got) == 29 and len({r._row_id for r in got}) == 29
+    assert sorted((r.a, r.b) for r in got) == sorted(rows)
+    again = {r._row_id for r in add_row_id(df.repartition(3), ["a", "b"], chunk=4).collect()}
+    assert again == {r._row_id for r in got}                     # stable across re-reads
