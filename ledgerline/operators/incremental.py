@@ -154,7 +154,7 @@ class VersionedTable:
         """Upsert one already-extracted batch (a streaming micro-batch) as a
         new version.  Re-delivering a committed ``epoch`` is a no-op, which
         makes a ``foreachBatch`` sink exactly-once."""
-        if epoch is not None and epoch in self.committed_epochs():
+        if (epoch is not None and epoch in self.committed_epochs()) or batch.isEmpty():
             return None
         merged = upsert(self.read(), batch, self.keys, self.cursor, tiebreak)
         version = (self.current_version() or 0) + 1
@@ -239,8 +239,16 @@ class PartitionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(conf), jvm
 
+    def apply(self, batch: DataFrame, epoch: int | None = None,
+              tiebreak: list[str] | None = None) -> dict:
+        """Streaming-sink entry point.  Re-applying a batch yields the same
+        table (upsert is idempotent), so a re-delivered epoch is harmless."""
+        return self.upsert(batch, tiebreak)
+
     def upsert(self, batch: DataFrame, tiebreak: list[str] | None = None) -> dict:
         p = self.partition_col
+        if batch.isEmpty():
+            return {"touched": [], "emptied": []}
         batch = keep_latest(batch, self.keys, self.cursor, tiebreak)
         target = self.read()
         if target is None:
@@ -256,10 +264,15 @@ class PartitionedTable:
         self._runs += 1
         staged_path = os.path.join(self.staging_root, f"run-{self._runs}-{os.getpid()}")
         merged.write.mode("overwrite").partitionBy(p).parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-        (staged.select(*target.columns).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(self.root))
-        present = {r[0] for r in staged.select(p).distinct().collect()}
+        try:
+            staged = self.spark.read.parquet(staged_path)
+        except Exception:  # noqa: BLE001 - every touched partition became empty
+            staged = None
+        present = set()
+        if staged is not None:
+            (staged.select(*target.columns).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(self.root))
+            present = {r[0] for r in staged.select(p).distinct().collect()}
         emptied = touched - present
         fs, jvm = self._fs()
         for value in emptied:

@@ -1,7 +1,9 @@
 """The recurring sync as a Structured Streaming query.
 
 A file (or any streaming) source is read with ``readStream``; every
-micro-batch is upserted into a ``VersionedTable`` through ``foreachBatch``.
+micro-batch is upserted into a ``VersionedTable`` (atomic, rewrites the
+table) or a ``PartitionedTable`` (rewrites touched partitions only — the
+choice for large targets) through ``foreachBatch``.
 The stream checkpoint replaces the cursor: a file is processed once, and a
 re-delivered epoch is skipped by the table, so the sink is exactly-once.
 ``trigger(availableNow=True)`` drains what has landed and stops — the
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.incremental import VersionedTable
+from ledgerline.operators.incremental import PartitionedTable, VersionedTable
 
 
 def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: str = "parquet",
@@ -27,7 +29,7 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: st
     return reader.load(directory)
 
 
-def start_sync(stream: DataFrame, target: VersionedTable, checkpoint: str,
+def start_sync(stream: DataFrame, target: VersionedTable | PartitionedTable, checkpoint: str,
                tiebreak: list[str] | None = None, available_now: bool = True,
                processing_time: str | None = None) -> StreamingQuery:
     def apply(batch: DataFrame, epoch: int) -> None:
@@ -39,7 +41,7 @@ def start_sync(stream: DataFrame, target: VersionedTable, checkpoint: str,
     return writer.start()
 
 
-def sync_available(stream: DataFrame, target: VersionedTable, checkpoint: str,
+def sync_available(stream: DataFrame, target: VersionedTable | PartitionedTable, checkpoint: str,
                    tiebreak: list[str] | None = None, timeout_s: int = 3600) -> DataFrame | None:
     """Drain everything available now, wait, and return the target table."""
     q = start_sync(stream, target, checkpoint, tiebreak)
