@@ -145,12 +145,13 @@ class BillingModels:
         return getattr(self, name)
 
 
-# Presentation order of the marts (total orders: ties broken by the key).
+# Presentation order of the marts (total orders: ties broken by the key);
+# "-" marks a descending column.
 PRESENTATION_ORDER = {
-    "mrr_by_month_plan": [F.col("month_start"), F.col("plan_name")],
-    "churn_rates": [F.col("month_start")],
-    "churn_base": [F.col("month_start")],
-    "customer_ltv": [F.col("ltv").desc(), F.col("customer_id")],
+    "mrr_by_month_plan": ["month_start", "plan_name"],
+    "churn_rates": ["month_start"],
+    "churn_base": ["month_start"],
+    "customer_ltv": ["-ltv", "customer_id"],
 }
 
 
@@ -158,5 +159,6 @@ def present(df: DataFrame, model: str) -> DataFrame:
     """Sort a mart for display.  Stored models carry no order (a sort is a
     range shuffle of the whole table), so ordering is applied only when a
     result is read for presentation."""
-    order = PRESENTATION_ORDER.get(model)
+    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c)
+             for c in PRESENTATION_ORDER.get(model, [])]
     return df.orderBy(*order) if order else df
