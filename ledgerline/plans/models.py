@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.fx import FIXED_EUR_RATES
+from ledgerline.session import checkpoint
 from ledgerline.operators import metrics, periods, staging
 from ledgerline.operators.existence import existence_flag
 
@@ -33,7 +34,7 @@ class BillingModels:
 
     def _m(self, name: str, df: DataFrame) -> DataFrame:
         if self.materialize is True or (self.materialize and name in self.materialize):
-            return df.checkpoint(eager=True)
+            return checkpoint(df)
         return df
 
     # staging ---------------------------------------------------------------

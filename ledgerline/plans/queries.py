@@ -107,13 +107,14 @@ def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.existence import existence_flag
     from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
     from ledgerline.operators.staging import INVOICE_COLUMNS, type_invoices
+    from ledgerline.session import checkpoint
     from ledgerline.sources.testdata import raw_invoices, raw_subscriptions
     raw = raw_invoices(spark, sf_dir)
     tie = ["amount", "currency", "status", "invoice_date", "subscription_id"]
     run1 = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
     # The target after run 1 is a stored table in a real load: checkpoint it
     # (shared checkpoint folder) so run 2 reads it instead of its lineage.
-    t1 = upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie).checkpoint()
+    t1 = checkpoint(upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie))
     wm = next_watermark(t1, "updated_at")
     run2 = type_invoices(incremental_extract(raw, "updated_at", wm))
     t2 = upsert(t1, run2, "invoice_id", "updated_at", tie)

@@ -69,3 +69,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     tables a job writes to cut lineage or stage data between steps."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def checkpoint(df, eager: bool = True):
+    """Reliable checkpoint into the session's checkpoint folder (cuts the
+    lineage at a durable, shared location; never ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
