@@ -61,15 +61,18 @@ def next_watermark(good: DataFrame, cursor: str, previous=None):
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
            cursor: str | None = None, tiebreak: list[str] | None = None,
-           max_broadcast_keys: int = 1_000_000) -> DataFrame:
+           max_broadcast_keys: int | None = None) -> DataFrame:
     """delete+insert on ``keys``: batch rows replace target rows with the same
     key; other target rows are kept.  With ``cursor`` the batch is first cut
     to its latest row per key (two versions of a key in one batch would both
     land otherwise).  Target columns follow the batch (new columns NULL for
     old rows, dropped columns removed).
 
-    The anti join broadcasts the batch's key set only under a checked row
-    bound; a large batch falls back to a shuffle join.
+    The anti join against the batch's distinct key set is left to AQE, which
+    broadcasts that side only when its shuffled size at runtime is under the
+    broadcast threshold (a measured bound, no extra pass over the batch).
+    Pass ``max_broadcast_keys`` to decide up front with a bounded count
+    instead (worth it when the batch is already materialised).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if cursor:
@@ -77,7 +80,10 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
     if target is None:
         return batch
     batch_keys = batch.select(*keys).distinct()
-    kept = join_small(target, batch_keys, keys, "left_anti", max_broadcast_keys)
+    if max_broadcast_keys is None:
+        kept = target.join(batch_keys, keys, "left_anti")
+    else:
+        kept = join_small(target, batch_keys, keys, "left_anti", max_broadcast_keys)
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 

@@ -141,6 +141,7 @@ def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     from ledgerline.operators.dedup import keep_latest
     from ledgerline.operators.history import VERSION_ID, scd2_apply
+    from ledgerline.session import checkpoint
     ev = _events(spark, sf_dir)
     hist = None
     for run_ts in SNAPSHOT_RUNS:
@@ -148,7 +149,8 @@ def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "user_id", "ts", ["event_id"])
         snap = state.select("user_id", "event_id", "event_type", "value",
                             F.col("ts").alias("updated_at"))
-        hist = scd2_apply(hist, snap, "user_id", "updated_at")
+        # Each run's history is a stored table before the next run reads it.
+        hist = checkpoint(scd2_apply(hist, snap, "user_id", "updated_at"))
     return hist.drop(VERSION_ID)
 
 
@@ -318,13 +320,14 @@ def point_in_time_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import functions as F
     from ledgerline.operators.history import VERSION_ID, scd2_apply, valid_periods
+    from ledgerline.session import checkpoint
     m = models(spark, sf_dir)
     subs = m.subscriptions_core.select("subscription_id", "plan_name", "monthly_price", "end_date",
                                        "updated_at")
     hist = None
     for run_ts in SUBSCRIPTION_SNAPSHOT_RUNS:
         snap = subs.where(F.col("updated_at") < F.lit(run_ts).cast("timestamp"))
-        hist = scd2_apply(hist, snap, "subscription_id", "updated_at")
+        hist = checkpoint(scd2_apply(hist, snap, "subscription_id", "updated_at"))
     at = valid_periods(hist.drop(VERSION_ID), *PIT_MONTHS, unit="month")
     return (at.where(F.col("end_date").isNull() | (F.col("end_date") >= F.col("period_start")))
             .groupBy(F.col("period_start").alias("month_start"), "plan_name")
