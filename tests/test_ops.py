@@ -306,3 +306,11 @@ def test_stream_sync_into_partitioned_table(spark, tmp_dir):
     out = sync_available(stream, table, os.path.join(tmp_dir, "ck"))
     assert sorted((r.k, r.v, r.month) for r in out.collect()) == [
         ("a", "2", dt.date(2024, 3, 1)), ("b", "1", dt.date(2024, 2, 1))]
+
+
+def test_mrr_scan_reads_only_needed_columns(spark):
+    from ledgerline.plans.inspect import plan_text
+    from ledgerline.plans.queries import QUERIES
+    text = plan_text(QUERIES["mrr_by_month_plan"](spark, "/root/testdata/sf0.001"))
+    schemas = [l for l in text.splitlines() if l.startswith("ReadSchema")]
+    assert schemas and not any("o_custkey" in l or "l_extendedprice" in l for l in schemas)
