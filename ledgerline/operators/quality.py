@@ -1,7 +1,7 @@
 """Declarative data-quality checks.
 
 A check selects *failing records*; zero failures = pass.  Failures are
-counted the way the dbt generic tests count them: ``unique`` and
+counted the way SQL data tests conventionally count them: ``unique`` and
 ``accepted_values`` count offending *values*, the others count rows.
 Severity ``warn`` reports and continues; ``error`` makes ``raise_on_error``
 fail after every check has run.
