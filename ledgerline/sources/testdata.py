@@ -35,6 +35,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def copy_offsets(k: F.Column, every: int) -> F.Column:
+    """Row-id offsets for landing a row: [0], plus a planted exact copy under
+    id + COPY_OFFSET for every ``every``-th key.  Exploding this array makes
+    the copies in the same scan (a union would read the source twice)."""
+    return F.when(k % every == 0, F.array(F.lit(0).cast("long"), F.lit(COPY_OFFSET).cast("long"))) \
+            .otherwise(F.array(F.lit(0).cast("long")))
+
+
 def _day_text(base: F.Column, days: F.Column) -> F.Column:
     return F.date_add(base, days.cast("int")).cast("string")
 
@@ -44,17 +52,17 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
-    base = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-            .select(k.alias("_row_id"),
-                    F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
-                    F.col("c_name").alias("customer_name"),
-                    F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")).alias("email"),
-                    F.when(k % 37 == 0, F.lit("")).otherwise(F.col("n_name")).alias("country"),
-                    F.when(k % 499 == 0, F.lit("2031-01-01"))
-                     .otherwise(_day_text(F.lit(_dt.date(1995, 1, 1)), k % 2000)).alias("created_at"),
-                    k.alias("_k")))
-    copies = base.where(F.col("_k") % 50 == 0).withColumn("_row_id", F.col("_row_id") + COPY_OFFSET)
-    return add_updated_at(base.unionByName(copies).drop("_k"), "created_at")
+    landed = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
+              .select(F.explode(copy_offsets(k, 50)).alias("_off"), "*"))
+    out = landed.select(
+        (k + F.col("_off")).alias("_row_id"),
+        F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")).alias("email"),
+        F.when(k % 37 == 0, F.lit("")).otherwise(F.col("n_name")).alias("country"),
+        F.when(k % 499 == 0, F.lit("2031-01-01"))
+         .otherwise(_day_text(F.lit(_dt.date(1995, 1, 1)), k % 2000)).alias("created_at"))
+    return add_updated_at(out, "created_at")
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +78,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     end_date = (F.when((F.col("o_orderstatus") != "F") | (k % 83 == 0), F.lit(""))
                 .when(k % 89 == 0, F.date_sub(start, 10).cast("string"))
                 .otherwise(_day_text(start, F.lit(30) + k % 700)))
-    base = o.select(
-        k.alias("_row_id"),
+    out = o.select(F.explode(copy_offsets(k, 101)).alias("_off"), "*").select(
+        (k + F.col("_off")).alias("_row_id"),
         F.concat(F.lit("S"), k.cast("string")).alias("subscription_id"),
         F.when(k % 211 == 0, F.lit("C-orphan"))
          .otherwise(F.concat(F.lit("C"), F.col("o_custkey").cast("string"))).alias("customer_id"),
@@ -79,10 +87,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 97 == 0, -price).otherwise(price).cast("string").alias("monthly_price"),
         start.cast("string").alias("start_date"),
         end_date.alias("end_date"),
-        F.when(k % 71 == 0, F.concat(F.upper(status), F.lit(" "))).otherwise(status).alias("status"),
-        k.alias("_k"))
-    copies = base.where(F.col("_k") % 101 == 0).withColumn("_row_id", F.col("_row_id") + COPY_OFFSET)
-    return add_updated_at(base.unionByName(copies).drop("_k"), "start_date")
+        F.when(k % 71 == 0, F.concat(F.upper(status), F.lit(" "))).otherwise(status).alias("status"))
+    return add_updated_at(out, "start_date")
 
 
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
