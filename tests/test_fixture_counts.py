@@ -75,3 +75,17 @@ def test_check_counts(spark, m):
     assert res["no_invoices_after_subscription_end"] == 1393
     assert res["churn_rates_within_valid_range"] == 0
     assert res["cancelled_subscriptions_have_effective_end_date"] == 2
+
+
+def test_scd2_history_is_well_formed(spark):
+    from pyspark.sql import Window
+
+    from ledgerline.plans.queries import QUERIES
+    h = QUERIES["scd2_history"](spark, SF)
+    per_key = h.groupBy("user_id").agg(F.count_if(F.col("valid_to").isNull()).alias("current"))
+    assert per_key.where(F.col("current") != 1).count() == 0          # one current version per key
+    w = Window.partitionBy("user_id").orderBy("valid_from")
+    gaps = (h.withColumn("next_from", F.lead("valid_from").over(w))
+            .where(F.col("next_from").isNotNull() & (F.col("valid_to") != F.col("next_from"))))
+    assert gaps.count() == 0                                            # contiguous, no overlap
+    assert h.where(F.col("valid_to") <= F.col("valid_from")).count() == 0
