@@ -7,8 +7,8 @@ Severity ``warn`` reports and continues; ``error`` makes ``raise_on_error``
 fail after every check has run.
 
 Row-wise checks of one model (``not_null``, ``not_future_date``,
-``flag_equals``, ``expression``) are folded into a single aggregate pass over
-that model; set-based checks (``unique``, ``accepted_values``,
+``flag_equals``, ``expression``) and ``accepted_values`` are folded into a
+single aggregate pass over that model; set-based checks (``unique``,
 ``relationships``, ``unique_combination``, ``row_count_matches``, ``rows``)
 are each one aggregate.  The result is one lazy DataFrame.
 """
@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import as_of_literal
 from ledgerline.operators.existence import orphans
 
-ROW_WISE = {"not_null", "not_future_date", "flag_equals", "expression"}
+# Checks evaluated inside one aggregate pass per model.  accepted_values is a
+# distinct count of the invalid values, which Catalyst plans within the same
+# pass (partial aggregation on the value, so only distinct values shuffle).
+ROW_WISE = {"not_null", "not_future_date", "flag_equals", "expression", "accepted_values"}
 RESULT_COLUMNS = ["check_name", "model", "kind", "column_name", "severity", "failures", "status"]
 
 
@@ -67,6 +70,13 @@ def _failing_predicate(check: Check, as_of) -> Column:
     raise ValueError(check.kind)
 
 
+def _row_wise_count(check: Check, as_of) -> Column:
+    if check.kind == "accepted_values":
+        c = F.col(check.column)
+        return F.count_distinct(F.when(~c.isin(list(check.values)), c)).cast("long")
+    return F.count_if(_failing_predicate(check, as_of)).cast("long")
+
+
 def _count(df: DataFrame, check: Check) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("long").alias("failures")) \
              .select(F.lit(check.check_name).alias("check_name"), "failures")
@@ -114,8 +124,7 @@ def run_checks(spark: SparkSession, checks: list[Check], resolve: Callable[[str]
             parts.append(_set_based(ch, resolve))
     for model, group in by_model.items():
         df = resolve(model)
-        counts = df.agg(*[F.count_if(_failing_predicate(ch, as_of)).cast("long").alias(f"c{i}")
-                          for i, ch in enumerate(group)])
+        counts = df.agg(*[_row_wise_count(ch, as_of).alias(f"c{i}") for i, ch in enumerate(group)])
         pairs = F.array(*[F.struct(F.lit(ch.check_name).alias("check_name"),
                                    F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
         parts.append(counts.select(F.inline(pairs)))
