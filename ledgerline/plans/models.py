@@ -140,6 +140,20 @@ class BillingModels:
             return self.stg_subscriptions
         return self.subscriptions_core.withColumn("has_valid_customer", F.lit(True))
 
+    def build(self, levels: list[list[str]]) -> None:
+        """Build models level by level; the models of one level are
+        independent and are built concurrently (one Spark job per model from
+        a driver thread), so jobs that cannot fill the cluster on their own
+        run side by side."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        for level in levels:
+            if len(level) == 1:
+                self.model(level[0])
+                continue
+            with ThreadPoolExecutor(max_workers=len(level)) as pool:
+                list(pool.map(self.model, level))
+
     def model(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self.raw[name[len("raw_"):]]

@@ -19,10 +19,15 @@ from ledgerline.operators.quality import raise_on_error, run_checks
 from ledgerline.plans.checks import column_checks, singular_checks
 from ledgerline.plans.models import BillingModels
 
-# Build order: every model after the models it reads.
-MODEL_ORDER = ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_dates",
-               "subscription_months", "mrr_running_sum", "mrr_by_month_plan", "mrr_from_grain", "churn_base",
-               "churn_rates", "customer_revenue", "subscription_summary", "customer_ltv"]
+# Build levels: every model after the models it reads; models of one level are
+# independent and are built concurrently.
+MODEL_LEVELS = [
+    ["stg_customers", "stg_subscriptions", "stg_invoices"],
+    ["effective_dates", "customer_revenue", "subscription_summary"],
+    ["subscription_months", "mrr_running_sum", "mrr_by_month_plan", "churn_base", "customer_ltv"],
+    ["mrr_from_grain", "churn_rates"],
+]
+MODEL_ORDER = [n for level in MODEL_LEVELS for n in level]
 
 
 class _WrittenModels(BillingModels):
@@ -50,8 +55,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], as_of, out_dir: str,
         snapshot_path: str | None = None, fail_on_error: bool = False) -> RunResult:
     """Build every model, update the subscription history, run all checks."""
     m = _WrittenModels(spark, raw, as_of, out_dir)
-    for name in MODEL_ORDER:
-        m.model(name)
+    m.build(MODEL_LEVELS)
     if snapshot_path:
         # Snapshot after staging (the reference's order would read a view
         # that does not exist yet on a first run).

@@ -39,8 +39,10 @@ for _name in ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_d
     _model_query(_name)
 
 
-# Models read by many checks and by other models: checkpointed once per run.
-SHARED_MODELS = {"stg_customers", "stg_subscriptions", "stg_invoices", "effective_dates"}
+# Models read by many checks and by other models: checkpointed once per run,
+# independent ones concurrently.
+SHARED_LEVELS = [["stg_customers", "stg_subscriptions", "stg_invoices"], ["effective_dates"]]
+SHARED_MODELS = {n for level in SHARED_LEVELS for n in level}
 
 
 @query("dq_column_checks")
@@ -48,6 +50,7 @@ def dq_column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.quality import run_checks
     from ledgerline.plans.checks import column_checks
     m = models(spark, sf_dir, materialize=SHARED_MODELS)
+    m.build(SHARED_LEVELS)
     return run_checks(spark, column_checks(), m.model, m.as_of)
 
 
@@ -56,6 +59,7 @@ def dq_singular_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.quality import run_checks
     from ledgerline.plans.checks import singular_checks
     m = models(spark, sf_dir, materialize=SHARED_MODELS)
+    m.build(SHARED_LEVELS)
     return run_checks(spark, singular_checks(), m.model, m.as_of)
 
 
