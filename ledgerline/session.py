@@ -45,6 +45,35 @@ def get_session(app: str = "ledgerline", master: str | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` of input.
+
+    The initial shuffle partition count is sized so a partition of the
+    largest shuffle (at most the input) is about ``target_partition_bytes``
+    and fits an executor task without heavy spill; AQE then coalesces small
+    shuffles down to the advisory size and splits skewed partitions.  For
+    100 TB this gives ~400k requested partitions, capped at ``max_partitions``
+    (AQE coalescing brings the actual count down for the smaller shuffles).
+    """
+    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
+    """Set ``scale_conf`` on a session (runtime SQL settings only) and return it."""
+    conf = scale_conf(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when unset (local
     tests) fall back to a fresh directory under the system temp folder."""
