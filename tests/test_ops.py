@@ -314,3 +314,11 @@ def test_mrr_scan_reads_only_needed_columns(spark):
     text = plan_text(QUERIES["mrr_by_month_plan"](spark, "/root/testdata/sf0.001"))
     schemas = [l for l in text.splitlines() if l.startswith("ReadSchema")]
     assert schemas and not any("o_custkey" in l or "l_extendedprice" in l for l in schemas)
+
+
+def test_scale_conf_sizes_partitions():
+    from ledgerline.session import scale_conf
+    big = scale_conf(100 * 2 ** 40)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(10 * 2 ** 30)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(1 * 2 ** 40)["spark.sql.shuffle.partitions"] == "4096"
