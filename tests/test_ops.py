@@ -322,3 +322,30 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(10 * 2 ** 30)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(1 * 2 ** 40)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_existence_flag_spreads_null_keys(spark):
+    from ledgerline.operators.existence import existence_flag
+    df = spark.createDataFrame([(i, None if i % 3 else f"k{i % 7}") for i in range(300)], "id int, k string")
+    ref = spark.createDataFrame([("k0",), ("k3",), ("k3",), (None,)], "k string")
+    out = existence_flag(df, "k", ref, "k", "hit")
+    rows = out.collect()
+    assert len(rows) == 300 and out.columns == ["id", "k", "hit"]
+    assert all(r.hit == (r.k in ("k0", "k3")) for r in rows)
+    # With a shuffle join forced, NULL-key rows land in several partitions, not one.
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1" if "Threshold" in k else "false")
+        shuffled = existence_flag(df, "k", ref, "k", "hit")
+        parts = (shuffled.where(F.col("k").isNull()).select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert parts > 1
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
