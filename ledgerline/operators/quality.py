@@ -128,6 +128,10 @@ def run_checks(spark: SparkSession, checks: list[Check], resolve: Callable[[str]
         pairs = F.array(*[F.struct(F.lit(ch.check_name).alias("check_name"),
                                    F.col(f"c{i}").alias("failures")) for i, ch in enumerate(group)])
         parts.append(counts.select(F.inline(pairs)))
+    if not parts:
+        return spark.createDataFrame(
+            [], "check_name string, model string, kind string, column_name string, severity string, "
+                "failures bigint, status string")
     counts_df = parts[0]
     for p in parts[1:]:
         counts_df = counts_df.unionByName(p)

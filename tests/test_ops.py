@@ -349,3 +349,8 @@ def test_existence_flag_spreads_null_keys(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_no_checks_gives_empty_result(spark):
+    res = run_checks(spark, [], lambda n: None, dt.date(2024, 1, 1))
+    assert res.count() == 0 and res.columns[-1] == "status"
