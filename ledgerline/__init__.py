@@ -10,6 +10,18 @@ Everything is DataFrame / Spark SQL; every time-dependent result takes an
 explicit ``as_of`` date.
 """
 
-from ledgerline.session import get_session, scratch_dir
+from ledgerline.session import checkpoint, get_session, scale_conf, scratch_dir
 
-__all__ = ["get_session", "scratch_dir"]
+
+def __getattr__(name):
+    # Lazy re-exports of the main entry points (keeps ``import ledgerline`` light).
+    if name == "BillingModels":
+        from ledgerline.plans.models import BillingModels
+        return BillingModels
+    if name == "run":
+        from ledgerline.plans.pipeline import run
+        return run
+    raise AttributeError(name)
+
+
+__all__ = ["BillingModels", "checkpoint", "get_session", "run", "scale_conf", "scratch_dir"]
