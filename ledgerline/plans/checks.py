@@ -96,3 +96,10 @@ def singular_checks() -> list[Check]:
               name="cancelled_subscriptions_have_effective_end_date",
               predicate="status = 'cancelled' AND effective_end_date IS NULL"),
     ]
+
+
+def landing_checks() -> list[Check]:
+    """Contract of the raw layer: the surrogate row id is unique per table
+    (the staging dedup orders by it alone)."""
+    return [Check("unique", f"raw_{t}", "_row_id", name=f"unique_raw_{t}_row_id")
+            for t in ("customers", "subscriptions", "invoices")]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.history import scd2_apply
 from ledgerline.operators.quality import raise_on_error, run_checks
-from ledgerline.plans.checks import column_checks, singular_checks
+from ledgerline.plans.checks import column_checks, landing_checks, singular_checks
 from ledgerline.plans.models import BillingModels
 
 # Build levels: every model after the models it reads; models of one level are
@@ -67,7 +67,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], as_of, out_dir: str,
         tmp = snapshot_path.rstrip("/") + ".next"
         new.write.mode("overwrite").parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(snapshot_path)
-    results = run_checks(spark, column_checks() + singular_checks(), m.model, as_of)
+    results = run_checks(spark, landing_checks() + column_checks() + singular_checks(), m.model, as_of)
     path = os.path.join(out_dir, "_check_results")
     results.withColumn("as_of", F.lit(str(as_of)).cast("date")).write.mode("overwrite").parquet(path)
     checks = spark.read.parquet(path)

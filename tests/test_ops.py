@@ -213,7 +213,8 @@ def test_pipeline_run(spark, tmp_dir):
     from ledgerline.sources.testdata import TEST_AS_OF, raw_tables
     res = run(spark, raw_tables(spark, "/root/testdata/sf0.001"), TEST_AS_OF, tmp_dir + "/m",
               snapshot_path=tmp_dir + "/snap")
-    assert res.checks.count() == 47
+    assert res.checks.count() == 50                                    # 3 landing + 39 + 8
+    assert res.checks.where("check_name LIKE 'unique_raw_%' AND status != 'pass'").count() == 0
     n = spark.read.parquet(tmp_dir + "/snap").count()
     run(spark, raw_tables(spark, "/root/testdata/sf0.001"), TEST_AS_OF, tmp_dir + "/m2",
         snapshot_path=tmp_dir + "/snap")
