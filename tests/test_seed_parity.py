@@ -93,3 +93,18 @@ def test_summary(m):
     assert (s["C0006"].plan_mix, s["C0006"].current_subscription_status) == ("scale, starter", "active")
     assert (s["C0020"].plan_mix, s["C0020"].current_subscription_status) == ("growth", "active")
     assert (s["C0101"].plan_mix, s["C0101"].current_subscription_status) == ("scale, starter", "active")
+
+
+def test_check_outcomes(spark, m):
+    """No error-severity failures; the warnings are the planted customer and
+    subscription defects (the invoice warnings need the absent invoices file)."""
+    from ledgerline.operators.quality import raise_on_error, run_checks
+    from ledgerline.plans.checks import column_checks, singular_checks
+    res = run_checks(spark, column_checks() + singular_checks(), m.model, m.as_of)
+    warned = {r.check_name: r.failures for r in res.where("status = 'warn'").collect()}
+    assert res.where("status = 'error'").count() == 0
+    assert warned == {"not_future_date_stg_customers_created_at": 1,
+                      "relationships_stg_subscriptions_customer_id": 1,
+                      "flag_equals_stg_subscriptions_had_negative_price_defect": 1,
+                      "flag_equals_stg_subscriptions_has_valid_customer": 1}
+    assert len(raise_on_error(res)) == 4          # warnings do not fail the run
