@@ -14,6 +14,7 @@ A document with NULL text has empty text.  Documents keep their row even when
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 from collections.abc import Callable, Iterator
 
@@ -298,4 +299,8 @@ def batch(schema: dict[str, pa.DataType], **cols) -> pa.RecordBatch:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table; Python workers get this checkout on their path (on a
+    cluster without it, ship the package with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import simhash, substring_dedup
+from ledgerline.llm import line_dedup, simhash, substring_dedup, token_ids
 from ledgerline.llm.common import read_table
 
 
@@ -19,8 +19,21 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    manifest = token_ids.write(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_ids.read(manifest)
+
+
 QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_line_dedup": op5_line_dedup,
+    "op9_token_ids": op9_token_ids,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
