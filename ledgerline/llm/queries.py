@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import line_dedup, simhash, substring_dedup, token_ids
+from ledgerline.llm import line_dedup, mixing, simhash, substring_dedup, token_ids
 from ledgerline.llm.common import read_table
 
 
@@ -30,11 +30,24 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read(manifest)
 
 
+def short_first() -> Column:
+    """A source that does not fit whole keeps many documents rather than a few long ones."""
+    return F.lit(1.0) / F.sqrt(F.greatest("size", F.lit(1)).cast("double"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(read_table(spark, sf_dir, "documents"), preference=short_first())
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_mixing": op6_mixing,
     "op9_token_ids": op9_token_ids,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE,
+}
