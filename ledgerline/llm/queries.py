@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import line_dedup, mixing, simhash, substring_dedup, token_ids
+from ledgerline.llm import decontamination, language_id, line_dedup, mixing, simhash, substring_dedup, token_ids
 from ledgerline.llm.common import read_table
 
 
@@ -14,6 +14,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, ~language_id.held_out())
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated_spans(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -40,10 +47,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
+    "op7_decontamination": op7_decontamination,
     "op9_token_ids": op9_token_ids,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
