@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, language_id, line_dedup, mixing, simhash, substring_dedup, token_ids
+from ledgerline.llm import decontamination, language_id, license_scan, line_dedup, mixing, simhash, substring_dedup, token_ids
 from ledgerline.llm.common import read_table
 
 
@@ -21,6 +21,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated_spans(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -53,6 +57,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
@@ -62,5 +67,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle(),
     "op6_mixing": mixing.ORACLE,
 }
