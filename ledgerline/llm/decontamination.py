@@ -26,6 +26,7 @@ reported; no items or no documents give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,40 +138,43 @@ def _counter(vocabulary):
     return run
 
 
+def _aligned(own: Seeds, text: pa.Array, min_score: float) -> dict[tuple[int, int], tuple]:
+    """(row, item) -> score, matched words, first and last word of each leak in a batch of texts."""
+    words, doc = _words(*c.text_buffers(text))
+    pos, item, at = own.hits(words, doc)
+    edges = np.searchsorted(doc, np.arange(len(text) + 1))
+    order = np.lexsort((pos, item, doc[pos]))
+    pos, item, at = pos[order], item[order], at[order]
+    d = doc[pos]
+    length = np.array([len(w) for w in own.words], np.int64)
+    reach = length[item] + length[item] // 2 + 8 if len(item) else item
+    new = np.ones(len(pos), bool)
+    new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1]) | (pos[1:] - pos[:-1] > reach[1:])
+    starts = np.flatnonzero(new)
+    best: dict[tuple[int, int], tuple] = {}
+    for i, j in zip(starts, np.append(starts[1:], len(pos))):
+        w, row = own.words[item[i]], int(d[i])
+        slack = len(w) // 2 + 8
+        diag = pos[i:j] - at[i:j]
+        lo = max(int(edges[row]), int(diag.min()) - slack)
+        hi = min(int(edges[row + 1]), int(diag.max()) + len(w) + slack)
+        # long passages in overlapping pieces that hold any alignment of the item
+        for k in range(lo, hi, 4096):
+            part = words[k:min(hi, k + 4096 + 2 * len(w) + 2 * slack)]
+            score, matched, first, last = align(w, part)
+            key, score = (row, int(item[i])), score / len(w)
+            base = k - int(edges[row])
+            if score >= min_score - 1e-9 and (key not in best or score > best[key][0]):
+                best[key] = (score, matched, base + first, base + last)
+    return best
+
+
 def _scanner(seeds, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Seeds = seeds.value
         for b in batches:
-            words, doc = _words(*c.text_buffers(b.column(1)))
-            pos, item, at = own.hits(words, doc)
-            edges = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            rows = []
-            order = np.lexsort((pos, item, doc[pos]))
-            pos, item, at = pos[order], item[order], at[order]
-            d = doc[pos]
-            length = np.array([len(w) for w in own.words], np.int64)
-            reach = length[item] + length[item] // 2 + 8 if len(item) else item
-            new = np.ones(len(pos), bool)
-            new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1]) | (pos[1:] - pos[:-1] > reach[1:])
-            starts = np.flatnonzero(new)
-            best: dict[tuple[int, int], tuple] = {}
-            for i, j in zip(starts, np.append(starts[1:], len(pos))):
-                w, doc_i = own.words[item[i]], int(d[i])
-                slack = len(w) // 2 + 8
-                diag = pos[i:j] - at[i:j]
-                lo = max(int(edges[doc_i]), int(diag.min()) - slack)
-                hi = min(int(edges[doc_i + 1]), int(diag.max()) + len(w) + slack)
-                # long passages in overlapping pieces that hold any alignment of the item
-                for k in range(lo, hi, 4096):
-                    part = words[k:min(hi, k + 4096 + 2 * len(w) + 2 * slack)]
-                    if len(part):
-                        score, matched, first, last = align(w, part)
-                        key, score = (doc_i, int(item[i])), score / len(w)
-                        base = k - int(edges[doc_i])
-                        if score >= min_score - 1e-9 and (key not in best or score > best[key][0]):
-                            best[key] = (score, matched, base + first, base + last)
             ids = b.column(0).to_pylist()
-            rows = [(ids[k[0]], own.ids[k[1]], *v) for k, v in sorted(best.items())]
+            rows = [(ids[k[0]], own.ids[k[1]], *v) for k, v in sorted(_aligned(own, b.column(1), min_score).items())]
             cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(col, t) for col, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(),
@@ -179,26 +183,49 @@ def _scanner(seeds, min_score: float):
     return run
 
 
-def leaks(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, min_score: float = MIN_SCORE,
-          block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, item_id, score, n_matched, first_word, last_word): every
-    document and test item aligned with at least ``min_score``."""
+def _cleaner(seeds, min_score: float, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = np.ones(b.num_rows, bool)
+            keep[sorted({row for row, _ in _aligned(seeds.value, b.column(at), min_score)})] = False
+            yield b.filter(pa.array(keep))
+    return run
+
+
+def _blocks(docs: DataFrame, items: DataFrame, n: int, chance: float, block_items: int, block_words: int) -> Iterator:
+    """Broadcast seeds of one block of items after another."""
     spark = docs.sparkSession
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cols = docs.select(F.col("text").cast("string").alias("text"))
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
         .where(F.col("text").isNotNull())
     size = tests.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(1, -(-size["n"] // block_items), -(-(size["bytes"] or 0) // (2 * block_words)))
-    out = None
     for k in range(blocks):
         block = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
         ids, texts = [r["item_id"] for r in block], [r["text"] for r in block]
         vocab = Seeds(ids, texts, None, n, chance).vocabulary()
-        counted = {r["word"]: r["n"] for r in cols.select("text").mapInArrow(_counter(spark.sparkContext.broadcast(vocab)),
-                                                                             "word long, n long")
+        counted = {r["word"]: r["n"] for r in cols.mapInArrow(_counter(spark.sparkContext.broadcast(vocab)),
+                                                              "word long, n long")
                    .groupBy("word").agg(F.sum("n").alias("n")).collect()}  # one row a word of the block
         total = max(1, counted.get(-1, 0))
-        seeds = Seeds(ids, texts, {int(w): counted.get(i, 0) / total for i, w in enumerate(vocab)}, n, chance)
-        part = cols.mapInArrow(_scanner(spark.sparkContext.broadcast(seeds), min_score), SCHEMA)
-        out = part if out is None else out.unionByName(part)
+        frequency = {int(w): counted.get(i, 0) / total for i, w in enumerate(vocab)}
+        yield spark.sparkContext.broadcast(Seeds(ids, texts, frequency, n, chance))
+
+
+def leaks(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, min_score: float = MIN_SCORE,
+          block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, item_id, score, n_matched, first_word, last_word): every
+    document and test item aligned with at least ``min_score``."""
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = [cols.mapInArrow(_scanner(s, min_score), SCHEMA)
+             for s in _blocks(docs, items, n, chance, block_items, block_words)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clean(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, min_score: float = MIN_SCORE,
+          block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no leak, with all their columns."""
+    out, at = docs, docs.columns.index("text")
+    for s in _blocks(docs, items, n, chance, block_items, block_words):
+        out = out.mapInArrow(_cleaner(s, min_score, at), docs.schema)
     return out

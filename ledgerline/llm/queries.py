@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, language_id, license_scan, line_dedup, mixing, simhash, substring_dedup, token_ids
+from ledgerline.llm import ann, decontamination, gru_lm, language_id, license_scan, line_dedup, mixing, simhash, substring_dedup, token_ids
 from ledgerline.llm.common import read_table
 
 
@@ -25,6 +25,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated_spans(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -35,6 +39,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     manifest = token_ids.write(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -58,10 +66,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_ids": op9_token_ids,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import batch, staged, text_buffers
@@ -191,3 +191,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         "doc_id", "fp",
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         (F.col("members") - 1).alias("n_links"))
+
+
+def first_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose id is its component's smallest (one row of it);
+    rows with a NULL id stay."""
+    ids = near_duplicates(docs, **options).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.where(F.col("doc_id").isNotNull()).join(staged(ids, "simhash-kept"), "doc_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    once = kept.select("*", place.alias("__place")).where(F.col("__place") == 1).drop("__place")
+    return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
