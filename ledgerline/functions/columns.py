@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def months_between_bounds(lo: Column, hi: Column) -> Column:
 def round_ratio(num: Column, den: Column, scale: int = 4, num_scale: int = 0,
                 den_scale: int = 0) -> Column:
     """``round(num / nullif(den, 0), scale)`` rounded half away from zero,
-    computed exactly in integer arithmetic and returned as ``decimal(10, scale)``.
+    computed exactly in integer arithmetic and returned as ``decimal(38, scale)``.
 
     ``num_scale`` / ``den_scale`` are the decimal scales of the inputs (0 for
     counts, 2 for money).  Exact for non-negative inputs, which is what counts
@@ -101,7 +102,7 @@ def round_ratio(num: Column, den: Column, scale: int = 4, num_scale: int = 0,
     q = F.call_function("div", (n * F.lit(2 * 10 ** scale) + d).cast(big),
                         (d * F.lit(2)).cast(big))
     q = F.when(d == 0, F.lit(None)).otherwise(q)
-    return (q.cast("double") / F.lit(float(10 ** scale))).cast(f"decimal(10,{scale})")
+    return (q.cast(big) * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 
 def as_of_literal(as_of) -> Column:

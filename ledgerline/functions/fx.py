@@ -19,7 +19,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_small
 
 # EUR per unit of currency; EUR passes through unrounded,
 # every other listed currency is multiplied and rounded to 2 decimals;
@@ -50,52 +49,50 @@ def rates_frame(spark: SparkSession, rates: dict[str, Decimal | None] = FIXED_EU
 
 
 def convert_with_rates(df: DataFrame, amount: str, currency: str, rates: DataFrame,
-                       out: str = "amount_eur", max_broadcast_rows: int = 100_000) -> DataFrame:
+                       out: str = "amount_eur") -> DataFrame:
     """Join ``rates`` (currency, rate_to_eur) on the currency code and add
-    ``out`` = round(amount * rate, 2).  The rate table is broadcast only when
-    its row count is under ``max_broadcast_rows``; otherwise a shuffle join."""
+    ``out`` = round(amount * rate, 2).  Catalyst broadcasts the rates when their
+    size is under its threshold; otherwise it is a shuffle join."""
     r = rates.select(F.col("currency").alias("_fx_ccy"), F.col("rate_to_eur").alias("_fx_rate"))
-    joined = join_small(df, r, df[currency] == r["_fx_ccy"], "left", max_broadcast_rows)
-    return (joined
+    return (df.join(r, df[currency] == r["_fx_ccy"], "left")
             .withColumn(out, F.round(F.col(amount) * F.col("_fx_rate"), 2).cast(MONEY))
             .drop("_fx_ccy", "_fx_rate"))
 
 
-def daily_rates(rates: DataFrame, horizon, currency: str = "currency",
-                valid_from: str = "valid_from", rate: str = "rate_to_eur") -> DataFrame:
-    """Expand change-dated rates to one row per (currency, day) up to ``horizon``.
-
-    A rate holds from its ``valid_from`` until the day before the next change
-    of the same currency; the last one holds through ``horizon``.  The output
-    size is currencies x days — bounded by the calendar, not by the facts.
-    """
+def rate_periods(rates: DataFrame, currency: str = "currency", valid_from: str = "valid_from",
+                 rate: str = "rate_to_eur") -> DataFrame:
+    """(_fx_ccy, _fx_from, _fx_next, _fx_rate): the days [from, next) a rate
+    holds; ``_fx_next`` is NULL for a currency's last rate, which stays open."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(currency).orderBy(valid_from)
-    horizon_col = F.lit(str(horizon)).cast("date")
-    nxt = F.lead(F.col(valid_from)).over(w)
-    last_day = F.coalesce(F.date_sub(nxt, 1), horizon_col)
-    return (rates
-            .withColumn("_last", last_day)
-            .where(F.col(valid_from) <= F.col("_last"))
-            .select(F.col(currency).alias("_fx_ccy"),
-                    F.explode(F.sequence(F.col(valid_from), F.col("_last"))).alias("_fx_day"),
-                    F.col(rate).cast(RATE).alias("_fx_rate")))
+    nxt = F.lead(F.col(valid_from)).over(Window.partitionBy(currency).orderBy(valid_from))
+    return rates.select(F.col(currency).alias("_fx_ccy"), F.col(valid_from).alias("_fx_from"), nxt.alias("_fx_next"),
+                        F.col(rate).cast(RATE).alias("_fx_rate")).where(
+        F.col("_fx_next").isNull() | (F.col("_fx_from") < F.col("_fx_next")))
 
 
 def convert_with_dated_rates(df: DataFrame, amount: str, currency: str, on_date: str,
-                             rates: DataFrame, horizon, out: str = "amount_eur",
-                             max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                             rates: DataFrame, out: str = "amount_eur") -> DataFrame:
     """As-of conversion: each fact uses the rate in force on ``on_date``.
 
-    Implemented as an equi-join on (currency, day) against the day-expanded
-    rate table, so no range predicate or per-currency window ever sees the
-    fact rows (a hot currency cannot pile into one task).  Facts dated before
-    the first rate or after ``horizon`` get NULL.
+    Closed rate periods are cut by month and met on (currency, month) with the day
+    range inside; the open last rate of a currency is met on the currency
+    alone, and only by facts on or after its start.  So no window ever sees
+    the fact rows and no date is beyond the table.  Facts dated before the
+    first rate get NULL.
     """
-    days = daily_rates(rates, horizon)
-    cond = (df[currency] == days["_fx_ccy"]) & (df[on_date] == days["_fx_day"])
-    joined = join_small(df, days, cond, "left", max_broadcast_rows)
+    periods = rate_periods(rates)
+    closed = periods.where(F.col("_fx_next").isNotNull())
+    months = closed.withColumn("_fx_month", F.explode(F.sequence(
+        F.trunc("_fx_from", "MM"), F.trunc(F.date_sub("_fx_next", 1), "MM"), F.expr("INTERVAL 1 MONTH"))))
+    last = periods.where(F.col("_fx_next").isNull()).select(
+        F.col("_fx_ccy").alias("_fx_last_ccy"), F.col("_fx_from").alias("_fx_last_from"), F.col("_fx_rate").alias("_fx_last_rate"))
+    day = F.col(on_date)
+    met = (df[currency] == months["_fx_ccy"]) & (F.trunc(df[on_date], "MM") == months["_fx_month"]) \
+        & (df[on_date] >= months["_fx_from"]) & (df[on_date] < months["_fx_next"])
+    joined = df.join(months, met, "left")
+    joined = joined.join(last, (joined[currency] == last["_fx_last_ccy"]) & (day >= last["_fx_last_from"]), "left")
     return (joined
-            .withColumn(out, F.round(F.col(amount) * F.col("_fx_rate"), 2).cast(MONEY))
-            .drop("_fx_ccy", "_fx_day", "_fx_rate"))
+            .withColumn(out, F.round(F.col(amount) * F.coalesce("_fx_rate", "_fx_last_rate"), 2).cast(MONEY))
+            .drop("_fx_ccy", "_fx_from", "_fx_next", "_fx_rate", "_fx_month",
+                  "_fx_last_ccy", "_fx_last_from", "_fx_last_rate"))

@@ -44,7 +44,8 @@ def scd2_step(current: DataFrame | None, snapshot: DataFrame, keys: list[str] |
     is taken (chain intermediate versions by feeding them as separate runs).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    snap = keep_latest(snapshot, keys, updated_at)
+    rest = [c for c in snapshot.columns if c not in (*keys, updated_at)]
+    snap = keep_latest(snapshot, keys, updated_at, rest)  # equal timestamps: decided by the whole row
     if current is None:
         empty = _open_versions(snap, keys, updated_at).limit(0)
         return HistoryDelta(closed_now=empty, current=_open_versions(snap, keys, updated_at))

@@ -13,13 +13,15 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedup import keep_latest
-from ledgerline.operators.joins import join_small
+from ledgerline.session import read_if_exists
+from ledgerline.sources.raw import RAW_KEY
 
 
 def incremental_extract(source: DataFrame, cursor: str, watermark, strict: bool = False) -> DataFrame:
@@ -61,8 +63,7 @@ def next_watermark(good: DataFrame, cursor: str, previous=None):
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
-           cursor: str | None = None, tiebreak: list[str] | None = None,
-           max_broadcast_keys: int | None = None) -> DataFrame:
+           cursor: str | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """delete+insert on ``keys``: batch rows replace target rows with the same
     key; other target rows are kept.  With ``cursor`` the batch is first cut
     to its latest row per key (two versions of a key in one batch would both
@@ -72,56 +73,72 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
     The anti join against the batch's distinct key set is left to AQE, which
     broadcasts that side only when its shuffled size at runtime is under the
     broadcast threshold (a measured bound, no extra pass over the batch).
-    Pass ``max_broadcast_keys`` to decide up front with a bounded count
-    instead (worth it when the batch is already materialised).
+
+    A content id (``sources.raw.add_row_id``) cannot be the key: a changed row
+    has another id, and both versions would stay.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if RAW_KEY in keys and dict(batch.dtypes).get(RAW_KEY) == "string":
+        raise ValueError(f"{RAW_KEY} is a content id: replace the table in full, or merge on a key of the source")
     if cursor:
         batch = keep_latest(batch, keys, cursor, tiebreak)
     if target is None:
         return batch
     batch_keys = batch.select(*keys).distinct()
-    if max_broadcast_keys is None:
-        kept = target.join(batch_keys, keys, "left_anti")
-    else:
-        kept = join_small(target, batch_keys, keys, "left_anti", max_broadcast_keys)
+    kept = target.join(batch_keys, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
 class WatermarkStore:
-    """Committed watermarks as a tiny append-only Parquet table
-    (resource, watermark, committed_at); the latest row per resource wins."""
+    """Committed watermarks as a small append-only Parquet table (resource, seq,
+    watermark, committed_at, info); the highest ``seq`` per resource wins,
+    whatever the clock said."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
     def _table(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - no state yet
-            return None
+        return read_if_exists(self.spark, self.path)
 
-    def get(self, resource: str):
+    def last(self, resource: str):
+        """Latest committed (seq, watermark, info) row, None before the first."""
         t = self._table()
         if t is None:
             return None
-        row = (t.where(F.col("resource") == resource)
-               .orderBy(F.col("committed_at").desc()).select("watermark").first())
+        return (t.where(F.col("resource") == resource)
+                .orderBy(F.col("seq").desc()).select("seq", "watermark", "info").first())
+
+    def get(self, resource: str):
+        row = self.last(resource)
         return row["watermark"] if row else None
 
+    def holds(self, resource: str, **info: str) -> bool:
+        """Whether some commit carries all of ``info`` (a filter on the table,
+        nothing is collected)."""
+        t = self._table()
+        if t is None:
+            return False
+        t = t.where(F.col("resource") == resource)
+        for k, v in info.items():
+            t = t.where(F.get_json_object("info", f"$.{k}") == str(v))
+        return not t.isEmpty()
+
     def commit(self, resource: str, watermark, extra: dict | None = None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(resource, watermark, now, json.dumps(extra or {}))]
-        (self.spark.createDataFrame(row, "resource string, watermark timestamp, committed_at timestamp, "
-                                         "info string")
+        before = self.last(resource)
+        row = [(resource, (before["seq"] if before else 0) + 1, watermark, now, json.dumps(extra or {}))]
+        (self.spark.createDataFrame(row, "resource string, seq long, watermark timestamp, "
+                                         "committed_at timestamp, info string")
          .coalesce(1).write.mode("append").parquet(self.path))
 
 
 class VersionedTable:
     """A target table kept as immutable versions ``<root>/v=<n>`` plus a
-    pointer table; readers only see committed versions.  Each load writes the
-    merged table as a new version and commits pointer + watermark last, so a
+    pointer table; readers only see committed versions.  Each load stages its
+    batch once (the watermark, the row counts and the merge all read that
+    copy, so rows that arrive meanwhile wait for the next load), writes the
+    merged table as a new version and commits pointer + watermark last: a
     failed load leaves the previous version current and can simply re-run."""
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, cursor: str):
@@ -131,15 +148,8 @@ class VersionedTable:
         self.cursor = cursor
         self.state = WatermarkStore(spark, os.path.join(root, "_state"))
 
-    def _pointer(self):
-        t = self.state._table()
-        if t is None:
-            return None
-        row = t.orderBy(F.col("committed_at").desc()).select("info", "watermark").first()
-        return row
-
     def current_version(self) -> int | None:
-        p = self._pointer()
+        p = self.state.last("table")
         return int(json.loads(p["info"])["version"]) if p else None
 
     def read(self) -> DataFrame | None:
@@ -147,54 +157,55 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(os.path.join(self.root, f"v={v}"))
 
     def watermark(self):
-        p = self._pointer()
-        return p["watermark"] if p else None
+        return self.state.get("table")
 
-    def committed_epochs(self) -> set[int]:
-        t = self.state._table()
-        if t is None:
-            return set()
-        return {int(json.loads(r["info"]).get("epoch", -1)) for r in t.select("info").collect()}
+    def _stage(self, batch: DataFrame) -> DataFrame:
+        path = os.path.join(self.root, f"_batch-{uuid.uuid4().hex[:12]}")
+        batch.write.parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
 
-    def apply(self, batch: DataFrame, epoch: int | None = None,
-              tiebreak: list[str] | None = None) -> dict | None:
+    def _merge(self, target: DataFrame | None, batch: DataFrame, previous, info: dict,
+               tiebreak: list[str] | None) -> dict:
+        version = (self.current_version() or 0) + 1
+        path = os.path.join(self.root, f"v={version}")
+        upsert(target, batch, self.keys, self.cursor, tiebreak).write.mode("overwrite").parquet(path)
+        new_wm = next_watermark(batch, self.cursor, previous)
+        self.state.commit("table", new_wm, {"version": version, **info})
+        return {"version": version, "watermark": new_wm, "loaded": batch.count(),
+                "rows": self.spark.read.parquet(path).count()}
+
+    def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None,
+              query: str = "") -> dict | None:
         """Upsert one already-extracted batch (a streaming micro-batch) as a
-        new version.  Re-delivering a committed ``epoch`` is a no-op, which
+        new version.  Re-delivering a committed (``query``, ``epoch``) is a no-op, which
         makes a ``foreachBatch`` sink exactly-once."""
-        if (epoch is not None and epoch in self.committed_epochs()) or batch.isEmpty():
+        if epoch is not None and self.state.holds("table", epoch=epoch, query=query):
             return None
-        merged = upsert(self.read(), batch, self.keys, self.cursor, tiebreak)
-        version = (self.current_version() or 0) + 1
-        merged.write.mode("overwrite").parquet(os.path.join(self.root, f"v={version}"))
-        new_wm = next_watermark(batch, self.cursor, self.watermark())
-        info = {"version": version}
-        if epoch is not None:
-            info["epoch"] = epoch
-        self.state.commit("table", new_wm, info)
-        return {"version": version, "watermark": new_wm}
+        batch = self._stage(batch)
+        if batch.isEmpty():
+            return None
+        info = {} if epoch is None else {"epoch": epoch, "query": query}
+        return self._merge(self.read(), batch, self.watermark(), info, tiebreak)
 
     def load(self, source: DataFrame, full_refresh: bool = False, strict: bool = False,
              run_ts=None, tiebreak: list[str] | None = None) -> dict:
-        """One incremental (or full-refresh) run; returns a small report."""
+        """One incremental (or full-refresh) run; returns a small report: rows
+        ``loaded`` by the run, ``rows`` of the table after it, and rows
+        ``quarantined`` (future cursors, kept in ``<root>/_quarantine``)."""
         wm = None if full_refresh else self.watermark()
-        batch = incremental_extract(source, self.cursor, wm, strict)
-        quarantined = 0
+        batch, quarantined = self._stage(incremental_extract(source, self.cursor, wm, strict)), 0
         if run_ts is not None:
             g = cursor_guard(batch, self.cursor, run_ts)
-            batch = g.good
-            quarantined = g.quarantined.count()
-        target = None if full_refresh else self.read()
-        merged = upsert(target, batch, self.keys, self.cursor, tiebreak)
-        version = (self.current_version() or 0) + 1
-        obs_name = f"load_v{version}"
-        from pyspark.sql import Observation
-        obs = Observation(obs_name)
-        merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"))
-        merged.write.mode("overwrite").parquet(os.path.join(self.root, f"v={version}"))
-        new_wm = next_watermark(batch, self.cursor, wm)
-        self.state.commit("table", new_wm, {"version": version})
-        return {"version": version, "rows": obs.get["rows"], "watermark": new_wm,
-                "quarantined": quarantined}
+            batch, quarantined = g.good, g.quarantined.count()
+            if quarantined:
+                g.quarantined.withColumn("_run_ts", F.lit(run_ts).cast("timestamp")) \
+                    .write.mode("append").parquet(os.path.join(self.root, "_quarantine"))
+        report = self._merge(None if full_refresh else self.read(), batch, wm, {}, tiebreak)
+        return {**report, "quarantined": quarantined}
+
+    def quarantine(self) -> DataFrame | None:
+        """Rows held back so far, with the run that did (``_run_ts``)."""
+        return read_if_exists(self.spark, os.path.join(self.root, "_quarantine"))
 
 
 def guard_summary(batch: DataFrame, cursor: str, run_ts) -> DataFrame:
@@ -232,13 +243,9 @@ class PartitionedTable:
         self.cursor = cursor
         self.partition_col = partition_col
         self.staging_root = staging_root
-        self._runs = 0
 
     def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.root)
-        except Exception:  # noqa: BLE001 - empty target
-            return None
+        return read_if_exists(self.spark, self.root)
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -246,8 +253,15 @@ class PartitionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(conf), jvm
 
-    def apply(self, batch: DataFrame, epoch: int | None = None,
-              tiebreak: list[str] | None = None) -> dict:
+    def _partition_path(self, value):
+        """Folder of a partition value: NULL's own name, and Spark's escaping."""
+        fs, jvm = self._fs()
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else \
+            jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+        return fs, jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, f"{self.partition_col}={name}"))
+
+    def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None,
+              query: str = "") -> dict:
         """Streaming-sink entry point.  Re-applying a batch yields the same
         table (upsert is idempotent), so a re-delivered epoch is harmless."""
         return self.upsert(batch, tiebreak)
@@ -257,31 +271,27 @@ class PartitionedTable:
         if batch.isEmpty():
             return {"touched": [], "emptied": []}
         batch = keep_latest(batch, self.keys, self.cursor, tiebreak)
-        target = self.read()
+        target = read_if_exists(self.spark, self.root, batch.schema)
         if target is None:
-            batch.write.mode("overwrite").partitionBy(p).parquet(self.root)
+            batch.repartition(p).write.partitionBy(p).parquet(self.root)
             return {"touched": None}
         keys = batch.select(*self.keys).distinct()
         moved_from = target.join(keys, self.keys, "left_semi").select(p)
         # The touched set is partition metadata (bounded by the number of
         # partitions, e.g. months), never data rows.
         touched = {r[0] for r in moved_from.union(batch.select(p)).distinct().collect()}
-        affected = target.where(F.col(p).isin(list(touched)))
-        merged = upsert(affected, batch, self.keys).select(*target.columns)
-        self._runs += 1
-        staged_path = os.path.join(self.staging_root, f"run-{self._runs}-{os.getpid()}")
-        merged.write.mode("overwrite").partitionBy(p).parquet(staged_path)
-        try:
-            staged = self.spark.read.parquet(staged_path)
-        except Exception:  # noqa: BLE001 - every touched partition became empty
-            staged = None
-        present = set()
-        if staged is not None:
-            (staged.select(*target.columns).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(self.root))
-            present = {r[0] for r in staged.select(p).distinct().collect()}
-        emptied = touched - present
-        fs, jvm = self._fs()
+        values = [v for v in touched if v is not None]
+        inside = F.col(p).isin(values) if values else F.lit(False)
+        if None in touched:
+            inside = inside | F.col(p).isNull()
+        merged = upsert(target.where(F.coalesce(inside, F.lit(False))), batch, self.keys).select(*target.columns)
+        staged_path = os.path.join(self.staging_root, f"run-{uuid.uuid4().hex[:12]}")
+        merged.repartition(p).write.partitionBy(p).parquet(staged_path)
+        staged = self.spark.read.schema(merged.schema).parquet(staged_path)
+        (staged.select(*target.columns).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(self.root))
+        emptied = touched - {r[0] for r in staged.select(p).distinct().collect()}
         for value in emptied:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, f"{p}={value}")), True)
+            fs, path = self._partition_path(value)
+            fs.delete(path, True)
         return {"touched": sorted(map(str, touched)), "emptied": sorted(map(str, emptied))}

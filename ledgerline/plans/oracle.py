@@ -16,11 +16,11 @@ _CURSOR = "COALESCE(TRY_CAST(NULLIF({c}, '') AS TIMESTAMP), TIMESTAMP '2024-01-0
 
 
 def _rate_sql(num: str, den: str, scale_mult: int = 1) -> str:
-    """round(num/den, 4) half-up, exactly, as DECIMAL(10,4); NULL on den = 0."""
+    """round(num/den, 4) half-up, exactly, as DECIMAL(38,4); NULL on den = 0."""
     n = f"CAST({num} * {scale_mult} AS HUGEINT)"
     d = f"CAST({den} * {scale_mult} AS HUGEINT)"
-    return (f"CASE WHEN {d} = 0 THEN NULL ELSE CAST(CAST(({n} * 20000 + {d}) // (2 * {d}) AS DOUBLE)"
-            f" / 10000.0 AS DECIMAL(10,4)) END")
+    return (f"CASE WHEN {d} = 0 THEN NULL ELSE CAST(({n} * 20000 + {d}) // (2 * {d}) AS DECIMAL(34,0))"
+            f" * CAST(0.0001 AS DECIMAL(4,4)) END")
 
 
 CTES: dict[str, tuple[list[str], str]] = {}
@@ -322,6 +322,18 @@ register("incremental_filter", with_ctes(["raw_invoices"], """
   SELECT * FROM raw_invoices
   WHERE updated_at >= (SELECT MAX(updated_at) FROM raw_invoices
                        WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00')"""))
+register("partitioned_upsert", with_ctes(["latest_event_per_user"], """
+  SELECT *, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS day FROM latest_event_per_user"""))
+register("load_report", with_ctes(["raw_invoices"], """
+  SELECT CAST(1 AS BIGINT) AS run, COUNT(*) AS loaded, CAST(0 AS BIGINT) AS quarantined, COUNT(*) AS table_rows
+  FROM raw_invoices WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00'
+  UNION ALL
+  SELECT 2, COUNT(*) FILTER (WHERE updated_at <= TIMESTAMP '2001-09-01 00:00:00' AND updated_at >= (
+              SELECT MAX(updated_at) FROM raw_invoices WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00')),
+         COUNT(*) FILTER (WHERE updated_at > TIMESTAMP '2001-09-01 00:00:00'),
+         COUNT(*) FILTER (WHERE updated_at <= TIMESTAMP '2001-09-01 00:00:00') FROM raw_invoices"""))
+register("quarantine_rows", with_ctes(["raw_invoices"], """
+  SELECT _row_id, invoice_id, updated_at FROM raw_invoices WHERE updated_at > TIMESTAMP '2001-09-01 00:00:00'"""))
 register("incremental_invoices", select_all("stg_invoices"))
 register("cursor_guard", with_ctes(["raw_customers", "raw_subscriptions", "raw_invoices"], "\nUNION ALL\n".join(
     f"""SELECT '{t}' AS resource, COUNT(*) AS rows_seen,
@@ -368,8 +380,7 @@ cte("fx_rates", ["stg_invoices"], """
   UNION ALL SELECT 'EUR', DATE '1990-01-01', CAST(1 AS DECIMAL(18,6))""")
 register("fx_asof", with_ctes(["stg_invoices", "fx_rates"], """
   SELECT i.invoice_id, i.currency, i.invoice_date, i.amount,
-         CASE WHEN i.invoice_date > DATE '2002-12-31' THEN NULL
-              ELSE CAST(ROUND(i.amount * r.rate, 2) AS DECIMAL(18,2)) END AS amount_eur
+         CAST(ROUND(i.amount * r.rate, 2) AS DECIMAL(18,2)) AS amount_eur
   FROM stg_invoices i ASOF LEFT JOIN fx_rates r
     ON i.currency = r.currency AND i.invoice_date >= r.valid_from"""))
 

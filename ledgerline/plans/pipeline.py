@@ -18,6 +18,7 @@ from ledgerline.operators.history import scd2_apply
 from ledgerline.operators.quality import raise_on_error, run_checks
 from ledgerline.plans.checks import column_checks, landing_checks, singular_checks
 from ledgerline.plans.models import BillingModels
+from ledgerline.session import read_if_exists
 
 # Build levels: every model after the models it reads; models of one level are
 # independent and are built concurrently.
@@ -59,10 +60,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], as_of, out_dir: str,
     if snapshot_path:
         # Snapshot after staging (the reference's order would read a view
         # that does not exist yet on a first run).
-        try:
-            history = spark.read.parquet(snapshot_path)
-        except Exception:  # noqa: BLE001 - first run
-            history = None
+        history = read_if_exists(spark, snapshot_path)
         new = scd2_apply(history, m.stg_subscriptions, "subscription_id", "updated_at")
         tmp = snapshot_path.rstrip("/") + ".next"
         new.write.mode("overwrite").parquet(tmp)

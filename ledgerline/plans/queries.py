@@ -90,6 +90,60 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(t1, ev.where(F.col("ts") >= split), "user_id", "ts", ["event_id"])
 
 
+@query("partitioned_upsert")
+def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest state per user through the partitioned layout: two loads of the
+    event feed by day, where every seventh event has no day (the NULL
+    partition) and users move between days and out of the NULL one."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.incremental import PartitionedTable
+    from ledgerline.session import scratch_dir
+    ev = _events(spark, sf_dir).withColumn("day", F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("date")))
+    root, split = scratch_dir(spark, "partitioned-upsert"), F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    table = PartitionedTable(spark, os.path.join(root, "table"), "user_id", "ts", "day", os.path.join(root, "staging"))
+    table.upsert(ev.where(F.col("ts") < split), ["event_id"])
+    table.upsert(ev.where(F.col("ts") >= split), ["event_id"])
+    return table.read().select("user_id", "event_id", "ts", "event_type", "value", F.col("day").cast("date").alias("day"))
+
+
+def _invoice_loads(spark: SparkSession, sf_dir: str):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.session import scratch_dir
+    from ledgerline.sources.testdata import raw_invoices
+    raw = raw_invoices(spark, sf_dir)
+    table = VersionedTable(spark, os.path.join(scratch_dir(spark, "invoice-loads"), "t"), "_row_id", "updated_at")
+    early = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
+    return table, [table.load(early, run_ts=SYNC_TIME), table.load(raw, run_ts=SYNC_TIME)]
+
+
+@query("load_report")
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the raw invoices: rows each run loaded, held back, and the
+    rows of the table after it."""
+    _, reports = _invoice_loads(spark, sf_dir)
+    return spark.createDataFrame([(k + 1, r["loaded"], r["quarantined"], r["rows"]) for k, r in enumerate(reports)],
+                                 "run long, loaded long, quarantined long, table_rows long")
+
+
+@query("quarantine_rows")
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw invoices whose cursor lies after the sync time, as kept aside by the load."""
+    from pyspark.sql import functions as F
+    from ledgerline.sources.testdata import raw_invoices
+    table, _ = _invoice_loads(spark, sf_dir)
+    held = table.quarantine()
+    if held is None:
+        held = raw_invoices(spark, sf_dir).where("false")
+    return held.select("_row_id", "invoice_id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")).distinct()
+
+
 @query("incremental_filter")
 def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second-run extract: raw invoices at or after the first run's watermark."""
@@ -177,8 +231,6 @@ def point_in_time_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------- fx and helpers
-FX_HORIZON = "2002-12-31"
-
 
 def monthly_sek_rates(invoices: DataFrame) -> DataFrame:
     """A dated rate table derived from the data: one SEK rate per invoice
@@ -213,7 +265,7 @@ def fx_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.functions.fx import convert_with_dated_rates
     inv = models(spark, sf_dir).stg_invoices.select("invoice_id", "currency", "invoice_date", "amount")
     return convert_with_dated_rates(inv, "amount", "currency", "invoice_date",
-                                    monthly_sek_rates(inv), FX_HORIZON)
+                                    monthly_sek_rates(inv))
 
 
 LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",

@@ -45,18 +45,17 @@ def get_session(app: str = "ledgerline", master: str | None = None,
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a run over ``input_bytes`` of input.
 
     The initial shuffle partition count is sized so a partition of the
     largest shuffle (at most the input) is about ``target_partition_bytes``
     and fits an executor task without heavy spill; AQE then coalesces small
     shuffles down to the advisory size and splits skewed partitions.  For
-    100 TB this gives ~400k requested partitions, capped at ``max_partitions``
-    (AQE coalescing brings the actual count down for the smaller shuffles).
+    100 TB this gives ~400k requested partitions (AQE coalescing brings the
+    actual count down for the smaller shuffles).
     """
-    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    parts = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
@@ -75,8 +74,9 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, **kw) -> dict[str, s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (local
-    tests) fall back to a fresh directory under the system temp folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only a local master without
+    one (tests) gets a fresh directory under the system temp folder, which
+    other machines could not read."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -88,6 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -100,6 +102,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists; every other failure is raised."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_if_exists(spark: SparkSession, path: str, schema=None):
+    """The Parquet table at ``path``, or None when there is no such path (an
+    unreadable table is an error, never an empty one)."""
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
 def checkpoint(df, eager: bool = True):
     """Reliable checkpoint into the session's checkpoint folder (cuts the
     lineage at a durable, shared location; never ``localCheckpoint``)."""

@@ -56,34 +56,30 @@ def add_updated_at(df: DataFrame, source_col: str) -> DataFrame:
     return df.withColumn("updated_at", parse_cursor(F.col(source_col)))
 
 
-def add_row_id(df: DataFrame, columns: list[str], chunk: int = 1_000_000) -> DataFrame:
-    """Stable surrogate id for a source that has none.
-
-    Identical rows are interchangeable, so each distinct row with ``n``
-    copies gets the ids ``xxhash64(row, 0 .. n-1)``: exact repeats stay
-    distinct, and re-landing the same input yields the same id set.
-
-    Skew-safe: copies are first counted with a partial aggregate (a group of
-    copies holding a third of the table collapses map-side to one row per
-    task).  Groups of up to ``chunk`` copies are regenerated in place; larger
-    groups are cut into chunks that are spread over tasks before their rows
-    are regenerated, so no single task produces a hot group.  Ids are 64-bit
-    hashes: collision-free in practice below ~10^8 distinct rows; sources at
-    larger scale should carry their own surrogate (as database sources do).
+_COPIES_PER_ROW = 65_536  # copies regenerated from one intermediate row
+
+
+def add_row_id(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Surrogate id for a source that has none: a content id.
+
+    Each distinct row with ``n`` copies gets the SHA-256 digests of (row,
+    0 .. n-1), written as JSON with explicit NULLs, so a NULL never reads as its
+    neighbour and exact repeats stay distinct; re-landing the same input
+    yields the same ids.  A changed row gets another id: use it for full
+    replaces, not as the key of an incremental merge (``upsert`` refuses).
+
+    Copies are counted with a partial aggregate, so a group of copies that holds a
+    third of the table is one row per task; its rows are regenerated in pieces
+    spread over tasks.
     """
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    small = counted.where(F.col("_n") <= chunk).withColumn(
-        "_occ", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-    big = (counted.where(F.col("_n") > chunk)
-           .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                  ((F.col("_n") - 1) / chunk).cast("long"))))
-           .repartition(F.xxhash64(*[F.col(c) for c in columns], F.col("_c")))
-           .withColumn("_occ", F.explode(F.sequence(F.col("_c") * chunk,
-                                                    F.least(F.col("_n"), (F.col("_c") + 1) * chunk) - 1)))
-           .drop("_c"))
-    rows = small.unionByName(big)
-    return rows.withColumn(RAW_KEY, F.xxhash64(*[F.col(c) for c in columns], F.col("_occ"))) \
-               .drop("_n", "_occ")
+    size = F.lit(_COPIES_PER_ROW)
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {_COPIES_PER_ROW}"))))
+    spread = pieces.repartition(F.xxhash64(*[F.col(c) for c in columns], F.col("_piece")))
+    rows = spread.withColumn("_occ", F.explode(F.sequence(F.col("_piece") * size,
+                                                          F.least(F.col("_n"), (F.col("_piece") + 1) * size) - 1)))
+    content = F.to_json(F.struct(*[F.col(c) for c in columns], F.col("_occ")), {"ignoreNullFields": "false"})
+    return rows.withColumn(RAW_KEY, F.sha2(content, 256)).drop("_n", "_piece", "_occ")
 
 
 def land(df: DataFrame, table: str) -> DataFrame:

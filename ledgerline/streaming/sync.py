@@ -33,7 +33,7 @@ def start_sync(stream: DataFrame, target: VersionedTable | PartitionedTable, che
                tiebreak: list[str] | None = None, available_now: bool = True,
                processing_time: str | None = None) -> StreamingQuery:
     def apply(batch: DataFrame, epoch: int) -> None:
-        target.apply(batch, epoch, tiebreak)
+        target.apply(batch, epoch, tiebreak, checkpoint)  # the checkpoint folder is the query's identity
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -42,10 +42,14 @@ def start_sync(stream: DataFrame, target: VersionedTable | PartitionedTable, che
 
 
 def sync_available(stream: DataFrame, target: VersionedTable | PartitionedTable, checkpoint: str,
-                   tiebreak: list[str] | None = None, timeout_s: int = 3600) -> DataFrame | None:
-    """Drain everything available now, wait, and return the target table."""
+                   tiebreak: list[str] | None = None, timeout_s: float = 3600) -> DataFrame | None:
+    """Drain everything available now, wait, and return the target table.
+    A drain that takes longer than ``timeout_s`` is stopped and raises; what it
+    committed stays, and the next call goes on from there."""
     q = start_sync(stream, target, checkpoint, tiebreak)
-    q.awaitTermination(timeout_s)
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the sync did not drain its source within {timeout_s} s")
     if q.exception():
         raise q.exception()
     return target.read()

@@ -160,7 +160,7 @@ def test_fx_forms(spark):
                                    ("SEK", dt.date(2024, 2, 1), Decimal("0.1"))],
                                   "currency string, valid_from date, rate_to_eur decimal(18,6)")
     c = {(r.currency, r.d): r.amount_eur for r in
-         convert_with_dated_rates(df, "amount", "currency", "d", rates, "2024-12-31").collect()}
+         convert_with_dated_rates(df, "amount", "currency", "d", rates).collect()}
     assert c[("SEK", dt.date(2024, 1, 5))] == Decimal("9.00")
     assert c[("SEK", dt.date(2024, 2, 5))] == Decimal("10.00")
     assert c[("EUR", dt.date(2024, 2, 5))] is None
@@ -275,11 +275,11 @@ def test_row_ids_for_hot_copy_groups(spark):
     from ledgerline.sources.raw import add_row_id
     rows = [("x", "1")] * 25 + [("y", "2")] * 3 + [("z", "3")]
     df = spark.createDataFrame(rows, "a string, b string")
-    ids = add_row_id(df, ["a", "b"], chunk=4)                    # the 25-copy group is chunked
+    ids = add_row_id(df, ["a", "b"])
     got = ids.collect()
     assert len(got) == 29 and len({r._row_id for r in got}) == 29
     assert sorted((r.a, r.b) for r in got) == sorted(rows)
-    again = {r._row_id for r in add_row_id(df.repartition(3), ["a", "b"], chunk=4).collect()}
+    again = {r._row_id for r in add_row_id(df.repartition(3), ["a", "b"]).collect()}
     assert again == {r._row_id for r in got}                     # stable across re-reads
 
 
@@ -320,7 +320,7 @@ def test_mrr_scan_reads_only_needed_columns(spark):
 def test_scale_conf_sizes_partitions():
     from ledgerline.session import scale_conf
     big = scale_conf(100 * 2 ** 40)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     assert scale_conf(10 * 2 ** 30)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(1 * 2 ** 40)["spark.sql.shuffle.partitions"] == "4096"
 
