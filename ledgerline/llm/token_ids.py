@@ -12,9 +12,11 @@ runs again replaces it by the same bytes.
 
 Encoding: a text is cut at ASCII white space; each distinct word of a batch is
 encoded once (words keep their ids in any white-space context, since the
-tokenizer drops white space before it splits).  Words of Latin letters with at
-most one final punctuation mark, the bulk, go through the same vocabulary model
-without the regular expressions; all others through the full tokenizer.
+tokenizer drops white space before it splits).  A-Z are lower-cased first, as the tokenizer
+does, and a final punctuation mark after a letter is encoded by itself, as
+it splits there.  Words of Latin letters, the bulk, go through the same
+vocabulary model without the regular expressions; all others through the full
+tokenizer.
 
 Edge cases: NULL or empty text is just the end id; rows with a NULL doc_id come
 first and have no key; rows that repeat a doc_id are adjacent records under
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +49,11 @@ _MAGIC = b"TIDS"
 MANIFEST_SCHEMA = "part int, seq int, path string, n_docs long, n_ids long, first_id long, last_id long"
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SIMPLE = re.compile(f"([{_LATIN}]+)([.,;:!?]?)")
-_CACHE_WORDS = 300_000
+_LETTERS = re.compile(f"[{_LATIN}]+")
+_MARKS = np.array([chr(b) in ".,;:!?" for b in range(256)])
+_AZ = np.array([97 <= b <= 122 for b in range(256)])
+_CACHE_WORDS = 250_000
+_BATCH_BYTES = 4 << 20
 
 
 class Encoder:
@@ -66,7 +72,8 @@ class Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.plain = bool(self.ends.any())
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _full(self, words: list[str]) -> list[bytes]:
         got = self.full.encode_batch_fast(words, add_special_tokens=False)
@@ -84,39 +91,62 @@ class Encoder:
                 out += [ids[a:b].tobytes() for a, b in zip(np.append(0, cuts[:-1]), cuts)]
         return out
 
-    def words(self, words: list[bytes]) -> list[bytes]:
-        cache, wanted, out = self.cache, [], []
-        for raw in words:
-            w = raw.decode()
-            m = self.plain and _SIMPLE.fullmatch(w)
-            wanted.append((m[1].lower(), m[2]) if m else (w, None))
-        if len(cache) > _CACHE_WORDS:
-            cache.clear()
-        stems = list({s: 0 for s, mark in wanted if mark is not None and s not in cache})
-        cache.update(zip(stems, self._letter_words(stems)))
-        others = list({"\0" + s: 0 for s, mark in wanted if mark is None and "\0" + s not in cache}
-                      | {"\0" + mark: 0 for _, mark in wanted if mark and "\0" + mark not in cache})
-        cache.update(zip(others, self._full([s[1:] for s in others])))
-        for s, mark in wanted:
-            out.append(cache["\0" + s] if mark is None else cache[s] + cache["\0" + mark] if mark else cache[s])
+    def _known(self, key: bytes) -> bytes | None:
+        got = self.cache.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.cache[key] = got
+        return got
+
+    def words(self, words: list[bytes], plain: list[bool]) -> list[bytes]:
+        """Ids of distinct words; ``plain`` ones consist of a-z."""
+        if len(self.cache) > _CACHE_WORDS:  # words used since the last turn stay within reach for one more
+            self.old, self.cache = self.cache, {}
+        out = [self._known(w) for w in words]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        letters, others = [], []
+        for i in new:
+            if plain[i] and self.plain:
+                letters.append((i, words[i].decode()))
+            else:
+                w = words[i].decode()
+                if self.plain and _LETTERS.fullmatch(w):
+                    letters.append((i, w.lower()))
+                else:
+                    others.append((i, w))
+        for part, code in ((letters, self._letter_words), (others, self._full)):
+            for (i, _), ids in zip(part, code([w for _, w in part])):
+                out[i] = self.cache[words[i]] = ids
         return out
 
     def batch(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, and the number of each document's ids."""
         starts, ends, doc = c.word_spans(data, offs)
-        h1, h2 = (c.span_hash(data, starts, ends, lane) for lane in (0, 1))
+        lower = c.ascii_lower(data)
+        special = np.searchsorted(starts, np.flatnonzero(data == ord("<")), "right") - 1
+        for k in np.unique(special):  # may spell a special token, whose case counts
+            lower[starts[k]:ends[k]] = data[starts[k]:ends[k]]
+        # a final mark after a letter is a piece of its own
+        cut = (ends - starts > 1) & _MARKS[lower[ends - 1]] & _AZ[lower[np.maximum(ends - 2, 0)]] if len(starts) else starts > 0
+        where = np.flatnonzero(cut)
+        marks = ends[where] - 1
+        stem_ends = ends.copy()
+        stem_ends[where] -= 1
+        starts, ends = np.insert(starts, where + 1, marks), np.insert(stem_ends, where + 1, marks + 1)
+        doc = np.insert(doc, where + 1, doc[where])
+        h1, h2 = (c.span_hash(lower, starts, ends, lane) for lane in (0, 1))
         _, first, which = np.unique(h1, return_index=True, return_inverse=True)
         if (h2[first][which] != h2).any():  # two words share 64 bits: take each place by itself
             first, which = np.arange(len(h1)), np.arange(len(h1))
-        raw = data.tobytes()
-        coded = self.words([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        raw = lower.tobytes()
+        s, e = starts[first], ends[first]
+        letters = np.concatenate(([0], np.cumsum(_AZ[lower])))
+        coded = self.words([raw[i:j] for i, j in zip(s.tolist(), e.tolist())], (letters[e] - letters[s] == e - s).tolist())
         lens = np.array([len(x) for x in coded], np.int64) // self.dtype.itemsize
         table, base = np.frombuffer(b"".join(coded), self.dtype), np.cumsum(lens) - lens
         n = lens[which]
         past = np.cumsum(n)
         at = np.arange(past[-1] if len(past) else 0) + np.repeat(base[which] - (past - n), n)
-        per_doc = np.zeros(len(offs) - 1, np.int64)
-        np.add.at(per_doc, doc, n)
+        per_doc = np.bincount(doc, n, minlength=len(offs) - 1).astype(np.int64)
         return table[at], per_doc
 
 
@@ -227,10 +257,13 @@ def _writer(folder: str, tokenizer: str, end_id: int, limit: int):
             return row
 
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                text = part.column(1)
-                data, offs = c.text_buffers(text)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
+            i = 0
+            while i < b.num_rows:
+                j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + _BATCH_BYTES, "right")))
+                part = b.slice(i, j - i)
+                i = j
+                data, offs = c.text_buffers(part.column(1))
                 payload, n = coder.batch(data, offs)
                 past = np.cumsum(n)
                 payload = np.insert(payload, past, payload.dtype.type(end_id))  # the end id closes each document
