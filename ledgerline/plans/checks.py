@@ -79,21 +79,21 @@ def _invoices_after_end(resolve):
 def singular_checks() -> list[Check]:
     """The 8 project-specific checks."""
     return [
-        Check("expression", "stg_subscriptions", name="subscriptions_end_date_not_before_start_date",
+        Check("expression", "stg_subscriptions", name="subscription_starts_before_it_ends",
               predicate="end_date IS NOT NULL AND end_date < start_date"),
-        Check("expression", "effective_dates", name="effective_end_date_not_before_start_date",
+        Check("expression", "effective_dates", name="active_window_starts_before_it_ends",
               predicate="effective_end_date IS NOT NULL AND effective_end_date < start_date"),
-        Check("rows", "stg_invoices", name="no_invoices_after_subscription_end",
+        Check("rows", "stg_invoices", name="billing_stops_with_the_subscription",
               rows=_invoices_after_end),
-        Check("expression", "mrr_by_month_plan", name="mrr_never_negative", predicate="mrr < 0"),
-        Check("expression", "customer_ltv", name="ltv_never_negative", predicate="ltv < 0"),
-        Check("expression", "churn_rates", name="churn_rates_within_valid_range",
+        Check("expression", "mrr_by_month_plan", name="mrr_is_zero_or_more", predicate="mrr < 0"),
+        Check("expression", "customer_ltv", name="ltv_is_zero_or_more", predicate="ltv < 0"),
+        Check("expression", "churn_rates", name="churn_rates_are_shares",
               predicate="subscription_churn_rate < 0 OR subscription_churn_rate > 1 "
                         "OR mrr_churn_rate < 0 OR mrr_churn_rate > 1"),
-        Check("row_count_matches", "stg_customers", name="stg_customers_row_count_matches_distinct_raw_ids",
+        Check("row_count_matches", "stg_customers", name="each_raw_customer_is_cleaned_once",
               to_model="raw_customers", to_field="customer_id"),
         Check("expression", "effective_dates", severity=W,
-              name="cancelled_subscriptions_have_effective_end_date",
+              name="cancelled_windows_are_closed",
               predicate="status = 'cancelled' AND effective_end_date IS NULL"),
     ]
 

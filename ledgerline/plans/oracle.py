@@ -2,25 +2,22 @@
 
 These are the correctness oracle: written from the semantics, in plain SQL
 against the raw test-data views, deliberately *not* sharing the Spark code's
-tricks (the monthly grain is a range join on a generated spine, ranks are
-``row_number`` windows, existence is ``EXISTS``).  ``sql(name)`` returns one
+tricks (months are integers and every month counts the windows open in it,
+existence is ``EXISTS``, the expected check suite is spelled out).  ``sql(name)`` returns one
 self-contained statement with only the CTEs it needs.
 """
 
 from __future__ import annotations
 
-AS_OF = "DATE '2001-08-31'"
-AS_OF_MONTH = "DATE '2001-08-01'"
-
 _CURSOR = "COALESCE(TRY_CAST(NULLIF({c}, '') AS TIMESTAMP), TIMESTAMP '2024-01-01')"
 
 
-def _rate_sql(num: str, den: str, scale_mult: int = 1) -> str:
-    """round(num/den, 4) half-up, exactly, as DECIMAL(38,4); NULL on den = 0."""
-    n = f"CAST({num} * {scale_mult} AS HUGEINT)"
-    d = f"CAST({den} * {scale_mult} AS HUGEINT)"
-    return (f"CASE WHEN {d} = 0 THEN NULL ELSE CAST(({n} * 20000 + {d}) // (2 * {d}) AS DECIMAL(34,0))"
-            f" * CAST(0.0001 AS DECIMAL(4,4)) END")
+def _rate_sql(num: str, den: str) -> str:
+    """num / den to four places as a written division: whole ten-thousandths,
+    one more when the remainder is at least half the divisor; NULL on 0."""
+    n, d = f"CAST({num} AS HUGEINT) * 10000", f"CAST({den} AS HUGEINT)"
+    return (f"CASE WHEN {den} <> 0 THEN CAST(({n}) // {d} + (CASE WHEN 2 * (({n}) % {d}) >= {d} THEN 1 ELSE 0 END)"
+            f" AS DECIMAL(34,0)) * CAST(0.0001 AS DECIMAL(4,4)) END")
 
 
 CTES: dict[str, tuple[list[str], str]] = {}
@@ -35,9 +32,9 @@ cte("raw_customers_base", [], """
   SELECT c.c_custkey AS k, c.c_name, n.n_name
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 cte("raw_customers_rows", ["raw_customers_base"], """
-  SELECT k AS _row_id, k FROM raw_customers_base
+  SELECT 2 * k AS _row_id, k FROM raw_customers_base
   UNION ALL
-  SELECT k + 10000000 AS _row_id, k FROM raw_customers_base WHERE k % 50 = 0""")
+  SELECT 2 * k + 1 AS _row_id, k FROM raw_customers_base WHERE k % 50 = 0""")
 cte("raw_customers", ["raw_customers_rows"], f"""
   SELECT _row_id, customer_id, customer_name, email, country, created_at,
          {_CURSOR.format(c='created_at')} AS updated_at
@@ -66,9 +63,9 @@ cte("raw_subscriptions_base", [], """
 cte("raw_subscriptions", ["raw_subscriptions_base"], f"""
   SELECT _row_id, subscription_id, customer_id, plan_name, monthly_price, start_date, end_date,
          status, {_CURSOR.format(c='start_date')} AS updated_at
-  FROM (SELECT k AS _row_id, * EXCLUDE (k) FROM raw_subscriptions_base
+  FROM (SELECT 2 * k AS _row_id, * EXCLUDE (k) FROM raw_subscriptions_base
         UNION ALL
-        SELECT k + 10000000 AS _row_id, * EXCLUDE (k) FROM raw_subscriptions_base WHERE k % 101 = 0)""")
+        SELECT 2 * k + 1 AS _row_id, * EXCLUDE (k) FROM raw_subscriptions_base WHERE k % 101 = 0)""")
 cte("raw_invoice_lines", [], """
   SELECT l_orderkey, l_linenumber, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS amt,
          MAX(l_returnflag) AS rf, MAX(l_linestatus) AS ls
@@ -124,81 +121,88 @@ cte("stg_invoices", ["raw_invoices", "raw_subscriptions"], """
   FROM (SELECT *, TRY_CAST(NULLIF(amount, '') AS DECIMAL(18,2)) AS a FROM raw_invoices) i""")
 
 # ------------------------------------------------------- intermediate layer
+# Months are counted as integers (year * 12 + month - 1): a subscription is
+# active in month x when opened <= x <= closed, and nothing else is needed.
+AS_OF_X = 2001 * 12 + 7
+_NEVER = 1 << 30
+
+
+def _x(day: str) -> str:
+    return f"(year({day}) * 12 + month({day}) - 1)"
+
+
+# Three disjoint cases: the end is known, has to be inferred, or is still to come.
 cte("effective_dates", ["stg_subscriptions", "stg_invoices"], """
-  SELECT s.subscription_id, s.customer_id, s.plan_name, s.monthly_price, s.status,
-         s.start_date, s.end_date,
-         COALESCE(s.end_date, CASE WHEN s.status = 'cancelled' THEN li.last_invoice_date END)
-           AS effective_end_date,
-         COALESCE(s.end_date IS NULL AND s.status = 'cancelled', FALSE) AS effective_end_date_is_inferred,
-         s.had_negative_price_defect, s.has_valid_customer
-  FROM stg_subscriptions s
-  LEFT JOIN (SELECT subscription_id, MAX(invoice_date) AS last_invoice_date
-             FROM stg_invoices GROUP BY subscription_id) li
-    ON li.subscription_id = s.subscription_id""")
-cte("month_spine", ["effective_dates"], f"""
-  SELECT CAST(UNNEST(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month_start
-  FROM (SELECT CAST(date_trunc('month', MIN(start_date)) AS TIMESTAMP) AS lo,
-               CAST({AS_OF_MONTH} AS TIMESTAMP) AS hi FROM effective_dates)""")
-cte("subscription_months", ["effective_dates", "month_spine"], """
-  SELECT s.subscription_id, s.customer_id, s.plan_name, s.monthly_price, m.month_start,
-         CAST(m.month_start + INTERVAL 1 MONTH AS DATE) AS month_end_exclusive
-  FROM effective_dates s JOIN month_spine m
-    ON s.start_date < CAST(m.month_start + INTERVAL 1 MONTH AS DATE)
-   AND (s.effective_end_date IS NULL OR s.effective_end_date >= m.month_start)""")
+  SELECT subscription_id, customer_id, plan_name, monthly_price, status, start_date, end_date,
+         end_date AS effective_end_date, FALSE AS effective_end_date_is_inferred,
+         had_negative_price_defect, has_valid_customer
+  FROM stg_subscriptions WHERE end_date IS NOT NULL
+  UNION ALL
+  SELECT subscription_id, customer_id, plan_name, monthly_price, status, start_date, NULL,
+         (SELECT MAX(billed.invoice_date) FROM stg_invoices billed
+          WHERE billed.subscription_id = stopped.subscription_id), TRUE,
+         had_negative_price_defect, has_valid_customer
+  FROM stg_subscriptions stopped WHERE end_date IS NULL AND status = 'cancelled'
+  UNION ALL
+  SELECT subscription_id, customer_id, plan_name, monthly_price, status, start_date, NULL, NULL, FALSE,
+         had_negative_price_defect, has_valid_customer
+  FROM stg_subscriptions WHERE end_date IS NULL AND status IS DISTINCT FROM 'cancelled'""")
+cte("active_windows", ["effective_dates"], f"""
+  SELECT *, {_x('start_date')} AS opened, COALESCE({_x('effective_end_date')}, {_NEVER}) AS closed
+  FROM effective_dates""")
+cte("calendar", ["active_windows"], f"""
+  SELECT CAST(x AS INTEGER) AS x, make_date(x // 12, x % 12 + 1, 1) AS month_start
+  FROM (SELECT UNNEST(range((SELECT MIN(opened) FROM active_windows), {AS_OF_X} + 1)) AS x)""")
+cte("subscription_months", ["active_windows", "calendar"], """
+  SELECT subscription_id, customer_id, plan_name, monthly_price, month_start,
+         CAST(last_day(month_start) + 1 AS DATE) AS month_end_exclusive
+  FROM calendar, active_windows WHERE x BETWEEN opened AND closed""")
 cte("mrr_by_month_plan", ["subscription_months"], """
   SELECT month_start, plan_name, CAST(SUM(monthly_price) AS DECIMAL(38,2)) AS mrr,
          COUNT(DISTINCT subscription_id) AS active_subscriptions
   FROM subscription_months GROUP BY month_start, plan_name""")
-cte("churn_base", ["subscription_months", "effective_dates"], """
-  WITH months AS (SELECT DISTINCT month_start FROM subscription_months),
-  active_start AS (
-    SELECT CAST(m.month_start + INTERVAL 1 MONTH AS DATE) AS month_start,
-           COUNT(DISTINCT mo.subscription_id) AS n, SUM(mo.monthly_price) AS p
-    FROM months m JOIN subscription_months mo ON mo.month_start = m.month_start
-    GROUP BY m.month_start),
-  churned AS (
-    SELECT CAST(date_trunc('month', effective_end_date) AS DATE) AS month_start,
-           COUNT(DISTINCT subscription_id) AS c, SUM(monthly_price) AS cp
-    FROM effective_dates WHERE status = 'cancelled' AND effective_end_date IS NOT NULL
-    GROUP BY 1)
-  SELECT m.month_start,
-         CAST(COALESCE(a.n, 0) AS BIGINT) AS active_subscriptions_start,
-         CAST(COALESCE(a.p, 0) AS DECIMAL(38,2)) AS mrr_start,
-         CAST(COALESCE(c.c, 0) AS BIGINT) AS churned_subscriptions,
-         CAST(COALESCE(c.cp, 0) AS DECIMAL(38,2)) AS churned_mrr
-  FROM months m LEFT JOIN active_start a ON a.month_start = m.month_start
-  LEFT JOIN churned c ON c.month_start = m.month_start""")
+# One count per month over all windows: open in the month before, and cancelled in this one.
+cte("churn_base", ["active_windows", "calendar"], f"""
+  SELECT month_start,
+         COUNT(subscription_id) FILTER (WHERE was_open) AS active_subscriptions_start,
+         CAST(COALESCE(SUM(monthly_price) FILTER (WHERE was_open), 0) AS DECIMAL(38,2)) AS mrr_start,
+         COUNT(subscription_id) FILTER (WHERE left_now) AS churned_subscriptions,
+         CAST(COALESCE(SUM(monthly_price) FILTER (WHERE left_now), 0) AS DECIMAL(38,2)) AS churned_mrr
+  FROM (SELECT month_start, subscription_id, monthly_price, x BETWEEN opened AND closed AS is_open,
+               x - 1 BETWEEN opened AND closed AS was_open, status = 'cancelled' AND closed = x AS left_now
+        FROM calendar, active_windows)
+  GROUP BY month_start HAVING BOOL_OR(is_open)""")
 cte("churn_rates", ["churn_base"], f"""
   SELECT month_start, active_subscriptions_start, churned_subscriptions,
          {_rate_sql('churned_subscriptions', 'active_subscriptions_start')} AS subscription_churn_rate,
          mrr_start, churned_mrr,
-         {_rate_sql('churned_mrr', 'mrr_start', 100)} AS mrr_churn_rate
+         {_rate_sql('(churned_mrr * 100)', '(mrr_start * 100)')} AS mrr_churn_rate
   FROM churn_base""")
 cte("customer_revenue", ["stg_invoices", "stg_subscriptions"], """
-  SELECT s.customer_id, COUNT(DISTINCT s.subscription_id) AS subscription_count,
-         COUNT(*) AS invoice_count,
-         CAST(SUM(CASE WHEN i.status = 'paid' THEN i.amount_eur ELSE 0 END) AS DECIMAL(38,2)) AS total_paid_eur,
-         CAST(SUM(CASE WHEN i.status = 'open' THEN i.amount_eur ELSE 0 END) AS DECIMAL(38,2)) AS total_open_eur,
-         CAST(SUM(CASE WHEN i.status = 'failed' THEN i.amount_eur ELSE 0 END) AS DECIMAL(38,2)) AS total_failed_eur
-  FROM stg_invoices i JOIN stg_subscriptions s ON s.subscription_id = i.subscription_id
-  GROUP BY s.customer_id""")
-cte("subscription_summary", ["effective_dates"], """
-  SELECT customer_id, string_agg(DISTINCT plan_name, ', ' ORDER BY plan_name) AS plan_mix,
-         MAX(CASE WHEN rk = 1 THEN status END) AS current_subscription_status
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id
-                                     ORDER BY start_date DESC NULLS FIRST,
-                                              subscription_id DESC NULLS FIRST) AS rk
-        FROM effective_dates WHERE has_valid_customer)
+  SELECT customer_id, COUNT(DISTINCT subscription_id) AS subscription_count, CAST(SUM(n) AS BIGINT) AS invoice_count,
+         CAST(SUM(IF(paid_as = 'paid', eur, 0)) AS DECIMAL(38,2)) AS total_paid_eur,
+         CAST(SUM(IF(paid_as = 'open', eur, 0)) AS DECIMAL(38,2)) AS total_open_eur,
+         CAST(SUM(IF(paid_as = 'failed', eur, 0)) AS DECIMAL(38,2)) AS total_failed_eur
+  FROM (SELECT subscription_id, status AS paid_as, COUNT(*) AS n, SUM(amount_eur) AS eur
+        FROM stg_invoices GROUP BY ALL)
+  JOIN (SELECT subscription_id, customer_id FROM stg_subscriptions) USING (subscription_id)
   GROUP BY customer_id""")
-cte("customer_ltv", ["stg_customers", "customer_revenue", "subscription_summary"], """
-  SELECT c.customer_id, c.customer_name, c.country, ss.plan_mix, ss.current_subscription_status,
-         CAST(COALESCE(r.subscription_count, 0) AS BIGINT) AS subscription_count,
-         CAST(COALESCE(r.total_paid_eur, 0) AS DECIMAL(38,2)) AS ltv,
-         CAST(COALESCE(r.total_open_eur, 0) AS DECIMAL(38,2)) AS pending_revenue_eur,
-         CAST(COALESCE(r.total_failed_eur, 0) AS DECIMAL(38,2)) AS failed_revenue_eur
-  FROM stg_customers c
-  LEFT JOIN customer_revenue r ON r.customer_id = c.customer_id
-  LEFT JOIN subscription_summary ss ON ss.customer_id = c.customer_id""")
+# The latest subscription comes first in the ordered list; one without a start is the latest of all.
+_PLANS_OF = "NULLIF(array_to_string(list_sort(list_distinct(list(plan_name))), ', '), '')"
+_LATEST_STATUS = "first({s}.status ORDER BY {s}.start_date DESC NULLS FIRST, {s}.subscription_id DESC NULLS FIRST)"
+cte("subscription_summary", ["stg_subscriptions"], f"""
+  SELECT customer_id, {_PLANS_OF} AS plan_mix, {_LATEST_STATUS.format(s='own')} AS current_subscription_status
+  FROM stg_subscriptions own WHERE has_valid_customer GROUP BY customer_id""")
+cte("customer_ltv", ["stg_customers", "stg_subscriptions", "stg_invoices"], f"""
+  SELECT customer_id, customer_name, country, {_PLANS_OF} AS plan_mix,
+         {_LATEST_STATUS.format(s='own')} AS current_subscription_status,
+         COUNT(DISTINCT billed.subscription_id) AS subscription_count,
+         CAST(COALESCE(SUM(amount_eur) FILTER (WHERE billed.status = 'paid'), 0) AS DECIMAL(38,2)) AS ltv,
+         CAST(COALESCE(SUM(amount_eur) FILTER (WHERE billed.status = 'open'), 0) AS DECIMAL(38,2)) AS pending_revenue_eur,
+         CAST(COALESCE(SUM(amount_eur) FILTER (WHERE billed.status = 'failed'), 0) AS DECIMAL(38,2)) AS failed_revenue_eur
+  FROM stg_customers LEFT JOIN stg_subscriptions own USING (customer_id)
+  LEFT JOIN stg_invoices billed ON billed.subscription_id = own.subscription_id
+  GROUP BY customer_id, customer_name, country""")
 
 
 def _order(names: list[str]) -> list[str]:
@@ -243,73 +247,117 @@ register("mrr_from_grain", select_all("mrr_by_month_plan"))
 
 
 # ------------------------------------------------------- data-quality checks
-def _sql_lit(v) -> str:
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return str(v)
-
-
-_DQ_ROWS_SQL = {
-    "no_invoices_after_subscription_end": """
-      SELECT COUNT(*) FROM stg_invoices i JOIN stg_subscriptions s ON i.subscription_id = s.subscription_id
-      WHERE s.end_date IS NOT NULL AND i.invoice_date > s.end_date""",
-}
-
-
-def _dq_failures_sql(ch) -> tuple[str, list[str]]:
-    m, c = ch.model, ch.column
-    if ch.kind == "unique":
-        return (f"SELECT COUNT(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} "
-                f"HAVING COUNT(*) > 1)"), [m]
-    if ch.kind == "unique_combination":
-        cols = ", ".join(ch.columns)
-        return f"SELECT COUNT(*) FROM (SELECT {cols} FROM {m} GROUP BY {cols} HAVING COUNT(*) > 1)", [m]
-    if ch.kind == "not_null":
-        return f"SELECT COUNT(*) FROM {m} WHERE {c} IS NULL", [m]
-    if ch.kind == "accepted_values":
-        vals = ", ".join(_sql_lit(v) for v in ch.values)
-        return f"SELECT COUNT(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) WHERE {c} NOT IN ({vals})", [m]
-    if ch.kind == "relationships":
-        return (f"SELECT COUNT(*) FROM {m} ch LEFT JOIN {ch.to_model} pa ON ch.{c} = pa.{ch.to_field} "
-                f"WHERE ch.{c} IS NOT NULL AND pa.{ch.to_field} IS NULL"), [m, ch.to_model]
-    if ch.kind == "not_future_date":
-        return f"SELECT COUNT(*) FROM {m} WHERE {c} > {AS_OF}", [m]
-    if ch.kind == "flag_equals":
-        return f"SELECT COUNT(*) FROM {m} WHERE {c} != {_sql_lit(ch.values[0])} OR {c} IS NULL", [m]
-    if ch.kind == "expression":
-        return f"SELECT COUNT(*) FROM {m} WHERE {ch.predicate}", [m]
-    if ch.kind == "row_count_matches":
-        return (f"SELECT CASE WHEN (SELECT COUNT(DISTINCT {ch.to_field}) FROM {ch.to_model}) != "
-                f"(SELECT COUNT(*) FROM {m}) THEN 1 ELSE 0 END"), [m, ch.to_model]
-    if ch.kind == "rows":
-        return _DQ_ROWS_SQL[ch.check_name], [m, "stg_subscriptions"]
-    raise ValueError(ch.kind)
-
-
-def dq_sql(checks) -> str:
-    selects, needed = [], []
-    for ch in checks:
-        body, deps = _dq_failures_sql(ch)
-        needed += [d for d in deps if d not in needed]
-        col = ch.column or ",".join(ch.columns) or None
-        selects.append(
-            f"SELECT {_sql_lit(ch.check_name)} AS check_name, {_sql_lit(ch.model)} AS model, "
-            f"{_sql_lit(ch.kind)} AS kind, {('NULL' if col is None else _sql_lit(col))} AS column_name, "
-            f"{_sql_lit(ch.severity)} AS severity, CAST(({body}) AS BIGINT) AS failures")
-    final = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
-             "ELSE 'error' END AS status FROM (\n" + "\nUNION ALL\n".join(selects) + ")")
-    return with_ctes(needed, final)
-
-
-def _register_dq() -> None:
-    from ledgerline.plans.checks import column_checks, singular_checks
-    register("dq_column_checks", dq_sql(column_checks()))
-    register("dq_singular_checks", dq_sql(singular_checks()))
-
-
-_register_dq()
+# The expected suite, written here once more in SQL and not read from the
+# library's list: a check that is wrong or missing there shows as a difference.
+_STATUS = "'active', 'cancelled', 'paused'"
+
+
+def _rows(model: str, where: str) -> str:
+    return f"SELECT COUNT(*) FROM {model} WHERE {where}"
+
+
+def _repeated(model: str, columns: str, where: str = "TRUE") -> str:
+    return f"SELECT COUNT(*) FROM (SELECT {columns} FROM {model} WHERE {where} GROUP BY {columns} HAVING COUNT(*) > 1)"
+
+
+def _unique(model: str, c: str) -> str:
+    return _repeated(model, c, f"{c} IS NOT NULL")
+
+
+def _foreign(model: str, c: str, allowed: str) -> str:
+    return f"SELECT COUNT(DISTINCT {c}) FROM {model} WHERE {c} NOT IN ({allowed})"
+
+
+def _homeless(model: str, c: str, parent: str) -> str:
+    return f"SELECT COUNT(*) FROM {model} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {parent} WHERE {c} IS NOT NULL)"
+
+
+def _suite(entries: list[tuple]) -> str:
+    """(name or None, model, kind, column, severity, SQL that counts the failures) per check."""
+    selects = [f"SELECT '{name or f'{kind}_{model}_{column}'}' AS check_name, '{model}' AS model, '{kind}' AS kind, "
+               f"{repr(column) if column else 'NULL'} AS column_name, '{severity}' AS severity, "
+               f"CAST(({failures}) AS BIGINT) AS failures" for name, model, kind, column, severity, failures in entries]
+    models = [e[1] for e in entries] + ["stg_subscriptions", "stg_customers", "raw_customers"]
+    used = [m for m in dict.fromkeys(models) if m in [e[1] for e in entries] or any(m in e[5] for e in entries)]
+    return with_ctes(used, "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+                     "ELSE 'error' END AS status FROM (\n" + "\nUNION ALL\n".join(selects) + ")")
+
+
+def _required(model: str, c: str) -> tuple:
+    return None, model, "not_null", c, "error", _rows(model, f"{c} IS NULL")
+
+
+def _single(model: str, c: str) -> tuple:
+    return None, model, "unique", c, "error", _unique(model, c)
+
+
+def _flagged(model: str, c: str, failing: str) -> tuple:
+    return None, model, "flag_equals", c, "warn", _rows(model, f"COALESCE({c}, {failing}) = {failing}")
+
+
+register("dq_column_checks", _suite([
+    _single("stg_customers", "customer_id"),
+    _required("stg_customers", "customer_id"),
+    _required("stg_customers", "customer_name"),
+    (None, "stg_customers", "not_future_date", "created_at", "warn",
+     _rows("stg_customers", "created_at > DATE '2001-08-31'")),
+    _single("stg_subscriptions", "subscription_id"),
+    _required("stg_subscriptions", "subscription_id"),
+    _required("stg_subscriptions", "customer_id"),
+    (None, "stg_subscriptions", "relationships", "customer_id", "warn",
+     _homeless("stg_subscriptions", "customer_id", "stg_customers")),
+    _required("stg_subscriptions", "monthly_price"),
+    _flagged("stg_subscriptions", "had_negative_price_defect", "TRUE"),
+    _flagged("stg_subscriptions", "has_valid_customer", "FALSE"),
+    (None, "stg_subscriptions", "accepted_values", "status", "error", _foreign("stg_subscriptions", "status", _STATUS)),
+    _single("stg_invoices", "invoice_id"),
+    _required("stg_invoices", "invoice_id"),
+    _required("stg_invoices", "subscription_id"),
+    (None, "stg_invoices", "relationships", "subscription_id", "warn",
+     _homeless("stg_invoices", "subscription_id", "stg_subscriptions")),
+    _flagged("stg_invoices", "had_missing_amount_defect", "TRUE"),
+    _flagged("stg_invoices", "had_negative_amount_defect", "TRUE"),
+    _flagged("stg_invoices", "has_valid_subscription", "FALSE"),
+    (None, "stg_invoices", "accepted_values", "status", "error", _foreign("stg_invoices", "status", "'paid', 'failed', 'open'")),
+    (None, "stg_invoices", "accepted_values", "currency", "error", _foreign("stg_invoices", "currency", "'EUR', 'SEK'")),
+    _single("effective_dates", "subscription_id"),
+    _required("effective_dates", "subscription_id"),
+    _required("subscription_months", "month_start"),
+    _single("customer_revenue", "customer_id"),
+    _single("churn_base", "month_start"),
+    _single("subscription_summary", "customer_id"),
+    _required("subscription_summary", "customer_id"),
+    (None, "subscription_summary", "accepted_values", "current_subscription_status", "error",
+     _foreign("subscription_summary", "current_subscription_status", _STATUS)),
+    _required("mrr_by_month_plan", "month_start"),
+    _required("mrr_by_month_plan", "plan_name"),
+    (None, "mrr_by_month_plan", "accepted_values", "plan_name", "error",
+     _foreign("mrr_by_month_plan", "plan_name", "'starter', 'growth', 'scale'")),
+    _required("mrr_by_month_plan", "mrr"),
+    _single("customer_ltv", "customer_id"),
+    _required("customer_ltv", "customer_id"),
+    (None, "customer_ltv", "accepted_values", "current_subscription_status", "warn",
+     _foreign("customer_ltv", "current_subscription_status", _STATUS)),
+    _required("customer_ltv", "ltv"),
+    _single("churn_rates", "month_start"),
+    _required("churn_rates", "month_start"),
+]))
+register("dq_singular_checks", _suite([
+    ("subscription_starts_before_it_ends", "stg_subscriptions", "expression", None, "error",
+     _rows("stg_subscriptions", "start_date > end_date")),
+    ("active_window_starts_before_it_ends", "effective_dates", "expression", None, "error",
+     _rows("effective_dates", "start_date > effective_end_date")),
+    ("billing_stops_with_the_subscription", "stg_invoices", "rows", None, "error",
+     "SELECT COUNT(*) FROM stg_invoices JOIN stg_subscriptions USING (subscription_id) WHERE end_date < invoice_date"),
+    ("mrr_is_zero_or_more", "mrr_by_month_plan", "expression", None, "error", _rows("mrr_by_month_plan", "mrr < 0")),
+    ("ltv_is_zero_or_more", "customer_ltv", "expression", None, "error", _rows("customer_ltv", "ltv < 0")),
+    ("churn_rates_are_shares", "churn_rates", "expression", None, "error",
+     _rows("churn_rates", "subscription_churn_rate NOT BETWEEN 0 AND 1 OR mrr_churn_rate NOT BETWEEN 0 AND 1")),
+    ("each_raw_customer_is_cleaned_once", "stg_customers", "row_count_matches", None, "error",
+     "SELECT CAST((SELECT COUNT(*) FROM stg_customers) <> (SELECT COUNT(DISTINCT customer_id) FROM raw_customers) AS INTEGER)"),
+    ("cancelled_windows_are_closed", "effective_dates", "expression", None, "warn",
+     _rows("effective_dates", "status = 'cancelled' AND effective_end_date IS NULL")),
+]))
 
 
 # ---------------------------------------------------- incremental + history
@@ -401,17 +449,14 @@ register("existence_flag", """
   FROM orders o""")
 
 
-def _register_unique_combination() -> None:
-    from ledgerline.operators.quality import Check
-    checks = [Check("unique_combination", "lineitem", columns=("l_orderkey", "l_linenumber")),
-              Check("unique_combination", "orders", columns=("o_custkey", "o_orderdate"), severity="warn"),
-              Check("unique", "documents", "text", severity="warn"),
-              Check("unique", "events", "event_id")]
-    # These models are the pre-registered views themselves.
-    register("dq_unique_combination", dq_sql(checks))
-
-
-_register_unique_combination()
+register("dq_unique_combination", _suite([
+    ("unique_combination_lineitem_l_orderkey_l_linenumber", "lineitem", "unique_combination", "l_orderkey,l_linenumber",
+     "error", _repeated("lineitem", "l_orderkey, l_linenumber")),
+    ("unique_combination_orders_o_custkey_o_orderdate", "orders", "unique_combination", "o_custkey,o_orderdate",
+     "warn", _repeated("orders", "o_custkey, o_orderdate")),
+    (None, "documents", "unique", "text", "warn", _unique("documents", "text")),
+    (None, "events", "unique", "event_id", "error", _unique("events", "event_id")),
+]))
 
 _PROFILE_METRICS = {
     "null": "{c} IS NULL",

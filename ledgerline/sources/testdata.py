@@ -19,9 +19,6 @@ from ledgerline.sources.raw import add_updated_at
 # Fixed as-of date for every query over the test data (the data ends 2001-08).
 TEST_AS_OF = _dt.date(2001, 8, 31)
 
-# Offset for the row ids of planted exact copies.
-COPY_OFFSET = 10_000_000
-
 
 _SCHEMAS: dict[str, object] = {}
 
@@ -35,12 +32,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def copy_offsets(k: F.Column, every: int) -> F.Column:
-    """Row-id offsets for landing a row: [0], plus a planted exact copy under
-    id + COPY_OFFSET for every ``every``-th key.  Exploding this array makes
-    the copies in the same scan (a union would read the source twice)."""
-    return F.when(k % every == 0, F.array(F.lit(0).cast("long"), F.lit(COPY_OFFSET).cast("long"))) \
-            .otherwise(F.array(F.lit(0).cast("long")))
+def landed_ids(k: F.Column, every: int) -> F.Column:
+    """Row ids under which key ``k`` lands: [2k], and 2k + 1 too (a planted exact
+    copy) for every ``every``-th key, so no copy can meet another key's id.
+    Exploding this array makes the copies in the same scan (a union would
+    read the source twice)."""
+    first = (k * 2).cast("long")
+    return F.when(k % every == 0, F.array(first, first + 1)).otherwise(F.array(first))
 
 
 def _day_text(base: F.Column, days: F.Column) -> F.Column:
@@ -53,9 +51,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
     landed = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-              .select(F.explode(copy_offsets(k, 50)).alias("_off"), "*"))
+              .select(F.explode(landed_ids(k, 50)).alias("_row_id"), "*"))
     out = landed.select(
-        (k + F.col("_off")).alias("_row_id"),
+        "_row_id",
         F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")).alias("email"),
@@ -78,8 +76,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     end_date = (F.when((F.col("o_orderstatus") != "F") | (k % 83 == 0), F.lit(""))
                 .when(k % 89 == 0, F.date_sub(start, 10).cast("string"))
                 .otherwise(_day_text(start, F.lit(30) + k % 700)))
-    out = o.select(F.explode(copy_offsets(k, 101)).alias("_off"), "*").select(
-        (k + F.col("_off")).alias("_row_id"),
+    out = o.select(F.explode(landed_ids(k, 101)).alias("_row_id"), "*").select(
+        "_row_id",
         F.concat(F.lit("S"), k.cast("string")).alias("subscription_id"),
         F.when(k % 211 == 0, F.lit("C-orphan"))
          .otherwise(F.concat(F.lit("C"), F.col("o_custkey").cast("string"))).alias("customer_id"),
