@@ -14,7 +14,9 @@ those pieces are the join key, the longer budgets prune inside a bucket and
 the full bit distance decides.  A bucket of distinct fingerprints is compared
 in blocks, or, when large, by enumerating the few bit flips its budgets allow,
 so the work per fingerprint is bounded.  A bucket returns a spanning forest of
-its links, never all pairs.
+its links, never all pairs.  A bucket of more than ``bucket`` fingerprints is never
+gathered: its flips are looked up among all fingerprints by a join on the whole
+fingerprint, which finds the same links spread over all tasks.
 
 Edge cases: NULL or empty text has fingerprint 0 and links like any other;
 rows with a NULL id get a fingerprint but no component and lend no id to one;
@@ -38,6 +40,7 @@ from ledgerline.llm.components import connected_components
 SHINGLE = 3
 MAX_BITS = 2
 SEGMENTS = 5
+BUCKET = 1 << 16  # fingerprints of a bucket that one task compares
 _U = np.uint64
 _PIECE = 1 << 16  # shingle hashes folded into the bit counts at a time
 
@@ -139,7 +142,17 @@ def spanning_links(fps: np.ndarray, chain: list[tuple[int, int]], flips: np.ndar
     return np.array(src, dtype=_U), np.array(dst, dtype=_U)
 
 
-def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+def _flipped_links(members: DataFrame, distinct: DataFrame, flips: list[np.ndarray]) -> DataFrame:
+    """Links of (ring, fp) members, each flip met with the ``distinct`` prints by a
+    join.  The flips, a few thousand fixed numbers at most, are broadcast."""
+    table = members.sparkSession.createDataFrame(
+        [(ring, int(f)) for ring, own in enumerate(flips) for f in own.view(np.int64)], "ring int, flip long")
+    other = members.join(F.broadcast(table), "ring") \
+        .select(F.col("fp").alias("src"), F.col("fp").bitwiseXOR(F.col("flip")).alias("dst")).where("src < dst")
+    return other.join(distinct.select(F.col("fp").alias("dst")), "dst", "left_semi").select("src", "dst")
+
+
+def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, bucket: int = BUCKET) -> DataFrame:
     """(src, dst) links that connect every pair of ``fp`` values (distinct,
     long) at most ``max_bits`` bits apart."""
     key_masks, chains = [], []
@@ -153,8 +166,11 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SE
     keyed = distinct.select("fp", F.inline(tables))
     flips = [allowed_flips(c, max_bits) for c in chains]
 
+    large = staged(keyed.groupBy("ring", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket)
+                   .select("ring", "key"), "simhash-large")
     # single-member buckets have no links: drop them before Python
-    sized = keyed.groupBy("ring", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    sized = keyed.join(large, ["ring", "key"], "left_anti") \
+        .groupBy("ring", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
 
     def link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,18 +184,21 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SE
                 dst.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(src).view(np.int64)),
                                               pa.array(np.concatenate(dst).view(np.int64))], names=["src", "dst"])
-    return sized.select("ring", "fps").mapInArrow(link_rows, "src long, dst long")
+    gathered = sized.select("ring", "fps").mapInArrow(link_rows, "src long, dst long")
+    if large.isEmpty():
+        return gathered
+    return gathered.unionByName(_flipped_links(keyed.join(large, ["ring", "key"], "left_semi"), distinct, flips))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    segments: int = SEGMENTS) -> DataFrame:
+                    segments: int = SEGMENTS, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, fp, component_id, n_links): ``component_id`` is the smallest id
     reachable over links of fingerprints at most ``max_bits`` bits apart;
     ``n_links`` the number of other rows with the same component."""
     prints = staged(fingerprints(docs, shingle), "simhash-prints")
     distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")),
                       "simhash-distinct")
-    links = staged(near_links(distinct.select("fp"), max_bits, segments).distinct(), "simhash-links")
+    links = staged(near_links(distinct.select("fp"), max_bits, segments, bucket).distinct(), "simhash-links")
     roots = connected_components(links)
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first_id", "rows", F.coalesce("root", "fp").alias("root"))

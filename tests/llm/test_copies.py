@@ -133,6 +133,13 @@ def test_simhash(docs, rows, bits):
     assert Counter((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in got) == want
 
 
+def test_simhash_buckets_too_large_for_a_task(docs):
+    def run(**options):
+        return Counter((r.doc_id, r.fp, r.component_id, r.n_links)
+                       for r in simhash.near_duplicates(docs, **options).collect())
+    assert run(bucket=1) == run()
+
+
 def test_simhash_links_by_blocks_and_by_flips_agree():
     rng = np.random.default_rng(1)
     centre = rng.integers(0, 1 << 63, 3).astype(np.uint64)
