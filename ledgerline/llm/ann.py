@@ -11,9 +11,11 @@ added back from the neighbours and pruned alike.  A second pass over all nodes
 with the relaxed ``alpha`` adds the diverse long edges.  The index is a table of shards.
 
 A query beam-searches every shard; distances of what it finds are exact
-(double precision on the original vectors), ties go to the smaller id.
+(double precision on the original vectors), ties go to the smaller id.  The queries
+meet a shard in blocks of about ``query_block``, so neither a shard nor the set
+of queries has to be in one task whole.
 
-Edge cases: rows whose id is NULL or whose vector is NULL, empty, zero, or
+Vectors are read as single-precision floats.  Edge cases: rows whose id is NULL or whose vector is NULL, empty, zero, or
 holds a NULL or non-finite component take no part; vectors of different
 lengths never meet; a repeated (id, vector) row counts once; a query's own id is never
 an answer; with fewer than k candidates all of them are returned.
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import staged
 
 DEGREE, SLACK, BEAM, QUERY_BEAM, ALPHA, SHARD_SIZE = 24, 8, 64, 160, 1.2, 4096
+QUERY_BLOCK = 8192
 _BATCH, _EXPAND = 256, 4
 
 
@@ -195,7 +198,8 @@ def build_index(rows: DataFrame, k: int, shard_size: int = SHARD_SIZE, degree: i
     return staged(index, "ann-index"), shards
 
 
-def search(index: DataFrame, shards: int, queries: DataFrame, k: int, beam: int = QUERY_BEAM) -> DataFrame:
+def search(index: DataFrame, shards: int, queries: DataFrame, k: int, beam: int = QUERY_BEAM,
+           query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found."""
     def probe(shard: pa.Table, asked: pa.Table) -> pa.Table:
         q_ids, out_id, score = [], [], []
@@ -225,15 +229,19 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, beam: int
         return pa.table({"query_id": pa.array(q_ids, pa.int64()), "vec_id": pa.array(out_id, pa.int64()),
                          "score": pa.array(score, pa.float64())})
 
+    blocks = max(1, -(-queries.count() // query_block))
     asked = queries.select("vec_id", "embedding", F.size("embedding").alias("dim"),
+                           F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).cast("int").alias("block"),
                            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    found = index.groupBy("shard", "dim").cogroup(asked.groupBy("shard", "dim")) \
+    met = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = met.groupBy("shard", "dim", "block").cogroup(asked.groupBy("shard", "dim", "block")) \
         .applyInArrow(probe, "query_id long, vec_id long, score double").distinct()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 10, query_beam: int = QUERY_BEAM, **options) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 10, query_beam: int = QUERY_BEAM,
+            query_block: int = QUERY_BLOCK, **options) -> DataFrame:
     rows = staged(usable(vectors), "ann-rows")
     index, shards = build_index(rows, k, **options)
-    return search(index, shards, rows.where(is_query), k, query_beam)
+    return search(index, shards, rows.where(is_query), k, query_beam, query_block)

@@ -131,6 +131,7 @@ def test_neighbour_recall_over_shards(spark):
     v[300:800] = v[300]  # a third of all rows share one vector
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
     got = ann.nearest(df, F.col("vec_id") % 50 == 0, shard_size=300).collect()
+    assert sorted(got) == sorted(ann.nearest(df, F.col("vec_id") % 50 == 0, shard_size=300, query_block=7).collect())
     found, d = {}, v.astype(np.float64)
     for r in got:
         found.setdefault(r.query_id, set()).add(r.vec_id)
