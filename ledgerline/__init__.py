@@ -10,7 +10,7 @@ Everything is DataFrame / Spark SQL; every time-dependent result takes an
 explicit ``as_of`` date.
 """
 
-from ledgerline.session import checkpoint, get_session, scale_conf, scratch_dir
+from ledgerline.session import get_session, scale_conf, scratch_dir, stored
 
 
 def __getattr__(name):
@@ -24,4 +24,4 @@ def __getattr__(name):
     raise AttributeError(name)
 
 
-__all__ = ["BillingModels", "checkpoint", "get_session", "run", "scale_conf", "scratch_dir"]
+__all__ = ["BillingModels", "stored", "get_session", "run", "scale_conf", "scratch_dir"]

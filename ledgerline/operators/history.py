@@ -9,12 +9,17 @@ disappear from the source are not closed (no delete tracking).
 
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators.dedup import keep_latest
+from ledgerline.operators.incremental import WatermarkStore
+from ledgerline.session import drop_path
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -35,6 +40,23 @@ def _open_versions(rows: DataFrame, keys: list[str], updated_at: str) -> DataFra
             .withColumn(VERSION_ID, F.xxhash64(*[F.col(k) for k in keys], F.col(updated_at))))
 
 
+def _stepped(current: DataFrame | None, snapshot: DataFrame, keys: list[str], updated_at: str) -> DataFrame:
+    """The rows a run closes (``valid_to`` set) and all current ones, from one join."""
+    rest = [c for c in snapshot.columns if c not in (*keys, updated_at)]
+    snap = keep_latest(snapshot, keys, updated_at, rest)  # equal timestamps: decided by the whole row
+    opened = _open_versions(snap, keys, updated_at)
+    if current is None:
+        return opened
+    cols = current.columns
+    met = (current.select(*keys, F.struct(*cols).alias("_cur"))
+           .join(opened.select(*keys, F.struct(*cols).alias("_new")), keys, "full_outer"))
+    cur, new = F.col("_cur"), F.col("_new")
+    rows = (F.when(cur.isNull(), F.array(new))
+            .when(new[updated_at] > cur[updated_at], F.array(cur.withField(VALID_TO, new[updated_at]), new))
+            .otherwise(F.array(cur)))
+    return met.select(F.inline(rows)).select(*cols)
+
+
 def scd2_step(current: DataFrame | None, snapshot: DataFrame, keys: list[str] | str,
               updated_at: str) -> HistoryDelta:
     """Apply one snapshot to the *current* versions only (one per key).
@@ -43,35 +65,59 @@ def scd2_step(current: DataFrame | None, snapshot: DataFrame, keys: list[str] |
     rewritten.  If a snapshot carries several rows per key, only the latest
     is taken (chain intermediate versions by feeding them as separate runs).
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in snapshot.columns if c not in (*keys, updated_at)]
-    snap = keep_latest(snapshot, keys, updated_at, rest)  # equal timestamps: decided by the whole row
-    if current is None:
-        empty = _open_versions(snap, keys, updated_at).limit(0)
-        return HistoryDelta(closed_now=empty, current=_open_versions(snap, keys, updated_at))
-    src = snap.select(*keys, F.col(updated_at).alias("_src_ts"))
-    j = current.join(src, keys, "left")
-    changed = F.col("_src_ts") > F.col(updated_at)
-    closed_now = j.where(changed).withColumn(VALID_TO, F.col("_src_ts")).drop("_src_ts")
-    still_open = j.where(~F.coalesce(changed, F.lit(False))).drop("_src_ts")
-    cur_ts = current.select(*keys, F.col(updated_at).alias("_cur_ts"))
-    fresh = (snap.join(cur_ts, keys, "left")
-             .where(F.col("_cur_ts").isNull() | (F.col(updated_at) > F.col("_cur_ts")))
-             .drop("_cur_ts"))
-    opened = _open_versions(fresh, keys, updated_at)
-    return HistoryDelta(closed_now=closed_now.select(*current.columns),
-                        current=still_open.unionByName(opened).select(*current.columns))
+    rows = _stepped(current, snapshot, [keys] if isinstance(keys, str) else list(keys), updated_at)
+    return HistoryDelta(closed_now=rows.where(F.col(VALID_TO).isNotNull()), current=rows.where(F.col(VALID_TO).isNull()))
 
 
 def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: list[str] | str,
                updated_at: str) -> DataFrame:
     """Whole-history form: closed history ∪ closed-now ∪ current."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     if history is None:
-        return scd2_step(None, snapshot, keys, updated_at).current
-    closed = history.where(F.col(VALID_TO).isNotNull())
-    current = history.where(F.col(VALID_TO).isNull())
-    d = scd2_step(current, snapshot, keys, updated_at)
-    return closed.unionByName(d.closed_now).unionByName(d.current)
+        return _stepped(None, snapshot, keys, updated_at)
+    return history.where(F.col(VALID_TO).isNotNull()).unionByName(
+        _stepped(history.where(F.col(VALID_TO).isNull()), snapshot, keys, updated_at))
+
+
+class HistoryTable:
+    """A stored Type-2 history.  Run n writes one folder: the versions it closed
+    (kept for good, never read again by a run) and all current ones.  Its number
+    is committed last, so a run that fails leaves the history as it was and the
+    next one writes the folder anew.  The two latest current parts are kept."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, updated_at: str):
+        self.spark, self.root, self.updated_at = spark, root, updated_at
+        self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self.state = WatermarkStore(spark, os.path.join(root, "_state"))
+
+    def _committed(self) -> tuple[int, T.StructType | None]:
+        row = self.state.last("history")
+        if row is None:
+            return 0, None
+        info = json.loads(row["info"])
+        return info["run"], T.StructType.fromJson(info["schema"])
+
+    def _rows(self, run: int, schema: T.StructType, closed: bool) -> DataFrame:
+        parts = T.StructType([*schema.fields, T.StructField("_run", T.IntegerType()), T.StructField("_closed", T.IntegerType())])
+        wanted = (F.col("_closed") == 0) & (F.col("_run") == run)
+        if closed:
+            wanted = wanted | ((F.col("_closed") == 1) & (F.col("_run") <= run))
+        return self.spark.read.schema(parts).parquet(self.root).where(wanted).drop("_run", "_closed")
+
+    def read(self) -> DataFrame | None:
+        """All versions, closed and current; None before the first run."""
+        run, schema = self._committed()
+        return None if schema is None else self._rows(run, schema, closed=True)
+
+    def apply(self, snapshot: DataFrame) -> None:
+        run, schema = self._committed()
+        current = None if schema is None else self._rows(run, schema, closed=False)
+        rows = _stepped(current, snapshot, self.keys, self.updated_at)
+        (rows.withColumn("_closed", F.col(VALID_TO).isNotNull().cast("int")).write.mode("overwrite")
+         .partitionBy("_closed").parquet(os.path.join(self.root, f"_run={run + 1}")))
+        self.state.commit("history", None, {"run": run + 1, "schema": json.loads(rows.schema.json())})
+        if run > 1:
+            drop_path(self.spark, os.path.join(self.root, f"_run={run - 1}", "_closed=0"))
 
 
 def as_of(history: DataFrame, ts) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedup import keep_latest
-from ledgerline.session import read_if_exists
+from ledgerline.session import drop_path, read_if_exists
 from ledgerline.sources.raw import RAW_KEY
 
 
@@ -78,7 +78,7 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
     has another id, and both versions would stay.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if RAW_KEY in keys and dict(batch.dtypes).get(RAW_KEY) == "string":
+    if target is not None and RAW_KEY in keys and dict(batch.dtypes).get(RAW_KEY) == "string":
         raise ValueError(f"{RAW_KEY} is a content id: replace the table in full, or merge on a key of the source")
     if cursor:
         batch = keep_latest(batch, keys, cursor, tiebreak)
@@ -139,9 +139,11 @@ class VersionedTable:
     batch once (the watermark, the row counts and the merge all read that
     copy, so rows that arrive meanwhile wait for the next load), writes the
     merged table as a new version and commits pointer + watermark last: a
-    failed load leaves the previous version current and can simply re-run."""
+    failed load leaves the previous version current and can simply re-run.
+    The last ``keep`` versions stay readable; older ones are removed after a commit."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, cursor: str):
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, cursor: str, keep: int = 3):
+        self.keep = keep
         self.spark = spark
         self.root = root
         self.keys = [keys] if isinstance(keys, str) else list(keys)
@@ -160,7 +162,7 @@ class VersionedTable:
         return self.state.get("table")
 
     def _stage(self, batch: DataFrame) -> DataFrame:
-        path = os.path.join(self.root, f"_batch-{uuid.uuid4().hex[:12]}")
+        path = self._batch = os.path.join(self.root, f"_batch-{uuid.uuid4().hex[:12]}")
         batch.write.parquet(path)
         return self.spark.read.schema(batch.schema).parquet(path)
 
@@ -171,8 +173,12 @@ class VersionedTable:
         upsert(target, batch, self.keys, self.cursor, tiebreak).write.mode("overwrite").parquet(path)
         new_wm = next_watermark(batch, self.cursor, previous)
         self.state.commit("table", new_wm, {"version": version, **info})
-        return {"version": version, "watermark": new_wm, "loaded": batch.count(),
-                "rows": self.spark.read.parquet(path).count()}
+        report = {"version": version, "watermark": new_wm, "loaded": batch.count(),
+                  "rows": self.spark.read.parquet(path).count()}
+        if version > self.keep:
+            drop_path(self.spark, os.path.join(self.root, f"v={version - self.keep}"))
+        drop_path(self.spark, self._batch)
+        return report
 
     def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None,
               query: str = "") -> dict | None:

@@ -7,8 +7,8 @@ Severity ``warn`` reports and continues; ``error`` makes ``raise_on_error``
 fail after every check has run.
 
 Row-wise checks of one model (``not_null``, ``not_future_date``,
-``flag_equals``, ``expression``) and ``accepted_values`` are folded into a
-single aggregate pass over that model; set-based checks (``unique``,
+``flag_equals``, ``expression``) are folded into a single aggregate pass over
+that model, its ``accepted_values`` checks into another; set-based checks (``unique``,
 ``relationships``, ``unique_combination``, ``row_count_matches``, ``rows``)
 are each one aggregate.  The result is one lazy DataFrame.
 """
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import as_of_literal
 from ledgerline.operators.existence import orphans
 
-# Checks evaluated inside one aggregate pass per model.  accepted_values is a
-# distinct count of the invalid values, which Catalyst plans within the same
-# pass (partial aggregation on the value, so only distinct values shuffle).
-ROW_WISE = {"not_null", "not_future_date", "flag_equals", "expression", "accepted_values"}
+# Checks evaluated inside one aggregate pass per model.
+ROW_WISE = {"not_null", "not_future_date", "flag_equals", "expression"}
+# Texts longer than this are compared by their SHA-256 in ``unique``.
+LONG_TEXT = 64
 RESULT_COLUMNS = ["check_name", "model", "kind", "column_name", "severity", "failures", "status"]
 
 
@@ -71,9 +71,6 @@ def _failing_predicate(check: Check, as_of) -> Column:
 
 
 def _row_wise_count(check: Check, as_of) -> Column:
-    if check.kind == "accepted_values":
-        c = F.col(check.column)
-        return F.count_distinct(F.when(~c.isin(list(check.values)), c)).cast("long")
     return F.count_if(_failing_predicate(check, as_of)).cast("long")
 
 
@@ -85,16 +82,17 @@ def _count(df: DataFrame, check: Check) -> DataFrame:
 def _set_based(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame:
     df = resolve(check.model)
     if check.kind == "unique":
-        dup = (df.where(F.col(check.column).isNotNull()).groupBy(check.column).count()
+        value = F.col(check.column)
+        if dict(df.dtypes)[check.column] == "string":
+            # A long text is shuffled as its digest; no UTF-8 text starts with the byte FF.
+            digest = F.concat(F.unhex(F.lit("FF")), F.unhex(F.sha2(value.cast("binary"), 256)))
+            value = F.when(F.octet_length(value) > LONG_TEXT, digest).otherwise(value.cast("binary"))
+        dup = (df.select(value.alias("value")).where(F.col("value").isNotNull()).groupBy("value").count()
                .where(F.col("count") > 1))
         return _count(dup, check)
     if check.kind == "unique_combination":
         dup = df.groupBy(*check.columns).count().where(F.col("count") > 1)
         return _count(dup, check)
-    if check.kind == "accepted_values":
-        bad = (df.select(check.column).where(~F.col(check.column).isin(list(check.values)))
-               .distinct())
-        return _count(bad, check)
     if check.kind == "relationships":
         return _count(orphans(df.select(check.column), check.column,
                               resolve(check.to_model), check.to_field), check)
@@ -111,17 +109,33 @@ def _set_based(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind}")
 
 
+def _foreign_values(spark: SparkSession, df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All ``accepted_values`` checks of a model in one pass that emits only the
+    values out of their set; these are made distinct and counted per check."""
+    found = F.array(*[F.when(~F.col(ch.column).isin(list(ch.values)),
+                             F.struct(F.lit(ch.check_name).alias("check_name"), F.col(ch.column).cast("string").alias("value")))
+                      for ch in checks])
+    counts = (df.select(F.inline(F.filter(found, lambda x: x.isNotNull()))).distinct()
+              .groupBy("check_name").agg(F.count(F.lit(1)).cast("long").alias("n")))
+    names = spark.createDataFrame([(ch.check_name,) for ch in checks], "check_name string")
+    return names.join(counts, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0).cast("long")).alias("failures"))
+
+
 def run_checks(spark: SparkSession, checks: list[Check], resolve: Callable[[str], DataFrame],
                as_of) -> DataFrame:
     """Evaluate ``checks`` against models from ``resolve(name)``; one row per
     check: check_name, model, kind, column_name, severity, failures, status."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    accepted: dict[str, list[Check]] = {}
     for ch in checks:
         if ch.kind in ROW_WISE:
             by_model.setdefault(ch.model, []).append(ch)
+        elif ch.kind == "accepted_values":
+            accepted.setdefault(ch.model, []).append(ch)
         else:
             parts.append(_set_based(ch, resolve))
+    parts += [_foreign_values(spark, resolve(model), group) for model, group in accepted.items()]
     for model, group in by_model.items():
         df = resolve(model)
         counts = df.agg(*[_row_wise_count(ch, as_of).alias(f"c{i}") for i, ch in enumerate(group)])

@@ -105,7 +105,11 @@ def clean_invoices(raw: DataFrame, raw_subscriptions: DataFrame, rates=FIXED_EUR
     """Every invoice row (no dedup): amount ``abs()`` + flag, blank amount
     stays NULL + flag, EUR conversion, status normalised, orphan kept +
     ``has_valid_subscription`` flag against the raw subscriptions."""
-    typed = type_invoices(raw, rates)
+    return flag_invoices(type_invoices(raw, rates), raw_subscriptions)
+
+
+def flag_invoices(typed: DataFrame, raw_subscriptions: DataFrame) -> DataFrame:
+    """The subscription flag over typed invoices, however they were kept."""
     flagged = existence_flag(typed, "subscription_id", raw_subscriptions, "subscription_id",
                              "has_valid_subscription")
     return flagged.select(*INVOICE_COLUMNS)

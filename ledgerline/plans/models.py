@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.fx import FIXED_EUR_RATES
-from ledgerline.session import checkpoint
+from ledgerline.session import stored
 from ledgerline.operators import metrics, periods, staging
 from ledgerline.operators.existence import existence_flag
 
@@ -22,10 +22,10 @@ from ledgerline.operators.existence import existence_flag
 class BillingModels:
     def __init__(self, raw: dict[str, DataFrame], as_of, rates=FIXED_EUR_RATES,
                  materialize: bool | set[str] = False):
-        """``materialize=True`` checkpoints every model as it is first built
-        (reliable checkpoint into ``spark.checkpoint.dir``), so a job with many
-        consumers per model — the check suite, a full run — computes each
-        model once and reads it back with its lineage cut.  A set of names
+        """``materialize=True`` writes every model as it is first built (Parquet
+        under ``spark.checkpoint.dir``), so a job with many consumers per
+        model — the check suite, a full run — computes each model once and reads
+        back the columns it needs, with the lineage cut.  A set of names
         materialises only those (the widely shared ones)."""
         self.raw = raw
         self.as_of = as_of
@@ -34,7 +34,7 @@ class BillingModels:
 
     def _m(self, name: str, df: DataFrame) -> DataFrame:
         if self.materialize is True or (self.materialize and name in self.materialize):
-            return checkpoint(df)
+            return stored(df, name)
         return df
 
     # staging ---------------------------------------------------------------
@@ -68,7 +68,7 @@ class BillingModels:
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return self._m("stg_invoices", staging.clean_invoices(self.raw["invoices"], self.raw["subscriptions"], self.rates))
+        return self._m("stg_invoices", staging.flag_invoices(self.typed_invoices, self.raw["subscriptions"]))
 
     def _shared(self, name: str) -> bool:
         return self.materialize is True or bool(self.materialize and name in self.materialize)
@@ -81,6 +81,9 @@ class BillingModels:
     # intermediate ----------------------------------------------------------
     @cached_property
     def effective_dates(self) -> DataFrame:
+        if self._shared("stg_subscriptions"):  # written with its flag: nothing to derive again
+            return self._m("effective_dates", periods.effective_dates(self.stg_subscriptions, self._invoices_for_metrics())
+                           .select(*periods.EFFECTIVE_COLUMNS))
         # Join the invoice rollup while subscriptions are still hash-partitioned on
         # subscription_id (the dedup shuffle), then add the customer flag.
         eff = periods.effective_dates(staging.dedup_subscriptions(self.raw["subscriptions"]),
@@ -121,7 +124,7 @@ class BillingModels:
 
     @cached_property
     def mrr_running_sum(self) -> DataFrame:
-        return self._m("mrr_running_sum", metrics.mrr_running_sum(self.effective_core, self.as_of))
+        return self.mrr_by_month_plan  # the mart is this form
 
     @cached_property
     def churn_rates(self) -> DataFrame:

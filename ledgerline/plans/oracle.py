@@ -392,7 +392,7 @@ register("cursor_guard", with_ctes(["raw_customers", "raw_subscriptions", "raw_i
     for t in ("customers", "subscriptions", "invoices"))))
 cte("event_history", [], """
   WITH runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '2024-01-11'), (2, TIMESTAMP '2024-01-21'),
-                                      (3, TIMESTAMP '2024-02-01')) r(j, run_ts)),
+                                      (3, (SELECT CAST(MAX(ts) AS DATE) + 1 FROM events))) r(j, run_ts)),
   snaps AS (
     SELECT j, user_id, event_id, event_type, value, ts AS updated_at FROM (
       SELECT r.j, e.*, ROW_NUMBER() OVER (PARTITION BY r.j, e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rn
@@ -406,7 +406,7 @@ register("scd2_history", select_all("event_history"))
 register("point_in_time_state", with_ctes(["event_history"], """
   SELECT d.period_start, h.event_type, COUNT(*) AS users,
          CAST(SUM(CAST(h.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total
-  FROM (SELECT CAST(UNNEST(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY))
+  FROM (SELECT CAST(UNNEST(generate_series(TIMESTAMP '2024-01-01', (SELECT CAST(CAST(MAX(ts) AS DATE) + 1 AS TIMESTAMP) FROM events), INTERVAL 1 DAY))
                     AS DATE) AS period_start) d
   JOIN event_history h
     ON h.valid_from <= CAST(d.period_start AS TIMESTAMP)
@@ -494,12 +494,21 @@ register("source_freshness", with_ctes(["raw_customers", "raw_subscriptions", "r
     for t in ("customers", "subscriptions", "invoices"))))
 register("stream_sync_events", select_all("latest_event_per_user"))
 
-cte("subscription_history", ["stg_subscriptions"], """
+cte("subscription_history", ["stg_subscriptions", "stg_invoices"], """
   WITH runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '1997-01-01'), (2, TIMESTAMP '1999-01-01'),
                                       (3, TIMESTAMP '2001-09-01')) r(j, run_ts)),
+  prices AS (
+    SELECT subscription_id, plan_name, monthly_price, end_date, updated_at FROM stg_subscriptions
+    UNION ALL
+    SELECT subscription_id, plan_name, amount_eur, end_date, CAST(invoice_date AS TIMESTAMP)
+    FROM stg_invoices JOIN (SELECT subscription_id, plan_name, end_date FROM stg_subscriptions) USING (subscription_id)
+    WHERE amount_eur IS NOT NULL AND invoice_date IS NOT NULL),
   versions AS (
-    SELECT DISTINCT s.subscription_id, s.plan_name, s.monthly_price, s.end_date, s.updated_at
-    FROM stg_subscriptions s JOIN runs r ON s.updated_at < r.run_ts)
+    SELECT DISTINCT subscription_id, plan_name, monthly_price, end_date, updated_at
+    FROM (SELECT p.*, ROW_NUMBER() OVER (PARTITION BY j, subscription_id
+                                         ORDER BY updated_at DESC, monthly_price DESC NULLS LAST) AS place
+          FROM prices p JOIN runs r ON p.updated_at < r.run_ts)
+    WHERE place = 1)
   SELECT *, updated_at AS valid_from,
          LEAD(updated_at) OVER (PARTITION BY subscription_id ORDER BY updated_at) AS valid_to
   FROM versions""")

@@ -39,9 +39,11 @@ for _name in ["stg_customers", "stg_subscriptions", "stg_invoices", "effective_d
     _model_query(_name)
 
 
-# Models read by many checks and by other models: checkpointed once per run,
+# Models read by many checks and by other models: written once per run,
 # independent ones concurrently.
-SHARED_LEVELS = [["stg_customers", "stg_subscriptions", "stg_invoices"], ["effective_dates"]]
+SHARED_LEVELS = [["stg_customers", "stg_subscriptions", "stg_invoices"],
+                 ["effective_dates", "customer_revenue", "subscription_summary", "customer_ltv"],
+                 ["mrr_by_month_plan", "churn_base"], ["churn_rates"]]
 SHARED_MODELS = {n for level in SHARED_LEVELS for n in level}
 
 
@@ -68,8 +70,8 @@ def dq_singular_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENTS_SPLIT = "2024-01-16 00:00:00"
 INVOICE_FIRST_RUN_BEFORE = "1998-01-01 00:00:00"
 SYNC_TIME = "2001-09-01 00:00:00"
-SNAPSHOT_RUNS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-02-01 00:00:00")
-STATE_DAYS = ("2024-01-01", "2024-01-31")
+SNAPSHOT_RUNS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # and one the day after the last event
+STATE_FIRST_DAY = "2024-01-01"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,14 +167,13 @@ def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.existence import existence_flag
     from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
     from ledgerline.operators.staging import INVOICE_COLUMNS, type_invoices
-    from ledgerline.session import checkpoint
+    from ledgerline.session import stored
     from ledgerline.sources.testdata import raw_invoices, raw_subscriptions
     raw = raw_invoices(spark, sf_dir)
     tie = ["amount", "currency", "status", "invoice_date", "subscription_id"]
     run1 = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
-    # The target after run 1 is a stored table in a real load: checkpoint it
-    # (shared checkpoint folder) so run 2 reads it instead of its lineage.
-    t1 = checkpoint(upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie))
+    # The target after run 1 is a stored table in a real load.
+    t1 = stored(upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie), "invoices-run-1")
     wm = next_watermark(t1, "updated_at")
     run2 = type_invoices(incremental_extract(raw, "updated_at", wm))
     t2 = upsert(t1, run2, "invoice_id", "updated_at", tie)
@@ -195,21 +196,30 @@ def cursor_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _history_of(spark: SparkSession, snapshots: list[DataFrame], key: str) -> DataFrame:
+    """The history after one run per snapshot, through the written table."""
+    from ledgerline.operators.history import VERSION_ID, HistoryTable
+    from ledgerline.session import scratch_dir
+    table = HistoryTable(spark, scratch_dir(spark, "history"), key, "updated_at")
+    for snapshot in snapshots:
+        table.apply(snapshot)
+    return table.read().drop(VERSION_ID)
+
+
+def _day_after_last(events: DataFrame):
+    """The day after the last event (None without events): one row to the driver."""
+    from pyspark.sql import functions as F
+    return events.agg(F.date_add(F.max("ts").cast("date"), 1)).first()[0]
+
+
 def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     from ledgerline.operators.dedup import keep_latest
-    from ledgerline.operators.history import VERSION_ID, scd2_apply
-    from ledgerline.session import checkpoint
     ev = _events(spark, sf_dir)
-    hist = None
-    for run_ts in SNAPSHOT_RUNS:
-        state = keep_latest(ev.where(F.col("ts") < F.lit(run_ts).cast("timestamp_ntz")),
-                            "user_id", "ts", ["event_id"])
-        snap = state.select("user_id", "event_id", "event_type", "value",
-                            F.col("ts").alias("updated_at"))
-        # Each run's history is a stored table before the next run reads it.
-        hist = checkpoint(scd2_apply(hist, snap, "user_id", "updated_at"))
-    return hist.drop(VERSION_ID)
+    runs = [F.lit(r).cast("timestamp_ntz") for r in (*SNAPSHOT_RUNS, _day_after_last(ev))]
+    states = [keep_latest(ev.where(F.col("ts") < run), "user_id", "ts", ["event_id"]) for run in runs]
+    return _history_of(spark, [s.select("user_id", "event_id", "event_type", "value", F.col("ts").alias("updated_at"))
+                               for s in states], "user_id")
 
 
 @query("scd2_history")
@@ -224,7 +234,7 @@ def point_in_time_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     from ledgerline.operators.history import valid_periods
     hist = _event_history(spark, sf_dir)
-    return (valid_periods(hist, *STATE_DAYS, unit="day")
+    return (valid_periods(hist, STATE_FIRST_DAY, _day_after_last(_events(spark, sf_dir)), unit="day")
             .groupBy("period_start", "event_type")
             .agg(F.count(F.lit(1)).alias("users"),
                  F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_total")))
@@ -361,30 +371,41 @@ def stream_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync_available(stream, table, os.path.join(root, "checkpoint"), ["event_id"])
 
 
-SUBSCRIPTION_SNAPSHOT_RUNS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-09-01 00:00:00")
+SUBSCRIPTION_SNAPSHOT_RUNS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", SYNC_TIME)
 PIT_MONTHS = ("1995-01-01", "2001-08-01")
 
 
+def subscription_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 history of subscriptions whose price follows their bills: the
+    price a subscription starts with, and from each invoice date on the amount
+    billed.  Each run sees what is known by then, so a subscription that is billed
+    between two runs has a closed version."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.dedup import keep_latest
+    m = models(spark, sf_dir)
+    subs = m.subscriptions_core.select("subscription_id", "plan_name", "monthly_price", "end_date", "updated_at")
+    billed = (m.typed_invoices.where(F.col("amount_eur").isNotNull() & F.col("invoice_date").isNotNull())
+              .select("subscription_id", "amount_eur", "invoice_date")
+              .join(subs.select("subscription_id", "plan_name", "end_date"), "subscription_id")
+              .select("subscription_id", "plan_name", F.col("amount_eur").alias("monthly_price"), "end_date",
+                      F.col("invoice_date").cast("timestamp").alias("updated_at")))
+    from ledgerline.session import stored
+    known = stored(subs.unionByName(billed), "subscription-prices")
+    return _history_of(spark, [keep_latest(known.where(F.col("updated_at") < F.lit(run).cast("timestamp")),
+                                           "subscription_id", "updated_at", ["monthly_price"])
+                               for run in SUBSCRIPTION_SNAPSHOT_RUNS], "subscription_id")
+
+
 @query("point_in_time_mrr")
 def point_in_time_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MRR as known at each month start, read from the subscription history.
+    """MRR as known at each month start, read from the price history.
 
-    The history is built by three snapshot runs over the cleaned
-    subscriptions (each run sees the source rows loaded by then); at month
-    start M a subscription counts with the version valid at M if that
+    At month start M a subscription counts with the version valid at M if that
     version has no end date or ends on/after M.
     """
     from pyspark.sql import functions as F
-    from ledgerline.operators.history import VERSION_ID, scd2_apply, valid_periods
-    from ledgerline.session import checkpoint
-    m = models(spark, sf_dir)
-    subs = m.subscriptions_core.select("subscription_id", "plan_name", "monthly_price", "end_date",
-                                       "updated_at")
-    hist = None
-    for run_ts in SUBSCRIPTION_SNAPSHOT_RUNS:
-        snap = subs.where(F.col("updated_at") < F.lit(run_ts).cast("timestamp"))
-        hist = checkpoint(scd2_apply(hist, snap, "subscription_id", "updated_at"))
-    at = valid_periods(hist.drop(VERSION_ID), *PIT_MONTHS, unit="month")
+    from ledgerline.operators.history import valid_periods
+    at = valid_periods(subscription_price_history(spark, sf_dir), *PIT_MONTHS, unit="month")
     return (at.where(F.col("end_date").isNull() | (F.col("end_date") >= F.col("period_start")))
             .groupBy(F.col("period_start").alias("month_start"), "plan_name")
             .agg(F.sum("monthly_price").cast("decimal(38,2)").alias("mrr"),

@@ -118,8 +118,17 @@ def read_if_exists(spark: SparkSession, path: str, schema=None):
     return reader.parquet(path)
 
 
-def checkpoint(df, eager: bool = True):
-    """Reliable checkpoint into the session's checkpoint folder (cuts the
-    lineage at a durable, shared location; never ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own; one that is not there is no error."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stored(df, name: str):
+    """``df`` written as Parquet into the session's checkpoint folder and read
+    back: the lineage is cut at a durable, shared place, and consumers still read
+    only the columns and rows they need."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -209,16 +209,60 @@ def test_dedup_limits_before_shuffle(spark):
 
 
 def test_pipeline_run(spark, tmp_dir):
-    from ledgerline.plans.pipeline import run
+    from ledgerline.operators.history import HistoryTable
+    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.operators.quality import CheckFailed
+    from ledgerline.plans.pipeline import published, run
     from ledgerline.sources.testdata import TEST_AS_OF, raw_tables
-    res = run(spark, raw_tables(spark, "/root/testdata/sf0.001"), TEST_AS_OF, tmp_dir + "/m",
-              snapshot_path=tmp_dir + "/snap")
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    early = {n: df.where(F.col("updated_at") < F.lit("1998-01-01").cast("timestamp")) for n, df in raw.items()}
+    out, sync = tmp_dir + "/m", tmp_dir + "/sync"
+    history = HistoryTable(spark, tmp_dir + "/snap", "subscription_id", "updated_at")
+    assert published(spark, out) == {}
+    run(spark, early, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", sync_root=sync)
+    res = run(spark, raw, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", sync_root=sync)
     assert res.checks.count() == 50                                    # 3 landing + 39 + 8
     assert res.checks.where("check_name LIKE 'unique_raw_%' AND status != 'pass'").count() == 0
-    n = spark.read.parquet(tmp_dir + "/snap").count()
-    run(spark, raw_tables(spark, "/root/testdata/sf0.001"), TEST_AS_OF, tmp_dir + "/m2",
-        snapshot_path=tmp_dir + "/snap")
-    assert spark.read.parquet(tmp_dir + "/snap").count() == n
+    assert all(0 < r["loaded"] < r["rows"] for r in res.loads.values())
+    full = run(spark, raw, TEST_AS_OF, tmp_dir + "/full")
+    for name in ("stg_invoices", "customer_ltv"):                       # incremental = full
+        a, b = spark.read.parquet(res.models[name]), spark.read.parquet(full.models[name])
+        assert a.count() == b.count() and a.exceptAll(b).isEmpty()
+    n = history.read().count()
+    assert n == spark.read.parquet(res.models["stg_subscriptions"]).count()
+    with pytest.raises(CheckFailed):                                    # the test data fails error checks
+        run(spark, raw, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", fail_on_error=True)
+    assert published(spark, out) == res.models and history.read().count() == n
+    assert VersionedTable(spark, sync + "/typed_invoices", "invoice_id", "updated_at").current_version() == 2
+
+
+def test_history_survives_a_failed_run(spark, tmp_dir):
+    from ledgerline.operators.history import HistoryTable
+    table = HistoryTable(spark, tmp_dir + "/h", "k", "ts")
+
+    def state():
+        return sorted((r.k, r.v, r.ts.day, r.valid_to.day if r.valid_to else None) for r in table.read().collect())
+
+    def snap(*items):
+        return spark.createDataFrame([(k, v, TS(2024, 1, d)) for k, v, d in items], "k string, v string, ts timestamp")
+    assert table.read() is None
+    table.apply(snap(("a", "1", 1), ("b", "1", 1)))
+    before = state()
+    commit, table.state.commit = table.state.commit, None               # dies after the write, before the commit
+    with pytest.raises(TypeError):
+        table.apply(snap(("a", "9", 9)))
+    table.state.commit = commit
+    assert state() == before
+    table.apply(snap(("a", "2", 2), ("c", "1", 2)))
+    table.apply(snap(("a", "3", 3), ("b", "0", 1)))
+    table.apply(snap(("b", "4", 4)))
+    assert state() == [("a", "1", 1, 2), ("a", "2", 2, 3), ("a", "3", 3, None), ("b", "1", 1, 4), ("b", "4", 4, None),
+                       ("c", "1", 2, None)]
+
+
+def test_price_history_has_closed_versions(spark):
+    from ledgerline.plans.queries import subscription_price_history
+    assert subscription_price_history(spark, "/root/testdata/sf0.001").where("valid_to IS NOT NULL").count() > 0
 
 
 def test_untyped_csv_landing(spark, tmp_dir):
