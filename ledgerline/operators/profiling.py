@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.existence import orphans
+
 # Metrics computed for every text column of a raw table (name → failing-row predicate).
 TEXT_METRICS = ("null", "blank", "untrimmed", "not_lower", "numeric", "negative", "date")
 
@@ -49,6 +51,29 @@ def profile_table(df: DataFrame, table: str, columns: list[str] | None = None,
     return wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
 
 
+def profile_sets(df: DataFrame, table: str, key: str, columns: list[str], domains: dict[str, tuple],
+                 parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """What a row alone does not show, in the same long form: keys on several rows
+    (``duplicate_key``), surplus exact copies over ``columns`` (``duplicate_row``), values
+    outside a column's domain (``out_of_set``), rows whose parent is missing
+    (``orphan``; ``parents``: column → (table, its key)).  NULLs are none of these,
+    but for copies.  Every part is a partial aggregate first."""
+    found = [("duplicate_key", key, df.where(F.col(key).isNotNull()).groupBy(key).count()
+              .agg(F.count_if(F.col("count") > 1).alias("value"))),
+             ("duplicate_row", None, df.groupBy(*columns).count()
+              .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("value")))]
+    found += [("out_of_set", c, df.agg(F.count_if(~F.col(c).isin(list(values))).alias("value"))) for c, values in domains.items()]
+    found += [("orphan", c, orphans(df.select(c), c, parent, parent_key).agg(F.count(F.lit(1)).alias("value")))
+              for c, (parent, parent_key) in parents.items()]
+    parts = [counted.select(F.lit(table).alias("table_name"), F.lit(c).cast("string").alias("column_name"),
+                            F.lit(metric).alias("metric"), F.col("value").cast("long").alias("value"))
+             for metric, c, counted in found]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def source_freshness(df: DataFrame, resource: str, loaded_at: str, now,
                      warn_after_hours: int = 24, error_after_hours: int = 48) -> DataFrame:
     """max(loaded_at) against ``now``: age in whole hours and a status

@@ -479,6 +479,14 @@ def _profile_sql() -> str:
             for m, pred in _PROFILE_METRICS.items():
                 parts.append(f"SELECT '{t}', '{c}', '{m}', COUNT(*) FILTER (WHERE COALESCE({pred.format(c=c)}, FALSE)) "
                              f"FROM raw_{t}")
+        parts.append(f"SELECT '{t}', '{cols[0]}', 'duplicate_key', CAST(({_unique(f'raw_{t}', cols[0])}) AS BIGINT)")
+        parts.append(f"SELECT '{t}', NULL, 'duplicate_row', (SELECT COUNT(*) FROM raw_{t}) - "
+                     f"(SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(cols)} FROM raw_{t}))")
+    for t, c, allowed in (("subscriptions", "status", _STATUS), ("invoices", "status", "'paid', 'failed', 'open'"),
+                          ("invoices", "currency", "'EUR', 'SEK'")):
+        parts.append(f"SELECT '{t}', '{c}', 'out_of_set', COUNT(*) FROM raw_{t} WHERE {c} NOT IN ({allowed})")
+    for t, c, parent in (("subscriptions", "customer_id", "customers"), ("invoices", "subscription_id", "subscriptions")):
+        parts.append(f"SELECT '{t}', '{c}', 'orphan', ({_homeless(f'raw_{t}', c, f'raw_{parent}')})")
     return with_ctes(["raw_customers", "raw_subscriptions", "raw_invoices"], "\nUNION ALL\n".join(parts))
 
 

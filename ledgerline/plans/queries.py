@@ -326,11 +326,20 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_table")
 def profile_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Defect profile of the three raw billing tables."""
-    from ledgerline.operators.profiling import profile_table
+    """Defect profile of the three raw billing tables: text defects per column,
+    repeated keys and rows, values out of their set, orphans."""
+    from ledgerline.operators.profiling import profile_sets, profile_table
+    from ledgerline.plans.checks import CURRENCIES, INVOICE_STATUSES, SUBSCRIPTION_STATUSES
     from ledgerline.sources.raw import RAW_COLUMNS
     from ledgerline.sources.testdata import raw_tables
-    parts = [profile_table(df, name, RAW_COLUMNS[name]) for name, df in raw_tables(spark, sf_dir).items()]
+    raw = raw_tables(spark, sf_dir)
+    domains = {"subscriptions": {"status": SUBSCRIPTION_STATUSES},
+               "invoices": {"status": INVOICE_STATUSES, "currency": CURRENCIES}}
+    parents = {"subscriptions": {"customer_id": (raw["customers"], "customer_id")},
+               "invoices": {"subscription_id": (raw["subscriptions"], "subscription_id")}}
+    parts = [profile_table(df, name, RAW_COLUMNS[name]) for name, df in raw.items()]
+    parts += [profile_sets(df, name, RAW_COLUMNS[name][0], RAW_COLUMNS[name], domains.get(name, {}), parents.get(name, {}))
+              for name, df in raw.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
