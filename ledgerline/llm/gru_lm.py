@@ -14,12 +14,10 @@ word's probability is the unknown token's times the word's smoothed share of the
 counts.  Output biases start at the corpus frequencies.
 
 Training.  Replicas, one per input partition, run truncated back-propagation
-over ``window`` steps with the state carried over, on the training documents a
-hash of their id puts in the round's share: ``fraction`` of the corpus, or what
-makes ``least_tokens`` if that is more; after each round Spark averages the
-replicas by tokens.  The fraction is documented because the
-network, unlike the counts, need not see everything; its sample grows with the
-corpus.
+over ``window`` steps with the state carried over, on the training documents of
+their partition that a hash of the id puts in the round; after each round Spark
+averages the replicas by tokens.  The rounds share out the training fold, so
+the network sees every training document once, whatever the size of the corpus.
 
 Scoring.  A batch of documents advances together in windows; the state of a
 document is carried from window to window to its end, so the score is the
@@ -45,8 +43,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import common as c
 
 VOCABULARY, HIDDEN, CLASS_SIZE = 600, 16, 25
-WINDOW, STREAMS, ROUNDS, FRACTION, RATE = 16, 64, 2, 0.02, 0.1
-LEAST_TOKENS = 1_000_000
+WINDOW, STREAMS, ROUNDS, RATE = 16, 64, 2, 0.1
 _GROUP_TOKENS = 3_000_000
 END, UNKNOWN = 0, 1  # token numbers; vocabulary words follow
 
@@ -280,22 +277,28 @@ def gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0
 def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE, window: int = WINDOW,
                  streams: int = STREAMS) -> float:
     """AdaGrad over a token stream (documents closed by their end), in place;
-    returns the mean loss."""
-    width = int(np.clip(len(tokens) // (4 * window), 1, streams))
-    steps = len(tokens) // width
-    if not steps:
+    returns the mean loss.  The stream runs as ``streams`` equal ones side by
+    side; the tokens left over by the division follow as one more, each step
+    weighted by its tokens."""
+    if not len(tokens):
         return 0.0
-    y = tokens[:steps * width].reshape(width, steps).T
-    x = np.vstack([np.full((1, width), END, y.dtype), y[:-1]])
+    width = int(np.clip(len(tokens) // (4 * window), 1, streams))
+    even = len(tokens) // width * width
     acc = {k: np.full_like(v, 1e-4) for k, v in p.items()}
-    h, losses = np.zeros((width, shape.hidden), np.float32), []
-    for t in range(0, steps, window):
-        g, h, loss = gradients(p, shape, x[t:t + window], y[t:t + window].astype(np.int64), h)
-        losses.append(loss)
-        for k in p:
-            acc[k] += g[k] * g[k]
-            p[k] -= np.float32(rate) * g[k] / np.sqrt(acc[k])
-    return float(np.mean(losses))
+    losses, sizes = [], []
+    for part, lanes in ((tokens[:even], width), (tokens[even:], 1)):
+        y = part.reshape(lanes, -1).T
+        x = np.vstack([np.full((1, lanes), END, y.dtype), y[:-1]])
+        h = np.zeros((lanes, shape.hidden), np.float32)
+        for t in range(0, len(y), window):
+            g, h, loss = gradients(p, shape, x[t:t + window], y[t:t + window].astype(np.int64), h)
+            losses.append(loss)
+            sizes.append(y[t:t + window].size)
+            weight = np.float32(lanes / width)
+            for k in p:
+                acc[k] += (weight * g[k]) ** 2
+                p[k] -= np.float32(rate) * weight * g[k] / np.sqrt(acc[k])
+    return float(np.average(losses, weights=sizes))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -360,17 +363,16 @@ def _replica(shape: Shape, start, counts, rate: float, window: int):
 
 
 def train(docs: DataFrame, counts: Counts, shape: Shape, folds: int, fold: int, rounds: int = ROUNDS,
-          fraction: float = FRACTION, least_tokens: int = LEAST_TOKENS, rate: float = RATE,
-          window: int = WINDOW) -> np.ndarray:
-    """Averaged network weights after ``rounds`` rounds of replicas."""
-    fraction = min(1 / rounds, max(fraction, least_tokens / max(1, counts.tokens)))
+          rate: float = RATE, window: int = WINDOW) -> np.ndarray:
+    """Averaged network weights after ``rounds`` rounds of replicas, which share
+    out all training documents."""
     sc = docs.sparkSession.sparkContext
     flat = flatten(start_values(shape, counts.known), shape)
     learn = F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != fold)
-    draw = F.pmod(F.xxhash64(F.lit("gru"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    turn = F.pmod(F.xxhash64(F.lit("gru"), "doc_id"), F.lit(rounds))
     shared = sc.broadcast(counts)
     for k in range(rounds):
-        part = docs.where(learn & (draw >= k * fraction) & (draw < (k + 1) * fraction))
+        part = docs.where(learn & (turn == k))
         means = part.mapInArrow(_replica(shape, sc.broadcast(flat), shared, rate, window), "at int, value double, tokens double") \
             .groupBy("at").agg((F.sum("value") / F.sum("tokens")).alias("value")).collect()  # one row a weight
         if means:
@@ -425,7 +427,7 @@ def _score(counts_b, weights_b, shape: Shape, folds: int, fold: int):
 
 
 def score(docs: DataFrame, folds: int = 7, fold: int = 2, vocabulary: int = VOCABULARY, hidden: int = HIDDEN,
-          class_size: int = CLASS_SIZE, rounds: int = ROUNDS, fraction: float = FRACTION,
+          class_size: int = CLASS_SIZE, rounds: int = ROUNDS,
           chunk_bytes: int = c.CHUNK_BYTES, parts: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row."""
     sc = docs.sparkSession.sparkContext
@@ -438,7 +440,7 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, vocabulary: int = VOCA
     learn = F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != fold)
     counts = _gather(counted, cols.where(learn).count(), vocabulary)
     shape = Shape(len(counts.known), hidden, class_size)
-    flat = train(cols, counts, shape, folds, fold, rounds, fraction)
+    flat = train(cols, counts, shape, folds, fold, rounds)
     return c.answered(chunks, counted.where("chunk >= 0")).mapInArrow(
         _score(sc.broadcast(counts), sc.broadcast(flat), shape, folds, fold),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

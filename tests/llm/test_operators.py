@@ -2,6 +2,7 @@
 model and token files against brute force, on texts with odd cases."""
 
 import math
+import uuid
 import zlib
 from collections import Counter
 
@@ -293,6 +294,34 @@ def test_lm_learns_order():
     assert gru_lm.log_likelihoods(p, shape, text[:45], offs).sum() > before / 5
 
 
+def test_lm_trains_on_every_training_document(docs, rows, tmp_path, monkeypatch):
+    def replica(*_):
+        def run(batches):
+            seen = [i for b in batches for i in b.column(0).to_pylist()]
+            (tmp_path / uuid.uuid4().hex).write_text("\n".join(map(str, seen)))
+            yield from ()
+        return run
+    monkeypatch.setattr(gru_lm, "_replica", replica)
+    none = np.zeros(0, np.uint64)
+    large = gru_lm.Counts(10 ** 10, 1, 1, none, none, none.astype(np.int64), np.array([1.0, 1.0]), 0)
+    gru_lm.train(docs.select("doc_id", "text"), large, gru_lm.Shape(2, 4, 3), 7, 2)
+    seen = Counter(int(i) for f in tmp_path.iterdir() for i in f.read_text().split())
+    assert seen == Counter(i for i, *_ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2)
+
+
+def test_lm_stream_is_trained_to_its_last_token(monkeypatch):
+    shape, trained = gru_lm.Shape(6, 4, 3), []
+    gradients = gru_lm.gradients
+
+    def watched(p, shape, x, y, h):
+        trained.extend(y.ravel())
+        return gradients(p, shape, x, y, h)
+    monkeypatch.setattr(gru_lm, "gradients", watched)
+    tokens = np.random.default_rng(0).integers(0, 6, 4999).astype(np.int32)
+    gru_lm.train_stream(gru_lm.start_values(shape, np.ones(6)), shape, tokens)
+    assert Counter(trained) == Counter(tokens)
+
+
 def test_lm_empty(empty):
     assert gru_lm.score(empty).collect() == []
 
