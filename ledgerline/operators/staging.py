@@ -20,6 +20,7 @@ from ledgerline.functions.columns import (
 from ledgerline.functions.fx import FIXED_EUR_RATES, convert_to_eur
 from ledgerline.operators.dedup import keep_first
 from ledgerline.operators.existence import existence_flag
+from ledgerline.sources.raw import RAW_KEY
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_name", "email", "country", "created_at"]
 SUBSCRIPTION_COLUMNS = ["subscription_id", "customer_id", "plan_name", "monthly_price",
@@ -87,7 +88,8 @@ def clean_subscriptions(raw: DataFrame, raw_customers: DataFrame) -> DataFrame:
 
 def type_invoices(raw: DataFrame, rates=FIXED_EUR_RATES) -> DataFrame:
     """Row-wise part of invoice cleaning (no dedup, no existence flag), so an
-    incremental load can apply it to a batch alone."""
+    incremental load can apply it to a batch alone.  The landed row id, where
+    there is one, is carried as the key of such a load."""
     amount_raw = to_decimal_or_null("amount", MONEY)
     return raw.select(
         "invoice_id", "subscription_id",
@@ -98,7 +100,8 @@ def type_invoices(raw: DataFrame, rates=FIXED_EUR_RATES) -> DataFrame:
         normalise_code("status").alias("status"),
         amount_raw.isNull().alias("had_missing_amount_defect"),
         flag(amount_raw < 0).alias("had_negative_amount_defect"),
-        F.col("updated_at").cast("timestamp").alias("updated_at"))
+        F.col("updated_at").cast("timestamp").alias("updated_at"),
+        *[c for c in raw.columns if c == RAW_KEY])
 
 
 def clean_invoices(raw: DataFrame, raw_subscriptions: DataFrame, rates=FIXED_EUR_RATES) -> DataFrame:

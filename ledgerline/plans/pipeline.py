@@ -70,9 +70,13 @@ def sync(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_ts=N
 def staged_invoices(spark: SparkSession, landed: DataFrame, root: str, full_refresh: bool = False) -> DataFrame:
     """Typed invoices kept from run to run: only rows at or after the watermark
     are typed again.  The subscription flag is not stored, since a
-    subscription may arrive after its invoices."""
-    table = VersionedTable(spark, os.path.join(root, "typed_invoices"), "invoice_id", "updated_at")
+    subscription may arrive after its invoices.  Merged on the landed row id,
+    since invoice ids may be NULL or repeated; a table kept without it is
+    built anew from the landed rows."""
+    table = VersionedTable(spark, os.path.join(root, "typed_invoices"), RAW_KEY, "updated_at")
     tie = ["invoice_date", "amount", "currency", "status", "subscription_id"]
+    kept = table.read()
+    full_refresh = full_refresh or (kept is not None and RAW_KEY not in kept.columns)
     table.load(type_invoices(landed), full_refresh=full_refresh, tiebreak=tie)
     return table.read()
 

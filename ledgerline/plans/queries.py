@@ -168,15 +168,16 @@ def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
     from ledgerline.operators.staging import INVOICE_COLUMNS, type_invoices
     from ledgerline.session import stored
+    from ledgerline.sources.raw import RAW_KEY
     from ledgerline.sources.testdata import raw_invoices, raw_subscriptions
     raw = raw_invoices(spark, sf_dir)
     tie = ["amount", "currency", "status", "invoice_date", "subscription_id"]
     run1 = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
     # The target after run 1 is a stored table in a real load.
-    t1 = stored(upsert(None, type_invoices(run1), "invoice_id", "updated_at", tie), "invoices-run-1")
+    t1 = stored(upsert(None, type_invoices(run1), RAW_KEY, "updated_at", tie), "invoices-run-1")
     wm = next_watermark(t1, "updated_at")
     run2 = type_invoices(incremental_extract(raw, "updated_at", wm))
-    t2 = upsert(t1, run2, "invoice_id", "updated_at", tie)
+    t2 = upsert(t1, run2, RAW_KEY, "updated_at", tie)
     return existence_flag(t2, "subscription_id", raw_subscriptions(spark, sf_dir), "subscription_id",
                           "has_valid_subscription").select(*INVOICE_COLUMNS)
 

@@ -236,6 +236,22 @@ def test_pipeline_run(spark, tmp_dir):
     assert VersionedTable(spark, sync + "/typed_invoices", "invoice_id", "updated_at").current_version() == 2
 
 
+def test_typed_invoices_keep_null_and_repeated_ids(spark, tmp_dir):
+    from ledgerline.operators.staging import type_invoices
+    from ledgerline.plans.pipeline import staged_invoices
+    from ledgerline.sources.raw import raw_schema
+
+    def landed(*items):
+        return spark.createDataFrame([(n, i, "s1", f"2024-01-{d:02d}", amount, "EUR", "paid", TS(2024, 1, d))
+                                      for n, i, amount, d in items], raw_schema("invoices", with_meta=True))
+    first = [(1, None, "10", 1), (2, None, "10", 1), (3, "a", "20", 2), (4, "a", "30", 2), (5, "b", "40", 2)]
+    # row 3 changes; two more rows come without an id, one repeats an id
+    both = [r for r in first if r[0] != 3] + [(3, "a", "25", 3), (6, None, "50", 3), (7, None, "50", 3), (8, "b", "60", 4)]
+    for items in (first, both):
+        got, want = staged_invoices(spark, landed(*items), tmp_dir), type_invoices(landed(*items))
+        assert got.count() == len(items) and got.select(want.columns).exceptAll(want).isEmpty()
+
+
 def test_history_survives_a_failed_run(spark, tmp_dir):
     from ledgerline.operators.history import HistoryTable
     table = HistoryTable(spark, tmp_dir + "/h", "k", "ts")
