@@ -7,16 +7,20 @@ its training documents to shards; the shards sum them, answer each chunk the
 corpus counts of its words, and keep their most frequent words.  All training
 tokens are counted; equal words are recognised by 128 hash bits.
 
-Model.  The ``vocabulary`` most frequent words, the end and an unknown token feed
-a GRU of ``hidden`` units.  Its output softmax is factored by classes of
-words alike in frequency: p(word) = p(class | state) p(word | class, state).  An unknown
-word's probability is the unknown token's times the word's smoothed share of the unknown
-counts.  Output biases start at the corpus frequencies.
+Model.  Every word the training documents have ``min_count`` times (and at least the
+``_LEAST_WORDS`` most frequent), the end and a rare-word token feed a GRU of ``hidden``
+units, so the vocabulary grows with the corpus; ``vocabulary`` instead sets its size.
+Its output softmax is factored by classes of words alike in frequency, as many as a
+class has words: p(word) = p(class | state) p(word | class, state).  A rarer
+word's probability is the rare-word token's times the word's smoothed share of the rare
+counts.  Output biases start at the corpus frequencies.  The weights take 8 bytes a word
+and unit, their training twice that in each worker; a window touches only the weights of
+its own words and classes.
 
 Training.  Replicas, one per input partition, run truncated back-propagation
 over ``window`` steps with the state carried over, on the training documents of
 their partition that a hash of the id puts in the round; after each round Spark
-averages the replicas by tokens.  The rounds share out the training fold, so
+averages the replicas by tokens, in blocks of weights.  The rounds share out the training fold, so
 the network sees every training document once, whatever the size of the corpus.
 
 Scoring.  A batch of documents advances together in windows; the state of a
@@ -30,6 +34,7 @@ and the network keeps its start values.
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -42,9 +47,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import common as c
 
-VOCABULARY, HIDDEN, CLASS_SIZE = 600, 16, 25
+HIDDEN, MIN_COUNT = 16, 50
 WINDOW, STREAMS, ROUNDS, RATE = 16, 64, 2, 0.1
 _GROUP_TOKENS = 3_000_000
+_LEAST_WORDS = 600
+_BLOCK = 1 << 16  # weights averaged together
 END, UNKNOWN = 0, 1  # token numbers; vocabulary words follow
 
 
@@ -84,9 +91,16 @@ def _send_words(parts: int, learn: Callable):
     return run
 
 
-def _count_shard(keep: int):
+def _vocabulary_size(counts: np.ndarray, vocabulary: int | None, min_count: int) -> int:
+    """How many of the words with these counts, descending, are the vocabulary."""
+    if vocabulary is not None:
+        return min(vocabulary, len(counts))
+    return min(max(_LEAST_WORDS, int((counts >= min_count).sum())), int((counts > 0).sum()))
+
+
+def _count_shard(vocabulary: int | None, min_count: int):
     """Corpus counts: an answer to each chunk, and under chunk -1 the shard's
-    totals and most frequent words."""
+    totals and the words that may be of the vocabulary."""
     def run(group: pa.Table) -> pa.Table:
         sets = [c.unpack(b.as_py()) for b in group["blob"]]
         h1 = np.concatenate([c.undelta(s[0]) for s in sets])
@@ -103,7 +117,8 @@ def _count_shard(keep: int):
             chunks.append(chunk)
             answers.append(struct.pack("<i", shard) + c.pack(total[mine[at:at + len(s[0])]]))
             at += len(s[0])
-        top = np.lexsort((h2[order[first]], h1[order[first]], -total.astype(np.int64)))[:keep]
+        top = np.lexsort((h2[order[first]], h1[order[first]], -total.astype(np.int64)))
+        top = top[:_vocabulary_size(total[top], vocabulary, min_count)]
         chunks.append(-1)
         answers.append(struct.pack("<QQ", int((total > 0).sum()), int(total.sum()))
                        + c.pack(h1[order[first[top]]], h2[order[first[top]]], total[top]))
@@ -111,18 +126,6 @@ def _count_shard(keep: int):
     return run
 
 
-def _shard_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row in c.rows_of(batches):
-        v, n = struct.unpack_from("<QQ", row["answer"])
-        h1, h2, total = c.unpack(row["answer"][16:])
-        some = total > 0
-        k = int(some.sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(h1[some].view(np.int64), 0)), pa.array(np.append(h2[some].view(np.int64), 0)),
-             pa.array(np.append(total[some].astype(np.int64), n)), pa.array([None] * k + [v], pa.int64())],
-            names=["h1", "h2", "n", "distinct"])
-
-
 # ---------------------------------------------------------------- network
 
 @dataclass
@@ -176,6 +179,15 @@ def _log_softmax(x):
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+_TINY = np.float32(1e-30)  # keeps the reported loss finite
+
+
+def _softmax(x):
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 def _step(gx, h, u, n):
     gh = h @ u
     rz = _sigmoid(gx[:, :2 * n] + gh[:, :2 * n])
@@ -225,8 +237,18 @@ def log_likelihoods(p: dict, shape: Shape, tokens: np.ndarray, offs: np.ndarray,
 def gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0: np.ndarray):
     """Truncated back-propagation through one window (steps x streams): the
     gradients of the mean loss, the carried state and the mean loss."""
-    n, (steps, width) = shape.hidden, inputs.shape
+    sparse, h, loss = window_gradients(p, shape, inputs, targets, h0)
     g = {k: np.zeros_like(v) for k, v in p.items()}
+    for k, (at, value) in sparse.items():
+        g[k][at] = value
+    return g, h, loss
+
+
+def window_gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0: np.ndarray):
+    """``gradients`` as (places, values): only the rows of ``embed`` and the
+    classes of ``ww`` and ``bw`` that the window touches; all others are 0."""
+    n, (steps, width) = shape.hidden, inputs.shape
+    g, u = {}, np.zeros_like(p["u"])
     x = p["embed"][inputs]
     gx = x @ p["w"] + p["b"]
     h, kept = h0, []
@@ -238,21 +260,24 @@ def gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0
     states = np.concatenate([k[5] for k in kept])
     y = targets.ravel()
     cls, inner, rows = y // shape.class_size, y % shape.class_size, np.arange(len(y))
-    lc = _log_softmax(states @ p["wc"] + p["bc"])
-    loss = -lc[rows, cls].sum()
-    dc = np.exp(lc)
+    dc = _softmax(states @ p["wc"] + p["bc"])
+    loss = -np.log(dc[rows, cls] + _TINY).sum()
     dc[rows, cls] -= 1
     g["wc"], g["bc"] = states.T @ dc, dc.sum(axis=0)
     ds = dc @ p["wc"].T
     order = np.argsort(cls, kind="stable")
     edges = np.searchsorted(cls[order], np.arange(shape.classes + 1))
-    for k in np.flatnonzero(np.diff(edges)):
+    used = np.flatnonzero(np.diff(edges))
+    ww = np.empty((len(used), n, shape.class_size), states.dtype)
+    bw = np.empty((len(used), shape.class_size), states.dtype)
+    for i, k in enumerate(used):
         r = order[edges[k]:edges[k + 1]]
-        lw = _log_softmax(states[r] @ p["ww"][k] + p["bw"][k])
-        loss -= lw[np.arange(len(r)), inner[r]].sum()
-        dw = np.exp(lw)
-        dw[np.arange(len(r)), inner[r]] -= 1
-        g["ww"][k], g["bw"][k] = states[r].T @ dw, dw.sum(axis=0)
+        s, own = states[r], rows[:len(r)]
+        dw = _softmax(s @ p["ww"][k] + p["bw"][k])
+        loss -= np.log(dw[own, inner[r]] + _TINY).sum()
+        dw[own, inner[r]] -= 1
+        np.matmul(s.T, dw, out=ww[i])
+        np.sum(dw, axis=0, out=bw[i])
         ds[r] += dw @ p["ww"][k].T
     ds = ds.reshape(steps, width, n)
     dgx, dh = np.zeros_like(gx), np.zeros((width, n), np.float32)
@@ -265,13 +290,16 @@ def gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0
         dr = dcand * gh[:, 2 * n:] * r * (1 - r)
         dgx[t] = np.concatenate([dr, dz, dcand], axis=1)
         dgh = np.concatenate([dr, dz, dcand * r], axis=1)
-        g["u"] += before.T @ dgh
+        u += before.T @ dgh
         dh = (d * z + dgh @ p["u"].T) * start
     flat = dgx.reshape(-1, 3 * n)
     g["w"], g["b"] = x.reshape(-1, n).T @ flat, flat.sum(axis=0)
-    np.add.at(g["embed"], inputs.ravel(), flat @ p["w"].T)
-    size = np.float32(1 / len(y))
-    return {k: v * size for k, v in g.items()}, h, float(loss) / len(y)
+    order = np.argsort(inputs.ravel(), kind="stable")
+    words, first = np.unique(inputs.ravel()[order], return_index=True)
+    embed = np.add.reduceat((flat @ p["w"].T)[order], first, axis=0)
+    size, every = np.float32(1 / len(y)), slice(None)
+    out = {k: (every, v * size) for k, v in {**g, "u": u}.items()}
+    return {**out, "embed": (words, embed * size), "ww": (used, ww * size), "bw": (used, bw * size)}, h, float(loss) / len(y)
 
 
 def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE, window: int = WINDOW,
@@ -291,13 +319,14 @@ def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE,
         x = np.vstack([np.full((1, lanes), END, y.dtype), y[:-1]])
         h = np.zeros((lanes, shape.hidden), np.float32)
         for t in range(0, len(y), window):
-            g, h, loss = gradients(p, shape, x[t:t + window], y[t:t + window].astype(np.int64), h)
+            g, h, loss = window_gradients(p, shape, x[t:t + window], y[t:t + window].astype(np.int64), h)
             losses.append(loss)
             sizes.append(y[t:t + window].size)
             weight = np.float32(lanes / width)
-            for k in p:
-                acc[k] += (weight * g[k]) ** 2
-                p[k] -= np.float32(rate) * weight * g[k] / np.sqrt(acc[k])
+            for k, (at, value) in g.items():
+                value = weight * value
+                acc[k][at] += value * value
+                p[k][at] -= np.float32(rate) * value / np.sqrt(acc[k][at])
     return float(np.average(losses, weights=sizes))
 
 
@@ -322,15 +351,18 @@ class Counts:
         return np.where((self.h1[at] == h1) & (self.h2[at] == h2), self.number[at], UNKNOWN)
 
 
-def _gather(counted: DataFrame, train_docs: int, vocabulary: int) -> Counts:
-    totals = counted.where("chunk = -1").select("answer").mapInArrow(_shard_totals, "h1 long, h2 long, n long, distinct long")
-    sums = totals.where("distinct is not null").agg(F.sum("n").alias("n"), F.sum("distinct").alias("v")).first()
-    words, distinct = int(sums["n"] or 0), int(sums["v"] or 0)
-    top = totals.where("distinct is null").orderBy(F.desc("n"), "h1", "h2").limit(vocabulary).collect()
-    h1, h2 = (np.array([r[k] for r in top], np.int64).view(np.uint64) for k in ("h1", "h2"))
+def _gather(counted: DataFrame, train_docs: int, vocabulary: int | None, min_count: int) -> Counts:
+    answers = [r["answer"] for r in counted.where("chunk = -1").select("answer").collect()]  # totals and vocabulary
+    sums = [struct.unpack_from("<QQ", a) for a in answers]
+    distinct, words = (sum(x[k] for x in sums) for k in (0, 1))
+    sets = [c.unpack(a[16:]) for a in answers]
+    h1, h2, n = (np.concatenate([x[k] for x in sets] or [np.zeros(0, np.uint64)]) for k in range(3))
+    top = np.lexsort((h2, h1, -n.astype(np.int64)))
+    top = top[n[top] > 0]
+    top = top[:_vocabulary_size(n[top], vocabulary, min_count)]
+    h1, h2, n = h1[top], h2[top], n[top]
     order = np.argsort(h1, kind="stable")
-    in_top = sum(r["n"] for r in top)
-    known = np.array([train_docs, words - in_top, *[r["n"] for r in top]], np.float64)
+    known = np.array([train_docs, words - int(n.sum()), *n], np.float64)
     return Counts(words + train_docs, distinct + (train_docs > 0), train_docs, h1[order], h2[order],
                   np.arange(len(top))[order] + 2, known, distinct - len(top))
 
@@ -356,12 +388,23 @@ def _replica(shape: Shape, start, counts, rate: float, window: int):
             train_stream(p, shape, np.concatenate(held), rate, window)
             seen += size
         if seen:
-            flat = flatten(p, shape).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen),
-                                              pa.array(np.full(len(flat), float(seen)))], names=["at", "value", "tokens"])
+            flat = flatten(p, shape)
+            for k, at in enumerate(range(0, len(flat), _BLOCK)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([flat[at:at + _BLOCK].tobytes()], pa.binary()),
+                     pa.array([float(seen)])], names=["block", "value", "tokens"])
     return run
 
 
+def _mean_block(group: pa.Table) -> pa.Table:
+    """Mean of the replicas' weights of one block, by tokens."""
+    total, tokens = 0.0, group["tokens"].to_pylist()
+    for value, n in zip(group["value"], tokens):
+        total = total + np.frombuffer(value.as_py(), np.float32) * np.float64(n)
+    mean = (total / sum(tokens)).astype(np.float32)
+    return pa.table({"block": group["block"][:1], "value": pa.array([mean.tobytes()], pa.binary())})
+
+
 def train(docs: DataFrame, counts: Counts, shape: Shape, folds: int, fold: int, rounds: int = ROUNDS,
           rate: float = RATE, window: int = WINDOW) -> np.ndarray:
     """Averaged network weights after ``rounds`` rounds of replicas, which share
@@ -373,10 +416,10 @@ def train(docs: DataFrame, counts: Counts, shape: Shape, folds: int, fold: int,
     shared = sc.broadcast(counts)
     for k in range(rounds):
         part = docs.where(learn & (turn == k))
-        means = part.mapInArrow(_replica(shape, sc.broadcast(flat), shared, rate, window), "at int, value double, tokens double") \
-            .groupBy("at").agg((F.sum("value") / F.sum("tokens")).alias("value")).collect()  # one row a weight
+        means = part.mapInArrow(_replica(shape, sc.broadcast(flat), shared, rate, window), "block int, value binary, tokens double") \
+            .groupBy("block").applyInArrow(_mean_block, "block int, value binary").collect()  # one row a block
         if means:
-            flat = np.array([r["value"] for r in sorted(means, key=lambda r: r["at"])], np.float32)
+            flat = np.frombuffer(b"".join(r["value"] for r in sorted(means, key=lambda r: r["block"])), np.float32)
     return flat
 
 
@@ -426,8 +469,8 @@ def _score(counts_b, weights_b, shape: Shape, folds: int, fold: int):
     return run
 
 
-def score(docs: DataFrame, folds: int = 7, fold: int = 2, vocabulary: int = VOCABULARY, hidden: int = HIDDEN,
-          class_size: int = CLASS_SIZE, rounds: int = ROUNDS,
+def score(docs: DataFrame, folds: int = 7, fold: int = 2, vocabulary: int | None = None, hidden: int = HIDDEN,
+          class_size: int | None = None, rounds: int = ROUNDS, min_count: int = MIN_COUNT,
           chunk_bytes: int = c.CHUNK_BYTES, parts: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row."""
     sc = docs.sparkSession.sparkContext
@@ -436,10 +479,10 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, vocabulary: int = VOCA
     chunks = c.chunked(cols, parts, chunk_bytes)
     counted = c.staged(
         chunks.mapInArrow(_send_words(parts, lambda i: not held_out(i, folds, fold)), c.SHARD_SCHEMA)
-        .groupBy("shard").applyInArrow(_count_shard(vocabulary), c.ANSWER_SCHEMA), "lm-counts")
+        .groupBy("shard").applyInArrow(_count_shard(vocabulary, min_count), c.ANSWER_SCHEMA), "lm-counts")
     learn = F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != fold)
-    counts = _gather(counted, cols.where(learn).count(), vocabulary)
-    shape = Shape(len(counts.known), hidden, class_size)
+    counts = _gather(counted, cols.where(learn).count(), vocabulary, min_count)
+    shape = Shape(len(counts.known), hidden, class_size or math.ceil(math.sqrt(len(counts.known))))
     flat = train(cols, counts, shape, folds, fold, rounds)
     return c.answered(chunks, counted.where("chunk >= 0")).mapInArrow(
         _score(sc.broadcast(counts), sc.broadcast(flat), shape, folds, fold),

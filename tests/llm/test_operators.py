@@ -311,17 +311,29 @@ def test_lm_trains_on_every_training_document(docs, rows, tmp_path, monkeypatch)
 
 def test_lm_stream_is_trained_to_its_last_token(monkeypatch):
     shape, trained = gru_lm.Shape(6, 4, 3), []
-    gradients = gru_lm.gradients
+    gradients = gru_lm.window_gradients
 
     def watched(p, shape, x, y, h):
         trained.extend(y.ravel())
         return gradients(p, shape, x, y, h)
-    monkeypatch.setattr(gru_lm, "gradients", watched)
+    monkeypatch.setattr(gru_lm, "window_gradients", watched)
     tokens = np.random.default_rng(0).integers(0, 6, 4999).astype(np.int32)
     gru_lm.train_stream(gru_lm.start_values(shape, np.ones(6)), shape, tokens)
     assert Counter(trained) == Counter(tokens)
 
 
+def test_lm_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    shapes = []
+    start_values = gru_lm.start_values
+    monkeypatch.setattr(gru_lm, "start_values", lambda shape, counts: shapes.append(shape) or start_values(shape, counts))
+    for words in (700, 1500):
+        texts = [(i, " ".join(f"w{k}" for k in range(words)), "en", "a") for i in range(70)]
+        n = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i, *_ in texts)
+        assert n >= 50
+        assert gru_lm.score(frame(spark, texts)).count() == 70
+        assert (shapes[-1].words, shapes[-1].class_size) == (words + 2, math.ceil(math.sqrt(words + 2)))
+
+
 def test_lm_empty(empty):
     assert gru_lm.score(empty).collect() == []
 
