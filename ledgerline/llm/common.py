@@ -5,7 +5,7 @@
   dealt by chunk id.  Operators that count something over the corpus send
   compact per-chunk arrays to shards, and the shards answer each chunk: a key
   held by a third of all documents costs one entry per chunk, not one per row.
-* word spans and polynomial (Rabin-Karp) hashes over byte buffers, in numpy.
+* hashes of word spans and (Rabin-Karp) of word windows over byte buffers, in numpy.
 
 A document with NULL text has empty text.  Documents keep their row even when
 ``doc_id`` is NULL or repeated; operators state what they do with such rows.
@@ -33,9 +33,12 @@ SHARD_SCHEMA = "shard int, chunk long, blob binary"
 ANSWER_SCHEMA = "chunk long, answer binary"
 
 _U = np.uint64
-_SEGMENT = 1 << 20          # bytes (or words) hashed at a time
-_LONG_WORD = 1 << 16        # longer spans go through blake2b
+_SEGMENT = 1 << 18          # words hashed at a time
+_LONG_SPAN = 256            # longer spans go through BLAKE2b
+_WIDTH = 64                 # words of one polynomial
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_SEED = (0x243F6A8885A308D3, 0x13198A2E03707344)
+_ROUND = (0x9FB21C651E98DF25, 0xA0761D6478BD642F)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -221,21 +224,6 @@ def word_spans(data: np.ndarray, offs: np.ndarray, separator: np.ndarray = WHITE
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(lane: int) -> tuple[np.ndarray, np.ndarray]:
-    if lane not in _POWERS:
-        n = _SEGMENT + _LONG_WORD
-        pair = []
-        for base in (_BASES[lane], pow(_BASES[lane], -1, 1 << 64)):
-            p = np.full(n, base, _U)
-            p[0] = 1
-            pair.append(np.cumprod(p, dtype=_U))
-        _POWERS[lane] = tuple(pair)
-    return _POWERS[lane]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (shift-multiply rounds)."""
     x = x ^ (x >> _U(30))
@@ -246,31 +234,45 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
-    """64-bit polynomial hash of each byte span (spans in ascending order)."""
-    pw, inv = _powers(lane)
+    """64-bit hash of each byte span.  Blocks of eight bytes are mixed in one
+    after the other (a bijective, non-linear round each), so spans of special
+    shape do not cancel out as they can in a polynomial modulo 2^64; spans of
+    more than ``_LONG_SPAN`` bytes take a BLAKE2b digest."""
     out = np.empty(len(starts), _U)
-    i = 0
-    while i < len(starts):
-        s0 = starts[i]
-        j = max(i + 1, int(np.searchsorted(starts, s0 + _SEGMENT, "left")))
-        seg = data[s0:min(int(ends[i:j].max()), int(s0) + len(pw))]
-        p = np.zeros(len(seg) + 1, _U)
-        np.cumsum((seg.astype(_U) + _U(1)) * pw[:len(seg)], out=p[1:])
-        a, b = starts[i:j] - s0, np.minimum(ends[i:j] - s0, len(seg))
-        out[i:j] = mix((p[b] - p[a]) * inv[a] + (b - a).astype(_U) * _U(0xA0761D6478BD642F))
-        i = j
-    for k in np.flatnonzero(ends - starts > _LONG_WORD):
+    if not len(starts):
+        return out
+    sizes = (ends - starts).astype(_U)
+    out[:] = mix(sizes * _U(_ROUND[lane]) + _U(_SEED[lane]))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    long = ends - starts > _LONG_SPAN
+    some = np.flatnonzero(~long & (ends > starts)) if long.any() or not sizes.all() else slice(None)
+    at, left, h = starts[some], sizes[some], out[some]
+    where = some
+    while len(at):
+        short = left < _U(8)
+        block = eight[at]
+        if short.any():
+            block = np.where(short, block & ((_U(1) << (left * _U(8)) % _U(64)) - _U(1)), block)
+        h = mix((h ^ block) * _U(_ROUND[lane]))
+        out[where] = h
+        more = np.flatnonzero(left > _U(8))
+        where = more if isinstance(where, slice) else where[more]
+        at, left, h = at[more] + 8, left[more] - _U(8), h[more]
+    for k in np.flatnonzero(long):
         d = hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8, salt=bytes([lane])).digest()
         out[k] = int.from_bytes(d, "little")
     return out
 
 
-def window_hash(words: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
-    """Rabin-Karp hash of every run of ``width`` word hashes (length n - width + 1)."""
-    n = len(words) - width + 1
-    if n <= 0:
-        return np.zeros(0, _U)
-    pw, inv = _powers(lane)
+def _rabin_karp(words: np.ndarray, width: int, lane: int) -> np.ndarray:
+    n, base = len(words) - width + 1, _BASES[lane]
+    pair = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(min(_SEGMENT, n) + width, b, _U)
+        p[0] = 1
+        pair.append(np.cumprod(p, dtype=_U))
+    pw, inv = pair
     out = np.empty(n, _U)
     for i in range(0, n, _SEGMENT):
         j = min(n, i + _SEGMENT)
@@ -281,6 +283,23 @@ def window_hash(words: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
     return out
 
 
+def window_hash(words: np.ndarray, width: int, lane: int = 0) -> np.ndarray:
+    """Rabin-Karp hash of every run of ``width`` word hashes (length n - width + 1).
+    Wider windows than ``_WIDTH`` chain the mixed hashes of the runs of
+    ``_WIDTH`` words that cover them, since longer polynomials modulo 2^64 can
+    be equal for different runs."""
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.zeros(0, _U)
+    if width <= _WIDTH:
+        return _rabin_karp(words, width, lane)
+    runs = _rabin_karp(words, _WIDTH, lane)
+    out = np.full(n, _SEED[lane], _U)
+    for at in [*range(0, width - _WIDTH, _WIDTH), width - _WIDTH]:
+        out = mix((out ^ runs[at:at + n]) * _U(_ROUND[lane]))
+    return out
+
+
 def shard_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Shard by the upper 32 bits of a mixed hash."""
     return ((hashes >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)

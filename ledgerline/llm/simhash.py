@@ -25,6 +25,7 @@ repeated ids keep their rows.  Empty input gives empty output.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -63,15 +64,17 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per input row."""
+    """(doc_id, digest, fp): MD5 of the text and the fingerprint as a signed long, one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_buffers(b.column(1))
             raw = data.tobytes()
             fp = np.array([fingerprint(raw[offs[i]:offs[i + 1]], shingle) for i in range(b.num_rows)], dtype=_U)
-            yield batch({"doc_id": pa.int64(), "fp": pa.int64()}, doc_id=b.column(0), fp=pa.array(fp.view(np.int64)))
+            digest = [hashlib.md5(raw[offs[i]:offs[i + 1]]).hexdigest() for i in range(b.num_rows)]
+            yield batch({"doc_id": pa.int64(), "digest": pa.string(), "fp": pa.int64()}, doc_id=b.column(0),
+                        digest=pa.array(digest, pa.string()), fp=pa.array(fp.view(np.int64)))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+        .mapInArrow(run, "doc_id long, digest string, fp long")
 
 
 def segment_masks(segments: int = SEGMENTS) -> list[int]:
@@ -190,19 +193,24 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SE
     return gathered.unionByName(_flipped_links(keyed.join(large, ["ring", "key"], "left_semi"), distinct, flips))
 
 
+def _grouped(prints: DataFrame, max_bits: int, segments: int, bucket: int) -> DataFrame:
+    """(fp, first (doc_id, digest), rows, root) of the distinct fingerprints."""
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
+    distinct = staged(prints.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias("rows")), "simhash-distinct")
+    links = staged(near_links(distinct.select("fp"), max_bits, segments, bucket).distinct(), "simhash-links")
+    roots = connected_components(links)
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", "first", "rows", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     segments: int = SEGMENTS, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, fp, component_id, n_links): ``component_id`` is the smallest id
     reachable over links of fingerprints at most ``max_bits`` bits apart;
     ``n_links`` the number of other rows with the same component."""
     prints = staged(fingerprints(docs, shingle), "simhash-prints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")),
-                      "simhash-distinct")
-    links = staged(near_links(distinct.select("fp"), max_bits, segments, bucket).distinct(), "simhash-links")
-    roots = connected_components(links)
-    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "first_id", "rows", F.coalesce("root", "fp").alias("root"))
-    sums = staged(grouped.groupBy("root").agg(F.min("first_id").alias("component_id"),
+    grouped = _grouped(prints, max_bits, segments, bucket)
+    sums = staged(grouped.groupBy("root").agg(F.min("first.doc_id").alias("component_id"),
                                               F.sum("rows").alias("members")), "simhash-sums")
     classes = staged(grouped.select("fp", "root").join(sums, "root").select("fp", "component_id", "members"),
                      "simhash-classes")
@@ -212,11 +220,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         (F.col("members") - 1).alias("n_links"))
 
 
-def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's smallest (one row of it);
-    rows with a NULL id stay."""
-    ids = near_duplicates(docs, **options).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(staged(ids, "simhash-kept"), "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    once = kept.select("*", place.alias("__place")).where(F.col("__place") == 1).drop("__place")
-    return once.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+def first_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                  segments: int = SEGMENTS, bucket: int = BUCKET) -> DataFrame:
+    """One row of each component, all columns: the smallest id, then the
+    smallest MD5 of the text (rows may share an id), one of equal rows.  Rows
+    with a NULL id stay."""
+    prints = staged(fingerprints(docs, shingle), "simhash-prints")
+    winners = _grouped(prints, max_bits, segments, bucket).groupBy("root").agg(F.min("first").alias("first")) \
+        .where(F.col("first").isNotNull()).select("first.*").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("id"),
+                       F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("md5"))
+    winners = staged(winners, "simhash-kept")
+    kept = rows.join(winners, (rows["id"] == winners["doc_id"]) & (rows["md5"] == winners["digest"]), "left_semi")
+    place = F.row_number().over(Window.partitionBy("id", "md5").orderBy(F.xxhash64("row.text")))
+    once = kept.withColumn("place", place).where(F.col("place") == 1).select("row.*")
+    return once.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -10,26 +10,28 @@ decodes all files in parallel; ``TokenFiles`` finds one key in constant time.
 A file is written under a name of its attempt and then moved, so a task that
 runs again replaces it by the same bytes.
 
-Encoding: a text is cut at ASCII white space; each distinct word of a batch is
-encoded once (words keep their ids in any white-space context, since the
-tokenizer drops white space before it splits).  A-Z are lower-cased first, as the tokenizer
-does, and a final punctuation mark after a letter is encoded by itself, as
-it splits there.  Words of Latin letters, the bulk, go through the same
-vocabulary model without the regular expressions; all others through the full
-tokenizer.
+Encoding: a tokenizer file whose normalizer and pre-tokenizer lower-case and
+drop white space (``_BY_WORD``) takes a text cut at ASCII white space, and each
+distinct word once: words keep their ids in any white-space context.  A-Z are
+lower-cased first, as the tokenizer does, and a final punctuation mark after a
+letter is encoded by itself, as it splits there.  Words of Latin letters, the
+bulk, go through the same vocabulary model without the regular expressions; all
+others through the full tokenizer.  Any other file encodes whole texts.
 
 Edge cases: NULL or empty text is just the end id; rows with a NULL doc_id come
 first and have no key; rows that repeat a doc_id are adjacent records under
-one key, ordered by text.  Empty input writes no file.
+one key, ordered by a hash of the text (over several files if need be).  Empty input writes no file.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,100 +54,184 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _LETTERS = re.compile(f"[{_LATIN}]+")
 _MARKS = np.array([chr(b) in ".,;:!?" for b in range(256)])
 _AZ = np.array([97 <= b <= 122 for b in range(256)])
-_CACHE_WORDS = 250_000
-_BATCH_BYTES = 4 << 20
+_CACHE_WORDS = 600_000      # about 40 bytes each
+_BATCH_BYTES = 1 << 20
+#: the steps before the model for which ids of separate words are known to be the text's ids
+_BY_WORD = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                         {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+
+
+class _WordIds:
+    """Ids of words seen before, by two word hashes, in sorted arrays."""
+
+    def __init__(self, dtype: np.dtype, limit: int):
+        self.limit = limit
+        self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.base, self.n, self.used = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.ids = np.zeros(0, dtype)
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 where it is not known."""
+        if not len(self.h1):
+            return np.full(len(h1), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        return np.where((self.h1[at] == h1) & (self.h2[at] == h2), at, -1)
+
+    def add(self, h1: np.ndarray, h2: np.ndarray, base: np.ndarray, n: np.ndarray) -> None:
+        """New words in ascending order of ``h1``; a first half known already stays as it is."""
+        at = np.searchsorted(self.h1, h1)
+        fresh = np.ones(len(h1), bool)
+        inside = at < len(self.h1)
+        fresh[inside] = self.h1[at[inside]] != h1[inside]
+        h1, h2, base, n, at = h1[fresh], h2[fresh], base[fresh], n[fresh], at[fresh]
+        self.h1, self.h2 = np.insert(self.h1, at, h1), np.insert(self.h2, at, h2)
+        self.base, self.n = np.insert(self.base, at, base), np.insert(self.n, at, n)
+        self.used = np.insert(self.used, at, True)
+
+    def shrink(self) -> None:
+        """Over the limit, words that were not met since the last turn go (all, if that does not halve them)."""
+        if len(self.h1) <= self.limit:
+            return
+        keep = np.flatnonzero(self.used)
+        if len(keep) > self.limit // 2:
+            keep = keep[:0]
+        n, base = self.n[keep], self.base[keep]
+        past = np.cumsum(n, dtype=np.int64)
+        at = np.arange(past[-1] if len(past) else 0) + np.repeat(base - (past - n), n)
+        self.ids, self.base = self.ids[at], past - n
+        self.h1, self.h2, self.n = self.h1[keep], self.h2[keep], n
+        self.used = np.zeros(len(keep), bool)
 
 
 class Encoder:
-    """Ids of whole texts; words seen before come from a bounded cache."""
+    """Ids of whole texts.  A tokenizer whose normalizer and pre-tokenizer are
+    those of ``_BY_WORD`` encodes each distinct word once, with a bounded
+    memory of words; any other one encodes whole texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.full = Tokenizer.from_file(path)
         self.full.no_padding()
         self.full.no_truncation()
-        self.letters = Tokenizer(self.full.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.full.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
+        added = self.full.get_added_tokens_decoder()
+        steps = tuple(x and json.loads(x.__getstate__()) for x in (self.full.normalizer, self.full.pre_tokenizer))
+        model = self.full.model
+        self.by_word = steps == _BY_WORD and getattr(model, "end_of_word_suffix", None) == "</w>" and not model.dropout and all(
+            "<" in t.content and not (t.lstrip or t.rstrip or t.single_word or t.normalized) for t in added.values())
+        if not self.by_word:
+            return
+        self.model = model
+        self.letters = Tokenizer(model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.plain = bool(self.ends.any())
-        self.cache: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _full(self, words: list[str]) -> list[bytes]:
-        got = self.full.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in got]
-
-    def _letter_words(self, words: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(words), 4096):
-            part = words[i:i + 4096]
-            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part) or cuts[-1] != len(ids):
-                out += self._full(part)
-            else:
-                out += [ids[a:b].tobytes() for a, b in zip(np.append(0, cuts[:-1]), cuts)]
-        return out
-
-    def _known(self, key: bytes) -> bytes | None:
-        got = self.cache.get(key)
-        if got is None and (got := self.old.get(key)) is not None:
-            self.cache[key] = got
-        return got
-
-    def words(self, words: list[bytes], plain: list[bool]) -> list[bytes]:
-        """Ids of distinct words; ``plain`` ones consist of a-z."""
-        if len(self.cache) > _CACHE_WORDS:  # words used since the last turn stay within reach for one more
-            self.old, self.cache = self.cache, {}
-        out = [self._known(w) for w in words]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        letters, others = [], []
-        for i in new:
-            if plain[i] and self.plain:
-                letters.append((i, words[i].decode()))
-            else:
-                w = words[i].decode()
-                if self.plain and _LETTERS.fullmatch(w):
-                    letters.append((i, w.lower()))
-                else:
-                    others.append((i, w))
-        for part, code in ((letters, self._letter_words), (others, self._full)):
-            for (i, _), ids in zip(part, code([w for _, w in part])):
-                out[i] = self.cache[words[i]] = ids
-        return out
+        self.between = next(((i, t.content) for i, t in sorted(added.items())), None)  # parts words encoded together
+        self.known = _WordIds(self.dtype, _CACHE_WORDS)
+
+    def _ids(self, coder, text: str) -> np.ndarray:
+        return np.array(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [np.array(x.ids, self.dtype) for x in self.full.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate(got), np.array([len(x) for x in got], np.int64)
+
+    def _any_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids one word after the other, and the number of each word's ids."""
+        if self.between is None or any("<" in w for w in words):
+            return self._one_by_one(words)
+        ids = self._ids(self.full, self.between[1].join(words))
+        cut = np.flatnonzero(ids == self.between[0])
+        if len(cut) != len(words) - 1:
+            return self._one_by_one(words)
+        lens = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
+        return np.delete(ids, cut), lens
+
+    def _plain_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of a-z, which no step before the model changes."""
+        got = [[t.id for t in self.model.tokenize(w)] for w in words]
+        return np.array(list(chain.from_iterable(got)), self.dtype), np.array([len(x) for x in got], np.int64)
+
+    def _letter_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids(self.letters, " ".join(words))
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            return self._one_by_one(words)
+        return ids, np.diff(cuts, prepend=0)
+
+    def _new_words(self, words: list[bytes], plain: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, each word's first place in them and their number; ``plain`` words consist of a-z."""
+        simple, letters, others = ([], []), ([], []), ([], [])
+        for i, (w, az) in enumerate(zip(words, plain)):
+            text, group = w.decode(), simple
+            if not az:
+                group = others
+                if _LETTERS.fullmatch(text):
+                    text, group = text.lower(), letters
+            group[0].append(i)
+            group[1].append(text)
+        base, n, ids, total = np.empty(len(words), np.int64), np.empty(len(words), np.int64), [], 0
+        for (at, texts), code in ((simple, self._plain_words), (letters, self._letter_words), (others, self._any_words)):
+            for k in range(0, len(at), 4096):
+                got, lens = code(texts[k:k + 4096])
+                base[at[k:k + 4096]] = total + np.cumsum(lens) - lens
+                n[at[k:k + 4096]] = lens
+                ids.append(got)
+                total += len(got)
+        return np.concatenate(ids) if ids else np.zeros(0, self.dtype), base, n
 
     def batch(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, and the number of each document's ids."""
+        if not self.by_word:
+            raw = data.tobytes()
+            return self._one_by_one([raw[i:j].decode() for i, j in zip(offs[:-1].tolist(), offs[1:].tolist())])
         starts, ends, doc = c.word_spans(data, offs)
+        if not len(starts):
+            return np.zeros(0, self.dtype), np.zeros(len(offs) - 1, np.int64)
         lower = c.ascii_lower(data)
         special = np.searchsorted(starts, np.flatnonzero(data == ord("<")), "right") - 1
         for k in np.unique(special):  # may spell a special token, whose case counts
             lower[starts[k]:ends[k]] = data[starts[k]:ends[k]]
         # a final mark after a letter is a piece of its own
-        cut = (ends - starts > 1) & _MARKS[lower[ends - 1]] & _AZ[lower[np.maximum(ends - 2, 0)]] if len(starts) else starts > 0
-        where = np.flatnonzero(cut)
+        where = np.flatnonzero((ends - starts > 1) & _MARKS[lower[ends - 1]] & _AZ[lower[np.maximum(ends - 2, 0)]])
         marks = ends[where] - 1
-        stem_ends = ends.copy()
-        stem_ends[where] -= 1
-        starts, ends = np.insert(starts, where + 1, marks), np.insert(stem_ends, where + 1, marks + 1)
+        ends[where] -= 1
+        starts, ends = np.insert(starts, where + 1, marks), np.insert(ends, where + 1, marks + 1)
         doc = np.insert(doc, where + 1, doc[where])
         h1, h2 = (c.span_hash(lower, starts, ends, lane) for lane in (0, 1))
         _, first, which = np.unique(h1, return_index=True, return_inverse=True)
-        if (h2[first][which] != h2).any():  # two words share 64 bits: take each place by itself
+        distinct = not (h2[first][which] != h2).any()
+        if not distinct:  # two words share 64 bits: take each place by itself
             first, which = np.arange(len(h1)), np.arange(len(h1))
-        raw = lower.tobytes()
-        s, e = starts[first], ends[first]
-        letters = np.concatenate(([0], np.cumsum(_AZ[lower])))
-        coded = self.words([raw[i:j] for i, j in zip(s.tolist(), e.tolist())], (letters[e] - letters[s] == e - s).tolist())
-        lens = np.array([len(x) for x in coded], np.int64) // self.dtype.itemsize
-        table, base = np.frombuffer(b"".join(coded), self.dtype), np.cumsum(lens) - lens
-        n = lens[which]
+        known = self.known
+        known.shrink()
+        h1, h2 = h1[first], h2[first]
+        at = known.find(h1, h2)
+        base, n = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        hit, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        base[hit], n[hit] = known.base[at[hit]], known.n[at[hit]]
+        known.used[at[hit]] = True
+        table = known.ids
+        if len(new):
+            raw, s, e = lower.tobytes(), starts[first[new]], ends[first[new]]
+            letters = np.concatenate(([0], np.cumsum(_AZ[lower], dtype=np.int32)))
+            ids, base[new], n[new] = self._new_words([raw[i:j] for i, j in zip(s.tolist(), e.tolist())],
+                                                     (letters[e] - letters[s] == e - s).tolist())
+            base[new] += len(table)
+            table = np.concatenate([table, ids])
+            if distinct:
+                known.ids = table
+                known.add(h1[new], h2[new], base[new], n[new])
+        n = n[which]
         past = np.cumsum(n)
-        at = np.arange(past[-1] if len(past) else 0) + np.repeat(base[which] - (past - n), n)
+        at = np.arange(past[-1]) + np.repeat(base[which] - (past - n), n)
         per_doc = np.bincount(doc, n, minlength=len(offs) - 1).astype(np.int64)
         return table[at], per_doc
 
@@ -286,8 +372,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: in
     folder = folder or scratch_dir(spark, "token-ids")
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = parts or c.parts_for(c.total_bytes(docs))
-    ordered = cols.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    # a hash of the text and a row number split ids that many rows share (NULL among them)
+    dealt = cols.withColumn("digest", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    key = [F.col("doc_id").asc_nulls_first(), "digest"]
+    ordered = dealt.repartitionByRange(parts, *key, "row").sortWithinPartitions(*key, F.col("text").asc_nulls_first()) \
+        .select("doc_id", "text")
     manifest = c.staged(ordered.mapInArrow(_writer(folder, tokenizer, end_id, limit), MANIFEST_SCHEMA), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     return c.staged(manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long"))),
