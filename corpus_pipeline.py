@@ -19,9 +19,9 @@ from ledgerline.llm.queries import short_first
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or between two languages, go."""
     model = language_id.fit(docs, ~language_id.held_out())
-    names = {"lang_pred", "score", "ambiguous"}
-    told = language_id.predict(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names]), model)
-    return told.where((F.col("lang_pred") != language_id.UND) & ~F.col("ambiguous")).drop(*names)
+    names = [c if c == "text" else f"column_{k}" for k, c in enumerate(docs.columns)]  # none meets the prediction's
+    told = language_id.predict(docs.toDF(*names), model)
+    return told.where((F.col("lang_pred") != language_id.UND) & ~F.col("ambiguous")).select(*names).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
