@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontamination, gru_lm, language_id, license_scan, line_dedup, mixing, simhash, substring_dedup, token_ids
+from ledgerline.llm import (ann, decontamination, gru_lm, hard_negatives, language_id, license_scan, line_dedup, mixing, phrases,
+                            secret_scan, simhash, substring_dedup, token_ids)
 from ledgerline.llm.common import read_table
 
 
@@ -63,6 +64,22 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = read_table(spark, sf_dir, "embeddings") \
+        .withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_grammar", "score")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -74,9 +91,14 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_ids": op9_token_ids,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.oracle(),
     "op6_mixing": mixing.ORACLE,
+    "op11_phrase_mining": phrases.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
