@@ -65,6 +65,8 @@ class CoverTree:
             setattr(self, name, arrays[name])
         self.x = self.vectors.astype(np.float64)
         self.norm = float(np.sqrt((self.x ** 2).sum(axis=1).max(initial=0)))
+        self.centres = self.x[self.centre]
+        self.single = (self.children == 0) & (self.past - self.start == 1)
 
     @classmethod
     def build(cls, vectors: np.ndarray, labels: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> CoverTree:
@@ -78,13 +80,16 @@ class CoverTree:
         done = 0
 
         def node(centre: int, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-            gap = np.sqrt(((lifted[members] - lifted[centre]) ** 2).sum(axis=1))
-            plain = np.sqrt(((x[members] - x[centre]) ** 2).sum(axis=1)).max()
-            half = min(1.0, gap.max() / (2 * far))
+            if len(members) == 1:
+                gap, angle, plain = np.zeros(1), 0.0, 0.0
+            else:
+                gap = np.sqrt(((lifted[members] - lifted[centre]) ** 2).sum(axis=1))
+                plain = np.sqrt(((x[members] - x[centre]) ** 2).sum(axis=1)).max()
+                angle = 2 * np.arcsin(min(1.0, gap.max() / (2 * far)))
             own = labels[members]
             bits = np.bitwise_or.reduce(np.uint64(1) << (own % 64).astype(np.uint64))
             only = own[0] if (own == own[0]).all() else np.iinfo(np.int64).min
-            nodes.append([centre, -1, 0, 0, 0, 2 * np.arcsin(half), plain, only, bits])
+            nodes.append([centre, -1, 0, 0, 0, angle, plain, only, bits])
             return members, gap, len(nodes) - 1
 
         level = [node(0, np.arange(len(ids)))] if len(ids) else []
@@ -98,15 +103,20 @@ class CoverTree:
                     done += len(members)
                     continue
                 nodes[k][1] = len(nodes)
-                centre, rest, rest_gap = nodes[k][0], members, gap
-                while len(rest):  # centres of a level are more than its radius apart
-                    near = ((lifted[rest] - lifted[centre]) ** 2).sum(axis=1) <= (radius / 2) ** 2
-                    near[rest == centre] = True
-                    below.append(node(centre, rest[near]))
+                rest, left = members, np.ones(len(members), bool)
+                points, at = lifted[members], int(np.flatnonzero(members == nodes[k][0])[0])
+                while True:  # centres of a level are more than half its radius apart
+                    near = (2 * top - 2 * (points @ points[at]) <= (radius / 2) ** 2) & left
+                    near[at] = True
+                    below.append(node(int(rest[at]), rest[near]))
                     nodes[k][2] += 1
-                    rest, rest_gap = rest[~near], rest_gap[~near]
-                    if len(rest):
-                        centre = int(rest[np.argmax(rest_gap)])
+                    left &= ~near
+                    n = int(left.sum())
+                    if not n:
+                        break
+                    if n < 0.7 * len(left):
+                        rest, points, gap, left = rest[left], points[left], gap[left], np.ones(n, bool)
+                    at = int(np.argmax(np.where(left, gap, -1)))
             level = below
         cols = list(zip(*nodes)) if nodes else [()] * 9
         kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, np.float64, np.float64, np.int64, np.uint64)
@@ -130,64 +140,96 @@ class CoverTree:
             return (self.x[rows] @ q).astype(np.int64)
         return (self.vectors[rows].astype(np.int64) * q.astype(np.int64)).sum(axis=1)
 
-    def _bounds(self, nodes: np.ndarray, q: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
-        """Least and largest inner product that the nodes' vectors can have."""
-        dot, reach = self.x[self.centre[nodes]] @ q, norm * self.norm
+    def _bounds(self, nodes: np.ndarray, dot: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest inner product that the nodes' vectors can have, by that of their centres."""
+        reach = norm * self.norm
         turn = np.arccos(np.clip(dot / reach, -1, 1)) if reach else np.zeros(len(nodes))
         upper = np.minimum(reach * np.cos(np.maximum(turn - self.angle[nodes], 0)), dot + norm * self.radius[nodes])
         lower = np.maximum(reach * np.cos(np.minimum(turn + self.angle[nodes], np.pi)), dot - norm * self.radius[nodes])
         slack = _SLACK * (reach + 1)  # covers the rounding of arccos near 1
         return lower - slack, upper + slack
 
-    def best(self, q: np.ndarray, k: int, label: int, same: bool, low: int | None = None, high: int | None = None,
+    def query(self, q: np.ndarray) -> Descent:
+        return Descent(self, q)
+
+
+class Descent:
+    """Searches of one anchor's vector in a tree; they share inner products."""
+
+    def __init__(self, tree: CoverTree, q: np.ndarray):
+        self.tree, width = tree, tree.x.shape[1]
+        self.whole = q.astype(np.float64)
+        self.norm = float(np.sqrt((self.whole ** 2).sum()))
+        self.q = np.pad(self.whole, (0, max(0, width - len(self.whole))))[:width]
+        self.seen: dict[int, tuple] = {}
+
+    def _children(self, n: int, label: int, same: bool) -> tuple:
+        """Scores and rows of the wanted single-vector children, in result order;
+        wanted other children with bounds, by falling upper bound."""
+        if (n, label, same) not in self.seen:
+            t = self.tree
+            nodes = np.arange(t.child[n], t.child[n] + t.children[n]) if n >= 0 else np.arange(min(1, len(t.centre)))
+            bit = np.uint64(1) << np.uint64(label % 64)
+            nodes = nodes[(t.mask[nodes] & bit) != 0 if same else t.only[nodes] != label]
+            single = t.single[nodes]
+            rows, nodes = t.centre[nodes[single]], nodes[~single]
+            rows = rows[(t.labels[rows] == label) == same]
+            score = t._exact(rows, self.q, self.norm)
+            first = np.lexsort((t.ids[rows], -score))
+            lower, upper = t._bounds(nodes, t.centres[nodes] @ self.q, self.norm)
+            order = np.argsort(-upper, kind="stable")
+            self.seen[n, label, same] = score[first], rows[first], nodes[order], lower[order], upper[order]
+        return self.seen[n, label, same]
+
+    def best(self, k: int, label: int, same: bool, low: int | None = None, high: int | None = None,
              anchor: int | None = None) -> list[tuple[int, int]]:
         """The first ``k`` (score, id) by score, ties to smaller ids, of the rows
         that have the label (or have not), with a score within the window, but
         for the row that is the anchor itself."""
-        width = self.x.shape[1]
-        whole = q.astype(np.float64)
-        norm = float(np.sqrt((whole ** 2).sum()))
-        q = np.pad(whole, (0, max(0, width - len(whole))))[:width]
-        bit = np.uint64(1) << np.uint64(label % 64)
+        t = self.tree
         found: list[tuple[int, int]] = []
-        queue: list[tuple[float, int]] = []
-
-        def push(nodes: np.ndarray) -> None:
-            wanted = (self.mask[nodes] & bit) != 0 if same else self.only[nodes] != label
-            nodes = nodes[wanted]
-            if not len(nodes):
-                return
-            lower, upper = self._bounds(nodes, q, norm)
-            inside = np.ones(len(nodes), bool)
+        queue: list[tuple] = []  # runs of nodes by falling upper bound: (-bound of the next, order, its place, bounds, nodes)
+
+        def verify(score: np.ndarray, rows: np.ndarray) -> None:
+            """Rows in result order, from the first in the window on."""
+            at = int(np.searchsorted(-score, -high, "left")) if low is not None else 0
+            for s, r in zip(score[at:at + k + 1].tolist(), rows[at:at + k + 1].tolist()):
+                if low is not None and s < low:
+                    break
+                if anchor is not None and same and t.ids[r] == anchor and len(self.whole) <= len(self.q) and (t.x[r] == self.q).all():
+                    continue
+                if len(found) < k:
+                    heapq.heappush(found, (s, -int(t.ids[r])))
+                elif (s, -int(t.ids[r])) > found[0]:
+                    heapq.heapreplace(found, (s, -int(t.ids[r])))
+                else:
+                    break
+
+        def push(n: int) -> None:
+            score, rows, nodes, lower, upper = self._children(n, label, same)
+            verify(score, rows)
             if low is not None:
-                inside &= (upper >= low) & (lower <= high)
-                upper = np.minimum(upper, high)
-            for u, n in zip(upper[inside].tolist(), nodes[inside].tolist()):
-                heapq.heappush(queue, (-u, n))
+                inside = (upper >= low) & (lower <= high)
+                nodes, upper = nodes[inside], np.minimum(upper[inside], high)
+            if len(nodes):
+                heapq.heappush(queue, (-upper[0], n, 0, upper, nodes))
 
-        push(np.arange(min(1, len(self.centre))))
+        push(-1)
         while queue:
-            upper, n = heapq.heappop(queue)
-            if len(found) == k and -upper < found[0][0]:
+            bound, run, at, upper, nodes = heapq.heappop(queue)
+            if len(found) == k and -bound < found[0][0]:
                 break
-            if self.children[n]:
-                push(np.arange(self.child[n], self.child[n] + self.children[n]))
-                continue
-            rows = self.order[self.start[n]:self.past[n]]
-            rows = rows[(self.labels[rows] == label) == same]
-            score = self._exact(rows, q, norm)
-            ok = np.ones(len(rows), bool)
-            if low is not None:
-                ok &= (score >= low) & (score <= high)
-            if anchor is not None and same and len(whole) <= width:
-                ok &= ~((self.ids[rows] == anchor) & (self.x[rows] == q).all(axis=1))
-            rows, score = rows[ok], score[ok]
-            first = np.lexsort((self.ids[rows], -score))[:k]
-            for s, i in zip(score[first].tolist(), self.ids[rows[first]].tolist()):
-                if len(found) < k:
-                    heapq.heappush(found, (s, -i))
-                elif (s, -i) > found[0]:
-                    heapq.heapreplace(found, (s, -i))
+            if at + 1 < len(nodes):
+                heapq.heappush(queue, (-upper[at + 1], run, at + 1, upper, nodes))
+            n = int(nodes[at])
+            if t.children[n]:
+                push(n)
+            else:
+                rows = t.order[t.start[n]:t.past[n]]
+                rows = rows[(t.labels[rows] == label) == same]
+                score = t._exact(rows, self.q, self.norm)
+                first = np.lexsort((t.ids[rows], -score))
+                verify(score[first], rows[first])
         return [(s, -i) for s, i in sorted(found, reverse=True)]
 
 
@@ -226,7 +268,7 @@ def _positives(k: int):
         if anchors.num_rows and tree.num_rows:
             t = CoverTree.from_bytes(tree["tree"][0].as_py())
             for a in anchors.to_pylist():
-                got = t.best(np.array(a["q"], np.int64), k, a["label"], same=True, anchor=a["anchor_id"])
+                got = t.query(np.array(a["q"], np.int64)).best(k, a["label"], same=True, anchor=a["anchor_id"])
                 out += [(a["anchor_id"], a["anchor_copy"], i, s) for s, i in got]
         cols = list(zip(*out)) if out else [()] * 4
         return pa.table([pa.array(v, t) for v, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
@@ -240,12 +282,12 @@ def _negatives(k: int, low: int, high: int):
         if anchors.num_rows and tree.num_rows:
             t = CoverTree.from_bytes(tree["tree"][0].as_py())
             for a in anchors.to_pylist():
-                q, cache = np.array(a["q"], np.int64), {}
+                descent, cache = t.query(np.array(a["q"], np.int64)), {}
                 for p in a["positives"]:
                     s = p["score"]
                     if s not in cache:
                         least, most = -(-low * s // 100), high * s // 100
-                        cache[s] = t.best(q, k, a["label"], False, least, most) if least <= most else []
+                        cache[s] = descent.best(k, a["label"], False, least, most) if least <= most else []
                     out += [(a["anchor_id"], a["anchor_copy"], p["place"], p["vec_id"], s, i, n) for n, i in cache[s]]
         cols = list(zip(*out)) if out else [()] * 7
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
@@ -265,7 +307,7 @@ def _met(anchors: DataFrame, trees: DataFrame, shards: int, blocks: int, task, s
 
 def shard_rows_for(n: int) -> int:
     """Vectors of a tree: more for larger tables, so shards grow slower than rows, up to what a task can hold."""
-    return int(min(1 << 16, max(1 << 12, 64 * n ** 0.5)))
+    return int(min(1 << 15, max(1 << 12, 16 * n ** 0.5)))
 
 
 def mine(vectors: DataFrame, is_anchor, n_positives: int = N_POSITIVES, n_negatives: int = N_NEGATIVES, low: int = LOW,

@@ -161,7 +161,7 @@ def test_cover_tree_bounds_hold():
             return t.order[t.start[n]:t.past[n]]
         return np.concatenate([under(k) for k in range(t.child[n], t.child[n] + t.children[n])])
     for q in (x[3].astype(float), -x[9].astype(float), np.array([1., 0, 0, 0, 0])):
-        low, high = t._bounds(np.arange(len(t.centre)), q, float(np.sqrt((q ** 2).sum())))
+        low, high = t._bounds(np.arange(len(t.centre)), t.centres @ q, float(np.sqrt((q ** 2).sum())))
         for n in range(len(t.centre)):
             s = x[under(n)] @ q
             assert low[n] <= s.min() and s.max() <= high[n]
