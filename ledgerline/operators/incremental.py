@@ -3,24 +3,19 @@
 The load contract (per resource): read the committed watermark (one row),
 extract source rows with ``cursor >= watermark`` as a literal filter (pushed
 down to the Parquet scan), keep the latest row per key inside the batch,
-replace target rows by key, write a new version, and commit the new
-watermark *last*.  A crash before the commit only causes a harmless re-fetch:
+replace target rows by key, and commit the new watermark with them
+(``targets``).  A crash before that only causes a harmless re-fetch:
 the inclusive ``>=`` re-reads the boundary rows and the upsert absorbs them.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import json
-import os
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedup import keep_latest
-from ledgerline.session import drop_path, read_if_exists
 from ledgerline.sources.raw import RAW_KEY
 
 
@@ -89,131 +84,6 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str] | str,
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
-class WatermarkStore:
-    """Committed watermarks as a small append-only Parquet table (resource, seq,
-    watermark, committed_at, info); the highest ``seq`` per resource wins,
-    whatever the clock said."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-
-    def _table(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path)
-
-    def last(self, resource: str):
-        """Latest committed (seq, watermark, info) row, None before the first."""
-        t = self._table()
-        if t is None:
-            return None
-        return (t.where(F.col("resource") == resource)
-                .orderBy(F.col("seq").desc()).select("seq", "watermark", "info").first())
-
-    def get(self, resource: str):
-        row = self.last(resource)
-        return row["watermark"] if row else None
-
-    def holds(self, resource: str, **info: str) -> bool:
-        """Whether some commit carries all of ``info`` (a filter on the table,
-        nothing is collected)."""
-        t = self._table()
-        if t is None:
-            return False
-        t = t.where(F.col("resource") == resource)
-        for k, v in info.items():
-            t = t.where(F.get_json_object("info", f"$.{k}") == str(v))
-        return not t.isEmpty()
-
-    def commit(self, resource: str, watermark, extra: dict | None = None) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        before = self.last(resource)
-        row = [(resource, (before["seq"] if before else 0) + 1, watermark, now, json.dumps(extra or {}))]
-        (self.spark.createDataFrame(row, "resource string, seq long, watermark timestamp, "
-                                         "committed_at timestamp, info string")
-         .coalesce(1).write.mode("append").parquet(self.path))
-
-
-class VersionedTable:
-    """A target table kept as immutable versions ``<root>/v=<n>`` plus a
-    pointer table; readers only see committed versions.  Each load stages its
-    batch once (the watermark, the row counts and the merge all read that
-    copy, so rows that arrive meanwhile wait for the next load), writes the
-    merged table as a new version and commits pointer + watermark last: a
-    failed load leaves the previous version current and can simply re-run.
-    The last ``keep`` versions stay readable; older ones are removed after a commit."""
-
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, cursor: str, keep: int = 3):
-        self.keep = keep
-        self.spark = spark
-        self.root = root
-        self.keys = [keys] if isinstance(keys, str) else list(keys)
-        self.cursor = cursor
-        self.state = WatermarkStore(spark, os.path.join(root, "_state"))
-
-    def current_version(self) -> int | None:
-        p = self.state.last("table")
-        return int(json.loads(p["info"])["version"]) if p else None
-
-    def read(self) -> DataFrame | None:
-        v = self.current_version()
-        return None if v is None else self.spark.read.parquet(os.path.join(self.root, f"v={v}"))
-
-    def watermark(self):
-        return self.state.get("table")
-
-    def _stage(self, batch: DataFrame) -> DataFrame:
-        path = self._batch = os.path.join(self.root, f"_batch-{uuid.uuid4().hex[:12]}")
-        batch.write.parquet(path)
-        return self.spark.read.schema(batch.schema).parquet(path)
-
-    def _merge(self, target: DataFrame | None, batch: DataFrame, previous, info: dict,
-               tiebreak: list[str] | None) -> dict:
-        version = (self.current_version() or 0) + 1
-        path = os.path.join(self.root, f"v={version}")
-        upsert(target, batch, self.keys, self.cursor, tiebreak).write.mode("overwrite").parquet(path)
-        new_wm = next_watermark(batch, self.cursor, previous)
-        self.state.commit("table", new_wm, {"version": version, **info})
-        report = {"version": version, "watermark": new_wm, "loaded": batch.count(),
-                  "rows": self.spark.read.parquet(path).count()}
-        if version > self.keep:
-            drop_path(self.spark, os.path.join(self.root, f"v={version - self.keep}"))
-        drop_path(self.spark, self._batch)
-        return report
-
-    def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None,
-              query: str = "") -> dict | None:
-        """Upsert one already-extracted batch (a streaming micro-batch) as a
-        new version.  Re-delivering a committed (``query``, ``epoch``) is a no-op, which
-        makes a ``foreachBatch`` sink exactly-once."""
-        if epoch is not None and self.state.holds("table", epoch=epoch, query=query):
-            return None
-        batch = self._stage(batch)
-        if batch.isEmpty():
-            return None
-        info = {} if epoch is None else {"epoch": epoch, "query": query}
-        return self._merge(self.read(), batch, self.watermark(), info, tiebreak)
-
-    def load(self, source: DataFrame, full_refresh: bool = False, strict: bool = False,
-             run_ts=None, tiebreak: list[str] | None = None) -> dict:
-        """One incremental (or full-refresh) run; returns a small report: rows
-        ``loaded`` by the run, ``rows`` of the table after it, and rows
-        ``quarantined`` (future cursors, kept in ``<root>/_quarantine``)."""
-        wm = None if full_refresh else self.watermark()
-        batch, quarantined = self._stage(incremental_extract(source, self.cursor, wm, strict)), 0
-        if run_ts is not None:
-            g = cursor_guard(batch, self.cursor, run_ts)
-            batch, quarantined = g.good, g.quarantined.count()
-            if quarantined:
-                g.quarantined.withColumn("_run_ts", F.lit(run_ts).cast("timestamp")) \
-                    .write.mode("append").parquet(os.path.join(self.root, "_quarantine"))
-        report = self._merge(None if full_refresh else self.read(), batch, wm, {}, tiebreak)
-        return {**report, "quarantined": quarantined}
-
-    def quarantine(self) -> DataFrame | None:
-        """Rows held back so far, with the run that did (``_run_ts``)."""
-        return read_if_exists(self.spark, os.path.join(self.root, "_quarantine"))
-
-
 def guard_summary(batch: DataFrame, cursor: str, run_ts) -> DataFrame:
     """One-pass summary of what ``cursor_guard`` would do to ``batch``: rows
     seen / accepted / quarantined, guarded and unguarded watermark."""
@@ -225,79 +95,3 @@ def guard_summary(batch: DataFrame, cursor: str, run_ts) -> DataFrame:
         F.count_if(future).alias("rows_quarantined"),
         F.max(F.when(~future, c)).alias("watermark"),
         F.max(c).alias("unguarded_watermark"))
-
-
-class PartitionedTable:
-    """In-place layout for large targets: Parquet partitioned by
-    ``partition_col`` (e.g. the month of the business date); a load rewrites
-    only the partitions it touches, so its cost is O(touched), not O(table).
-
-    Touched = partitions of the batch ∪ the *old* partitions of the batch's
-    keys (an update can move a row to another partition).  Merged rows are
-    staged under ``staging_root`` first, then written with dynamic partition
-    overwrite; a touched partition that ends up empty is not removed by
-    dynamic overwrite, so it is deleted explicitly.  Not atomic across
-    partitions: a failed load is recovered by re-running it (the staged rows
-    are complete, and the upsert is idempotent).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | str, cursor: str,
-                 partition_col: str, staging_root: str):
-        self.spark = spark
-        self.root = root
-        self.keys = [keys] if isinstance(keys, str) else list(keys)
-        self.cursor = cursor
-        self.partition_col = partition_col
-        self.staging_root = staging_root
-
-    def read(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self.root)
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(conf), jvm
-
-    def _partition_path(self, value):
-        """Folder of a partition value: NULL's own name, and Spark's escaping."""
-        fs, jvm = self._fs()
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else \
-            jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
-        return fs, jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, f"{self.partition_col}={name}"))
-
-    def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None,
-              query: str = "") -> dict:
-        """Streaming-sink entry point.  Re-applying a batch yields the same
-        table (upsert is idempotent), so a re-delivered epoch is harmless."""
-        return self.upsert(batch, tiebreak)
-
-    def upsert(self, batch: DataFrame, tiebreak: list[str] | None = None) -> dict:
-        p = self.partition_col
-        if batch.isEmpty():
-            return {"touched": [], "emptied": []}
-        batch = keep_latest(batch, self.keys, self.cursor, tiebreak)
-        target = read_if_exists(self.spark, self.root, batch.schema)
-        if target is None:
-            batch.repartition(p).write.partitionBy(p).parquet(self.root)
-            return {"touched": None}
-        keys = batch.select(*self.keys).distinct()
-        moved_from = target.join(keys, self.keys, "left_semi").select(p)
-        # The touched set is partition metadata (bounded by the number of
-        # partitions, e.g. months), never data rows.
-        touched = {r[0] for r in moved_from.union(batch.select(p)).distinct().collect()}
-        values = [v for v in touched if v is not None]
-        inside = F.col(p).isin(values) if values else F.lit(False)
-        if None in touched:
-            inside = inside | F.col(p).isNull()
-        merged = upsert(target.where(F.coalesce(inside, F.lit(False))), batch, self.keys).select(*target.columns)
-        staged_path = os.path.join(self.staging_root, f"run-{uuid.uuid4().hex[:12]}")
-        merged.repartition(p).write.partitionBy(p).parquet(staged_path)
-        staged = self.spark.read.schema(merged.schema).parquet(staged_path)
-        (staged.select(*target.columns).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(self.root))
-        emptied = touched - {r[0] for r in staged.select(p).distinct().collect()}
-        for value in emptied:
-            fs, path = self._partition_path(value)
-            fs.delete(path, True)
-        return {"touched": sorted(map(str, touched)), "emptied": sorted(map(str, emptied))}

@@ -503,30 +503,71 @@ register("source_freshness", with_ctes(["raw_customers", "raw_subscriptions", "r
 register("stream_sync_events", select_all("latest_event_per_user"))
 
 cte("subscription_history", ["stg_subscriptions", "stg_invoices"], """
-  WITH runs AS (SELECT * FROM (VALUES (1, TIMESTAMP '1997-01-01'), (2, TIMESTAMP '1999-01-01'),
-                                      (3, TIMESTAMP '2001-09-01')) r(j, run_ts)),
+  WITH s AS (SELECT *, CAST(updated_at AS TIMESTAMP) AS seen FROM stg_subscriptions),
   prices AS (
-    SELECT subscription_id, plan_name, monthly_price, end_date, updated_at FROM stg_subscriptions
-    UNION ALL
-    SELECT subscription_id, plan_name, amount_eur, end_date, CAST(invoice_date AS TIMESTAMP)
-    FROM stg_invoices JOIN (SELECT subscription_id, plan_name, end_date FROM stg_subscriptions) USING (subscription_id)
-    WHERE amount_eur IS NOT NULL AND invoice_date IS NOT NULL),
-  versions AS (
-    SELECT DISTINCT subscription_id, plan_name, monthly_price, end_date, updated_at
-    FROM (SELECT p.*, ROW_NUMBER() OVER (PARTITION BY j, subscription_id
-                                         ORDER BY updated_at DESC, monthly_price DESC NULLS LAST) AS place
-          FROM prices p JOIN runs r ON p.updated_at < r.run_ts)
-    WHERE place = 1)
-  SELECT *, updated_at AS valid_from,
-         LEAD(updated_at) OVER (PARTITION BY subscription_id ORDER BY updated_at) AS valid_to
-  FROM versions""")
-register("point_in_time_mrr", with_ctes(["subscription_history"], """
+    SELECT subscription_id, seen, max(price) AS price FROM (
+      SELECT subscription_id, seen, monthly_price AS price FROM s
+      UNION ALL
+      SELECT subscription_id, CAST(invoice_date AS TIMESTAMP), amount_eur FROM stg_invoices
+      WHERE amount_eur IS NOT NULL AND invoice_date IS NOT NULL)
+    WHERE price IS NOT NULL GROUP BY ALL),
+  moments AS (
+    SELECT subscription_id, seen FROM s UNION SELECT subscription_id, CAST(end_date AS TIMESTAMP) FROM s WHERE end_date IS NOT NULL
+    UNION SELECT subscription_id, CAST(invoice_date AS TIMESTAMP) FROM stg_invoices
+          WHERE amount_eur IS NOT NULL AND invoice_date IS NOT NULL AND subscription_id IN (SELECT subscription_id FROM s)),
+  states AS (
+    SELECT m.subscription_id, m.seen,
+           CASE WHEN m.seen >= s.seen THEN s.plan_name END AS plan_name,
+           p.price AS monthly_price,
+           CASE WHEN s.end_date IS NULL THEN CASE WHEN m.seen >= s.seen THEN s.status END
+                WHEN s.seen = CAST(s.end_date AS TIMESTAMP) AND m.seen >= s.seen THEN greatest('active', s.status)
+                WHEN m.seen >= CAST(s.end_date AS TIMESTAMP) AND (m.seen < s.seen OR s.seen < CAST(s.end_date AS TIMESTAMP)) THEN s.status
+                WHEN m.seen >= s.seen THEN 'active' END AS status,
+           CASE WHEN m.seen >= s.seen THEN s.start_date END AS start_date,
+           CASE WHEN m.seen >= CAST(s.end_date AS TIMESTAMP) THEN s.end_date END AS end_date
+    FROM moments m JOIN s USING (subscription_id)
+    ASOF LEFT JOIN prices p ON p.subscription_id = m.subscription_id AND m.seen >= p.seen),
+  changes AS (
+    SELECT *, row(plan_name, monthly_price, status, start_date, end_date) AS state,
+           lag(row(plan_name, monthly_price, status, start_date, end_date)) OVER w AS before, row_number() OVER w AS place
+    FROM states WINDOW w AS (PARTITION BY subscription_id ORDER BY seen))
+  SELECT subscription_id, plan_name, monthly_price, status, start_date, end_date, seen AS updated_at, seen AS valid_from,
+         lead(seen) OVER (PARTITION BY subscription_id ORDER BY seen) AS valid_to
+  FROM changes WHERE place = 1 OR state IS DISTINCT FROM before""")
+register("scd2_subscriptions", select_all("subscription_history"))
+cte("history_months", ["subscription_history"], """
+  SELECT CAST(UNNEST(generate_series((SELECT date_trunc('month', MIN(valid_from)) FROM subscription_history),
+                                     (SELECT date_trunc('month', MAX(valid_from)) FROM subscription_history),
+                                     INTERVAL 1 MONTH)) AS DATE) AS month_start""")
+register("point_in_time_mrr", with_ctes(["subscription_history", "history_months"], """
   SELECT m.month_start, h.plan_name, CAST(SUM(h.monthly_price) AS DECIMAL(38,2)) AS mrr,
          COUNT(h.subscription_id) AS active_subscriptions
-  FROM (SELECT CAST(UNNEST(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH))
-                    AS DATE) AS month_start) m
+  FROM history_months m
   JOIN subscription_history h
     ON h.valid_from <= CAST(m.month_start AS TIMESTAMP)
    AND (h.valid_to IS NULL OR h.valid_to > CAST(m.month_start AS TIMESTAMP))
    AND (h.end_date IS NULL OR h.end_date >= m.month_start)
   GROUP BY m.month_start, h.plan_name"""))
+register("mrr_as_known", with_ctes(["subscription_history", "history_months"], """
+  SELECT k.month_start AS known_at, m.month_start, h.plan_name, CAST(SUM(h.monthly_price) AS DECIMAL(38,2)) AS mrr,
+         COUNT(h.subscription_id) AS active_subscriptions
+  FROM subscription_history h
+  JOIN history_months k ON h.valid_from <= CAST(k.month_start AS TIMESTAMP)
+   AND (h.valid_to IS NULL OR h.valid_to > CAST(k.month_start AS TIMESTAMP))
+  JOIN history_months m ON m.month_start <= k.month_start AND date_trunc('month', h.start_date) <= m.month_start
+   AND (h.end_date IS NULL OR date_trunc('month', h.end_date) >= m.month_start)
+  GROUP BY ALL"""))
+register("quarantine_lifecycle", with_ctes(["raw_invoices"], """
+  SELECT _row_id, CASE WHEN updated_at > TIMESTAMP '2001-09-01' THEN 'clamped' ELSE 'released' END AS state, updated_at,
+         TIMESTAMP '1998-01-01' AS held_at,
+         CASE WHEN updated_at > TIMESTAMP '1998-01-01' AND updated_at <= TIMESTAMP '2000-01-01' THEN TIMESTAMP '2000-01-01'
+              ELSE TIMESTAMP '2001-09-01' END AS settled_at,
+         least(updated_at, TIMESTAMP '2001-09-01') AS loaded_as
+  FROM raw_invoices WHERE updated_at > TIMESTAMP '1998-01-01'"""))
+register("schema_sync", """
+  SELECT CAST(o_orderkey AS BIGINT) AS order_key,
+         CASE WHEN o_orderkey % 3 = 1 THEN CAST(o_custkey AS BIGINT) ELSE CAST(o_custkey AS BIGINT) + 3000000000 END AS customer,
+         CAST(CASE WHEN o_orderkey % 3 = 1 THEN CAST(o_totalprice AS DECIMAL(18,2))
+                   ELSE CAST(o_totalprice AS DECIMAL(18,2)) + CAST(0.0001 AS DECIMAL(18,4)) END AS DECIMAL(14,4)) AS price,
+         CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderpriority END AS priority
+  FROM orders""")

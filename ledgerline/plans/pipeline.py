@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.history import HistoryTable
-from ledgerline.operators.incremental import VersionedTable, WatermarkStore
+from ledgerline.operators.history import apply_snapshot, history_target
 from ledgerline.operators.quality import raise_on_error, run_checks
 from ledgerline.operators.staging import type_invoices
+from ledgerline.operators.targets import LoadState, ParquetTarget
 from ledgerline.plans.checks import column_checks, landing_checks, singular_checks
 from ledgerline.plans.models import BillingModels
 from ledgerline.sources.raw import RAW_KEY
@@ -60,7 +60,7 @@ def sync(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_ts=N
     watermark: the landed tables, and per resource the load's report (rows
     loaded, quarantined, in the table).  Sources whose row id is a content id
     cannot be merged and need ``full_refresh`` after the first run."""
-    tables = {name: VersionedTable(spark, os.path.join(root, name), RAW_KEY, "updated_at") for name in sources}
+    tables = {name: ParquetTarget(spark, os.path.join(root, name), RAW_KEY, "updated_at") for name in sources}
     with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         reports = dict(zip(sources, pool.map(
             lambda name: tables[name].load(sources[name], full_refresh=full_refresh, run_ts=run_ts), sources)))
@@ -73,7 +73,7 @@ def staged_invoices(spark: SparkSession, landed: DataFrame, root: str, full_refr
     subscription may arrive after its invoices.  Merged on the landed row id,
     since invoice ids may be NULL or repeated; a table kept without it is
     built anew from the landed rows."""
-    table = VersionedTable(spark, os.path.join(root, "typed_invoices"), RAW_KEY, "updated_at")
+    table = ParquetTarget(spark, os.path.join(root, "typed_invoices"), RAW_KEY, "updated_at")
     tie = ["invoice_date", "amount", "currency", "status", "subscription_id"]
     kept = table.read()
     full_refresh = full_refresh or (kept is not None and RAW_KEY not in kept.columns)
@@ -91,7 +91,7 @@ class RunResult:
 
 def published(spark: SparkSession, out_dir: str) -> dict[str, str]:
     """Model name → folder of the last published run (empty before the first)."""
-    row = WatermarkStore(spark, os.path.join(out_dir, "_published")).last("run")
+    row = LoadState(spark, os.path.join(out_dir, "_published")).get("run")
     return {} if row is None else {n: os.path.join(out_dir, json.loads(row["info"])["folder"], n) for n in MODEL_ORDER}
 
 
@@ -118,7 +118,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], as_of, out_dir: str,
         if fail_on_error:
             raise_on_error(spark.read.parquet(path))
     if snapshot_path:
-        HistoryTable(spark, snapshot_path, "subscription_id", "updated_at").apply(m.stg_subscriptions)
-    WatermarkStore(spark, os.path.join(out_dir, "_published")).commit("run", None, {"folder": folder})
+        apply_snapshot(history_target(spark, snapshot_path, "subscription_id", "updated_at"), m.stg_subscriptions)
+    LoadState(spark, os.path.join(out_dir, "_published")).put("run", None, 0, folder=folder)
     return RunResult(models=published(spark, out_dir), checks=spark.read.parquet(path),
                      snapshot_path=snapshot_path, loads=loads)

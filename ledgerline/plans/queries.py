@@ -70,6 +70,7 @@ def dq_singular_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENTS_SPLIT = "2024-01-16 00:00:00"
 INVOICE_FIRST_RUN_BEFORE = "1998-01-01 00:00:00"
 SYNC_TIME = "2001-09-01 00:00:00"
+QUARANTINE_RUNS = ("1998-01-01 00:00:00", "2000-01-01 00:00:00", SYNC_TIME)
 SNAPSHOT_RUNS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # and one the day after the last event
 STATE_FIRST_DAY = "2024-01-01"
 
@@ -94,33 +95,29 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("partitioned_upsert")
 def partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest state per user through the partitioned layout: two loads of the
-    event feed by day, where every seventh event has no day (the NULL
-    partition) and users move between days and out of the NULL one."""
-    import os
-
+    """Latest state per user through the stored layout: two loads of the event
+    feed, where every seventh event has no day; a load rewrites the partitions
+    of its users only."""
     from pyspark.sql import functions as F
 
-    from ledgerline.operators.incremental import PartitionedTable
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.session import scratch_dir
     ev = _events(spark, sf_dir).withColumn("day", F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("date")))
-    root, split = scratch_dir(spark, "partitioned-upsert"), F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
-    table = PartitionedTable(spark, os.path.join(root, "table"), "user_id", "ts", "day", os.path.join(root, "staging"))
-    table.upsert(ev.where(F.col("ts") < split), ["event_id"])
-    table.upsert(ev.where(F.col("ts") >= split), ["event_id"])
-    return table.read().select("user_id", "event_id", "ts", "event_type", "value", F.col("day").cast("date").alias("day"))
+    split = F.lit(EVENTS_SPLIT).cast("timestamp_ntz")
+    table = ParquetTarget(spark, scratch_dir(spark, "partitioned-upsert"), "user_id", "ts")
+    table.apply(ev.where(F.col("ts") < split), tiebreak=["event_id"])
+    table.apply(ev.where(F.col("ts") >= split), tiebreak=["event_id"])
+    return table.read().select("user_id", "event_id", "ts", "event_type", "value", "day")
 
 
 def _invoice_loads(spark: SparkSession, sf_dir: str):
-    import os
-
     from pyspark.sql import functions as F
 
-    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.session import scratch_dir
     from ledgerline.sources.testdata import raw_invoices
     raw = raw_invoices(spark, sf_dir)
-    table = VersionedTable(spark, os.path.join(scratch_dir(spark, "invoice-loads"), "t"), "_row_id", "updated_at")
+    table = ParquetTarget(spark, scratch_dir(spark, "invoice-loads"), "_row_id", "updated_at")
     early = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
     return table, [table.load(early, run_ts=SYNC_TIME), table.load(raw, run_ts=SYNC_TIME)]
 
@@ -143,7 +140,47 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = table.quarantine()
     if held is None:
         held = raw_invoices(spark, sf_dir).where("false")
-    return held.select("_row_id", "invoice_id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")).distinct()
+    return held.select("_row_id", "invoice_id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"))
+
+
+@query("quarantine_lifecycle")
+def quarantine_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw invoice that was ever ahead of a sync, one row each, after three
+    runs: held, then released by the run that its time has come for; the last
+    run clamps what is still ahead of it."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.targets import ParquetTarget
+    from ledgerline.session import scratch_dir
+    from ledgerline.sources.testdata import raw_invoices
+    raw = raw_invoices(spark, sf_dir)
+    table = ParquetTarget(spark, scratch_dir(spark, "quarantine"), "_row_id", "updated_at")
+    for run_ts in QUARANTINE_RUNS:
+        table.load(raw, run_ts=run_ts, clamp=run_ts == QUARANTINE_RUNS[-1])
+    held, loaded = table.quarantine(), table.read().select("_row_id", F.col("updated_at").alias("loaded_as"))
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("updated_at", "held_at", "settled_at", "loaded_as")]
+    return held.join(loaded, "_row_id", "left").select("_row_id", "state", *times)
+
+
+@query("schema_sync")
+def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two loads of different schemas: keys and priorities widen from int
+    to long, prices from two to four decimals, a column goes and one comes."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.targets import ParquetTarget
+    from ledgerline.session import scratch_dir
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("at", F.col("o_orderdate").cast("timestamp"))
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    first = orders.where(F.col("o_orderkey") % 3 != 0).select(
+        F.col("o_orderkey").cast("int").alias("order_key"), F.col("o_custkey").cast("int").alias("customer"), "at",
+        price.cast("decimal(12,2)").alias("price"), F.col("o_orderstatus").alias("status"))
+    second = orders.where(F.col("o_orderkey") % 3 != 1).select(
+        F.col("o_orderkey").cast("long").alias("order_key"), (F.col("o_custkey").cast("long") + 3_000_000_000).alias("customer"), "at",
+        (price.cast("decimal(18,4)") + F.lit(0.0001).cast("decimal(18,4)")).cast("decimal(14,4)").alias("price"),
+        F.col("o_orderpriority").alias("priority"))
+    table = ParquetTarget(spark, scratch_dir(spark, "schema-sync"), "order_key", "at")
+    table.apply(first)
+    table.apply(second)
+    return table.read().select("order_key", "customer", "price", "priority")
 
 
 @query("incremental_filter")
@@ -199,11 +236,11 @@ def cursor_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history_of(spark: SparkSession, snapshots: list[DataFrame], key: str) -> DataFrame:
     """The history after one run per snapshot, through the written table."""
-    from ledgerline.operators.history import VERSION_ID, HistoryTable
+    from ledgerline.operators.history import VERSION_ID, apply_snapshot, history_target
     from ledgerline.session import scratch_dir
-    table = HistoryTable(spark, scratch_dir(spark, "history"), key, "updated_at")
+    table = history_target(spark, scratch_dir(spark, "history"), key, "updated_at")
     for snapshot in snapshots:
-        table.apply(snapshot)
+        apply_snapshot(table, snapshot)
     return table.read().drop(VERSION_ID)
 
 
@@ -363,13 +400,13 @@ def source_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_sync_events")
 def stream_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event feed synced through a Structured Streaming availableNow run
-    into a versioned table (in the shared checkpoint folder); the result is
+    into a stored table (in the shared checkpoint folder); the result is
     the table's committed state: latest event per user."""
     import os
 
     from pyspark.sql import functions as F
 
-    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.session import scratch_dir
     from ledgerline.streaming.sync import file_stream, sync_available
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -377,46 +414,73 @@ def stream_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
                       "event_type", "value"))
     root = scratch_dir(spark, "stream-sync-events")
-    table = VersionedTable(spark, os.path.join(root, "table"), "user_id", "ts")
+    table = ParquetTarget(spark, os.path.join(root, "table"), "user_id", "ts")
     return sync_available(stream, table, os.path.join(root, "checkpoint"), ["event_id"])
 
 
-SUBSCRIPTION_SNAPSHOT_RUNS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", SYNC_TIME)
-PIT_MONTHS = ("1995-01-01", "2001-08-01")
+def _subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is learnt of each clean subscription, and when: at its start the plan,
+    price, and status (active if it has an end), at each EUR bill the price
+    billed, at its end the end date and final status."""
+    from pyspark.sql import functions as F
+    m = models(spark, sf_dir)
+    known = ["plan_name", "monthly_price", "status", "start_date", "end_date"]
+    subs = m.subscriptions_core.select("subscription_id", "updated_at", *known)
+    none = {c: F.lit(None).cast(subs.schema[c].dataType) for c in known}
+
+    def event(df: DataFrame, at, **values):
+        return df.select("subscription_id", at.cast("timestamp").alias("updated_at"),
+                         *[values.get(c, none[c]).alias(c) for c in known])
+    started = event(subs, F.col("updated_at"), plan_name=F.col("plan_name"), monthly_price=F.col("monthly_price"),
+                    start_date=F.col("start_date"),
+                    status=F.when(F.col("end_date").isNotNull(), F.lit("active")).otherwise(F.col("status")))
+    ended = event(subs.where(F.col("end_date").isNotNull()), F.col("end_date"), status=F.col("status"), end_date=F.col("end_date"))
+    billed = event(m.typed_invoices.where(F.col("amount_eur").isNotNull() & F.col("invoice_date").isNotNull())
+                   .join(subs.select("subscription_id"), "subscription_id", "left_semi"),
+                   F.col("invoice_date"), monthly_price=F.col("amount_eur"))
+    return started.unionByName(billed).unionByName(ended)
+
+
+def subscription_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 history of the clean subscriptions from their whole change feed."""
+    from ledgerline.operators.history import VERSION_ID, carried_forward, history_from_feed
+    state = ["plan_name", "monthly_price", "status", "start_date", "end_date"]
+    feed = carried_forward(_subscription_events(spark, sf_dir), ["subscription_id"], "updated_at", state)
+    return history_from_feed(feed, "subscription_id", "updated_at", state).drop(VERSION_ID)
+
+
+def _last_month(history: DataFrame):
+    """The month of the newest version (None without one): one row to the driver."""
+    from pyspark.sql import functions as F
+    return history.agg(F.trunc(F.max("valid_from"), "MM")).first()[0]
 
 
-def subscription_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type-2 history of subscriptions whose price follows their bills: the
-    price a subscription starts with, and from each invoice date on the amount
-    billed.  Each run sees what is known by then, so a subscription that is billed
-    between two runs has a closed version."""
+@query("scd2_subscriptions")
+def scd2_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of every clean subscription."""
     from pyspark.sql import functions as F
-    from ledgerline.operators.dedup import keep_latest
-    m = models(spark, sf_dir)
-    subs = m.subscriptions_core.select("subscription_id", "plan_name", "monthly_price", "end_date", "updated_at")
-    billed = (m.typed_invoices.where(F.col("amount_eur").isNotNull() & F.col("invoice_date").isNotNull())
-              .select("subscription_id", "amount_eur", "invoice_date")
-              .join(subs.select("subscription_id", "plan_name", "end_date"), "subscription_id")
-              .select("subscription_id", "plan_name", F.col("amount_eur").alias("monthly_price"), "end_date",
-                      F.col("invoice_date").cast("timestamp").alias("updated_at")))
-    from ledgerline.session import stored
-    known = stored(subs.unionByName(billed), "subscription-prices")
-    return _history_of(spark, [keep_latest(known.where(F.col("updated_at") < F.lit(run).cast("timestamp")),
-                                           "subscription_id", "updated_at", ["monthly_price"])
-                               for run in SUBSCRIPTION_SNAPSHOT_RUNS], "subscription_id")
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("updated_at", "valid_from", "valid_to")]
+    return subscription_history(spark, sf_dir).select(
+        "subscription_id", "plan_name", "monthly_price", "status", "start_date", "end_date", *times)
 
 
 @query("point_in_time_mrr")
 def point_in_time_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MRR as known at each month start, read from the price history.
+    """MRR as known at each month start up to the newest version's month.
 
     At month start M a subscription counts with the version valid at M if that
     version has no end date or ends on/after M.
     """
-    from pyspark.sql import functions as F
-    from ledgerline.operators.history import valid_periods
-    at = valid_periods(subscription_price_history(spark, sf_dir), *PIT_MONTHS, unit="month")
-    return (at.where(F.col("end_date").isNull() | (F.col("end_date") >= F.col("period_start")))
-            .groupBy(F.col("period_start").alias("month_start"), "plan_name")
-            .agg(F.sum("monthly_price").cast("decimal(38,2)").alias("mrr"),
-                 F.count("subscription_id").alias("active_subscriptions")))
+    from ledgerline.operators.history import mrr_at_month_starts
+    from ledgerline.session import stored
+    history = stored(subscription_history(spark, sf_dir), "subscription-history")
+    return mrr_at_month_starts(history, _last_month(history))
+
+
+@query("mrr_as_known")
+def mrr_as_known_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRR of each month as known at each month start from then on."""
+    from ledgerline.operators.history import mrr_as_known
+    from ledgerline.session import stored
+    history = stored(subscription_history(spark, sf_dir), "subscription-history")
+    return mrr_as_known(history, _last_month(history))

@@ -1,11 +1,10 @@
 """The recurring sync as a Structured Streaming query.
 
 A file (or any streaming) source is read with ``readStream``; every
-micro-batch is upserted into a ``VersionedTable`` (atomic, rewrites the
-table) or a ``PartitionedTable`` (rewrites touched partitions only — the
-choice for large targets) through ``foreachBatch``.
+micro-batch is merged into a ``ParquetTarget`` through ``foreachBatch``.
 The stream checkpoint replaces the cursor: a file is processed once, and a
-re-delivered epoch is skipped by the table, so the sink is exactly-once.
+re-delivered or late row is not newer than the table's and changes nothing,
+so the sink is exactly-once.
 ``trigger(availableNow=True)`` drains what has landed and stops — the
 scheduled-batch form; a processing-time trigger makes it continuous.
 """
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.incremental import PartitionedTable, VersionedTable
+from ledgerline.operators.targets import ParquetTarget
 
 
 def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: str = "parquet",
@@ -29,7 +28,7 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: st
     return reader.load(directory)
 
 
-def start_sync(stream: DataFrame, target: VersionedTable | PartitionedTable, checkpoint: str,
+def start_sync(stream: DataFrame, target: ParquetTarget, checkpoint: str,
                tiebreak: list[str] | None = None, available_now: bool = True,
                processing_time: str | None = None) -> StreamingQuery:
     def apply(batch: DataFrame, epoch: int) -> None:
@@ -41,7 +40,7 @@ def start_sync(stream: DataFrame, target: VersionedTable | PartitionedTable, che
     return writer.start()
 
 
-def sync_available(stream: DataFrame, target: VersionedTable | PartitionedTable, checkpoint: str,
+def sync_available(stream: DataFrame, target: ParquetTarget, checkpoint: str,
                    tiebreak: list[str] | None = None, timeout_s: float = 3600) -> DataFrame | None:
     """Drain everything available now, wait, and return the target table.
     A drain that takes longer than ``timeout_s`` is stopped and raises; what it

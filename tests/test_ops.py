@@ -78,18 +78,18 @@ def test_cursor_guard(spark):
     assert next_watermark(g.good, "ts") == TS(2024, 1, 1)               # N9
 
 
-def test_versioned_table_incremental_equals_full(spark, tmp_dir):
-    from ledgerline.operators.incremental import VersionedTable
+def test_incremental_loads_equal_a_full_one(spark, tmp_dir):
+    from ledgerline.operators.targets import ParquetTarget
     rows = [("a", "1", TS(2024, 1, 1)), ("b", "1", TS(2024, 1, 2)), ("a", "2", TS(2024, 1, 3)),
             ("c", "1", TS(2024, 1, 3)), ("b", "2", TS(2024, 1, 5))]
-    full = VersionedTable(spark, os.path.join(tmp_dir, "full"), "k", "ts")
+    full = ParquetTarget(spark, os.path.join(tmp_dir, "full"), "k", "ts")
     full.load(_ev(spark, rows), full_refresh=True)
-    inc = VersionedTable(spark, os.path.join(tmp_dir, "inc"), "k", "ts")
+    inc = ParquetTarget(spark, os.path.join(tmp_dir, "inc"), "k", "ts")
     inc.load(_ev(spark, rows[:2]))
     r2 = inc.load(_ev(spark, rows[:4]))
     inc.load(_ev(spark, rows))
     inc.load(_ev(spark, rows))                                         # re-run: harmless
-    assert r2["version"] == 2
+    assert r2["run"] == 2 and r2["rows"] == 3 and r2["inserted"] == 1
     a = sorted(map(tuple, full.read().collect()))
     b = sorted(map(tuple, inc.read().collect()))
     assert a == b and inc.watermark() == TS(2024, 1, 5)
@@ -175,19 +175,19 @@ def test_round_ratio_half_up(spark):
 
 # ---------------------------------------------------------------- streaming
 def test_stream_sync_two_batches(spark, tmp_dir):
-    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.streaming.sync import file_stream, sync_available
     landing = os.path.join(tmp_dir, "landing")
     _ev(spark, [("a", "1", TS(2024, 1, 1)), ("b", "1", TS(2024, 1, 1))]).write.parquet(landing + "/f1")
     schema = spark.read.parquet(landing + "/f1").schema
-    table = VersionedTable(spark, os.path.join(tmp_dir, "t"), "k", "ts")
+    table = ParquetTarget(spark, os.path.join(tmp_dir, "t"), "k", "ts")
     ck = os.path.join(tmp_dir, "ck")
     out = sync_available(file_stream(spark, landing + "/*", schema), table, ck)
     assert out.count() == 2
     _ev(spark, [("a", "2", TS(2024, 1, 2))]).write.parquet(landing + "/f2")
     out = sync_available(file_stream(spark, landing + "/*", schema), table, ck)
     assert {r.k: r.v for r in out.collect()} == {"a": "2", "b": "1"}
-    assert table.current_version() == 2
+    assert table.run_number() == 2
 
 
 # -------------------------------------------------------------- plan shape
@@ -209,15 +209,15 @@ def test_dedup_limits_before_shuffle(spark):
 
 
 def test_pipeline_run(spark, tmp_dir):
-    from ledgerline.operators.history import HistoryTable
-    from ledgerline.operators.incremental import VersionedTable
+    from ledgerline.operators.history import history_target
     from ledgerline.operators.quality import CheckFailed
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.plans.pipeline import published, run
     from ledgerline.sources.testdata import TEST_AS_OF, raw_tables
     raw = raw_tables(spark, "/root/testdata/sf0.001")
     early = {n: df.where(F.col("updated_at") < F.lit("1998-01-01").cast("timestamp")) for n, df in raw.items()}
     out, sync = tmp_dir + "/m", tmp_dir + "/sync"
-    history = HistoryTable(spark, tmp_dir + "/snap", "subscription_id", "updated_at")
+    history = history_target(spark, tmp_dir + "/snap", "subscription_id", "updated_at")
     assert published(spark, out) == {}
     run(spark, early, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", sync_root=sync)
     res = run(spark, raw, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", sync_root=sync)
@@ -233,7 +233,7 @@ def test_pipeline_run(spark, tmp_dir):
     with pytest.raises(CheckFailed):                                    # the test data fails error checks
         run(spark, raw, TEST_AS_OF, out, snapshot_path=tmp_dir + "/snap", fail_on_error=True)
     assert published(spark, out) == res.models and history.read().count() == n
-    assert VersionedTable(spark, sync + "/typed_invoices", "invoice_id", "updated_at").current_version() == 2
+    assert ParquetTarget(spark, sync + "/typed_invoices", "_row_id", "updated_at").run_number() == 2
 
 
 def test_typed_invoices_keep_null_and_repeated_ids(spark, tmp_dir):
@@ -253,8 +253,8 @@ def test_typed_invoices_keep_null_and_repeated_ids(spark, tmp_dir):
 
 
 def test_history_survives_a_failed_run(spark, tmp_dir):
-    from ledgerline.operators.history import HistoryTable
-    table = HistoryTable(spark, tmp_dir + "/h", "k", "ts")
+    from ledgerline.operators.history import apply_snapshot, history_target
+    table = history_target(spark, tmp_dir + "/h", "k", "ts")
 
     def state():
         return sorted((r.k, r.v, r.ts.day, r.valid_to.day if r.valid_to else None) for r in table.read().collect())
@@ -262,16 +262,16 @@ def test_history_survives_a_failed_run(spark, tmp_dir):
     def snap(*items):
         return spark.createDataFrame([(k, v, TS(2024, 1, d)) for k, v, d in items], "k string, v string, ts timestamp")
     assert table.read() is None
-    table.apply(snap(("a", "1", 1), ("b", "1", 1)))
+    apply_snapshot(table, snap(("a", "1", 1), ("b", "1", 1)))
     before = state()
-    commit, table.state.commit = table.state.commit, None               # dies after the write, before the commit
+    put, table.state.put = table.state.put, None                        # dies after the write, before the commit
     with pytest.raises(TypeError):
-        table.apply(snap(("a", "9", 9)))
-    table.state.commit = commit
+        apply_snapshot(table, snap(("a", "9", 9)))
+    table.state.put = put
     assert state() == before
-    table.apply(snap(("a", "2", 2), ("c", "1", 2)))
-    table.apply(snap(("a", "3", 3), ("b", "0", 1)))
-    table.apply(snap(("b", "4", 4)))
+    apply_snapshot(table, snap(("a", "2", 2), ("c", "1", 2)))
+    apply_snapshot(table, snap(("a", "3", 3), ("b", "0", 1)))
+    apply_snapshot(table, snap(("b", "4", 4)))
     assert state() == [("a", "1", 1, 2), ("a", "2", 2, 3), ("a", "3", 3, None), ("b", "1", 1, 4), ("b", "4", 4, None),
                        ("c", "1", 2, None)]
 
@@ -300,30 +300,13 @@ def test_untyped_csv_landing(spark, tmp_dir):
 
 
 def test_load_report_counts_rows(spark, tmp_dir):
-    from ledgerline.operators.incremental import VersionedTable
-    t = VersionedTable(spark, os.path.join(tmp_dir, "t"), "k", "ts")
+    from ledgerline.operators.targets import ParquetTarget
+    t = ParquetTarget(spark, os.path.join(tmp_dir, "t"), "k", "ts")
     rep = t.load(_ev(spark, [("a", "1", TS(2024, 1, 1)), ("b", "1", TS(2024, 1, 2)),
                              ("poison", "1", TS(2031, 1, 1))]), run_ts=TS(2024, 6, 1))
     assert rep["rows"] == 2 and rep["quarantined"] == 1 and rep["watermark"] == TS(2024, 1, 2)
 
 
-def test_partitioned_upsert_moves_rows(spark, tmp_dir):
-    from ledgerline.operators.incremental import PartitionedTable
-    d = dt.date
-
-    def batch(rows):
-        return spark.createDataFrame(rows, "k string, v string, ts timestamp, month date")
-
-    t = PartitionedTable(spark, os.path.join(tmp_dir, "t"), "k", "ts", "month", os.path.join(tmp_dir, "stage"))
-    t.upsert(batch([("a", "1", TS(2024, 1, 1), d(2024, 1, 1)), ("b", "1", TS(2024, 1, 2), d(2024, 1, 1)),
-                    ("c", "1", TS(2024, 2, 2), d(2024, 2, 1))]))
-    # c moves from February to March; February becomes empty and must vanish
-    rep = t.upsert(batch([("c", "2", TS(2024, 3, 3), d(2024, 3, 1)), ("a", "2", TS(2024, 3, 3), d(2024, 1, 1))]))
-    assert rep["emptied"] == ["2024-02-01"]
-    got = sorted((r.k, r.v, r.month) for r in t.read().collect())
-    assert got == [("a", "2", d(2024, 1, 1)), ("b", "1", d(2024, 1, 1)), ("c", "2", d(2024, 3, 1))]
-
-
 def test_present_orders_ltv(spark):
     from ledgerline.plans.models import present
     df = spark.createDataFrame([("C2", Decimal("5.00")), ("C1", Decimal("5.00")), ("C3", Decimal("9.00"))],
@@ -354,19 +337,18 @@ def test_watermark_filter_reaches_the_scan(spark, tmp_dir):
     assert [r.k for r in df.collect()] == ["b"]
 
 
-def test_stream_sync_into_partitioned_table(spark, tmp_dir):
-    from ledgerline.operators.incremental import PartitionedTable
+def test_stream_sync_takes_late_and_repeated_rows(spark, tmp_dir):
+    from ledgerline.operators.targets import ParquetTarget
     from ledgerline.streaming.sync import file_stream, sync_available
     landing = os.path.join(tmp_dir, "landing")
-    rows = [("a", "1", TS(2024, 1, 1), dt.date(2024, 1, 1)), ("b", "1", TS(2024, 2, 1), dt.date(2024, 2, 1))]
-    schema = "k string, v string, ts timestamp, month date"
-    spark.createDataFrame(rows, schema).write.parquet(landing + "/f1")
-    spark.createDataFrame([("a", "2", TS(2024, 3, 1), dt.date(2024, 3, 1))], schema).write.parquet(landing + "/f2")
-    table = PartitionedTable(spark, os.path.join(tmp_dir, "t"), "k", "ts", "month", os.path.join(tmp_dir, "stage"))
+    batches = [[("a", "3", TS(2024, 3, 1)), ("b", "1", TS(2024, 2, 1))], [("a", "2", TS(2024, 1, 1))],       # late
+               [("a", "3", TS(2024, 3, 1)), ("b", "2", TS(2024, 2, 2)), ("b", "1", TS(2024, 2, 1))]]         # repeated
+    for k, rows in enumerate(batches):
+        _ev(spark, rows).write.parquet(f"{landing}/f{k}")
+    table = ParquetTarget(spark, os.path.join(tmp_dir, "t"), "k", "ts")
     stream = file_stream(spark, landing + "/*", spark.read.parquet(landing + "/f1").schema, max_files_per_trigger=1)
     out = sync_available(stream, table, os.path.join(tmp_dir, "ck"))
-    assert sorted((r.k, r.v, r.month) for r in out.collect()) == [
-        ("a", "2", dt.date(2024, 3, 1)), ("b", "1", dt.date(2024, 2, 1))]
+    assert sorted((r.k, r.v) for r in out.collect()) == [("a", "3"), ("b", "2")]
 
 
 def test_mrr_scan_reads_only_needed_columns(spark):
