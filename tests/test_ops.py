@@ -277,8 +277,8 @@ def test_history_survives_a_failed_run(spark, tmp_dir):
 
 
 def test_price_history_has_closed_versions(spark):
-    from ledgerline.plans.queries import subscription_price_history
-    assert subscription_price_history(spark, "/root/testdata/sf0.001").where("valid_to IS NOT NULL").count() > 0
+    from ledgerline.plans.queries import subscription_history
+    assert subscription_history(spark, "/root/testdata/sf0.001").where("valid_to IS NOT NULL").count() > 0
 
 
 def test_untyped_csv_landing(spark, tmp_dir):
