@@ -180,3 +180,20 @@ def remove_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     answers = sent.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), c.ANSWER_SCHEMA)
     return c.answered(chunks, answers).mapInArrow(
         _drop(min_chars), "doc_id long, n_lines long, n_dropped long, kept_sha256 string, kept_text string")
+
+
+#: DuckDB SQL for op5: keys grouped as strings
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT rn, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM d),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+often AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 AND doc_id IS NOT NULL
+  GROUP BY key HAVING count(DISTINCT rn) >= 5),
+marked AS (SELECT k.*, o.key IS NOT NULL AND k.doc_id IS NOT NULL AND k.doc_id <> o.last AS gone
+           FROM keyed k LEFT JOIN often o ON o.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rn"""

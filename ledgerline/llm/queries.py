@@ -98,6 +98,8 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.oracle(),
+    "op4_substring_dedup": substring_dedup.ORACLE,
+    "op5_line_dedup": line_dedup.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op11_phrase_mining": phrases.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,

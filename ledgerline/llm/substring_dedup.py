@@ -217,3 +217,22 @@ def remove_repeated_spans(docs: DataFrame, width: int = WIDTH, chunk_bytes: int
     return c.answered(chunks, later).mapInArrow(
         _remove(width), "doc_id long, n_words long, n_removed long, "
         "removed array<struct<first:long,past:long>>, kept_sha256 string, kept_text string")
+
+
+#: DuckDB SQL for op4: windows spelled out
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+words AS (SELECT rn, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+windows AS (
+  SELECT rn, doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT rn, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) >= 20)),
+later AS (
+  SELECT rn, i FROM (SELECT rn, i, rank() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+marked AS (
+  SELECT words.*, count(later.i) OVER (PARTITION BY words.rn ORDER BY words.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM words LEFT JOIN later ON later.rn = words.rn AND later.i = words.i)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(m.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(m.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT rn, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+                  FROM marked GROUP BY rn) m ON m.rn = d.rn"""

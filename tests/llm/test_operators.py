@@ -54,12 +54,11 @@ def test_language_codes_and_decoding():
 
 def test_language_features_read_whole_texts():
     data = np.frombuffer(b"abc " * 600_000, np.uint8)  # longer than a piece
-    counts = np.zeros(language_id.DIM)
     piece, language_id._PIECE = language_id._PIECE, 1 << 30
     whole = language_id.features(data)
     language_id._PIECE = piece
     cut = language_id.features(data)
-    assert (whole[0] == cut[0]).all() and np.allclose(whole[1], cut[1]) and counts.sum() == 0
+    assert len(whole[0]) and (whole[0] == cut[0]).all() and np.allclose(whole[1], cut[1])
 
 
 def test_language_id_degenerate(spark, empty):

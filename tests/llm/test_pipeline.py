@@ -14,8 +14,9 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
-    assert {"op2_license_scan", "op6_mixing"} <= set(entry.oracle_sql())
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
+    assert {"op2_license_scan", "op4_substring_dedup", "op5_line_dedup", "op6_mixing", "op11_phrase_mining",
+            "op12_hard_negatives"} <= set(entry.oracle_sql())
 
 
 def brute_print(text):
@@ -40,8 +41,8 @@ def test_pipeline_stages(spark):
     assert all(list(outputs[n].columns) == columns for n in list(outputs)[:-1])
     raw = duckdb.sql(f"from '{SF}/documents.parquet'").df()
     told = outputs["language_id"]
-    assert set(told.doc_id) >= set(raw.doc_id[[len(alnum_words(t)) > 20 and t[0].isalpha() for t in raw.text]]) - \
-        set(raw.doc_id) - set(told.doc_id) and len(told) >= 0.97 * len(raw)
+    wanted = set(raw.doc_id[[len(alnum_words(t)) > 20 and t[0].isalpha() for t in raw.text]])
+    assert len(wanted) > 50 and len(wanted - set(told.doc_id)) <= 0.03 * len(wanted) and len(told) >= 0.97 * len(raw)
 
     prints = {i: brute_print(t) for i, t in zip(told.doc_id, told.text)}
     root = {i: i for i in prints}
