@@ -1,11 +1,13 @@
 """Currency conversion to EUR.
 
-Three forms, from cheapest to most general:
+Four forms, from cheapest to most general:
 
 * ``convert_to_eur`` — a CASE expression over a fixed, tiny rate map (no join);
 * ``convert_with_rates`` — equi-join to a (currency, rate) table;
 * ``convert_with_dated_rates`` — rates valid from a date until the next change,
-  joined as-of the fact date.
+  joined as-of the fact date;
+* ``convert_asof`` — the same for rate tables as large as facts (a rate a minute,
+  thousands of currencies), by union and last known value in blocks of time.
 
 Only the first two reproduce the reference; the dated form is the extension it
 names.  Currency codes are matched exactly (no trim, no case folding), so
@@ -96,3 +98,65 @@ def convert_with_dated_rates(df: DataFrame, amount: str, currency: str, on_date:
             .withColumn(out, F.round(F.col(amount) * F.coalesce("_fx_rate", "_fx_last_rate"), 2).cast(MONEY))
             .drop("_fx_ccy", "_fx_from", "_fx_next", "_fx_rate", "_fx_month",
                   "_fx_last_ccy", "_fx_last_from", "_fx_last_rate"))
+
+
+_NULL_KEY_SPREAD = 1024
+
+
+def rates_as_of(moments: DataFrame, rates: DataFrame, block: str = "MONTH") -> DataFrame:
+    """(_fx_ccy, _fx_at, _fx_rate): the rate in force at each distinct (_fx_ccy,
+    _fx_at) of ``moments``; NULL before a currency's first rate.
+
+    Rates and moments are laid on one line and cut into blocks of (currency,
+    ``block`` of time).  A block starts with the last rate of the blocks
+    before it, which a window over one row a block finds, so that no task ever sees a
+    whole currency; inside, each moment takes the last rate before or at it.
+    Of several rates with one start the largest holds; a NULL rate, currency or
+    start is no rate.
+    """
+    from pyspark.sql import Window
+
+    none = F.lit(None).cast(RATE)
+    known = (rates.select(F.col("currency").alias("_fx_ccy"), F.col("valid_from").cast("timestamp").alias("_fx_at"),
+                          F.col("rate_to_eur").cast(RATE).alias("_fx_rate"))
+             .where(F.col("_fx_ccy").isNotNull() & F.col("_fx_at").isNotNull() & F.col("_fx_rate").isNotNull())
+             .groupBy("_fx_ccy", "_fx_at").agg(F.max("_fx_rate").alias("_fx_rate")).withColumn("_fx_asked", F.lit(0)))
+    asked = (moments.select("_fx_ccy", F.col("_fx_at").cast("timestamp").alias("_fx_at"))
+             .where(F.col("_fx_ccy").isNotNull() & F.col("_fx_at").isNotNull()).distinct()
+             .withColumn("_fx_rate", none).withColumn("_fx_asked", F.lit(1)))
+    line = known.unionByName(asked).withColumn("_fx_block", F.date_trunc(block, "_fx_at"))
+    closing = F.max_by("_fx_rate", F.when(F.col("_fx_asked") == 0, F.col("_fx_at")))
+    before = Window.partitionBy("_fx_ccy").orderBy("_fx_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (line.groupBy("_fx_ccy", "_fx_block").agg(closing.alias("_fx_last"))
+               .select("_fx_ccy", "_fx_block", F.last("_fx_last", ignorenulls=True).over(before).alias("_fx_rate"))
+               .where(F.col("_fx_rate").isNotNull())
+               .withColumn("_fx_at", F.lit(None).cast("timestamp")).withColumn("_fx_asked", F.lit(0)))
+    inside = Window.partitionBy("_fx_ccy", "_fx_block").orderBy(F.col("_fx_at").asc_nulls_first(), "_fx_asked") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    return (line.unionByName(carried).withColumn("_fx_rate", F.last("_fx_rate", ignorenulls=True).over(inside))
+            .where(F.col("_fx_asked") == 1).select("_fx_ccy", "_fx_at", "_fx_rate"))
+
+
+def convert_asof(df: DataFrame, amount: str, currency: str, on_date: str, rates: DataFrame,
+                 out: str = "amount_eur", block: str = "MONTH") -> DataFrame:
+    """As-of conversion where neither side is small.
+
+    The rate is looked up once per distinct (currency, moment) of the facts
+    (``rates_as_of``; repeats are combined map-side), so a currency or a day that holds
+    most facts is one row a task there.  The facts then meet the looked-up
+    rates in an equi-join: AQE broadcasts them if they came out small, else splits a
+    skewed (currency, moment).  Facts without currency or date get NULL and
+    are spread by a salt.  Choose ``block`` so that one currency's rates and
+    moments in it fit a task (MONTH for days, HOUR or MINUTE for ticks).
+    """
+    at = F.col(on_date).cast("timestamp")
+    moments = df.select(F.col(currency).alias("_fx_ccy"), at.alias("_fx_at"))
+    found = rates_as_of(moments, rates, block).withColumn("_fx_salt", F.lit(0))
+    keyless = F.col(currency).isNull() | at.isNull()
+    facts = df.withColumn("_fx_moment", at).withColumn("_fx_spread", F.when(
+        keyless, F.lit(1) + F.pmod(F.xxhash64(amount), F.lit(_NULL_KEY_SPREAD))).otherwise(F.lit(0)).cast("int"))
+    met = (facts[currency] == found["_fx_ccy"]) & (facts["_fx_moment"] == found["_fx_at"]) \
+        & (facts["_fx_spread"] == found["_fx_salt"])
+    return (facts.join(found, met, "left")
+            .withColumn(out, F.round(F.col(amount) * F.col("_fx_rate"), 2).cast(MONEY))
+            .drop("_fx_ccy", "_fx_at", "_fx_rate", "_fx_salt", "_fx_spread", "_fx_moment"))

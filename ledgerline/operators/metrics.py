@@ -21,48 +21,67 @@ def mrr_by_month_plan(months: DataFrame) -> DataFrame:
                  F.count("subscription_id").alias("active_subscriptions")))
 
 
-def mrr_running_sum(eff: DataFrame, as_of) -> DataFrame:
-    """Same result as ``mrr_by_month_plan(subscription_months(eff))`` without
-    materialising the monthly grain.
+def mrr_deltas(eff: DataFrame, as_of=None) -> DataFrame:
+    """(plan_name, m, dr, dn, dp, dv): by how much each month's active rows,
+    subscriptions (a NULL id is a row, but no subscription), MRR and priced rows
+    differ from the month before.
 
     Each subscription emits +1/+price in its first active month and −1/−price
-    in the month after its last one; deltas are pre-aggregated per (plan,
-    month) — a partial aggregate, so the shuffle carries at most
-    plans × months rows — then a running sum per plan gives the level, and
-    each level is spread over the months until the next change.  Cost grows
-    with the number of subscriptions, not with their lifetimes.
+    in the month after its last one; the partial aggregate leaves at most
+    plans × months rows to shuffle.  Without ``as_of`` the deltas reach as far as
+    the data, so they can be stored, added to, and read for any as-of month.
     """
-    b = active_month_bounds(eff, as_of).where(
-        F.col("_lo").isNotNull() & (F.col("_lo") <= F.col("_hi")))
-    as_of_month = month_start(as_of_literal(as_of))
+    if as_of is None:
+        b = eff.withColumn("_lo", month_start("start_date")).withColumn("_hi", month_start("effective_end_date"))
+        closes = F.col("_hi").isNotNull()
+    else:
+        b = active_month_bounds(eff, as_of)
+        closes = F.col("_hi") < month_start(as_of_literal(as_of))
+    b = b.where(F.col("_lo").isNotNull() & (F.col("_hi").isNull() | (F.col("_lo") <= F.col("_hi"))))
     price = F.col("monthly_price")
     has_price = F.when(price.isNotNull(), 1).otherwise(0)
+    has_id = F.when(F.col("subscription_id").isNotNull(), 1).otherwise(0)
     events = b.select(
         "plan_name",
         F.explode(F.array(
-            F.struct(F.col("_lo").alias("m"), F.lit(1).alias("dn"), price.alias("dp"),
+            F.struct(F.col("_lo").alias("m"), F.lit(1).alias("dr"), has_id.alias("dn"), price.alias("dp"),
                      has_price.alias("dv")),
-            F.when(F.col("_hi") < as_of_month,
-                   F.struct(F.add_months("_hi", 1).alias("m"), F.lit(-1).alias("dn"),
+            F.when(closes,
+                   F.struct(F.add_months("_hi", 1).alias("m"), F.lit(-1).alias("dr"), (-has_id).alias("dn"),
                             (-price).alias("dp"), (-has_price).alias("dv"))),
         )).alias("e")).where(F.col("e").isNotNull()).select("plan_name", "e.*")
-    deltas = events.groupBy("plan_name", "m").agg(
-        F.sum("dn").alias("dn"), F.sum("dp").alias("dp"), F.sum("dv").alias("dv"))
+    return events.groupBy("plan_name", "m").agg(
+        F.sum("dr").alias("dr"), F.sum("dn").alias("dn"), F.sum("dp").alias("dp"), F.sum("dv").alias("dv"))
+
+
+def mrr_levels(deltas: DataFrame, as_of) -> DataFrame:
+    """MRR and active subscriptions per month and plan up to ``as_of``: a running
+    sum of the deltas, each level spread over the months until the next change."""
+    as_of_month = month_start(as_of_literal(as_of))
+    deltas = deltas.where(F.col("m") <= as_of_month)
     w = Window.partitionBy("plan_name").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
     levels = deltas.select(
         "plan_name", "m",
+        F.sum("dr").over(w).alias("r"),
         F.sum("dn").over(w).alias("n"),
         F.sum("dp").over(w).alias("p"),
         F.sum("dv").over(w).alias("v"),
         F.lead("m").over(Window.partitionBy("plan_name").orderBy("m")).alias("next_m"))
     last = F.coalesce(F.add_months("next_m", -1), as_of_month)
-    return (levels.where(F.col("n") > 0)
+    return (levels.where(F.col("r") > 0)
             .select(F.explode(F.sequence("m", last, F.expr("INTERVAL 1 MONTH"))).alias("month_start"),
                     "plan_name",
                     F.when(F.col("v") > 0, F.col("p")).cast(MONEY_SUM).alias("mrr"),
                     F.col("n").cast("long").alias("active_subscriptions")))
 
 
+def mrr_running_sum(eff: DataFrame, as_of) -> DataFrame:
+    """Same result as ``mrr_by_month_plan(subscription_months(eff))`` without
+    materialising the monthly grain; cost grows with the number of
+    subscriptions, not with their lifetimes."""
+    return mrr_levels(mrr_deltas(eff, as_of), as_of)
+
+
 def churn_base(eff: DataFrame, as_of) -> DataFrame:
     """Per activity month M: subscriptions/MRR active in M−1 (the base) and
     cancelled subscriptions whose effective end falls in M (churned).
@@ -80,12 +99,13 @@ def churn_base(eff: DataFrame, as_of) -> DataFrame:
     as_of_month = month_start(as_of_literal(as_of))
     price = F.col("monthly_price")
     has_price = F.when(price.isNotNull(), 1).otherwise(0)
+    has_id = F.when(F.col("subscription_id").isNotNull(), 1).otherwise(0)  # a NULL id is a row, but no subscription
     active = F.col("_lo").isNotNull() & (F.col("_lo") <= F.col("_hi"))
     churned = (F.col("status") == "cancelled") & F.col("effective_end_date").isNotNull()
 
     def ev(kind, cond, m, sign):
-        return F.when(cond, F.struct(F.lit(kind).alias("kind"), m.alias("m"), F.lit(sign).alias("dn"),
-                                     (price * sign).alias("dp"), (has_price * sign).alias("dv")))
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), m.alias("m"), F.lit(sign).alias("dr"),
+                                     (has_id * sign).alias("dn"), (price * sign).alias("dp"), (has_price * sign).alias("dv")))
 
     events = b.select(F.explode(F.array(
         ev(0, active, F.col("_lo"), 1),
@@ -99,13 +119,14 @@ def churn_base(eff: DataFrame, as_of) -> DataFrame:
         return F.sum(F.when(F.col("kind") == kind, F.col(col)))
 
     monthly = events.groupBy("m").agg(
-        part(0, "dn").alias("a_n"), part(0, "dp").alias("a_p"), part(0, "dv").alias("a_v"),
+        part(0, "dr").alias("a_r"), part(0, "dn").alias("a_n"), part(0, "dp").alias("a_p"), part(0, "dv").alias("a_v"),
         part(1, "dn").alias("c_n"), part(1, "dp").alias("c_p"), part(1, "dv").alias("c_v"))
     # Windows without a partition key: the input is bounded by the calendar
     # (months between the first start and as_of), not by the data.
     w = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
     levels = monthly.select(
         "m", "c_n", "c_p", "c_v",
+        F.sum(F.coalesce("a_r", F.lit(0))).over(w).alias("r"),
         F.sum(F.coalesce("a_n", F.lit(0))).over(w).alias("n"),
         F.sum(F.coalesce("a_p", F.lit(0))).over(w).alias("p"),
         F.sum(F.coalesce("a_v", F.lit(0))).over(w).alias("v"),
@@ -114,7 +135,7 @@ def churn_base(eff: DataFrame, as_of) -> DataFrame:
     spread = (levels.where(F.col("m") <= as_of_month)
               .select(F.explode(F.sequence("m", F.greatest("m", last), F.expr("INTERVAL 1 MONTH")))
                       .alias("month_start"), "*")
-              .where(F.col("n") > 0))
+              .where(F.col("r") > 0))
     first = F.col("month_start") == F.col("m")
     prev = Window.orderBy("month_start")
     prev_is_adjacent = F.lag("month_start").over(prev) == F.add_months("month_start", -1)

@@ -571,3 +571,18 @@ register("schema_sync", """
                    ELSE CAST(o_totalprice AS DECIMAL(18,2)) + CAST(0.0001 AS DECIMAL(18,4)) END AS DECIMAL(14,4)) AS price,
          CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderpriority END AS priority
   FROM orders""")
+register("mrr_incremental", select_all("mrr_by_month_plan"))
+register("fx_asof_large", with_ctes(["stg_invoices"], """
+  SELECT i.invoice_id, i.currency, i.invoice_date, i.amount,
+         CAST(ROUND(i.amount * r.rate, 2) AS DECIMAL(18,2)) AS amount_eur
+  FROM stg_invoices i ASOF LEFT JOIN (
+    SELECT DISTINCT currency, invoice_date AS valid_from,
+           CAST((50000 + (date_diff('day', DATE '1990-01-01', invoice_date) * 37) % 9973) * 0.000001 AS DECIMAL(18,6)) AS rate
+    FROM stg_invoices WHERE date_diff('day', DATE '1990-01-01', invoice_date) % 7 < 3 AND month(invoice_date) % 4 <> 2) r
+    ON i.currency = r.currency AND i.invoice_date >= r.valid_from"""))
+register("missed_rows", with_ctes(["raw_invoices"], """
+  SELECT _row_id, invoice_id, amount, CASE WHEN _row_id % 97 = 0 THEN 'missing' ELSE 'changed' END AS kind
+  FROM raw_invoices
+  WHERE (_row_id % 97 = 0 OR _row_id % 89 = 0)
+    AND updated_at < (SELECT MAX(updated_at) FROM raw_invoices
+                      WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00' AND _row_id % 97 <> 0)"""))

@@ -484,3 +484,61 @@ def mrr_as_known_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.session import stored
     history = stored(subscription_history(spark, sf_dir), "subscription-history")
     return mrr_as_known(history, _last_month(history))
+
+
+@query("mrr_incremental")
+def mrr_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRR by month and plan after two loads of subscriptions and invoices: the second
+    adds what its subscriptions contribute now less what they did before."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
+    from ledgerline.operators.incremental_marts import TABLES, mrr_contribution, refreshed_mrr, touched_subscriptions
+    from ledgerline.operators.metrics import mrr_levels
+    from ledgerline.session import stored
+    from ledgerline.sources.raw import RAW_KEY
+    source = raw_tables(spark, sf_dir)
+    first = F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp")
+    before = {t: stored(source[t].where(first), f"mrr-{t}") for t in TABLES}
+    totals = stored(mrr_contribution(before), "mrr-totals")
+    batch = {t: stored(incremental_extract(source[t], "updated_at", next_watermark(before[t], "updated_at")), f"mrr-batch-{t}")
+             for t in TABLES}
+    after = {t: upsert(before[t], batch[t], RAW_KEY, "updated_at") for t in TABLES}
+    touched = stored(touched_subscriptions(before, batch), "mrr-touched")
+    return mrr_levels(refreshed_mrr(totals, before, after, touched), TEST_AS_OF)
+
+
+@query("fx_asof_large")
+def fx_asof_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EUR amounts of all invoices at the rate in force on their date, from a table with
+    a rate per currency and most billing days; EUR bills (the most by far) have rates too."""
+    from pyspark.sql import functions as F
+    from ledgerline.functions.fx import convert_asof
+    inv = models(spark, sf_dir).typed_invoices.select("invoice_id", "currency", "invoice_date", "amount")
+    day = F.datediff("invoice_date", F.lit("1990-01-01").cast("date"))
+    rates = (inv.where((F.pmod(day, F.lit(7)) < 3) & (F.month("invoice_date") % 4 != 2)).select(
+        "currency", F.col("invoice_date").alias("valid_from"),
+        (F.lit(50_000) + F.pmod(day * 37, F.lit(9_973))).alias("millionths")).distinct()
+        .select("currency", "valid_from", (F.col("millionths").cast("decimal(18,6)") / 1_000_000).cast("decimal(18,6)")
+                .alias("rate_to_eur")))
+    return convert_asof(inv, "amount", "currency", "invoice_date", rates)
+
+
+@query("missed_rows")
+def missed_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw invoices that two loads by cursor missed: rows that came after the first
+    load with a cursor below its watermark, and amounts corrected later under the old
+    cursor, each with the bill it has to be loaded with again."""
+    from pyspark.sql import functions as F
+    from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
+    from ledgerline.operators.reconcile import differing_rows, missed_rows
+    from ledgerline.session import stored
+    from ledgerline.sources.testdata import raw_invoices
+    source = raw_invoices(spark, sf_dir)
+    k = F.col("_row_id")
+    seen_first = source.where((F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp")) & (k % 97 != 0)) \
+        .withColumn("amount", F.when(k % 89 == 0, F.concat("amount", F.lit("0"))).otherwise(F.col("amount")))
+    first = stored(seen_first, "missed-first")
+    batch = incremental_extract(source, "updated_at", next_watermark(first, "updated_at"))
+    table = stored(upsert(first, batch, "_row_id", "updated_at"), "missed-second")
+    kinds = differing_rows(source, table, "_row_id")
+    return missed_rows(source, table, "_row_id").join(kinds, "_row_id").select("_row_id", "invoice_id", "amount", "kind")
