@@ -12,7 +12,12 @@ Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z lower-cased
    length (plus slack) form a passage.
 3. The passage is aligned with the whole item (match 1, mismatch and gap -1/2).
    The score is the best local alignment's sum over the item's number of words: 1 for an exact
-   copy, about 1 - 1.5 d for a share d of replaced words.  At least ``min_score`` is a leak.
+   copy, about 1 - 1.5 d for a share d of replaced words.  At least ``min_score`` is a leak,
+   and so is a sum of ``min_words`` or more, however long the item is (200 words in a
+   row out of an item of 500 are one).
+
+The alignment keeps one row of scores a block of rows and recomputes the blocks its path
+crosses, so a task holds about 2 sqrt(item words) rows and not one a word.
 
 The items, and nothing of the corpus, are broadcast, in blocks of at most
 ``block_items`` items and ``block_words`` words, so that their size is bounded
@@ -25,6 +30,7 @@ reported; no items or no documents give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -37,10 +43,11 @@ from ledgerline.llm import common as c
 
 N = 3
 CHANCE = 1e-8
-MIN_SCORE = 0.5
+MIN_SCORE, MIN_WORDS = 0.5, 25.0
 BLOCK_ITEMS, BLOCK_WORDS = 20_000, 2_000_000
 SCHEMA = "doc_id long, item_id long, score double, n_matched long, first_word long, last_word long"
-_PENALTY = 0.5
+_PENALTY = np.float32(0.5)  # sums of halves are exact in 32 bits
+_WHOLE = 1 << 20  # scores kept whole instead of in blocks of rows
 
 
 def _words(data: np.ndarray, offs: np.ndarray):
@@ -49,26 +56,46 @@ def _words(data: np.ndarray, offs: np.ndarray):
     return c.span_hash(lower, starts, ends), doc
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int, int]:
-    """Best local alignment of item words ``a`` in text words ``b``: score,
-    matched words, first and last text word."""
-    m, n = len(a), len(b)
-    h = np.zeros((m + 1, n + 1))
-    ramp = _PENALTY * np.arange(n + 1)
-    for i in range(1, m + 1):
-        t = np.zeros(n + 1)
-        t[1:] = np.maximum(h[i - 1, :-1] + np.where(b == a[i - 1], 1.0, -_PENALTY), h[i - 1, 1:] - _PENALTY)
+def _rows(row: np.ndarray, a: np.ndarray, b: np.ndarray, ramp: np.ndarray) -> np.ndarray:
+    """Score rows of the item words ``a``, after the row before them (kept as the first)."""
+    h = np.empty((len(a) + 1, len(row)), np.float32)
+    h[0] = row
+    t = np.zeros(len(row), np.float32)
+    for i in range(1, len(h)):
+        np.maximum(h[i - 1, :-1] + np.where(b == a[i - 1], np.float32(1), -_PENALTY), h[i - 1, 1:] - _PENALTY, out=t[1:])
         np.maximum(t, 0, out=t)
         h[i] = np.maximum.accumulate(t + ramp) - ramp  # gaps along the text
-    i, j = np.unravel_index(int(h.argmax()), h.shape)
-    best, last, matched, first = float(h[i, j]), int(j) - 1, 0, int(j) - 1
-    while i > 0 and j > 0 and h[i, j] > 1e-9:
+    return h
+
+
+def align(a: np.ndarray, b: np.ndarray, whole: int = _WHOLE) -> tuple[float, int, int, int]:
+    """Best local alignment of item words ``a`` in text words ``b``: score,
+    matched words, first and last text word.  More than ``whole`` scores are
+    held in blocks of sqrt(item words) rows."""
+    m, n = len(a), len(b)
+    size = max(1, m if m * n <= whole else math.isqrt(m))
+    ramp = _PENALTY * np.arange(n + 1, dtype=np.float32)
+    h, kept, best, i, j = np.zeros((1, n + 1), np.float32), [], 0.0, 0, 0
+    for at in range(0, m, size):
+        h = _rows(h[-1], a[at:at + size], b, ramp)
+        kept.append(h[0].copy())
+        top = int(h.argmax())
+        if h.flat[top] > best:
+            best, i, j = float(h.flat[top]), at + top // (n + 1), top % (n + 1)
+    last, matched, first, at = j - 1, 0, j - 1, (len(kept) - 1) * size
+    while i > 0 and j > 0:
+        if not at < i <= at + size:
+            at = (i - 1) // size * size
+            h = _rows(kept[at // size][:j + 1], a[at:i], b[:j], ramp[:j + 1])
+        score = h[i - at, j]
+        if score <= 0:
+            break
         same = b[j - 1] == a[i - 1]
-        if abs(h[i, j] - h[i - 1, j - 1] - (1.0 if same else -_PENALTY)) < 1e-9:
+        if score == h[i - at - 1, j - 1] + (np.float32(1) if same else -_PENALTY):
             i, j = i - 1, j - 1
             matched += int(same)
-            first = int(j)
-        elif abs(h[i, j] - h[i - 1, j] + _PENALTY) < 1e-9:
+            first = j
+        elif score == h[i - at - 1, j] - _PENALTY:
             i -= 1
         else:
             j -= 1
@@ -138,7 +165,7 @@ def _counter(vocabulary):
     return run
 
 
-def _aligned(own: Seeds, text: pa.Array, min_score: float) -> dict[tuple[int, int], tuple]:
+def _aligned(own: Seeds, text: pa.Array, min_score: float, min_words: float) -> dict[tuple[int, int], tuple]:
     """(row, item) -> score, matched words, first and last word of each leak in a batch of texts."""
     words, doc = _words(*c.text_buffers(text))
     pos, item, at = own.hits(words, doc)
@@ -159,22 +186,25 @@ def _aligned(own: Seeds, text: pa.Array, min_score: float) -> dict[tuple[int, in
         lo = max(int(edges[row]), int(diag.min()) - slack)
         hi = min(int(edges[row + 1]), int(diag.max()) + len(w) + slack)
         # long passages in overlapping pieces that hold any alignment of the item
-        for k in range(lo, hi, 4096):
-            part = words[k:min(hi, k + 4096 + 2 * len(w) + 2 * slack)]
-            score, matched, first, last = align(w, part)
-            key, score = (row, int(item[i])), score / len(w)
+        step, to = max(4096, len(w)), lo
+        for k in range(lo, hi, step):
+            if to == hi:
+                break
+            to = min(hi, k + step + 2 * len(w) + 2 * slack)
+            total, matched, first, last = align(w, words[k:to])
+            key, score = (row, int(item[i])), total / len(w)
             base = k - int(edges[row])
-            if score >= min_score - 1e-9 and (key not in best or score > best[key][0]):
+            if (score >= min_score - 1e-9 or total >= min_words) and (key not in best or score > best[key][0]):
                 best[key] = (score, matched, base + first, base + last)
     return best
 
 
-def _scanner(seeds, min_score: float):
+def _scanner(seeds, min_score: float, min_words: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Seeds = seeds.value
         for b in batches:
             ids = b.column(0).to_pylist()
-            rows = [(ids[k[0]], own.ids[k[1]], *v) for k, v in sorted(_aligned(own, b.column(1), min_score).items())]
+            rows = [(ids[k[0]], own.ids[k[1]], *v) for k, v in sorted(_aligned(own, b.column(1), min_score, min_words).items())]
             cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(col, t) for col, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(),
@@ -183,11 +213,11 @@ def _scanner(seeds, min_score: float):
     return run
 
 
-def _cleaner(seeds, min_score: float, at: int):
+def _cleaner(seeds, min_score: float, min_words: float, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = np.ones(b.num_rows, bool)
-            keep[sorted({row for row, _ in _aligned(seeds.value, b.column(at), min_score)})] = False
+            keep[sorted({row for row, _ in _aligned(seeds.value, b.column(at), min_score, min_words)})] = False
             yield b.filter(pa.array(keep))
     return run
 
@@ -213,19 +243,19 @@ def _blocks(docs: DataFrame, items: DataFrame, n: int, chance: float, block_item
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, min_score: float = MIN_SCORE,
-          block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
+          min_words: float = MIN_WORDS, block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, n_matched, first_word, last_word): every
-    document and test item aligned with at least ``min_score``."""
+    document and test item aligned with at least ``min_score`` of its words or ``min_words``."""
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = [cols.mapInArrow(_scanner(s, min_score), SCHEMA)
+    parts = [cols.mapInArrow(_scanner(s, min_score, min_words), SCHEMA)
              for s in _blocks(docs, items, n, chance, block_items, block_words)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = N, chance: float = CHANCE, min_score: float = MIN_SCORE,
-          block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
+          min_words: float = MIN_WORDS, block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that hold no leak, with all their columns."""
     out, at = docs, docs.columns.index("text")
     for s in _blocks(docs, items, n, chance, block_items, block_words):
-        out = out.mapInArrow(_cleaner(s, min_score, at), docs.schema)
+        out = out.mapInArrow(_cleaner(s, min_score, min_words, at), docs.schema)
     return out
