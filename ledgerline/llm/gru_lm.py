@@ -7,20 +7,23 @@ its training documents to shards; the shards sum them, answer each chunk the
 corpus counts of its words, and keep their most frequent words.  All training
 tokens are counted; equal words are recognised by 128 hash bits.
 
-Model.  Every word the training documents have ``min_count`` times (and at least the
-``_LEAST_WORDS`` most frequent), the end and a rare-word token feed a GRU of ``hidden``
-units, so the vocabulary grows with the corpus; ``vocabulary`` instead sets its size.
+Model.  The most frequent words, the end and a rare-word token feed a GRU of ``hidden``
+units.  The vocabulary is the words that training documents have ``min_count`` times, up to
+``GROWTH`` times the root of the training tokens (600 at least, 262,144 at most), so it grows
+with the corpus and stays bounded; ``vocabulary`` instead sets its size.  A histogram of
+the counts finds the cut, and only the words above it reach the driver.
 Its output softmax is factored by classes of words alike in frequency, as many as a
 class has words: p(word) = p(class | state) p(word | class, state).  A rarer
 word's probability is the rare-word token's times the word's smoothed share of the rare
 counts.  Output biases start at the corpus frequencies.  The weights take 8 bytes a word
-and unit, their training twice that in each worker; a window touches only the weights of
-its own words and classes.
+and unit (34 MB at most with 16 units), their training twice that more in each worker; a
+window touches only the weights of its own words and classes.
 
 Training.  Replicas, one per input partition, run truncated back-propagation
 over ``window`` steps with the state carried over, on the training documents of
 their partition that a hash of the id puts in the round; after each round Spark
-averages the replicas by tokens, in blocks of weights.  The rounds share out the training fold, so
+averages the replicas by tokens, in blocks of weights and as a tree of ``_FAN_IN``
+replicas a task, so no task grows with their number.  The rounds share out the training fold, so
 the network sees every training document once, whatever the size of the corpus.
 
 Scoring.  A batch of documents advances together in windows; the state of a
@@ -48,10 +51,15 @@ from pyspark.sql import functions as F
 from ledgerline.llm import common as c
 
 HIDDEN, MIN_COUNT = 16, 50
-WINDOW, STREAMS, ROUNDS, RATE = 16, 64, 2, 0.1
+WINDOW, STREAMS, ROUNDS, RATE = 16, 512, 2, 0.1
+GROWTH = 2  # vocabulary words per root of the training tokens
 _GROUP_TOKENS = 3_000_000
-_LEAST_WORDS = 600
+_LEAST_WORDS, _MOST_WORDS = 600, 1 << 18
 _BLOCK = 1 << 16  # weights averaged together
+_FAN_IN = 64      # replicas averaged by a task
+_LEAST_STEPS = 100  # updates of a stream, before it is split further
+_STEPS = 16       # of the count histogram to a doubling
+_SIGN = np.uint64(1 << 63)
 END, UNKNOWN = 0, 1  # token numbers; vocabulary words follow
 
 
@@ -91,13 +99,23 @@ def _send_words(parts: int, learn: Callable):
     return run
 
 
-def _vocabulary_size(counts: np.ndarray, vocabulary: int | None, min_count: int) -> int:
-    """How many of the words with these counts, descending, are the vocabulary."""
+def _shard_words(counts: np.ndarray, vocabulary: int | None, min_count: int) -> int:
+    """How many of a shard's words with these counts, descending, may be of the vocabulary."""
     if vocabulary is not None:
         return min(vocabulary, len(counts))
     return min(max(_LEAST_WORDS, int((counts >= min_count).sum())), int((counts > 0).sum()))
 
 
+def vocabulary_size(frequent: int, tokens: int) -> int:
+    """Words of the vocabulary: the ``frequent`` ones, as far as ``tokens`` training tokens allow."""
+    return min(max(_LEAST_WORDS, min(frequent, int(GROWTH * math.sqrt(tokens)))), _MOST_WORDS)
+
+
+def _step_of(counts: np.ndarray) -> np.ndarray:
+    """Step of the histogram, ascending with the count."""
+    return np.floor(np.log2(counts.astype(np.float64)) * _STEPS).astype(np.int64)
+
+
 def _count_shard(vocabulary: int | None, min_count: int):
     """Corpus counts: an answer to each chunk, and under chunk -1 the shard's
     totals and the words that may be of the vocabulary."""
@@ -118,7 +136,7 @@ def _count_shard(vocabulary: int | None, min_count: int):
             answers.append(struct.pack("<i", shard) + c.pack(total[mine[at:at + len(s[0])]]))
             at += len(s[0])
         top = np.lexsort((h2[order[first]], h1[order[first]], -total.astype(np.int64)))
-        top = top[:_vocabulary_size(total[top], vocabulary, min_count)]
+        top = top[:_shard_words(total[top], vocabulary, min_count)]
         chunks.append(-1)
         answers.append(struct.pack("<QQ", int((total > 0).sum()), int(total.sum()))
                        + c.pack(h1[order[first[top]]], h2[order[first[top]]], total[top]))
@@ -174,20 +192,39 @@ def _sigmoid(x):
     return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
 
 
-def _log_softmax(x):
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 _TINY = np.float32(1e-30)  # keeps the reported loss finite
+_COLUMNS = 1 << 13         # tokens whose softmax is held at a time
 
 
-def _softmax(x):
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
+def _logits(w: np.ndarray, b: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """Outputs by states, less each state's largest: one token a column, so that
+    sums over the outputs run along memory."""
+    x = w.T @ states.T
+    x += b[:, None]
+    x -= x.max(axis=0)
     return x
 
 
+def _log_probs(w: np.ndarray, b: np.ndarray, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    out = np.empty(len(targets), states.dtype)
+    for i in range(0, len(targets), _COLUMNS):
+        x, y = _logits(w, b, states[i:i + _COLUMNS]), targets[i:i + _COLUMNS]
+        picked = x[y, np.arange(len(y))]
+        np.exp(x, out=x)
+        out[i:i + _COLUMNS] = picked - np.log(x.sum(axis=0))
+    return out
+
+
+def _softmax_less_target(w: np.ndarray, b: np.ndarray, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient of the logits (one token a column) and the summed loss."""
+    x, own = _logits(w, b, states), np.arange(len(targets))
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    loss = -np.log(x[targets, own] + _TINY).sum()
+    x[targets, own] -= 1
+    return x, loss
+
+
 def _step(gx, h, u, n):
     gh = h @ u
     rz = _sigmoid(gx[:, :2 * n] + gh[:, :2 * n])
@@ -198,13 +235,12 @@ def _step(gx, h, u, n):
 def _token_log_probs(p: dict, shape: Shape, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target token after its state."""
     cls = targets // shape.class_size
-    out = _log_softmax(states @ p["wc"] + p["bc"])[np.arange(len(cls)), cls]
+    out = _log_probs(p["wc"], p["bc"], states, cls)
     order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(shape.classes + 1))
+    states, inner, edges = states[order], (targets % shape.class_size)[order], np.searchsorted(cls[order], np.arange(shape.classes + 1))
     for k in np.flatnonzero(np.diff(edges)):
-        rows = order[edges[k]:edges[k + 1]]
-        inner = _log_softmax(states[rows] @ p["ww"][k] + p["bw"][k])
-        out[rows] += inner[np.arange(len(rows)), targets[rows] % shape.class_size]
+        i, j = edges[k], edges[k + 1]
+        out[order[i:j]] += _log_probs(p["ww"][k], p["bw"][k], states[i:j], inner[i:j])
     return out
 
 
@@ -259,26 +295,25 @@ def window_gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndar
         kept.append((before, rz, cand, gh, start, h))
     states = np.concatenate([k[5] for k in kept])
     y = targets.ravel()
-    cls, inner, rows = y // shape.class_size, y % shape.class_size, np.arange(len(y))
-    dc = _softmax(states @ p["wc"] + p["bc"])
-    loss = -np.log(dc[rows, cls] + _TINY).sum()
-    dc[rows, cls] -= 1
-    g["wc"], g["bc"] = states.T @ dc, dc.sum(axis=0)
-    ds = dc @ p["wc"].T
+    cls = y // shape.class_size
     order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(shape.classes + 1))
+    cls, inner, states = cls[order], (y % shape.class_size)[order], states[order]  # by class from here
+    dc, loss = _softmax_less_target(p["wc"], p["bc"], states, cls)
+    g["wc"], g["bc"] = (dc @ states).T, dc.sum(axis=1)
+    sorted_ds = dc.T @ p["wc"].T
+    edges = np.searchsorted(cls, np.arange(shape.classes + 1))
     used = np.flatnonzero(np.diff(edges))
     ww = np.empty((len(used), n, shape.class_size), states.dtype)
     bw = np.empty((len(used), shape.class_size), states.dtype)
     for i, k in enumerate(used):
-        r = order[edges[k]:edges[k + 1]]
-        s, own = states[r], rows[:len(r)]
-        dw = _softmax(s @ p["ww"][k] + p["bw"][k])
-        loss -= np.log(dw[own, inner[r]] + _TINY).sum()
-        dw[own, inner[r]] -= 1
-        np.matmul(s.T, dw, out=ww[i])
-        np.sum(dw, axis=0, out=bw[i])
-        ds[r] += dw @ p["ww"][k].T
+        r = slice(edges[k], edges[k + 1])
+        dw, more = _softmax_less_target(p["ww"][k], p["bw"][k], states[r], inner[r])
+        loss += more
+        np.matmul(states[r].T, dw.T, out=ww[i])
+        np.sum(dw, axis=1, out=bw[i])
+        sorted_ds[r] += dw.T @ p["ww"][k].T
+    ds = np.empty_like(sorted_ds)
+    ds[order] = sorted_ds
     ds = ds.reshape(steps, width, n)
     dgx, dh = np.zeros_like(gx), np.zeros((width, n), np.float32)
     for t in reversed(range(steps)):
@@ -306,11 +341,11 @@ def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE,
                  streams: int = STREAMS) -> float:
     """AdaGrad over a token stream (documents closed by their end), in place;
     returns the mean loss.  The stream runs as ``streams`` equal ones side by
-    side; the tokens left over by the division follow as one more, each step
+    side (fewer, if they would take less than ``_LEAST_STEPS`` steps); the tokens left over by the division follow as one more, each step
     weighted by its tokens."""
     if not len(tokens):
         return 0.0
-    width = int(np.clip(len(tokens) // (4 * window), 1, streams))
+    width = int(np.clip(len(tokens) // (_LEAST_STEPS * window), 1, streams))
     even = len(tokens) // width * width
     acc = {k: np.full_like(v, 1e-4) for k, v in p.items()}
     losses, sizes = [], []
@@ -351,20 +386,53 @@ class Counts:
         return np.where((self.h1[at] == h1) & (self.h2[at] == h2), self.number[at], UNKNOWN)
 
 
+def _shard_totals(min_count: int):
+    """Per shard: training tokens (-1), distinct words (-2), frequent ones (-3) and the histogram."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in c.rows_of(batches):
+            distinct, tokens = struct.unpack_from("<QQ", row["answer"])
+            n = c.unpack(row["answer"][16:])[2]
+            step, many = np.unique(_step_of(n[n > 0]), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(([-1, -2, -3], step)), pa.int64()),
+                 pa.array(np.concatenate(([tokens, distinct, (n >= min_count).sum()], many)), pa.int64())], names=["step", "n"])
+    return run
+
+
+def _shard_top(least: int):
+    """A shard's words from a step of the histogram on; hashes as signed numbers of the same order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in c.rows_of(batches):
+            h1, h2, n = c.unpack(row["answer"][16:])
+            h1, h2, n = (x[n > 0] for x in (h1, h2, n))
+            keep = _step_of(n) >= least
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array((x[keep] ^ _SIGN).view(np.int64)) for x in (h1, h2)), pa.array(n[keep].astype(np.int64))],
+                names=["h1", "h2", "n"])
+    return run
+
+
 def _gather(counted: DataFrame, train_docs: int, vocabulary: int | None, min_count: int) -> Counts:
-    answers = [r["answer"] for r in counted.where("chunk = -1").select("answer").collect()]  # totals and vocabulary
-    sums = [struct.unpack_from("<QQ", a) for a in answers]
-    distinct, words = (sum(x[k] for x in sums) for k in (0, 1))
-    sets = [c.unpack(a[16:]) for a in answers]
-    h1, h2, n = (np.concatenate([x[k] for x in sets] or [np.zeros(0, np.uint64)]) for k in range(3))
-    top = np.lexsort((h2, h1, -n.astype(np.int64)))
-    top = top[n[top] > 0]
-    top = top[:_vocabulary_size(n[top], vocabulary, min_count)]
-    h1, h2, n = h1[top], h2[top], n[top]
+    shards = counted.where("chunk = -1").select("answer")
+    sums = {r["step"]: r["n"] for r in shards.mapInArrow(_shard_totals(min_count), "step long, n long")
+            .groupBy("step").agg(F.sum("n").alias("n")).collect()}  # one row a step, 1,027 at most
+    words, distinct, frequent = (sums.pop(k, 0) for k in (-1, -2, -3))
+    size = vocabulary if vocabulary is not None else vocabulary_size(frequent, words)
+    least, above = 0, 0
+    for step in sorted(sums, reverse=True):
+        least, above = step, above + sums[step]
+        if above >= size:
+            break
+    top = shards.mapInArrow(_shard_top(least), "h1 long, h2 long, n long") \
+        .orderBy(F.desc("n"), "h1", "h2").limit(size).toArrow()  # the vocabulary
+    h1, h2 = (top[k].to_numpy().astype(np.int64).view(np.uint64) ^ _SIGN for k in ("h1", "h2"))
+    n = top["n"].to_numpy().astype(np.int64)
+    place = np.lexsort((h2, h1, -n))
+    h1, h2, n = h1[place], h2[place], n[place]
     order = np.argsort(h1, kind="stable")
     known = np.array([train_docs, words - int(n.sum()), *n], np.float64)
     return Counts(words + train_docs, distinct + (train_docs > 0), train_docs, h1[order], h2[order],
-                  np.arange(len(top))[order] + 2, known, distinct - len(top))
+                  np.arange(len(n))[order] + 2, known, distinct - len(n))
 
 
 def _stream_tokens(batch: pa.RecordBatch, counts: Counts) -> np.ndarray:
@@ -375,8 +443,13 @@ def _stream_tokens(batch: pa.RecordBatch, counts: Counts) -> np.ndarray:
     return np.insert(ids, np.cumsum(per), END).astype(np.int32)
 
 
+REPLICA_SCHEMA = "block int, slot int, value binary, tokens double"
+_REPLICA = (pa.int32(), pa.int32(), pa.binary(), pa.float64())
+
+
 def _replica(shape: Shape, start, counts, rate: float, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
         p, seen, held, size = {k: v.copy() for k, v in unflatten(start.value, shape).items()}, 0, [], 0
         for b in batches:
             held.append(_stream_tokens(b, counts.value))
@@ -388,21 +461,33 @@ def _replica(shape: Shape, start, counts, rate: float, window: int):
             train_stream(p, shape, np.concatenate(held), rate, window)
             seen += size
         if seen:
-            flat = flatten(p, shape)
+            flat, slot = flatten(p, shape), TaskContext.get().partitionId()
             for k, at in enumerate(range(0, len(flat), _BLOCK)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([flat[at:at + _BLOCK].tobytes()], pa.binary()),
-                     pa.array([float(seen)])], names=["block", "value", "tokens"])
+                yield c.batch(dict(zip(("block", "slot", "value", "tokens"), _REPLICA)), block=[k], slot=[slot],
+                              value=[flat[at:at + _BLOCK].tobytes()], tokens=[float(seen)])
     return run
 
 
 def _mean_block(group: pa.Table) -> pa.Table:
-    """Mean of the replicas' weights of one block, by tokens."""
+    """Mean of some replicas' weights of one block, by tokens."""
+    group = group.sort_by("order")
     total, tokens = 0.0, group["tokens"].to_pylist()
     for value, n in zip(group["value"], tokens):
         total = total + np.frombuffer(value.as_py(), np.float32) * np.float64(n)
     mean = (total / sum(tokens)).astype(np.float32)
-    return pa.table({"block": group["block"][:1], "value": pa.array([mean.tobytes()], pa.binary())})
+    return pa.table({"block": group["block"][:1], "slot": group["slot"][:1],
+                     "value": pa.array([mean.tobytes()], pa.binary()), "tokens": pa.array([sum(tokens)], pa.float64())})
+
+
+def averaged(replicas: DataFrame, fan_in: int = _FAN_IN) -> list[bytes]:
+    """The replicas' mean weights by tokens, block by block; ``slot`` numbers the replicas."""
+    slots = (replicas.agg(F.max("slot")).first()[0] or 0) + 1
+    while True:
+        slots = -(-slots // fan_in)
+        replicas = replicas.withColumn("order", F.col("slot")).withColumn("slot", F.floor(F.col("slot") / fan_in).cast("int")) \
+            .groupBy("block", "slot").applyInArrow(_mean_block, REPLICA_SCHEMA)
+        if slots == 1:
+            return [bytes(r["value"]) for r in replicas.select("block", "value").orderBy("block").collect()]  # one row a block
 
 
 def train(docs: DataFrame, counts: Counts, shape: Shape, folds: int, fold: int, rounds: int = ROUNDS,
@@ -416,10 +501,10 @@ def train(docs: DataFrame, counts: Counts, shape: Shape, folds: int, fold: int,
     shared = sc.broadcast(counts)
     for k in range(rounds):
         part = docs.where(learn & (turn == k))
-        means = part.mapInArrow(_replica(shape, sc.broadcast(flat), shared, rate, window), "block int, value binary, tokens double") \
-            .groupBy("block").applyInArrow(_mean_block, "block int, value binary").collect()  # one row a block
-        if means:
-            flat = np.frombuffer(b"".join(r["value"] for r in sorted(means, key=lambda r: r["block"])), np.float32)
+        replicas = part.mapInArrow(_replica(shape, sc.broadcast(flat), shared, rate, window), REPLICA_SCHEMA)
+        blocks = averaged(c.staged(replicas, "lm-replicas"))
+        if blocks:
+            flat = np.frombuffer(b"".join(blocks), np.float32)
     return flat
 
 

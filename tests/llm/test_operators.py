@@ -470,3 +470,41 @@ def test_token_files_repeated_keys_and_empty(spark, empty, tokenizer):
     assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(5, 0, 3), (5, 3, 3), (5, 6, 3), (6, 9, 2)]
     assert len(token_ids.TokenFiles(manifest).get(5)) == 3
     assert token_ids.read(token_ids.write(empty, tokenizer)).collect() == []
+
+
+def test_lm_replicas_are_averaged_as_a_tree(spark):
+    rng = np.random.default_rng(3)
+    weights, tokens = rng.standard_normal((9, 2, 5)).astype(np.float32), rng.integers(1, 50, 9).tolist()
+    rows = [(b, slot, weights[k, b].tobytes(), float(tokens[k])) for k, slot in enumerate([0, 1, 2, 5, 6, 11, 12, 13, 26]) for b in (0, 1)]
+    replicas = spark.createDataFrame(rows, gru_lm.REPLICA_SCHEMA)
+    want = np.average(weights, axis=0, weights=tokens)
+    for fan_in in (3, 64):
+        got = [np.frombuffer(b, np.float32) for b in gru_lm.averaged(replicas, fan_in)]
+        assert np.allclose(got, want, atol=1e-5)
+    assert gru_lm.averaged(replicas.where("slot < 0")) == []
+
+
+def test_lm_vocabulary_is_bounded():
+    assert gru_lm.vocabulary_size(10, 50) == 600                      # the least
+    assert gru_lm.vocabulary_size(10 ** 6, 10 ** 8) == 20_000         # by the tokens
+    assert gru_lm.vocabulary_size(5_000, 10 ** 8) == 5_000            # by the words that are frequent
+    assert gru_lm.vocabulary_size(10 ** 9, 10 ** 13) == 1 << 18       # the most
+
+
+def test_lm_vocabulary_is_the_most_frequent_words(spark):
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(w for k, w in enumerate(words) for _ in range(1 + k // 7))) for i in range(0, 40)],
+                                 "doc_id long, text string")
+    learn = [i for i in range(40) if not gru_lm.held_out(i)]
+    parts, seen = 3, []
+    chunks = common.chunked(docs, parts, 500)
+    counted = common.staged(chunks.mapInArrow(gru_lm._send_words(parts, lambda i: not gru_lm.held_out(i)), common.SHARD_SCHEMA)
+                            .groupBy("shard").applyInArrow(gru_lm._count_shard(None, 50), common.ANSWER_SCHEMA), "lm-test")
+    for size in (None, 0, 1, 11, 25, 1000):
+        got = gru_lm._gather(counted, len(learn), size, 50)
+        every = sorted((len(learn) * (1 + k // 7) for k in range(60)), reverse=True)
+        assert got.known[2:].tolist() == every[:600 if size is None else size]
+        assert got.tokens == sum(every) + len(learn) and got.distinct == 61
+        assert got.known[1] == sum(every) - sum(got.known[2:])
+        seen.append(set(got.h1.tolist()))
+    assert seen[2] <= seen[3] <= seen[4] <= seen[5]
