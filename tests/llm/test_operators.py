@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests_llm_helpers import alnum_words, ascii_lower, frame, split_words
 
-from ledgerline.llm import ann, decontamination, gru_lm, language_id, license_scan, mixing, queries, token_ids
+from ledgerline.llm import ann, common, decontamination, gru_lm, language_id, license_scan, mixing, queries, token_ids
 
 SF = "/root/testdata/sf0.001"
 
