@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.fx import FIXED_EUR_RATES
@@ -177,6 +177,9 @@ def present(df: DataFrame, model: str) -> DataFrame:
     """Sort a mart for display.  Stored models carry no order (a sort is a
     range shuffle of the whole table), so ordering is applied only when a
     result is read for presentation."""
-    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c)
-             for c in PRESENTATION_ORDER.get(model, [])]
+    order = presentation_order(model)
     return df.orderBy(*order) if order else df
+
+
+def presentation_order(model: str) -> list[Column]:
+    return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in PRESENTATION_ORDER.get(model, [])]

@@ -586,3 +586,11 @@ register("missed_rows", with_ctes(["raw_invoices"], """
   WHERE (_row_id % 97 = 0 OR _row_id % 89 = 0)
     AND updated_at < (SELECT MAX(updated_at) FROM raw_invoices
                       WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00' AND _row_id % 97 <> 0)"""))
+
+cte("ltv_positions", ["customer_ltv"], """
+  SELECT customer_id, customer_name, ltv,
+         row_number() OVER (ORDER BY ltv DESC NULLS LAST, customer_id NULLS FIRST) AS position FROM customer_ltv""")
+register("customer_ltv_ranked", select_all("ltv_positions"))
+cte("mrr_positions", ["mrr_by_month_plan"], """
+  SELECT *, row_number() OVER (ORDER BY month_start NULLS FIRST, plan_name NULLS FIRST) AS position FROM mrr_by_month_plan""")
+register("mrr_ranked", select_all("mrr_positions"))

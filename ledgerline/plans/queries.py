@@ -542,3 +542,20 @@ def missed_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = stored(upsert(first, batch, "_row_id", "updated_at"), "missed-second")
     kinds = differing_rows(source, table, "_row_id")
     return missed_rows(source, table, "_row_id").join(kinds, "_row_id").select("_row_id", "invoice_id", "amount", "kind")
+
+
+@query("customer_ltv_ranked")
+def customer_ltv_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's place in the presentation order of the LTV mart."""
+    from ledgerline.operators.ranking import positions
+    from ledgerline.plans.models import presentation_order
+    ltv = models(spark, sf_dir).customer_ltv.select("customer_id", "customer_name", "ltv")
+    return positions(ltv, presentation_order("customer_ltv"))
+
+
+@query("mrr_ranked")
+def mrr_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's place in the presentation order of the MRR mart."""
+    from ledgerline.operators.ranking import positions
+    from ledgerline.plans.models import presentation_order
+    return positions(models(spark, sf_dir).mrr_by_month_plan, presentation_order("mrr_by_month_plan"))

@@ -155,3 +155,16 @@ def test_a_null_subscription_is_revenue_but_no_subscription(spark):
     feb, march = base[dt.date(2024, 2, 1)], base[dt.date(2024, 3, 1)]
     assert (feb.active_subscriptions_start, feb.mrr_start, feb.churned_subscriptions, feb.churned_mrr) == (0, Decimal("9.00"), 0, Decimal("9.00"))
     assert (march.active_subscriptions_start, march.mrr_start) == (1, Decimal("14.00"))
+
+
+def test_positions_number_the_whole_table(spark):
+    from ledgerline.operators.ranking import positions
+    rows = [(i, (i * 37) % 11 if i % 5 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, score int").repartition(7)
+    got = positions(df, [F.col("score").desc(), F.col("id")])
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))  # NULL scores last
+    assert [(r.id, r.score, r.position) for r in got.orderBy("position").collect()] == \
+        [(i, s, k) for k, (i, s) in enumerate(want, 1)]
+    assert positions(df.where("id < 0"), [F.col("id")]).count() == 0
+    with pytest.raises(ValueError):
+        positions(df, [F.col("id")], name="score")
