@@ -9,7 +9,7 @@ tokens are counted; equal words are recognised by 128 hash bits.
 
 Model.  The most frequent words, the end and a rare-word token feed a GRU of ``hidden``
 units.  The vocabulary is the words that training documents have ``min_count`` times, up to
-``GROWTH`` times the root of the training tokens (600 at least, 262,144 at most), so it grows
+``GROWTH`` times the root of the training tokens or 4,096 (600 words at least, 262,144 at most), so it grows
 with the corpus and stays bounded; ``vocabulary`` instead sets its size.  A histogram of
 the counts finds the cut, and only the words above it reach the driver.
 Its output softmax is factored by classes of words alike in frequency, as many as a
@@ -54,7 +54,7 @@ HIDDEN, MIN_COUNT = 16, 50
 WINDOW, STREAMS, ROUNDS, RATE = 16, 512, 2, 0.1
 GROWTH = 2  # vocabulary words per root of the training tokens
 _GROUP_TOKENS = 3_000_000
-_LEAST_WORDS, _MOST_WORDS = 600, 1 << 18
+_LEAST_WORDS, _FREE_WORDS, _MOST_WORDS = 600, 1 << 12, 1 << 18
 _BLOCK = 1 << 16  # weights averaged together
 _FAN_IN = 64      # replicas averaged by a task
 _LEAST_STEPS = 100  # updates of a stream, before it is split further
@@ -107,8 +107,9 @@ def _shard_words(counts: np.ndarray, vocabulary: int | None, min_count: int) ->
 
 
 def vocabulary_size(frequent: int, tokens: int) -> int:
-    """Words of the vocabulary: the ``frequent`` ones, as far as ``tokens`` training tokens allow."""
-    return min(max(_LEAST_WORDS, min(frequent, int(GROWTH * math.sqrt(tokens)))), _MOST_WORDS)
+    """Words of the vocabulary: the ``frequent`` ones, all of them up to ``_FREE_WORDS``
+    and beyond as far as ``tokens`` training tokens allow."""
+    return min(max(_LEAST_WORDS, min(frequent, max(_FREE_WORDS, int(GROWTH * math.sqrt(tokens))))), _MOST_WORDS)
 
 
 def _step_of(counts: np.ndarray) -> np.ndarray:
