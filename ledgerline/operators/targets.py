@@ -5,8 +5,11 @@ Where the catalog's table takes it, ``merge_into`` is one ``MERGE``.  Elsewhere
 never changes its partition, so a merge reads and writes the partitions of its
 batch's keys (dynamic partition overwrite) and none can end up empty.  Its
 state is one row: watermark, schema, row count, and the folder of a merge that
-has been written but not yet put in place; the next reader puts it in place, so
-a run that dies at any point loses nothing.
+has been written but not yet put in place; the next reader puts it in place (its
+folders are moved, not written again), so a run that dies at any point loses nothing.
+
+A merge is one shuffle: the table's rows of the touched partitions and the batch's rows
+meet by slot, a finer hash of the key, and a window picks the row of each key.
 
 What a load reports is observed on the writes themselves (``Observation``):
 rows loaded, held and released and the new watermark on the write of the batch,
@@ -19,16 +22,18 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.dedup import keep_latest
 from ledgerline.operators.incremental import incremental_extract
 from ledgerline.operators.schema_sync import synced_schema
-from ledgerline.session import drop_path, read_if_exists
+from ledgerline.session import drop_path, move_path, path_exists, read_if_exists, subfolders
 
 BUCKET = "_bucket"
+SLOT = "_slot"
+SLOTS = 32  # pieces of a bucket that are shuffled and sorted apart
 STATE_SCHEMA = "watermark timestamp, run long, info string, resource string"
 
 
@@ -90,14 +95,25 @@ class ParquetTarget:
             return None, {}
         info = json.loads(row["info"])
         if info["pending"]:
-            rows = self.spark.read.schema(T.StructType.fromJson(info["schema"])).parquet(info["pending"])
-            mode = "static" if info["full"] else "dynamic"
-            rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(self.data)
-            pending, info["pending"] = info["pending"], None
+            self._put_in_place(info["pending"], info["full"])
+            info["pending"] = None
             self.state.put(self.RESOURCE, row["watermark"], row["run"], **info)
-            drop_path(self.spark, pending)
         return row, info
 
+    def _put_in_place(self, pending: str, full: bool) -> None:
+        """Move a written merge into the table: all of it, or its partitions.
+        What a run that died has moved already is no longer under ``pending``."""
+        if not path_exists(self.spark, pending):
+            return
+        if full:
+            drop_path(self.spark, self.data)
+            move_path(self.spark, pending, self.data)
+            return
+        for name in subfolders(self.spark, pending):
+            drop_path(self.spark, os.path.join(self.data, name))
+            move_path(self.spark, os.path.join(pending, name), os.path.join(self.data, name))
+        drop_path(self.spark, pending)
+
     def _rows(self, info: dict) -> DataFrame:
         return self.spark.read.schema(T.StructType.fromJson(info["schema"])).parquet(self.data)
 
@@ -116,9 +132,24 @@ class ParquetTarget:
 
     # -------------------------------------------------------------- writes
 
-    def _bucket(self, buckets: int, schema: T.StructType):
+    def _hash(self, schema: T.StructType, parts: int):
         """Hash of the key in the table's types."""
-        return F.pmod(F.xxhash64(*[F.col(k).cast(schema[k].dataType) for k in self.bucket_on]), F.lit(buckets)).cast("int")
+        return F.pmod(F.xxhash64(*[F.col(k).cast(schema[k].dataType) for k in self.bucket_on]), F.lit(parts)).cast("int")
+
+    def _bucket(self, buckets: int, schema: T.StructType):
+        return self._hash(schema, buckets)
+
+    def _by_slot(self, rows: DataFrame, schema: T.StructType, buckets: int):
+        """Rows with bucket and slot, shuffled so that the rows of a key meet, and the window of a key."""
+        placed = rows.withColumn(SLOT, self._hash(schema, buckets * SLOTS)).repartition(F.col(SLOT)) \
+            .withColumn(BUCKET, F.col(SLOT) % F.lit(buckets))
+        return placed, Window.partitionBy(BUCKET, SLOT, *self.keys)
+
+    @staticmethod
+    def _cast(df: DataFrame, schema: T.StructType, side: int) -> DataFrame:
+        """``df`` in the schema's columns and types (NULL where it has none), and its side."""
+        return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in schema], F.lit(side).alias("_side"))
 
     def _synced(self, info: dict, batch: T.StructType) -> tuple[T.StructType, bool]:
         if not info:
@@ -133,52 +164,50 @@ class ParquetTarget:
         df = df.observe(seen, *[v.alias(k) for k, v in metrics.items()])
         df = df.drop(drop) if drop else df
         writer = df.write.partitionBy(BUCKET) if BUCKET in df.columns else df.write
-        writer.parquet(path)
+        writer.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path, {**dict.fromkeys(metrics), **(seen.get or {})}
 
     def merge(self, batch: DataFrame, touched: list[int] | None = None, watermark=None, refresh: bool = False,
-              newest_by: list[str] | None = None) -> dict:
-        """Merge a written batch with one row per key.  The batch's row wins,
-        unless the table's is newer by the cursor (then ``newest_by``)."""
+              newest_by: list[str] | None = None, tiebreak: list[str] | None = None) -> dict:
+        """Merge a written batch.  Of a key's rows the batch's wins, unless the
+        table's is newer by the cursor (then ``newest_by``); of several in the batch
+        the newest, then the greatest by ``tiebreak``."""
         row, info = self._settled()
         refresh = refresh or row is None
         buckets = info.get("buckets", self.buckets)
         schema, changed = self._synced({} if refresh else info, batch.schema)
-        batch = batch.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
-        if refresh:
-            merged = batch.withColumn("_new", F.lit(True))
-        else:
-            target = self._rows(info).drop(BUCKET)
-            if not changed:  # else every file is written anew: one schema for all
-                if touched is None:
-                    touched = [r[0] for r in batch.select(self._bucket(buckets, schema)).distinct().collect()]  # at most ``buckets``
-                target = self._rows(info).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-            merged = self._joined(target, batch, schema, newest_by or [])
-        merged = merged.withColumn(BUCKET, self._bucket(buckets, schema)).repartition(F.col(BUCKET))
+        rows = self._cast(batch, schema, 1)
+        if not refresh:
+            rows = self._cast(self._touched(info, schema, batch, None if changed else touched, changed), schema, 0).unionByName(rows)
+        placed, key = self._by_slot(rows, schema, buckets)
+        order = [F.col(x).desc_nulls_last() for x in (self.cursor, *(newest_by or []), "_side", *(tiebreak or []))]
+        merged = placed.withColumn("_new", F.min("_side").over(key) == 1) \
+            .withColumn("_rn", F.row_number().over(key.orderBy(*order))).where("_rn = 1")
+        return self._commit(merged.select(*[F.col(f"`{c}`") for c in schema.names], "_new", BUCKET), row, info, buckets, changed,
+                            watermark, refresh)
+
+    def _touched(self, info: dict, schema: T.StructType, batch: DataFrame, touched: list[int] | None, every: bool) -> DataFrame:
+        """The table's rows in the partitions of the batch's keys (with ``every``: all,
+        as a new schema writes every file anew)."""
+        if every:
+            return self._rows(info).drop(BUCKET)
+        if touched is None:
+            buckets = info.get("buckets", self.buckets)
+            touched = [r[0] for r in batch.select(self._bucket(buckets, schema)).distinct().collect()]  # at most ``buckets``
+        return self._rows(info).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+
+    def _commit(self, merged: DataFrame, row: Row | None, info: dict, buckets: int, changed: bool, watermark=None,
+                refresh: bool = False) -> dict:
+        """Write the merged partitions, record them with the new state, put them in place."""
         out, folder, seen = self._written(merged, "merged", drop="_new", rows=F.count(F.lit(1)), inserted=F.count_if(F.col("_new")))
         inserted, run = seen["inserted"] or 0, (row["run"] if row else 0) + 1
         rows = (seen["rows"] or 0) if changed else info["rows"] + inserted
-        wm = max([w for w in (watermark, None if refresh else row["watermark"]) if w], default=None)
+        wm = max([w for w in (watermark, row["watermark"] if row and not refresh else None) if w], default=None)
         self.state.put(self.RESOURCE, wm, run, pending=folder, schema=json.loads(out.schema.json()), buckets=buckets, rows=rows,
                        full=changed)
         self._settled()
         return {"run": run, "inserted": inserted, "rows": rows, "watermark": wm}
 
-    def _joined(self, target: DataFrame, batch: DataFrame, schema: T.StructType, newest_by: list[str]) -> DataFrame:
-        """Full outer join on the key: one shuffle gives kept, replaced and new rows."""
-        old = target.select(F.struct(*[F.col(c).cast(schema[c].dataType).alias(c) if c in target.columns else
-                                       F.lit(None).cast(schema[c].dataType).alias(c) for c in schema.names]).alias("old"))
-        new = batch.select(F.struct(*[F.col(c).cast(schema[c].dataType).alias(c) for c in schema.names]).alias("new"))
-        same = F.lit(True)
-        for k in self.keys:
-            same = same & F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}"))
-        order = [self.cursor, *newest_by]
-        newer = F.struct(*[F.col(f"old.{c}") for c in order]) > F.struct(*[F.col(f"new.{c}") for c in order])
-        keeps = F.col("new").isNull() | (F.col("old").isNotNull() & F.coalesce(newer, F.lit(False)))
-        return old.join(new, same, "full_outer").select(
-            F.when(keeps, F.col("old")).otherwise(F.col("new")).alias("row"), F.col("old").isNull().alias("_new")) \
-            .select("row.*", "_new")
-
     # -------------------------------------------------------------- loads
 
     def apply(self, batch: DataFrame, epoch: int | None = None, tiebreak: list[str] | None = None, query: str = "") -> dict | None:
@@ -219,10 +248,10 @@ class ParquetTarget:
             wm=F.max(F.when(accepted, F.col(self.cursor).cast("timestamp"))),
             touched=F.collect_set(F.when(accepted, bucket)))
         plain = [c for c in staged.columns if c not in ("_late", "_cursor")]
-        good = keep_latest(staged.where(accepted).select(*plain), self.keys, self.cursor, tiebreak)
-        report = self.merge(good, seen["touched"] or [], seen["wm"], refresh=full_refresh)
-        if run_ts is not None and (seen["late"] or quarantine is not None):
-            self._settle_quarantine(staged, plain, accepted, run_ts, clamp, quarantine, tiebreak)
+        report = self.merge(staged.where(accepted).select(*plain), seen["touched"] or [], seen["wm"], refresh=full_refresh,
+                            tiebreak=tiebreak)
+        if run_ts is not None and (seen["late"] or (quarantine is not None and not quarantine.where("state = 'held'").isEmpty())):
+            self._settle_quarantine(staged, plain, accepted, run_ts, clamp, tiebreak)
         drop_path(self.spark, folder)
         return {**report, "loaded": seen["loaded"] or 0, "quarantined": 0 if clamp else seen["late"] or 0}
 
@@ -232,34 +261,37 @@ class ParquetTarget:
         return ParquetTarget(self.spark, os.path.join(self.root, "_quarantine"), self.keys, "_seen_at", self.buckets, self.bucket_on)
 
     def _settle_quarantine(self, staged: DataFrame, plain: list[str], accepted, run_ts, clamp: bool,
-                           before: DataFrame | None, tiebreak: list[str] | None) -> None:
-        """One row per key that was ever held: held (since), released or clamped (when)."""
-        now = F.lit(run_ts).cast("timestamp")
-        late = keep_latest(staged.where("_late").withColumn(self.cursor, F.col("_cursor")).select(*plain),
-                           self.keys, self.cursor, tiebreak)
-        state = F.lit("clamped" if clamp else "held")
-        if before is None:
-            delta = late.withColumn("held_at", now)
-        else:
-            waiting = before.where(F.col("state") == "held")
-            since = waiting.select(*[F.col(k).alias(f"_{k}") for k in self.keys], F.col("held_at"))
-            same = F.lit(True)
-            for k in self.keys:
-                same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-            delta = late.join(since, same, "left").drop(*[f"_{k}" for k in self.keys]) \
-                .withColumn("held_at", F.coalesce("held_at", now))
-        delta = delta.withColumn("state", state).withColumn("settled_at", now if clamp else F.lit(None).cast("timestamp"))
-        if before is not None:
-            came = staged.where(accepted & ~F.col("_late")).select(*[F.col(k).alias(f"_{k}") for k in self.keys]).distinct()
-            again = late.select(*[F.col(k).alias(f"_{k}") for k in self.keys]).distinct()
-            free = waiting.join(came, same, "left_semi").join(again, same, "left_anti") \
-                .withColumn("state", F.lit("released")).withColumn("settled_at", now)
-            delta = delta.unionByName(free.select(*[c for c in free.columns if c in delta.columns]), allowMissingColumns=True)
-        target = self._quarantine()
-        written, folder, seen = self._written(delta.withColumn("_seen_at", now), "held", rows=F.count(F.lit(1)))
-        if seen["rows"]:
-            target.merge(written)
-        drop_path(self.spark, folder)
+                           tiebreak: list[str] | None) -> None:
+        """One row per key that was ever held: held (since), released or clamped (when).
+        Its rows, the run's late rows and the keys that came in time meet in one shuffle."""
+        target, now = self._quarantine(), F.lit(run_ts).cast("timestamp")
+        late = staged.where("_late").withColumn(self.cursor, F.col("_cursor")).select(*plain) \
+            .withColumn("held_at", now).withColumn("state", F.lit("clamped" if clamp else "held")) \
+            .withColumn("settled_at", now if clamp else F.lit(None).cast("timestamp")).withColumn("_seen_at", now)
+        row, info = target._settled()
+        buckets = info.get("buckets", target.buckets)
+        schema, changed = target._synced(info, late.schema)
+        rows = self._cast(late, schema, 1)
+        if row is not None:
+            came = staged.where(accepted & ~F.col("_late")).select(*self.keys)
+            rows = rows.unionByName(self._cast(target._touched(info, schema, staged, None, changed), schema, 0)) \
+                .unionByName(self._cast(came, schema, 2))
+        placed, key = target._by_slot(rows, schema, buckets)
+        side, held = F.col("_side"), F.col("state") == "held"
+        newer = (side == 0) & (F.col("_seen_at") > now)
+        prefer = F.when(newer, 0).when(side == 1, 1).when(side == 0, 2).otherwise(3)
+        order = [prefer, *[F.col(x).desc_nulls_last() for x in (self.cursor, *(tiebreak or []))]]
+        seen = placed.withColumn("_new", F.min("_side").over(key) > 0) \
+            .withColumn("_came", F.max(side == 2).over(key)) \
+            .withColumn("_since", F.max(F.when((side == 0) & held, F.col("held_at"))).over(key)) \
+            .withColumn("_rn", F.row_number().over(key.orderBy(*order))).where((F.col("_rn") == 1) & (side != 2))
+        free = (side == 0) & held & F.col("_came") & ~newer
+        settled = {"held_at": F.when(side == 1, F.coalesce("_since", "held_at")).otherwise(F.col("held_at")),
+                   "state": F.when(free, F.lit("released")).otherwise(F.col("state")),
+                   "settled_at": F.when(free, now).otherwise(F.col("settled_at")),
+                   "_seen_at": F.when(free, now).otherwise(F.col("_seen_at"))}
+        merged = seen.select(*[settled.get(x, F.col(f"`{x}`")).alias(x) for x in schema.names], "_new", BUCKET)
+        target._commit(merged, row, info, buckets, changed)
 
     def quarantine(self) -> DataFrame | None:
         """Every key ever held, one row each: the row, ``state`` (held, released,

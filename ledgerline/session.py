@@ -125,10 +125,25 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder of the library's own; ``to`` must not exist."""
+    sc = spark.sparkContext
+    source, target = (sc._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not source.getFileSystem(sc._jsc.hadoopConfiguration()).rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in p.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(p) if s.isDirectory()]
+
+
 def stored(df, name: str):
     """``df`` written as Parquet into the session's checkpoint folder and read
     back: the lineage is cut at a durable, shared place, and consumers still read
     only the columns and rows they need."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -298,3 +298,35 @@ def test_scratch_needs_a_shared_folder():
         sparkContext, conf = Context(), Conf()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(), "x")
+
+
+def test_a_written_merge_is_moved_not_written_again(spark, tmp_dir):
+    t = table(spark, tmp_dir, buckets=4)
+    written, put = [], t.state.put
+
+    def noted(*a, pending=None, **kw):
+        if pending:
+            written.append({os.path.relpath(f, pending) for f in glob.glob(os.path.join(pending, f"{BUCKET}=*", "*.parquet"))})
+        put(*a, pending=pending, **kw)
+    t.state.put = noted
+    t.load(rows(spark, *[(f"k{i}", "1", 1) for i in range(20)]))
+    stored_files = {os.path.relpath(f, t.data) for f in glob.glob(os.path.join(t.data, f"{BUCKET}=*", "*.parquet"))}
+    assert stored_files == written[0]
+    t.load(rows(spark, ("k3", "2", 2), ("k3", "3", 3), ("new", "1", 2)))
+    stored_files = {os.path.relpath(f, t.data) for f in glob.glob(os.path.join(t.data, f"{BUCKET}=*", "*.parquet"))}
+    assert written[1] and written[1] <= stored_files
+    assert dict(state(t))["k3"] == "3" and len(state(t)) == 21
+
+
+def test_quarantine_is_settled_in_one_write(spark, tmp_dir, monkeypatch):
+    names, written = [], ParquetTarget._written
+    monkeypatch.setattr(ParquetTarget, "_written", lambda self, df, name, *a, **kw: names.append(name) or written(self, df, name, *a, **kw))
+    t = table(spark, tmp_dir)
+    source = [("a", "1", 1), ("a", "2", 1), (None, "1", 12), (None, "2", 13), ("x", "1", 14), ("far", "1", 30)]
+    t.load(rows(spark, *source), run_ts=T(2024, 1, 10), tiebreak=["v"])
+    names.clear()
+    t.load(rows(spark, *source), run_ts=T(2024, 1, 20), tiebreak=["v"])
+    assert names == ["batch", "merged", "merged"]                       # the batch, the table, the quarantine
+    assert state(t) == sorted([("a", "2"), (None, "2"), ("x", "1")], key=str)
+    held = {(r.k, r.v, r.state, r.held_at.day, r.settled_at and r.settled_at.day) for r in t.quarantine().collect()}
+    assert held == {(None, "2", "released", 10, 20), ("x", "1", "released", 10, 20), ("far", "1", "held", 10, None)}
