@@ -61,10 +61,12 @@ def differing_rows(source: DataFrame, target: DataFrame, keys: list[str] | str,
 
 
 def missed_rows(source: DataFrame, target: DataFrame, keys: list[str] | str, columns: list[str] | None = None,
-                buckets: int = BUCKETS) -> DataFrame:
-    """The source's rows that an upsert has to bring again (missing or changed), with all columns."""
+                buckets: int = BUCKETS, kinds: DataFrame | None = None) -> DataFrame:
+    """The source's rows that an upsert has to bring again (missing or changed), with all columns.
+    ``kinds`` is the result of ``differing_rows`` where it is at hand (stored)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    again = differing_rows(source, target, keys, columns, buckets).where(F.col("kind") != "extra") \
+    kinds = differing_rows(source, target, keys, columns, buckets) if kinds is None else kinds
+    again = kinds.where(F.col("kind") != "extra") \
         .select(*[F.col(k).alias(f"_again_{k}") for k in keys])
     same = F.lit(True)
     for k in keys:

@@ -537,16 +537,15 @@ def missed_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.incremental import incremental_extract, next_watermark, upsert
     from ledgerline.operators.reconcile import differing_rows, missed_rows
     from ledgerline.session import stored
-    from ledgerline.sources.testdata import raw_invoices
-    source = raw_invoices(spark, sf_dir)
+    source = _landed_invoices(spark, sf_dir)
     k = F.col("_row_id")
     seen_first = source.where((F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp")) & (k % 97 != 0)) \
         .withColumn("amount", F.when(k % 89 == 0, F.concat("amount", F.lit("0"))).otherwise(F.col("amount")))
     first = stored(seen_first, "missed-first")
     batch = incremental_extract(source, "updated_at", next_watermark(first, "updated_at"))
     table = stored(upsert(first, batch, "_row_id", "updated_at"), "missed-second")
-    kinds = differing_rows(source, table, "_row_id")
-    return missed_rows(source, table, "_row_id").join(kinds, "_row_id").select("_row_id", "invoice_id", "amount", "kind")
+    kinds = stored(differing_rows(source, table, "_row_id"), "missed-kinds")
+    return missed_rows(source, table, "_row_id", kinds=kinds).join(kinds, "_row_id").select("_row_id", "invoice_id", "amount", "kind")
 
 
 @query("customer_ltv_ranked")
