@@ -211,8 +211,8 @@ def incremental_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.staging import INVOICE_COLUMNS, type_invoices
     from ledgerline.session import stored
     from ledgerline.sources.raw import RAW_KEY
-    from ledgerline.sources.testdata import raw_invoices, raw_subscriptions
-    raw = raw_invoices(spark, sf_dir)
+    from ledgerline.sources.testdata import raw_subscriptions
+    raw = _landed_invoices(spark, sf_dir)
     tie = ["amount", "currency", "status", "invoice_date", "subscription_id"]
     run1 = raw.where(F.col("updated_at") < F.lit(INVOICE_FIRST_RUN_BEFORE).cast("timestamp"))
     # The target after run 1 is a stored table in a real load.

@@ -97,7 +97,9 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The flags are single characters, so max() over their code points equals
     # max() over the strings and keeps the aggregate hash-based (a string
     # max would force a sort-based aggregate).
-    lines = (li.groupBy("l_orderkey", "l_linenumber")
+    # Dealt by order once: the sums and the join both take it as it lies, and
+    # no table of partial sums, as long as the input, is built before the shuffle.
+    lines = (li.where(F.col("l_orderkey").isNotNull()).repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber")
              .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amt"),
                   F.max(F.ascii("l_returnflag")).alias("rf"),
                   F.max(F.ascii("l_linestatus")).alias("ls")))

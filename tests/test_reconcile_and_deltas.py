@@ -168,3 +168,34 @@ def test_positions_number_the_whole_table(spark):
     assert positions(df.where("id < 0"), [F.col("id")]).count() == 0
     with pytest.raises(ValueError):
         positions(df, [F.col("id")], name="score")
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_invoices_and_upserts_shuffle_their_rows_once(spark):
+    from ledgerline.operators.incremental import upsert
+    from ledgerline.sources.testdata import raw_invoices
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        assert _shuffles(raw_invoices(spark, "/root/testdata/sf0.001")) == 2      # line items and orders, by order
+        df = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k int, v string, c int")
+        out = upsert(df, df.where("c > 1"), "k", "c")
+        assert out._jdf.queryExecution().executedPlan().toString().count("Window [row_number") == 1
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_missed_rows_take_kinds_that_are_at_hand(spark):
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    target = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d")], "k int, v string")
+    kinds = differing_rows(source, target, "k").localCheckpoint()
+    assert {tuple(r) for r in kinds.collect()} == {(2, "changed"), (3, "missing"), (4, "extra")}
+    out = missed_rows(source, target, "k", kinds=kinds)
+    assert {tuple(r) for r in out.collect()} == {(2, "b"), (3, "c")} == {tuple(r) for r in missed_rows(source, target, "k").collect()}
+    assert "xxhash64" not in out._jdf.queryExecution().optimizedPlan().toString()
