@@ -10,12 +10,14 @@ losses give the score (their softmax share) and the ``ambiguous`` flag.
 
 Training uses a bounded, documented sample: about ``per_language`` documents of
 each language, at most ``max_sample`` in all, chosen by a hash of the
-document id, so reruns agree.  The sample is dealt to one task per bit.
+document id, so reruns agree.  The sample is dealt to one task per bit, as packed blocks
+of features.
 
 Edge cases: a NULL text, or one without a letter, is ``und`` with score 0; rows
 with a NULL language or id are never learned from; with one known language
 everything with letters is that language; with none everything is ``und``.
-Whole texts are read, in pieces that bound memory.
+Whole texts are read, in pieces that bound memory: batches are worked on in slices of
+about ``_SLICE`` bytes of text.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ DIM = 1 << 12
 ORDERS = (1, 2, 3, 4)
 UND = "und"
 _PIECE = 1 << 20
+_SLICE = 1 << 21     # text bytes of a batch worked on at once
+_BLOCK_ROWS = 64     # sample documents packed together
 _MULT = np.uint32(0x9E3779B1)
 
 
@@ -99,16 +103,47 @@ def learning_sample(docs: DataFrame, learn: Column, per_language: int = PER_LANG
     return langs, rows.where(draw < share).select("lang", "text")
 
 
-def _featured(sample: DataFrame) -> DataFrame:
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``_SLICE`` bytes of column ``at`` (a longer text is one of its own)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + _SLICE, "right")))
+        yield batch.slice(i, j - i)
+        i = j
+
+
+def pack_features(place: list[int], rows: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """Languages (by number) and features of some documents."""
+    each = c.pack(np.array(place, np.int32), np.array([len(r[0]) for r in rows], np.int32))
+    every = c.pack(np.concatenate([r[0] for r in rows]).astype(np.uint16), np.concatenate([r[1] for r in rows]))
+    return len(each).to_bytes(4, "little") + each + every
+
+
+def unpack_features(blob: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(language, ids, values) of each packed document."""
+    cut = 4 + int.from_bytes(blob[:4], "little")
+    place, sizes = c.unpack(blob[4:cut])
+    ids, vals = c.unpack(blob[cut:])
+    ends = np.cumsum(sizes)
+    for k, to in enumerate(ends.tolist()):
+        own = slice(to - int(sizes[k]), to)
+        yield int(place[k]), ids[own].astype(np.int32), vals[own]
+
+
+def _featured(sample: DataFrame, langs: list[str]) -> DataFrame:
+    number = {x: i for i, x in enumerate(langs)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offs = c.text_buffers(b.column(1))
-            data = c.ascii_lower(data)
-            rows = [features(data[offs[i]:offs[i + 1]]) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()),
-                 pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["lang", "ids", "vals"])
-    return sample.mapInArrow(run, "lang string, ids binary, vals binary")
+            for part in _slices(b, 1):
+                data, offs = c.text_buffers(part.column(1))
+                data, place = c.ascii_lower(data), [number[x] for x in part.column(0).to_pylist()]
+                for i in range(0, part.num_rows, _BLOCK_ROWS):
+                    j = min(part.num_rows, i + _BLOCK_ROWS)
+                    blob = pack_features(place[i:j], [features(data[offs[k]:offs[k + 1]]) for k in range(i, j)])
+                    yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["blob"])
+    return sample.mapInArrow(run, "blob binary")
 
 
 def fit_binary(ids: list[np.ndarray], vals: list[np.ndarray], y: np.ndarray, epochs: int = 30,
@@ -156,18 +191,18 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, max_sa
     bits = code.shape[1]
     if not bits:
         return Model(langs, code, np.zeros((0, DIM + 1), np.float32), np.ones(0))
-    place = {l: i for i, l in enumerate(langs)}
-
-    def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        bit = int(key[0])
-        pdf = pdf.sort_values(["lang", "ids", "vals"], kind="stable")  # the same order in every run
-        y = code[[place[l] for l in pdf["lang"]], bit].astype(np.float32)
-        w, right = fit_binary([np.frombuffer(r, np.int32) for r in pdf["ids"]],
-                              [np.frombuffer(r, np.float32) for r in pdf["vals"]], y, seed=bit)
-        return pd.DataFrame({"bit": [bit], "weights": [w.tobytes()], "accuracy": [right]})
-
-    dealt = c.staged(_featured(sample), "lang-sample").withColumn("bit", F.explode(F.array(*map(F.lit, range(bits)))))
-    fitted = {r["bit"]: r for r in dealt.groupBy("bit").applyInPandas(
+
+    def train(group: pa.Table) -> pa.Table:
+        bit = group["bit"][0].as_py()
+        rows = [r for blob in group["blob"] for r in unpack_features(blob.as_py())]
+        rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the same order in every run
+        y = code[[r[0] for r in rows], bit].astype(np.float32)
+        w, right = fit_binary([r[1] for r in rows], [r[2] for r in rows], y, seed=bit)
+        return pa.table({"bit": pa.array([bit], pa.int32()), "weights": pa.array([w.tobytes()], pa.binary()),
+                         "accuracy": pa.array([right], pa.float64())})
+
+    dealt = c.staged(_featured(sample, langs), "lang-sample").withColumn("bit", F.explode(F.array(*map(F.lit, range(bits)))))
+    fitted = {r["bit"]: r for r in dealt.groupBy("bit").applyInArrow(
         train, "bit int, weights binary, accuracy double").collect()}  # one row a bit
     zero = np.zeros(DIM + 1, np.float32)
     w = np.stack([np.frombuffer(fitted[b]["weights"], np.float32) if b in fitted else zero for b in range(bits)])
@@ -190,7 +225,7 @@ def predict(docs: DataFrame, model: Model, min_gap: float = 0.05) -> DataFrame:
     weights, bias = np.ascontiguousarray(model.weights[:, :-1].T), model.weights[:, -1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole, at)):
             data, offs = c.text_buffers(b.column(at))
             raw, lower = data.tobytes(), c.ascii_lower(data)
             margins = np.zeros((b.num_rows, model.code.shape[1]))

@@ -508,3 +508,20 @@ def test_lm_vocabulary_is_the_most_frequent_words(spark):
         assert got.known[1] == sum(every) - sum(got.known[2:])
         seen.append(set(got.h1.tolist()))
     assert seen[2] <= seen[3] <= seen[4] <= seen[5]
+
+
+def test_language_sample_is_dealt_in_packed_blocks(spark):
+    import numpy as np
+    from ledgerline.llm import language_id
+    docs = [(0, "der schnelle braune fuchs springt ueber den faulen hund " * 20), (1, "the quick brown fox jumps over " * 30), (0, "")]
+    rows = [language_id.features(np.frombuffer(t.encode(), np.uint8)) for _, t in docs]
+    blob = language_id.pack_features([p for p, _ in docs], rows)
+    back = list(language_id.unpack_features(blob))
+    assert [p for p, _, _ in back] == [0, 1, 0]
+    for (ids, vals), (_, i, v) in zip(rows, back):
+        assert (ids == i).all() and (vals == v).all() and i.dtype == np.int32 and v.dtype == np.float32
+    frame = spark.createDataFrame([("de" if p == 0 else "en", t) for p, t in docs] * 200, "lang string, text string").repartition(2)
+    dealt = language_id._featured(frame, ["de", "en"])
+    assert dealt.columns == ["blob"]
+    got = [r for b in dealt.collect() for r in language_id.unpack_features(b.blob)]
+    assert len(got) == 600 and sum(len(b.blob) for b in dealt.collect()) < sum(8 * len(r[0]) for r in rows) * 200 / 2
