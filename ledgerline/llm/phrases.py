@@ -19,7 +19,7 @@ piece, counted per language (NULL: ``und``).
    grow), so the block that emits a phrase knows the exact counts of its parts.
 
 Texts are packed once in blocks of about ``CHUNK_BYTES`` that hold word numbers
-and their word list.  A block sends each distinct phrase once, with its count,
+and their word list; work on a block takes some 18 times its text in memory.  A block sends each distinct phrase once, with its count,
 to the shard of its hash; shards add up and answer each block with its
 frequent phrases.  A phrase that a third of all documents hold is one entry a
 block.  Phrases are told apart by 96 hash bits.
@@ -97,10 +97,10 @@ class Block:
         first, which = _distinct(k1, k2)
         raw = data.tobytes()
         words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        piece = np.cumsum(_PIECE_END[data], dtype=np.int64)
+        piece = np.searchsorted(np.flatnonzero(_PIECE_END[data]), starts)
         apart = np.zeros(len(starts), bool)
         if len(starts):
-            apart[1:] = (doc[1:] != doc[:-1]) | (piece[starts[1:]] != piece[starts[:-1]])
+            apart[1:] = (doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1])
         tokens = np.insert(which.astype(np.int32), np.flatnonzero(apart), -1)
         spelling = np.frombuffer(b"".join(words), np.uint8)
         at = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
@@ -217,24 +217,30 @@ def to_count(block: Block, s1: np.ndarray, s2: np.ndarray, answers: list[Answers
     proposed = in_s1[left] & in_s1[right]           # pairs counted in the first pass
     in_s2 = proposed & _among(s2, keys[0])
     parts = []
+
+    def count(k1: np.ndarray, k2: np.ndarray, m: np.ndarray) -> None:
+        parts.append((k1, (k2 & _U(0xFFFFFFFF)).astype(np.uint32), m.astype(np.uint32)))
     if not answers:
         words = np.bincount(block.tokens[block.tokens >= 0], minlength=len(block.lang))
-        parts.append((*block.keys, words))
-        parts.append((keys[0][proposed], keys[1][proposed], n[proposed]))
+        count(*block.keys, words)
+        count(keys[0][proposed], keys[1][proposed], n[proposed])
         first, second, m = _triples(block, number, in_s2, None)
     else:
         known = [a.find(*keys) >= 0 for a in answers]
         if len(answers) == 1:                       # words are settled
             frequent = answers[0].find(*block.keys) >= 0
             new = frequent[left] & frequent[right] & ~proposed
-            parts.append((keys[0][new], keys[1][new], n[new]))
+            count(keys[0][new], keys[1][new], n[new])
             first, second, m = _triples(block, number, in_s2 | known[0], in_s2)
         else:                                       # pairs are settled
             first, second, m = _triples(block, number, in_s2 | known[0] | known[1], in_s2 | known[0])
-    parts.append((*_triple_keys(block, keys, right, first, second), m))
-    k1, k2, count = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    del left, number
+    count(*_triple_keys(block, keys, right, first, second), m)
+    del keys, right, first, second
+    k1, k2, total = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    parts.clear()
     order = np.argsort(k1)
-    return k1[order], (k2[order] & _U(0xFFFFFFFF)).astype(np.uint32), count[order].astype(np.uint32)
+    return k1[order], k2[order], total[order]
 
 
 def sample_sets(block: Block, least: int) -> tuple[np.ndarray, np.ndarray]:

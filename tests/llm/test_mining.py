@@ -247,3 +247,27 @@ def test_secrets_without_labels_and_empty(spark, empty):
     assert secret_scan.scan(empty).collect() == []
     got = secret_scan.scan(frame(spark, [(1, "averyveryverylongword and more", "en", "s")])).collect()
     assert [(r.spans, r.score) for r in got] == [("", None)]
+
+
+def test_a_block_of_the_default_size_takes_little_memory():
+    import inspect
+    import tracemalloc
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=60)) + rng.choice(".\n") for _ in range(16_000)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "lang": pa.array(["en"] * len(texts), pa.string())})
+    size = inspect.signature(phrases.frequent_phrases).parameters["chunk_bytes"].default
+    rows, left = 0, size
+    while rows < len(texts) and left > 0:
+        left -= len(texts[rows])
+        rows += 1
+    assert left <= 0
+    tracemalloc.start()
+    try:
+        block = phrases.Block.of(batch.column(0)[:rows], batch.column(1)[:rows])
+        none = np.zeros(0, np.uint64)
+        counted = phrases.to_count(block, np.sort(block.keys[0]), none, [])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(counted[0]) > rows and peak < 80 << 20
