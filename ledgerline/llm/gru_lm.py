@@ -28,7 +28,12 @@ the network sees every training document once, whatever the size of the corpus.
 
 Scoring.  A batch of documents advances together in windows; the state of a
 document is carried from window to window to its end, so the score is the
-log10-likelihood of the complete text.
+log10-likelihood of the complete text.  The fewer documents are left, the longer the window.
+
+Arithmetic.  States are units x documents, so that each operation runs along memory.  A
+softmax's bias is one more row of its weights, its sums are a product, and a state's largest
+logit is taken off only where the weights could carry a logit too far.  In training, classes
+of few tokens are worked on together.
 
 Edge cases: NULL text is empty and still has the end token; rows with a NULL id
 are scored and never learned from; with no training tokens the base is uniform
@@ -55,6 +60,7 @@ WINDOW, STREAMS, ROUNDS, RATE = 16, 512, 2, 0.1
 GROWTH = 2  # vocabulary words per root of the training tokens
 _GROUP_TOKENS = 3_000_000
 _LEAST_WORDS, _FREE_WORDS, _MOST_WORDS = 600, 1 << 12, 1 << 18
+_HASHED = 1 << 15  # words hashed at a time
 _BLOCK = 1 << 16  # weights averaged together
 _FAN_IN = 64      # replicas averaged by a task
 _LEAST_STEPS = 100  # updates of a stream, before it is split further
@@ -73,10 +79,20 @@ class _Words:
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         lower = c.ascii_lower(data)
         starts, ends, self.doc = c.word_spans(lower, offs)
-        h1, h2 = (c.span_hash(lower, starts, ends, lane) for lane in (0, 1))
-        self.h1, first, self.which = np.unique(h1, return_index=True, return_inverse=True)
-        self.h2 = h2[first]
-        if (self.h2[self.which] != h2).any():  # equal first halves: order by both
+        h1, h2 = np.empty((2, len(starts)), np.uint64)
+        for i in range(0, len(starts), _HASHED):
+            r = slice(i, i + _HASHED)
+            at, to = starts[r][0], ends[r][-1]
+            for lane, h in enumerate((h1, h2)):
+                h[r] = c.span_hash(lower[at:to], starts[r] - at, ends[r] - at, lane)
+        order = np.argsort(h1)
+        ascending = h1.take(order)
+        new = np.ones(len(order), bool)
+        new[1:] = ascending[1:] != ascending[:-1]
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        self.h1, self.h2 = ascending[new], h2.take(order[new])
+        if (self.h2.take(self.which) != h2).any():  # equal first halves: order by both
             order = np.lexsort((h2, h1))
             new = np.ones(len(order), bool)
             new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
@@ -189,59 +205,162 @@ def unflatten(flat: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x):
-    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    half = x.dtype.type(0.5)
+    x *= half
+    np.tanh(x, out=x)
+    x *= half
+    x += half
+    return x
 
 
-_TINY = np.float32(1e-30)  # keeps the reported loss finite
-_COLUMNS = 1 << 13         # tokens whose softmax is held at a time
+_PRODUCT = 800_000  # multiplications of a product of softmax weights and states
+_PIECE = 1 << 15  # weights changed together
+_SCORED = 1 << 16  # tokens scored together at least
+_FEW, _TOGETHER = 48, 16  # a class of as few tokens shares its products' calls with so many like it
+_REACH = 60.0    # logits this far from the largest bias neither overflow nor vanish
 
 
-def _logits(w: np.ndarray, b: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """Outputs by states, less each state's largest: one token a column, so that
-    sums over the outputs run along memory."""
-    x = w.T @ states.T
-    x += b[:, None]
-    x -= x.max(axis=0)
-    return x
+def _with_bias(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weights (units x outputs) with the biases, less their largest, as one more row."""
+    return np.concatenate([w, (b - b.max(axis=-1, keepdims=True))[..., None, :]], axis=-2)
 
 
-def _log_probs(w: np.ndarray, b: np.ndarray, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    out = np.empty(len(targets), states.dtype)
-    for i in range(0, len(targets), _COLUMNS):
-        x, y = _logits(w, b, states[i:i + _COLUMNS]), targets[i:i + _COLUMNS]
-        picked = x[y, np.arange(len(y))]
-        np.exp(x, out=x)
-        out[i:i + _COLUMNS] = picked - np.log(x.sum(axis=0))
-    return out
+def _flat(w: np.ndarray, size: float = 1.0) -> np.ndarray:
+    """Whether states up to ``size`` leave each softmax's logits near its largest bias, so
+    that ``_with_bias`` has already made them safe to exponentiate."""
+    n, most = w.shape[-2], _REACH / max(1.0, size)
+    flat = w.reshape(*w.shape[:-2], -1)
+    flat = np.maximum(flat.max(axis=-1), -flat.min(axis=-1)) * n < most
+    return flat if flat.all() else np.abs(w).sum(axis=-2).max(axis=-1) < most
+
 
+def _rows(w: np.ndarray) -> int:
+    """Tokens whose softmax is held at a time, so that it stays in the cache."""
+    return max(16, _PRODUCT // w.size)
 
-def _softmax_less_target(w: np.ndarray, b: np.ndarray, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
-    """Gradient of the logits (one token a column) and the summed loss."""
-    x, own = _logits(w, b, states), np.arange(len(targets))
+
+def _exp_logits(w: np.ndarray, flat: bool, states: np.ndarray, targets: np.ndarray, one: np.ndarray,
+                picked: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentiated outputs by tokens (rows) and the targets' places in them; fills in the
+    targets' logits and the sums.  ``one`` is as many ones as outputs."""
+    x = states @ w
+    if not flat:
+        x -= x.max(axis=1, keepdims=True)
+    at = np.arange(0, x.size, len(one))
+    at += targets
+    x.ravel().take(at, out=picked)
+    np.exp(x, out=x)
+    np.dot(x, one, out=total)
+    return x, at
+
+
+def _softmax(w: np.ndarray, flat: bool, states: np.ndarray, targets: np.ndarray, one: np.ndarray,
+             picked: np.ndarray, total: np.ndarray) -> None:
+    """Fills in the targets' logits and the sums of all outputs."""
+    rows = _rows(w)
+    for i in range(0, len(targets), rows):
+        r = slice(i, i + rows)
+        _exp_logits(w, flat, states[r], targets[r], one, picked[r], total[r])
+
+
+def _softmax_gradients(w: np.ndarray, flat: bool, states: np.ndarray, targets: np.ndarray, one: np.ndarray,
+                       picked: np.ndarray, total: np.ndarray, dw: np.ndarray, ds: np.ndarray) -> None:
+    """``_softmax`` that also fills in the gradients of the summed loss by the weights with bias
+    and, still to be divided by the sums, by the states.  The softmax
+    less the target is (x - total at the target) / total; the division is done on the narrow side."""
+    rows, wt = _rows(w), np.ascontiguousarray(w[:-1].T)
+    for i in range(0, len(targets), rows):
+        r = slice(i, i + rows)
+        x, at = _exp_logits(w, flat, states[r], targets[r], one, picked[r], total[r])
+        x.ravel()[at] -= total[r]
+        share = (states[r] / total[r, None]).T
+        if i:
+            dw += share @ x
+        else:
+            np.matmul(share, x, out=dw)
+        np.matmul(x, wt, out=ds[r])
+
+
+def _step(gx, h, ut, n):
+    """One step of the network; units x documents, as all its arrays."""
+    gh = ut @ h
+    rz = _sigmoid(gx[:2 * n] + gh[:2 * n])
+    cand = rz[:n] * gh[2 * n:]
+    cand += gx[2 * n:]
+    np.tanh(cand, out=cand)
+    new = h - cand
+    new *= rz[n:]
+    new += cand
+    return new, rz, cand, gh
+
+
+def _small_softmax_gradients(w: np.ndarray, flat: np.ndarray, states: np.ndarray, targets: np.ndarray, first: np.ndarray,
+                             many: np.ndarray, one: np.ndarray, picked: np.ndarray, total: np.ndarray, dw: np.ndarray, ds: np.ndarray) -> None:
+    """``_softmax_gradients`` of several classes at once: class i has ``many[i]`` tokens from
+    ``first[i]`` on, filled up with zero states to as many as the largest."""
+    place = np.arange(many.max())
+    real = place < many[:, None]
+    token = np.where(real, first[:, None] + place, first[:, None])
+    s = states.take(token, axis=0)
+    s *= real[..., None]
+    x = np.matmul(s, w)
+    if not flat.all():
+        x -= x.max(axis=-1, keepdims=True)
+    at = (np.arange(token.size).reshape(token.shape) * len(one) + targets[token])
+    here = x.ravel().take(at)
     np.exp(x, out=x)
-    x /= x.sum(axis=0)
-    loss = -np.log(x[targets, own] + _TINY).sum()
-    x[targets, own] -= 1
-    return x, loss
+    sums = np.matmul(x, one)
+    x.ravel()[at] -= sums
+    s /= sums[..., None]
+    dw[:] = np.matmul(s.transpose(0, 2, 1), x)
+    back, real = np.matmul(x, w[:, :-1].transpose(0, 2, 1)), np.flatnonzero(real)
+    token = token.ravel().take(real)
+    picked[token], total[token] = here.ravel().take(real), sums.ravel().take(real)
+    ds[token] = back.reshape(-1, back.shape[-1]).take(real, axis=0)
+
 
+@dataclass
+class _Outputs:
+    """The factored softmax made ready for scoring."""
+    wc: np.ndarray
+    wc_flat: bool
+    ww: np.ndarray
+    ww_flat: np.ndarray
 
-def _step(gx, h, u, n):
-    gh = h @ u
-    rz = _sigmoid(gx[:, :2 * n] + gh[:, :2 * n])
-    cand = np.tanh(gx[:, 2 * n:] + rz[:, :n] * gh[:, 2 * n:])
-    return cand + rz[:, n:] * (h - cand), rz, cand, gh
+    @classmethod
+    def of(cls, p: dict, size: float = 1.0) -> _Outputs:
+        return cls(_with_bias(p["wc"], p["bc"]), bool(_flat(p["wc"], size)), _with_bias(p["ww"], p["bw"]), _flat(p["ww"], size))
 
 
-def _token_log_probs(p: dict, shape: Shape, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural log probability of each target token after its state."""
+def _by_class(targets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the tokens by class; their classes and places in them, so ordered; each class' first."""
     cls = targets // shape.class_size
-    out = _log_probs(p["wc"], p["bc"], states, cls)
-    order = np.argsort(cls, kind="stable")
-    states, inner, edges = states[order], (targets % shape.class_size)[order], np.searchsorted(cls[order], np.arange(shape.classes + 1))
+    order = np.argsort(cls.astype(np.min_scalar_type(shape.classes)), kind="stable")
+    sorted_cls = cls[order]
+    return order, sorted_cls, targets[order] - sorted_cls * shape.class_size, np.searchsorted(sorted_cls, np.arange(shape.classes + 1))
+
+
+def _and_one(states: np.ndarray) -> np.ndarray:
+    out = np.ones((len(states), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states
+    return out
+
+
+def _token_log_probs(p: dict, shape: Shape, states: np.ndarray, targets: np.ndarray, outputs: _Outputs | None = None) -> np.ndarray:
+    """Natural log probability of each target token after its state."""
+    o = outputs or _Outputs.of(p, float(np.abs(states).max(initial=0.0)))
+    order, cls, inner, edges = _by_class(targets, shape)
+    states = _and_one(states.take(order, axis=0))
+    picked, total = np.empty((2, len(cls)), states.dtype), np.empty((2, len(cls)), states.dtype)
+    _softmax(o.wc, o.wc_flat, states, cls, np.ones(shape.classes, states.dtype), picked[0], total[0])
+    one = np.ones(shape.class_size, states.dtype)
     for k in np.flatnonzero(np.diff(edges)):
-        i, j = edges[k], edges[k + 1]
-        out[order[i:j]] += _log_probs(p["ww"][k], p["bw"][k], states[i:j], inner[i:j])
+        r = slice(edges[k], edges[k + 1])
+        _softmax(o.ww[k], o.ww_flat[k], states[r], inner[r], one, picked[1, r], total[1, r])
+    out = np.empty(len(targets), states.dtype)
+    out[order] = (picked - np.log(total)).sum(axis=0)
     return out
 
 
@@ -250,22 +369,29 @@ def log_likelihoods(p: dict, shape: Shape, tokens: np.ndarray, offs: np.ndarray,
     n, length = shape.hidden, np.diff(offs)
     order = np.argsort(-length, kind="stable")
     base, length = offs[:-1][order], length[order]
-    gates = (p["embed"] @ p["w"] + p["b"]).astype(np.float32)
+    outputs, wt, ut, b = _Outputs.of(p), np.ascontiguousarray(p["w"].T), np.ascontiguousarray(p["u"].T), p["b"][:, None]
     total = np.zeros(len(order))
-    h = np.zeros((len(order), n), np.float32)
+    h = np.zeros((n, len(order)), np.float32)
     last = np.full(len(order), END)
     steps = int(length[0]) if len(length) else 0
-    for t0 in range(0, steps, window):
-        states, targets, owner = [], [], []
-        for t in range(t0, min(steps, t0 + window)):
-            k = int(np.searchsorted(-length, -t, "left"))  # documents longer than t
-            h = _step(gates[last[:k]], h[:k], p["u"], n)[0]
+    t0 = 0
+    while t0 < steps:
+        k = int(np.searchsorted(-length, -t0, "left"))
+        ahead = np.arange(t0, min(steps, t0 + max(window, _SCORED // k)))  # few documents: a longer window
+        longer = np.searchsorted(-length, -ahead, "left")  # documents longer than t
+        at = np.concatenate(([0], np.cumsum(longer)))
+        states, targets = np.empty((at[-1], n), np.float32), np.empty(at[-1], np.int64)
+        for t, k, i, j in zip(ahead, longer, at, at[1:]):
+            gx = wt @ p["embed"].take(last[:k], axis=0).T
+            gx += b
+            h = _step(gx, h[:, :k], ut, n)[0]
             last = tokens[base[:k] + t]
-            states.append(h)
-            targets.append(last)
-            owner.append(np.arange(k))
-        lp = _token_log_probs(p, shape, np.concatenate(states), np.concatenate(targets).astype(np.int64))
-        total += np.bincount(np.concatenate(owner), lp.astype(np.float64), minlength=len(total))
+            states[i:j] = h.T
+            targets[i:j] = last
+        lp = _token_log_probs(p, shape, states, targets, outputs).astype(np.float64)
+        for k, i, j in zip(longer, at, at[1:]):
+            total[:k] += lp[i:j]
+        t0 += len(ahead)
     out = np.empty(len(order))
     out[order] = total
     return out
@@ -281,61 +407,101 @@ def gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0
     return g, h, loss
 
 
+def _output_gradients(p: dict, shape: Shape, states: np.ndarray, targets: np.ndarray, size: float):
+    """The softmax's part of ``window_gradients``: gradients of the summed loss by its weights
+    and, in the tokens' order, by the states; the touched classes and the summed loss."""
+    n = shape.hidden
+    order, cls, inner, edges = _by_class(targets, shape)
+    states, used = _and_one(states.take(order, axis=0)), np.flatnonzero(np.diff(edges))
+    every = len(used) == shape.classes
+    ww, bw = (p["ww"], p["bw"]) if every else (p["ww"][used], p["bw"][used])
+    w, flat = _with_bias(ww, bw), _flat(ww, size)
+    dwc, dw = np.empty((n + 1, shape.classes), states.dtype), np.empty_like(w)
+    picked, total, ds = (np.empty((2, len(cls), *more), states.dtype) for more in ((), (), (n,)))
+    _softmax_gradients(_with_bias(p["wc"], p["bc"]), bool(_flat(p["wc"], size)), states, cls, np.ones(shape.classes, states.dtype),
+                       picked[0], total[0], dwc, ds[0])
+    one = np.ones(shape.class_size, states.dtype)
+    first, many = edges[used], np.diff(edges)[used]
+    small = many <= _FEW
+    for i in np.flatnonzero(~small):
+        r = slice(first[i], first[i] + many[i])
+        _softmax_gradients(w[i], flat[i], states[r], inner[r], one, picked[1, r], total[1, r], dw[i], ds[1, r])
+    small = np.flatnonzero(small)
+    small = small[np.argsort(many[small], kind="stable")]
+    for at in range(0, len(small), _TOGETHER):
+        i = small[at:at + _TOGETHER]
+        some = np.empty((len(i), *dw.shape[1:]), dw.dtype)
+        _small_softmax_gradients(w.take(i, axis=0), flat[i], states, inner, first[i], many[i], one, picked[1], total[1], some, ds[1])
+        dw[i] = some
+    loss = float(np.log(total).sum() - picked.sum())
+    ds /= total[..., None]
+    back = np.empty((len(order), n), ds.dtype)
+    back[order] = ds[0] + ds[1]
+    return dwc, dw, slice(None) if every else used, back, loss
+
+
 def window_gradients(p: dict, shape: Shape, inputs: np.ndarray, targets: np.ndarray, h0: np.ndarray):
     """``gradients`` as (places, values): only the rows of ``embed`` and the
     classes of ``ww`` and ``bw`` that the window touches; all others are 0."""
     n, (steps, width) = shape.hidden, inputs.shape
-    g, u = {}, np.zeros_like(p["u"])
-    x = p["embed"][inputs]
-    gx = x @ p["w"] + p["b"]
-    h, kept = h0, []
+    x, ut = p["embed"].take(inputs, axis=0), np.ascontiguousarray(p["u"].T)
+    gx = np.matmul(p["w"].T, x.transpose(0, 2, 1))  # steps x units x streams, as all below
+    gx += p["b"][:, None]
+    start = (inputs != END).astype(gx.dtype)  # a document starts from the zero state
+    h, kept = np.ascontiguousarray(h0.T), []
+    befores, hs = np.empty((steps, n, width), gx.dtype), np.empty((steps, n, width), gx.dtype)
     for t in range(steps):
-        start = (inputs[t] != END)[:, None].astype(np.float32)  # a document starts from the zero state
-        before = h * start
-        h, rz, cand, gh = _step(gx[t], before, p["u"], n)
-        kept.append((before, rz, cand, gh, start, h))
-    states = np.concatenate([k[5] for k in kept])
-    y = targets.ravel()
-    cls = y // shape.class_size
-    order = np.argsort(cls, kind="stable")
-    cls, inner, states = cls[order], (y % shape.class_size)[order], states[order]  # by class from here
-    dc, loss = _softmax_less_target(p["wc"], p["bc"], states, cls)
-    g["wc"], g["bc"] = (dc @ states).T, dc.sum(axis=1)
-    sorted_ds = dc.T @ p["wc"].T
-    edges = np.searchsorted(cls, np.arange(shape.classes + 1))
-    used = np.flatnonzero(np.diff(edges))
-    ww = np.empty((len(used), n, shape.class_size), states.dtype)
-    bw = np.empty((len(used), shape.class_size), states.dtype)
-    for i, k in enumerate(used):
-        r = slice(edges[k], edges[k + 1])
-        dw, more = _softmax_less_target(p["ww"][k], p["bw"][k], states[r], inner[r])
-        loss += more
-        np.matmul(states[r].T, dw.T, out=ww[i])
-        np.sum(dw, axis=1, out=bw[i])
-        sorted_ds[r] += dw.T @ p["ww"][k].T
-    ds = np.empty_like(sorted_ds)
-    ds[order] = sorted_ds
-    ds = ds.reshape(steps, width, n)
-    dgx, dh = np.zeros_like(gx), np.zeros((width, n), np.float32)
+        np.multiply(h, start[t], out=befores[t])
+        h, rz, cand, gh = _step(gx[t], befores[t], ut, n)
+        kept.append((rz, cand, gh))
+        hs[t] = h
+    dwc, dw, used, ds, loss = _output_gradients(p, shape, hs.transpose(0, 2, 1).reshape(-1, n), targets.ravel(),
+                                                float(np.abs(h0).max(initial=0.0)))
+    ds = np.ascontiguousarray(ds.reshape(steps, width, n).transpose(0, 2, 1))
+    dgx, dgh, dh = np.empty_like(gx), np.empty_like(gx), np.zeros_like(h)
     for t in reversed(range(steps)):
-        before, rz, cand, gh, start, _ = kept[t]
-        r, z = rz[:, :n], rz[:, n:]
-        d = ds[t] + dh
-        dcand = d * (1 - z) * (1 - cand * cand)
-        dz = d * (before - cand) * z * (1 - z)
-        dr = dcand * gh[:, 2 * n:] * r * (1 - r)
-        dgx[t] = np.concatenate([dr, dz, dcand], axis=1)
-        dgh = np.concatenate([dr, dz, dcand * r], axis=1)
-        u += before.T @ dgh
-        dh = (d * z + dgh @ p["u"].T) * start
-    flat = dgx.reshape(-1, 3 * n)
-    g["w"], g["b"] = x.reshape(-1, n).T @ flat, flat.sum(axis=0)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    words, first = np.unique(inputs.ravel()[order], return_index=True)
-    embed = np.add.reduceat((flat @ p["w"].T)[order], first, axis=0)
-    size, every = np.float32(1 / len(y)), slice(None)
-    out = {k: (every, v * size) for k, v in {**g, "u": u}.items()}
-    return {**out, "embed": (words, embed * size), "ww": (used, ww * size), "bw": (used, bw * size)}, h, float(loss) / len(y)
+        rz, cand, gh = kept[t]
+        r, z, d, g = rz[:n], rz[n:], ds[t], dgx[t]
+        d += dh
+        slope = rz * (1 - rz)
+        dcand = np.subtract(befores[t], cand, out=g[n:2 * n])
+        dcand *= d
+        dcand *= slope[n:]
+        carried = d * z
+        dcand = np.subtract(d, carried, out=g[2 * n:])
+        cand *= cand
+        dcand *= np.subtract(1, cand, out=cand)
+        dr = np.multiply(dcand, gh[2 * n:], out=g[:n])
+        dr *= slope[:n]
+        dgh[t] = g
+        dgh[t, 2 * n:] *= r
+        carried += p["u"] @ dgh[t]
+        dh = np.multiply(carried, start[t], out=carried)
+    out = {"w": np.matmul(x.transpose(0, 2, 1), dgx.transpose(0, 2, 1)).sum(axis=0), "b": dgx.sum(axis=(0, 2)),
+           "u": np.matmul(befores, dgh.transpose(0, 2, 1)).sum(axis=0), "wc": dwc[:n], "bc": dwc[n]}
+    dx = np.matmul(dgx.transpose(0, 2, 1), p["w"].T).reshape(-1, n)
+    order = np.argsort(inputs.ravel())
+    words = inputs.ravel().take(order)
+    first = np.concatenate(([0], np.flatnonzero(words[1:] != words[:-1]) + 1))
+    size, every = gx.dtype.type(1 / targets.size), slice(None)
+    out = {k: (every, v * size) for k, v in out.items()}
+    embed = np.add.reduceat(dx.take(order, axis=0), first, axis=0)
+    dw *= size
+    return ({**out, "embed": (words[first], embed * size), "ww": (used, dw[:, :n]), "bw": (used, dw[:, n])},
+            np.ascontiguousarray(h.T), float(loss) / targets.size)
+
+
+def _adagrad(p: np.ndarray, acc: np.ndarray, at, value: np.ndarray, rate: float) -> None:
+    every = isinstance(at, slice)
+    seen, weights = (a[at] if every else a.take(at, axis=0) for a in (acc, p))
+    change = value * value
+    seen += change
+    np.sqrt(seen, out=change)
+    np.divide(value, change, out=change)
+    change *= np.float32(rate)
+    weights -= change
+    if not every:
+        acc[at], p[at] = seen, weights
 
 
 def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE, window: int = WINDOW,
@@ -360,9 +526,11 @@ def train_stream(p: dict, shape: Shape, tokens: np.ndarray, rate: float = RATE,
             sizes.append(y[t:t + window].size)
             weight = np.float32(lanes / width)
             for k, (at, value) in g.items():
-                value = weight * value
-                acc[k][at] += value * value
-                p[k][at] -= np.float32(rate) * value / np.sqrt(acc[k][at])
+                if weight != 1:
+                    value = weight * value
+                rows = max(1, _PIECE // value[0].size)
+                for i in range(0, len(value), rows):
+                    _adagrad(p[k], acc[k], slice(i, i + rows) if isinstance(at, slice) else at[i:i + rows], value[i:i + rows], rate)
     return float(np.average(losses, weights=sizes))
 
 
@@ -436,12 +604,25 @@ def _gather(counted: DataFrame, train_docs: int, vocabulary: int | None, min_cou
                   np.arange(len(n))[order] + 2, known, distinct - len(n))
 
 
+def _with_ends(numbers: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """Token numbers of documents of ``per`` words, each closed by its end."""
+    out = np.empty(len(numbers) + len(per), np.int32)
+    word = np.ones(len(out), bool)
+    word[np.cumsum(per + 1) - 1] = False
+    out[~word] = END
+    out[word] = numbers
+    return out
+
+
 def _stream_tokens(batch: pa.RecordBatch, counts: Counts) -> np.ndarray:
     data, offs = c.text_buffers(batch.column(1))
-    words = _Words(data, offs)
-    ids = counts.token_numbers(words.h1, words.h2)[words.which]
-    per = np.bincount(words.doc, minlength=batch.num_rows)
-    return np.insert(ids, np.cumsum(per), END).astype(np.int32)
+    out, i = [], 0
+    while i < batch.num_rows:  # some megabytes at a time, or a longer document
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + c.CHUNK_BYTES, "right")) - 1)
+        words = _Words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        out.append(_with_ends(counts.token_numbers(words.h1, words.h2)[words.which], np.bincount(words.doc, minlength=j - i)))
+        i = j
+    return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 
 REPLICA_SCHEMA = "block int, slot int, value binary, tokens double"
@@ -544,7 +725,7 @@ def _score(counts_b, weights_b, shape: Shape, folds: int, fold: int):
             def per_doc(values, doc=words.doc, which=words.which, size=chunk.n):
                 return np.bincount(doc, values[which].astype(np.float64), minlength=size)
             per = np.bincount(words.doc, minlength=chunk.n)
-            held.append({"tokens": np.insert(number[words.which], np.cumsum(per), END).astype(np.int32), "n": per + 1,
+            held.append({"tokens": _with_ends(number[words.which], per), "n": per + 1,
                          "known": per_doc(seen > 0).astype(np.int64) + int(counts.train_docs > 0),
                          "base": per_doc(base) + end, "rest": per_doc(rest), "ids": chunk.id_array()})
             size += len(held[-1]["tokens"])

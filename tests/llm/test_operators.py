@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests_llm_helpers import alnum_words, ascii_lower, frame, split_words
@@ -416,6 +417,65 @@ def test_lm_stream_is_trained_to_its_last_token(monkeypatch):
     assert Counter(trained) == Counter(tokens)
 
 
+def test_lm_small_classes_share_calls(monkeypatch):
+    shape, rng, calls, exp = gru_lm.Shape(2500, 4, 50), np.random.default_rng(0), [], np.exp
+    p = gru_lm.start_values(shape, rng.integers(1, 99, 2500))
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    x, y = rng.integers(0, 2500, (2, 16, 32))  # about ten tokens a class
+    gru_lm.window_gradients(p, shape, x, y, np.zeros((32, 4), np.float32))
+    assert len(calls) < 10
+
+
+def test_lm_few_long_documents_take_long_windows(monkeypatch):
+    shape, calls, probs = gru_lm.Shape(11, 4, 3), [], gru_lm._token_log_probs
+    monkeypatch.setattr(gru_lm, "_token_log_probs", lambda *a: calls.append(len(a[3])) or probs(*a))
+    tokens = np.random.default_rng(0).integers(0, 11, 6000).astype(np.int32)
+    gru_lm.log_likelihoods(gru_lm.start_values(shape, np.ones(11)), shape, tokens, np.array([0, 2900, 3000, 6000]))
+    assert sum(calls) == 6000 and len(calls) < 5
+
+
+@pytest.mark.parametrize("few, product, scale", [(0, 1, 1), (0, 10 ** 6, 1), (100, 1, 1), (100, 10 ** 6, 40), (0, 1, 40), (3, 1, 40)])
+def test_lm_softmax_paths_agree(monkeypatch, few, product, scale):
+    monkeypatch.setattr(gru_lm, "_FEW", few)
+    monkeypatch.setattr(gru_lm, "_PRODUCT", product)
+    shape, rng = gru_lm.Shape(11, 4, 3), np.random.default_rng(1)
+    p = {k: v.astype(np.float64) for k, v in gru_lm.start_values(shape, np.arange(11.0)).items()}
+    p["wc"] *= scale * 5
+    p["ww"][:2] *= scale * 5
+    states, y = rng.uniform(-1, 1, (90, 4)), np.concatenate([rng.integers(0, 9, 80), np.full(10, 4)])
+    soft = []  # plain softmax over classes and within the class
+    for w, b, at in ((p["wc"][None].repeat(90, 0), p["bc"], y // 3), (p["ww"][y // 3], p["bw"][y // 3], y % 3)):
+        x = np.einsum("ti,tik->tk", states, w) + b
+        e = np.exp(x - x.max(axis=1, keepdims=True))
+        soft.append((w, at, e / e.sum(axis=1, keepdims=True)))
+    want = sum(np.log(q[np.arange(90), at]) for _, at, q in soft)
+    assert np.allclose(gru_lm._token_log_probs(p, shape, states, y), want, atol=1e-9)
+    dwc, dw, used, ds, loss = gru_lm._output_gradients(p, shape, states, y, 1.0)
+    assert loss == pytest.approx(-want.sum())
+    d = [q - np.eye(q.shape[1])[at] for _, at, q in soft]
+    assert np.allclose(ds, sum(np.einsum("tk,tik->ti", g, w) for g, (w, *_) in zip(d, soft)), atol=1e-9)
+    assert np.allclose(dwc[:4], states.T @ d[0], atol=1e-9) and np.allclose(dwc[4], d[0].sum(axis=0), atol=1e-9)
+    assert list(used) == [0, 1, 2]
+    for k in used:
+        mine = y // 3 == k
+        assert np.allclose(dw[k, :4], states[mine].T @ d[1][mine], atol=1e-9) and np.allclose(dw[k, 4], d[1][mine].sum(axis=0), atol=1e-9)
+
+
+def test_lm_words_of_a_large_batch_are_those_of_its_slices(monkeypatch):
+    texts = pa.array(["Aa bb  cc", None, "", " ", "bb dd", "aa " * 50, "é aa"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7), pa.int64()), texts], names=["doc_id", "text"])
+    words = gru_lm._Words(*common.text_buffers(pa.array(["aa bb"])))
+    order = np.argsort(words.h1)
+    counts = gru_lm.Counts(1, 1, 1, words.h1[order], words.h2[order], np.arange(2)[order] + 2, np.ones(4), 1)
+    aa, bb = (int(counts.token_numbers(*(getattr(gru_lm._Words(*common.text_buffers(pa.array([w]))), h) for h in ("h1", "h2")))[0]) for w in ("aa", "bb"))
+    assert {aa, bb} == {2, 3}
+    want = [aa, bb, 1, 0, 0, 0, 0, bb, 1, 0, *[aa] * 50, 0, 1, aa, 0]
+    for size, hashed in ((common.CHUNK_BYTES, 1 << 15), (12, 2), (1, 1)):
+        monkeypatch.setattr(common, "CHUNK_BYTES", size)
+        monkeypatch.setattr(gru_lm, "_HASHED", hashed)
+        assert gru_lm._stream_tokens(batch, counts).tolist() == want
+
+
 def test_lm_vocabulary_grows_with_the_corpus(spark, monkeypatch):
     shapes = []
     start_values = gru_lm.start_values
